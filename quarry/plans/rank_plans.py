@@ -41,3 +41,228 @@ register("rank_bm25", _bench_sql(f"{Q.bm25_w('p.tf', '1.2', '0.75', 'p.doc_len',
 )
 register("rank_tfidf", _bench_sql(f"p.tf * {Q.idf('st.n_docs', 'dfs.df')}"))(_bench("tfidf"))
 register("topk_batch", _bench_sql("p.tf::DOUBLE"))(_bench("tf"))
+
+
+# ---- single fixed queries (the reference's exercises) -----------------------------------------
+
+from quarry.functions import scoring as S  # noqa: E402
+from quarry.operators import match as M  # noqa: E402
+from quarry.operators.util import one_row  # noqa: E402
+from quarry.plans.match_plans import CLAUSE_SQL, CLAUSES, _positional  # noqa: E402
+from quarry.sources.tables import judgments, literal_queries  # noqa: E402
+
+OF_THE = f"""{Q.DOC_TF}, {Q.DOC_STATS},
+dfs AS (SELECT term, count(*) AS df FROM tfp WHERE term IN ('of', 'the') GROUP BY term),
+q AS (SELECT 'of' AS term, 0 AS qpos UNION ALL SELECT 'the', 1)"""
+
+
+@register(
+    "topk",
+    f"""WITH {OF_THE},
+        sc AS (SELECT doc_id, {Q.ordered_sum('q.qpos', Q.bm25_w('p.tf', '1.2', '0.75', 'p.doc_len', 'st.avg_len') + ' * ' + Q.idf('st.n_docs', 'dfs.df'))} AS score
+               FROM tfp p JOIN q USING (term) JOIN dfs USING (term) CROSS JOIN st GROUP BY doc_id)
+        SELECT row_number() OVER (ORDER BY score DESC, doc_id DESC) AS rank, doc_id, round(score, 6) AS score
+        FROM sc ORDER BY score DESC, doc_id DESC LIMIT 10""",
+)
+def topk(spark, d):
+    """One query {of, the}, BM25, global best 10 (TakeOrderedAndProject), ties to the larger id."""
+    postings, stats = _doc_index(spark, d)
+    scored = R.score_postings(postings, literal_queries(spark, {0: ["of", "the"]}), stats, "bm25")
+    return R.topk(scored, 10).select("rank", "doc_id", R.round_score())
+
+
+@register(
+    "rank_tf",
+    f"""WITH {OF_THE},
+        sc AS (SELECT doc_id, sum(tf) AS score FROM tfp WHERE term IN ('of', 'the') GROUP BY doc_id),
+        r AS (SELECT *, row_number() OVER (ORDER BY score DESC, doc_id DESC) AS rank FROM sc)
+        SELECT rank, doc_id, score::DOUBLE AS score FROM r WHERE rank <= 10""",
+)
+def rank_tf(spark, d):
+    """Sum of tf over a two-term OR."""
+    postings, stats = _doc_index(spark, d)
+    scored = R.score_postings(postings, literal_queries(spark, {0: ["of", "the"]}), stats, "tf")
+    return R.topk(scored, 10).select("rank", "doc_id", "score")
+
+
+@register(
+    "rank_term_tf",
+    f"""WITH {Q.DOC_TF}, r AS (SELECT doc_id, tf, row_number() OVER (ORDER BY tf DESC, doc_id DESC) AS rank
+                               FROM tfp WHERE term = 'of')
+        SELECT rank, doc_id, tf FROM r WHERE rank <= 10""",
+)
+def rank_term_tf(spark, d):
+    postings, _ = _doc_index(spark, d)
+    return R.topk(postings.where(F.col("term") == "of"), 10, score="tf").select("rank", "doc_id", "tf")
+
+
+@register(
+    "first_k_in_id_order",
+    f"""WITH {Q.DOC_TF}, m AS (SELECT DISTINCT doc_id FROM tfp WHERE term IN ('The', 'was'))
+        SELECT rank, doc_id, (SELECT count(*) FROM m) AS product_count
+        FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS rank FROM m) WHERE rank <= 10""",
+)
+def first_k_in_id_order(spark, d):
+    """Unsorted Boolean result: the first 10 ids plus the total match count."""
+    postings, _ = _doc_index(spark, d)
+    m = M.bool_or(M.ids(postings, "The"), M.ids(postings, "was"))
+    total = m.agg(F.count(F.lit(1)).alias("product_count"))
+    first = R.topk(m.withColumn("z", F.lit(0)), 10, score="z", ties="asc")
+    return first.crossJoin(one_row(total)).select("rank", "doc_id", "product_count")
+
+
+@register(
+    "rank_tf_positional",
+    f"""WITH {CLAUSE_SQL},
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY tf DESC, doc_id DESC) AS rank,
+                     count(*) OVER (PARTITION BY query_id) AS product_count FROM cl)
+        SELECT query_id, rank, doc_id, tf, product_count FROM r WHERE rank <= 10""",
+)
+def rank_tf_positional(spark, d):
+    """Clause queries sorted by summed occurrences of matched leaves: top 10 + total count."""
+    hits = M.bool_query(_positional(spark, d), CLAUSES)
+    counts = hits.groupBy("query_id").agg(F.count(F.lit(1)).alias("product_count"))
+    top = R.topk_batch(hits, "query_id", 10, score="tf")
+    return top.join(counts, "query_id").select("query_id", "rank", "doc_id", "tf", "product_count")
+
+
+@register(
+    "score_idf",
+    f"WITH {Q.DOC_TF}, {Q.DOC_STATS} SELECT term, df, round({Q.idf('n_docs', 'df')}, 6) AS idf "
+    "FROM (SELECT term, count(*) AS df FROM tfp GROUP BY term) CROSS JOIN st",
+)
+def score_idf(spark, d):
+    postings, stats = _doc_index(spark, d)
+    dfs = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    return dfs.crossJoin(one_row(stats)).select("term", "df", F.round(S.idf("n_docs", "df"), 6).alias("idf"))
+
+
+@register(
+    "score_bm25_weight",
+    f"WITH {Q.DOC_TF}, {Q.DOC_STATS} SELECT doc_id, round({Q.bm25_w('tf', '1.2', '0.75', 'doc_len', 'avg_len')}, 6) AS w "
+    "FROM tfp CROSS JOIN st WHERE term = 'of'",
+)
+def score_bm25_weight(spark, d):
+    postings, stats = _doc_index(spark, d)
+    w = S.bm25_weight("tf", 1.2, 0.75, "doc_len", "avg_len")
+    return postings.where(F.col("term") == "of").crossJoin(one_row(stats)).select("doc_id", F.round(w, 6).alias("w"))
+
+
+@register(
+    "score_bm25f_weight",
+    f"WITH {Q.DOC_TF}, {Q.DOC_STATS} SELECT doc_id, round({Q.bm25f_w('tf', '2.0', '0.75', 'doc_len', 'avg_len')}, 6) AS w "
+    "FROM tfp CROSS JOIN st WHERE term = 'of'",
+)
+def score_bm25f_weight(spark, d):
+    postings, stats = _doc_index(spark, d)
+    w = S.bm25f_weight("tf", 2.0, 0.75, "doc_len", "avg_len")
+    return postings.where(F.col("term") == "of").crossJoin(one_row(stats)).select("doc_id", F.round(w, 6).alias("w"))
+
+
+# ---- BM25F over part: title = p_name, keyword field = p_brand ----------------------------------
+
+# Title terms and brand of the two BM25F queries (stand-ins for HDMI, Cable, Amazon Basics).
+BM25F_QUERIES = {1: (["red", "bolt"], "Brand#4"), 2: (["hot", "plate"], "Brand#12")}
+
+
+def bm25f_rank(spark, d, k1_values):
+    from quarry.operators.rank import bm25f_search
+
+    part = read_table(spark, d, "part")
+    qt = literal_queries(spark, {q: t for q, (t, _) in BM25F_QUERIES.items()})
+    qb = spark.createDataFrame([(q, b) for q, (_, b) in BM25F_QUERIES.items()], "query_id bigint, brand string")
+    params = spark.createDataFrame([(float(k),) for k in k1_values], "k1 double")
+    return bm25f_search(part, "p_partkey", "p_name", "p_brand", qt, qb, params, k=10)
+
+
+def _bm25f_sql(k1s):
+    ks = " UNION ALL ".join(f"SELECT {k}::DOUBLE AS k1" for k in k1s)
+    qt = " UNION ALL ".join(
+        f"SELECT {q} AS query_id, {i} AS qpos, '{t}' AS term" for q, (ts, _) in BM25F_QUERIES.items() for i, t in enumerate(ts)
+    )
+    qb = " UNION ALL ".join(f"SELECT {q} AS query_id, '{b}' AS brand" for q, (_, b) in BM25F_QUERIES.items())
+    wt = Q.bm25f_w("p.tf", "2.0", "0.75", "p.doc_len", "st.avg_len")
+    wb = Q.bm25f_w("(CASE WHEN d.p_brand = qb.brand THEN 1 ELSE 0 END)", "1.0", "0.75", "1", "1")
+    return f"""WITH params AS ({ks}), qt AS ({qt}), qb AS ({qb}),
+tok AS (SELECT p_partkey AS doc_id, string_split_regex(p_name, '\\s+') AS t FROM part WHERE p_name IS NOT NULL),
+p AS (SELECT term, doc_id, count(*) AS tf, any_value(doc_len) AS doc_len
+      FROM (SELECT doc_id, len(t) AS doc_len, unnest(t) AS term FROM tok) GROUP BY term, doc_id),
+st AS (SELECT count(*) AS n_docs, avg(coalesce(len(string_split_regex(p_name, '\\s+')), 0)::DOUBLE) AS avg_len FROM part),
+dft AS (SELECT term, count(*) AS df FROM p GROUP BY term),
+dfb AS (SELECT qb.query_id, count(d.p_partkey) AS df FROM qb LEFT JOIN part d ON d.p_brand = qb.brand GROUP BY qb.query_id),
+th AS (SELECT params.k1, qt.query_id, p.doc_id, qt.qpos, {wt} AS w, {Q.idf('st.n_docs', 'dft.df')} AS idf
+       FROM p JOIN qt USING (term) JOIN dft USING (term) CROSS JOIN st CROSS JOIN params),
+ts AS (SELECT k1, query_id, doc_id, {Q.ordered_sum('qpos', 'w / (k1 + w) * idf')} AS s FROM th GROUP BY k1, query_id, doc_id),
+sc AS (SELECT ts.k1, ts.query_id, ts.doc_id,
+              ts.s + ({wb}) / (ts.k1 + ({wb})) * {Q.idf('st.n_docs', 'dfb.df')} AS score
+       FROM ts JOIN part d ON d.p_partkey = ts.doc_id JOIN qb ON qb.query_id = ts.query_id
+       JOIN dfb ON dfb.query_id = ts.query_id CROSS JOIN st),
+r AS (SELECT *, row_number() OVER (PARTITION BY k1, query_id ORDER BY score DESC, doc_id DESC) AS rank FROM sc)
+SELECT k1, query_id, rank, doc_id, round(score, 6) AS score FROM r WHERE rank <= 10"""
+
+
+@register("rank_bm25f", _bm25f_sql([1.2]))
+def rank_bm25f(spark, d):
+    return bm25f_rank(spark, d, [1.2])
+
+
+@register("rank_bm25f_sweep", _bm25f_sql([1.2, 3.5]))
+def rank_bm25f_sweep(spark, d):
+    """The same ranking for K1 in {1.2, 3.5} in one job (parameter table cross join)."""
+    return bm25f_rank(spark, d, [1.2, 3.5])
+
+
+# ---- judged-pair rankings (evaluation systems) -------------------------------------------------
+
+
+@register(
+    "order_baseline",
+    f"WITH {Q.JUDG} SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY doc_id) AS rank FROM judg",
+)
+def order_baseline(spark, d):
+    from quarry.operators.evaluate import system_baseline
+
+    return system_baseline(judgments(spark, d)).select("query_id", "doc_id", "rank")
+
+
+PAIR_TF_SQL = f"""pt AS (SELECT query_id, doc_id, label,
+       len(list_filter({Q.ws('title')}, lambda x: list_contains({Q.ws('query')}, x))) AS tf FROM judg)"""
+
+
+@register("pair_tf", f"WITH {Q.JUDG}, {PAIR_TF_SQL} SELECT query_id, doc_id, tf FROM pt")
+def pair_tf(spark, d):
+    from quarry.operators.evaluate import pair_tf as ptf
+
+    return ptf(judgments(spark, d)).select("query_id", "doc_id", "tf")
+
+
+PAIR_TFIDF_SQL = f"""tt AS (SELECT doc_id, array_to_string(list_slice({Q.ws('text')}, 1, 12), ' ') AS title FROM documents),
+tdf AS (SELECT term, count(*) AS df FROM (SELECT DISTINCT doc_id, unnest({Q.ws('title')}) AS term FROM tt) GROUP BY term),
+nn AS (SELECT count(*) AS n FROM documents),
+kw AS (SELECT DISTINCT query_id, doc_id, unnest(list_distinct({Q.ws('query')})) AS term FROM judg),
+ttf AS (SELECT query_id, doc_id, term, count(*) AS tf FROM (SELECT query_id, doc_id, unnest({Q.ws('title')}) AS term FROM judg)
+        GROUP BY query_id, doc_id, term),
+con AS (SELECT kw.query_id, kw.doc_id, kw.term, ttf.tf * {Q.idf('nn.n', 'coalesce(tdf.df, 0)')} AS c
+        FROM kw JOIN ttf USING (query_id, doc_id, term) LEFT JOIN tdf USING (term) CROSS JOIN nn),
+cs AS (SELECT query_id, doc_id, {Q.ordered_sum('term', 'c')} AS s FROM con GROUP BY query_id, doc_id),
+ptf AS (SELECT j.query_id, j.doc_id, j.label, coalesce(cs.s, 0.0) AS tfidf FROM judg j LEFT JOIN cs USING (query_id, doc_id))"""
+
+
+@register("pair_tfidf", f"WITH {Q.JUDG}, {PAIR_TFIDF_SQL} SELECT query_id, doc_id, round(tfidf, 6) AS tfidf FROM ptf")
+def pair_tfidf(spark, d):
+    from quarry.operators.evaluate import pair_tfidf as ptfidf
+
+    docs = read_table(spark, d, "documents")
+    return ptfidf(judgments(spark, d), docs).select("query_id", "doc_id", F.round("tfidf", 6).alias("tfidf"))
+
+
+@register(
+    "order_by_score",
+    f"""WITH {Q.JUDG}, {PAIR_TF_SQL}
+        SELECT query_id, doc_id, tf, row_number() OVER (PARTITION BY query_id ORDER BY tf DESC, doc_id ASC) AS rank FROM pt""",
+)
+def order_by_score(spark, d):
+    from quarry.operators.evaluate import pair_tf as ptf
+
+    ranked = R.rank_all(ptf(judgments(spark, d)), "query_id", "tf", "doc_id", ties="asc")
+    return ranked.select("query_id", "doc_id", "tf", "rank")
