@@ -131,3 +131,40 @@ def judgments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.slice(tok_whitespace(F.col("text")), 1, 12), " ").alias("title"),
         F.col("text").alias("description"),
     )
+
+
+LOG_SCHEMA = "commit_id bigint, doc_id bigint, op string, title string, seq bigint"
+
+
+def events_to_log(ev: DataFrame) -> DataFrame:
+    """Operation log from the events table: key user_id, commit = day of ts, seq = event_id
+    (event ids increase with ts); ``error`` deletes, every other type upserts a title made of
+    the event type repeated k % 3 + 1 times (k from the JSON props)."""
+    k = F.get_json_object(F.col("props"), "$.k").cast("int")
+    title = F.array_join(F.array_repeat(F.col("event_type"), (k % 3 + 1).cast("int")), " ")
+    return ev.select(
+        F.datediff(F.to_date("ts"), F.lit("1970-01-01").cast("date")).cast("bigint").alias("commit_id"),
+        F.col("user_id").alias("doc_id"),
+        F.when(F.col("event_type") == "error", "delete").otherwise("upsert").alias("op"),
+        F.when(F.col("event_type") != "error", title).alias("title"),
+        F.col("event_id").alias("seq"),
+    )
+
+
+def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events_to_log(read_table(spark, sf_dir, "events"))
+
+
+def documents_load_log(spark: SparkSession, sf_dir: str, passes: int = 2, batches: int = 100) -> DataFrame:
+    """The corpus loaded twice in ~100 commits each: commit = pass * batches + md5(doc_id) % batches."""
+    from quarry.functions.hashing import md5_mod
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    p = F.explode(F.sequence(F.lit(0), F.lit(passes - 1))).alias("pass")
+    return docs.select("doc_id", "text", p).select(
+        (F.col("pass") * batches + md5_mod("doc_id", batches)).cast("bigint").alias("commit_id"),
+        "doc_id",
+        F.lit("upsert").alias("op"),
+        F.col("text").alias("title"),
+        F.col("doc_id").alias("seq"),
+    )
