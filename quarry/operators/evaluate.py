@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql import types as T
 
 from quarry.functions import scoring as S
 from quarry.functions.text import tok_whitespace
@@ -146,14 +147,14 @@ def sign_counts(pairs: DataFrame) -> DataFrame:
     )
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _binom_p(k: pd.Series, n: pd.Series) -> pd.Series:
     from quarry.functions.stats import binom_two_sided_p_half
 
     return pd.Series([binom_two_sided_p_half(int(a), int(b)) for a, b in zip(k, n)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _t_p(t: pd.Series, dof: pd.Series) -> pd.Series:
     from quarry.functions.stats import t_two_sided_p
 
