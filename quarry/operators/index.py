@@ -92,6 +92,14 @@ def corpus_stats(docs: DataFrame, id_col: str, text_col: str, analyzer: Analyzer
     return lens.agg(F.count(F.lit(1)).alias("n_docs"), F.avg(F.col("len").cast("double")).alias("avg_len"))
 
 
+def corpus_stats_from_postings(docs: DataFrame, postings: DataFrame) -> DataFrame:
+    """One row (n_docs, avg_len) without tokenizing again: N from the document scan, total length
+    as the sum of tf over the postings (whose shuffle the ranking plan already holds)."""
+    n = docs.agg(F.count(F.lit(1)).alias("n_docs"))
+    tot = postings.agg(F.sum("tf").alias("_tot"))
+    return n.crossJoin(tot).select("n_docs", (F.coalesce(F.col("_tot"), F.lit(0)) / F.col("n_docs")).alias("avg_len"))
+
+
 def dense_ids(df: DataFrame, order_col: str, out: str = "idx") -> DataFrame:
     """Consecutive 0-based integers in ``order_col`` order without a single-partition window.
 

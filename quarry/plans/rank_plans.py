@@ -14,7 +14,8 @@ from quarry.sources.tables import benchmark_queries, read_table
 
 def _doc_index(spark, d):
     docs = read_table(spark, d, "documents")
-    return I.build_tf_postings(docs, "doc_id", "text"), I.corpus_stats(docs, "doc_id", "text")
+    postings = I.build_tf_postings(docs, "doc_id", "text")
+    return postings, I.corpus_stats_from_postings(docs, postings)
 
 
 def _bench_sql(weight: str) -> str:

@@ -65,13 +65,19 @@ def _emb(spark, d):
 
 
 def _queries(spark, d):
-    return V.mean_vectors(_emb(spark, d), "label").withColumnRenamed("label", "query_id").withColumn("query_id", F.col("query_id").cast("bigint"))
+    """Per-label mean vectors, checkpointed: computed once, then size-checked and broadcast."""
+    from quarry.operators.util import materialize
+
+    q = V.mean_vectors(_emb(spark, d), "label").withColumnRenamed("label", "query_id")
+    return materialize(q.withColumn("query_id", F.col("query_id").cast("bigint")))
 
 
 def _centroids(spark, d):
     e = _emb(spark, d)
+    from quarry.operators.util import materialize
+
     m = V.n_centroids(e.count())
-    return V.sample_centroids(e, m)
+    return materialize(V.sample_centroids(e, m))
 
 
 def _ivf(spark, d, probes):
