@@ -43,6 +43,17 @@ def live_view(log: DataFrame, at_commit=None) -> DataFrame:
     )
 
 
+def live_keys(log: DataFrame) -> DataFrame:
+    """(doc_id, commit_id) of live documents from the narrow columns only (no titles shuffled)."""
+    k = log.groupBy("doc_id").agg(
+        F.max(F.when(F.col("op") == "upsert", F.col("commit_id"))).alias("u"),
+        F.max(F.when(F.col("op") == "delete", F.col("commit_id"))).alias("dmax"),
+    )
+    return k.where(F.col("u").isNotNull() & (F.col("dmax").isNull() | (F.col("dmax") <= F.col("u")))).select(
+        "doc_id", F.col("u").alias("commit_id")
+    )
+
+
 def committed_counts(log: DataFrame) -> DataFrame:
     """Per commit, the number of distinct ids it (re)wrote: the commit report."""
     return log.where(F.col("op") == "upsert").groupBy("commit_id").agg(F.countDistinct("doc_id").alias("n_committed"))
@@ -88,14 +99,20 @@ def truncate_before(log: DataFrame, commit_id) -> DataFrame:
     return log.where(F.col("commit_id") > F.lit(commit_id))
 
 
+def in_hash_sample(term_col: str = "term", m: int = 100):
+    return md5_mod(term_col, m) == 0
+
+
 def hash_sample_terms(postings: DataFrame, m: int = 100) -> DataFrame:
     """Vocabulary terms with int(md5(term), 16) % m == 0, from live postings only."""
-    return postings.select("term").distinct().where(md5_mod("term", m) == 0)
+    return postings.where(in_hash_sample("term", m)).select("term").distinct()
 
 
-def bulk_query(postings: DataFrame, terms: DataFrame, k: int = 10) -> DataFrame:
-    """Every sampled term as a single-term query, best k by tf each: one join, no loop."""
+def bulk_query(postings: DataFrame, m: int = 100, k: int = 10) -> DataFrame:
+    """Every sampled term as a single-term query, best k by tf each. The sample is a per-term
+    predicate, so it filters the postings directly: no join and nothing broadcast, however
+    large the sampled vocabulary grows."""
     from quarry.operators.rank import topk_batch
 
-    hits = postings.join(broadcast_if_small(terms.select("term")), "term")
+    hits = postings.where(in_hash_sample("term", m))
     return topk_batch(hits, "term", k, score="tf").select("term", "rank", "doc_id", "tf")

@@ -203,5 +203,6 @@ def biencoder_scores(pairs: DataFrame, encoder=None) -> DataFrame:
     qv = embed(qs.select("qkey", "query"), "qkey", "query", encoder).withColumnRenamed("embedding", "qv")
     tv = embed(pairs.select(F.concat_ws(":", "query_id", "doc_id").alias("pkey"), "title"), "pkey", "title", encoder)
     keyed = pairs.withColumn("qkey", F.xxhash64("query")).withColumn("pkey", F.concat_ws(":", "query_id", "doc_id"))
-    j = keyed.join(tv, "pkey").join(broadcast_if_small(qv), "qkey")
+    # distinct queries: left to AQE (measured at run time) rather than counted twice through the encoder
+    j = keyed.join(tv, "pkey").join(qv, "qkey")
     return j.withColumn("score", VF.cosine("embedding", "qv")).drop("embedding", "qv", "qkey", "pkey")

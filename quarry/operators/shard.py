@@ -29,10 +29,15 @@ def sharded_topk(scored: DataFrame, k: int, group: str = "query_id", id_col: str
     return topk_batch(local, group, k, id_col=id_col)
 
 
-def late_materialize(top: DataFrame, docs: DataFrame, id_col: str, cols: list[str]) -> DataFrame:
-    """Fetch stored fields only for the winners (a keyed join cannot misalign ids and fields)."""
-    winners = broadcast_if_small(top)
-    return docs.select(F.col(id_col).alias("doc_id"), *cols).join(winners, "doc_id")
+def late_materialize(top: DataFrame, docs: DataFrame, id_col: str, fields: dict) -> DataFrame:
+    """Fetch stored fields only for the winners (a keyed join cannot misalign ids and fields).
+
+    ``top`` holds at most k rows per query of an already size-checked query table, so it is
+    broadcast by construction; ``fields`` (name -> Column over ``docs``) are computed after the
+    join, i.e. only for the winners."""
+    winners = F.broadcast(top)
+    joined = docs.withColumnRenamed(id_col, "doc_id").join(winners, "doc_id")
+    return joined.select(*top.columns, *[c.alias(n) for n, c in fields.items()])
 
 
 def split_shards(df: DataFrame, id_col: str, n: int) -> DataFrame:

@@ -8,7 +8,7 @@ from quarry.operators import evaluate as E
 from quarry.plans import sql as Q
 from quarry.plans.rank_plans import PAIR_TF_SQL, PAIR_TFIDF_SQL
 from quarry.plans.registry import register
-from quarry.sources.tables import judgments, read_table
+from quarry.sources.tables import judgments_once as judgments, read_table
 
 K = 10
 

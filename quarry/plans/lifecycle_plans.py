@@ -97,7 +97,7 @@ def compact_all(spark, d):
 
     log = events_log(spark, d)
     path = scratch_path(spark, "compacted")
-    REC.save_index(L.live_postings(L.segment_postings(log), L.live_view(log)), path, buckets=16)
+    REC.save_index(L.live_postings(L.segment_postings(log), L.live_keys(log)), path, buckets=16)
     return REC.load_index(spark, path).select("term", "doc_id", "tf")
 
 
@@ -127,7 +127,7 @@ smp AS (SELECT DISTINCT term FROM lp WHERE {Q.md5_mod('term', 100)} = 0)"""
 
 def _docload_live_postings(spark, d):
     log = documents_load_log(spark, d)
-    return L.live_postings(L.segment_postings(log), L.live_view(log))
+    return L.live_postings(L.segment_postings(log), L.live_keys(log))
 
 
 @register("hash_sample_terms", f"WITH {DOCLOAD_SQL} SELECT term FROM smp")
@@ -144,8 +144,7 @@ def hash_sample_terms(spark, d):
 )
 def bulk_query_workload(spark, d):
     """Every sampled term as a query (best 10 by tf), in one job over the live postings."""
-    lp = _docload_live_postings(spark, d)
-    return L.bulk_query(lp, L.hash_sample_terms(lp), 10)
+    return L.bulk_query(_docload_live_postings(spark, d), 100, 10)
 
 
 @register("stream_upserts", f"WITH {LIVE_SQL} SELECT doc_id, commit_id, title FROM live")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quarry.operators import ltr as LT
 from quarry.plans import sql as Q
 from quarry.plans.registry import register
-from quarry.sources.tables import judgments
+from quarry.sources.tables import judgments_once as judgments
 
 PAIR_KEYS = "query_id, doc_id"
 

@@ -48,8 +48,8 @@ def two_stage_topk(spark, d):
     postings, stats = _doc_index(spark, d)
     top = R.search(postings, benchmark_queries(spark, d), stats, k=10, model="bm25")
     docs = read_table(spark, d, "documents")
-    title = F.array_join(F.slice(tok_whitespace("text"), 1, 12), " ").alias("title")
-    out = SH.late_materialize(top, docs, "doc_id", [title])
+    title = F.array_join(F.slice(tok_whitespace("text"), 1, 12), " ")
+    out = SH.late_materialize(top, docs, "doc_id", {"title": title})
     return out.select("query_id", "rank", "doc_id", R.round_score(), "title")
 
 

@@ -188,3 +188,11 @@ def documents_load_log(spark: SparkSession, sf_dir: str, passes: int = 2, batche
         F.col("text").alias("title"),
         F.col("doc_id").alias("seq"),
     )
+
+
+def judgments_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Judged pairs written once to the shared checkpoint folder, for plans that read them
+    several times (systems, ideal ranking, features)."""
+    from quarry.operators.util import materialize
+
+    return materialize(judgments(spark, sf_dir))
