@@ -93,8 +93,11 @@ def precision_at_k(r: DataFrame, k: int, keys=("system",)) -> DataFrame:
 def average_precision(r: DataFrame, keys=("system",)) -> DataFrame:
     """AP per query over queries with at least one relevant row."""
     rel = S.is_relevant("label")
-    w = W.partitionBy(*keys, "query_id").orderBy("rank").rowsBetween(W.unboundedPreceding, 0)
-    cum = r.withColumn("rel", rel).withColumn("cum_rel", F.sum("rel").over(w))
+    # running count of relevant rows in rank order, skew-safe (a hot query spans partitions)
+    base = r.withColumn("rel", rel).withColumn("_neg_rank", -F.col("rank"))
+    cum = R.rank_within(base.drop("rank"), [*keys, "query_id"], "_neg_rank", "doc_id", running="rel").withColumnRenamed(
+        "running_rel", "cum_rel"
+    )
     return (
         cum.groupBy(*keys, "query_id")
         .agg(F.sum(F.when(F.col("rel") == 1, F.col("cum_rel") / F.col("rank"))).alias("s"), F.sum("rel").alias("n_rel"))
