@@ -1,0 +1,13 @@
+"""Arrow-batched wrapper of the Porter stemmer (kept free of postponed annotations so Spark
+can read the pandas type hints)."""
+
+import pandas as pd
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+@F.pandas_udf(T.StringType())
+def porter_stem(terms: pd.Series) -> pd.Series:
+    from quarry.functions.porter import stem
+
+    return terms.map(stem)

@@ -82,3 +82,7 @@ ANALYZERS: dict[str, Analyzer] = {
     "punctuation_lower": chain(tok_punctuation, flt_lowercase),
     "whitespace_katakana": chain(tok_whitespace, flt_katakana_stem),
 }
+
+
+def flt_lowercase_after(tokenizer: Analyzer) -> Analyzer:
+    return chain(tokenizer, flt_lowercase)

@@ -122,3 +122,21 @@ def dense_ids(df: DataFrame, order_col: str, out: str = "idx") -> DataFrame:
         .withColumn(out, F.col("_off") + F.col("_mid") - F.col("_first"))
         .drop("_pid", "_mid", "_off", "_first")
     )
+
+
+def stem_vocabulary(postings: DataFrame) -> DataFrame:
+    """(term, stem) for the distinct vocabulary: the per-row stemmer runs once per distinct
+    term (Arrow batches in a pandas UDF), never once per token."""
+    from quarry.functions.porter_udf import porter_stem
+
+    return postings.select("term").distinct().select("term", porter_stem("term").alias("stem"))
+
+
+def stem_postings(postings: DataFrame) -> DataFrame:
+    """Postings re-keyed by Porter stem: (term = stem, doc_id, tf summed over merged terms)."""
+    vocab = stem_vocabulary(postings)
+    return (
+        postings.join(vocab, "term")
+        .groupBy(F.col("stem").alias("term"), "doc_id")
+        .agg(F.sum("tf").alias("tf"))
+    )

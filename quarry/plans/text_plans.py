@@ -307,3 +307,17 @@ def term_df(spark, d):
 @register("doc_length_avg", f"WITH {Q.DOC_STATS} SELECT n_docs, round(avg_len, 6) AS avg_len FROM st")
 def doc_length_avg(spark, d):
     return I.corpus_stats(_docs(spark, d), "doc_id", "text").select("n_docs", F.round("avg_len", 6).alias("avg_len"))
+
+
+@register("flt_porter_stem")
+def flt_porter_stem(spark, d):
+    """Postings of the whole corpus re-keyed by Porter stem (vocabulary job)."""
+    postings = I.build_tf_postings(_docs(spark, d), "doc_id", "text", A.flt_lowercase_after(A.tok_whitespace))
+    return I.stem_postings(postings.select("term", "doc_id", "tf"))
+
+
+@register("stem_vocabulary")
+def stem_vocabulary(spark, d):
+    """(term, stem) for every distinct lowercased token."""
+    postings = I.build_postings(_docs(spark, d), "doc_id", "text", A.flt_lowercase_after(A.tok_whitespace))
+    return I.stem_vocabulary(postings)
