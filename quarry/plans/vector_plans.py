@@ -192,3 +192,19 @@ def vec_embed_batch(spark, d):
     """Encode benchmark texts in batches of 512 inside tasks (hashing stand-in encoder)."""
     b = read_table(spark, d, "benchmark")
     return V.embed(b, "item_id", "text").select("item_id", F.size("embedding").alias("dim"), F.round(VF.norm("embedding"), 6).alias("norm"))
+
+
+@register(
+    "vec_cosine",
+    f"""WITH {QV_SQL} SELECT q.query_id, e.vec_id,
+        round({_dot('e.embedding', 'q.qv')} / (sqrt({_dot('e.embedding', 'e.embedding')}) * sqrt({_dot('q.qv', 'q.qv')})), 6) AS cosine
+        FROM embeddings e CROSS JOIN qv q""",
+)
+def vec_cosine(spark, d):
+    """Cosine of every vector with every (broadcast, size-checked) query vector: the bi-encoder
+    scoring step on ready-made vectors."""
+    q = _queries(spark, d)
+    from quarry.operators.util import broadcast_if_small
+
+    qb = broadcast_if_small(q.select("query_id", F.col("embedding").alias("qv")), V.MAX_BROADCAST_VECTORS)
+    return _emb(spark, d).crossJoin(qb).select("query_id", "vec_id", F.round(VF.cosine("embedding", "qv"), 6).alias("cosine"))
