@@ -61,15 +61,14 @@ def pair_tfidf(j: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def system_rankings(j: DataFrame, docs: DataFrame) -> DataFrame:
-    """Three systems over the judged pairs: baseline (id order), tf and tfidf (ties: smaller id)."""
-    base = system_baseline(j).select(F.lit("baseline").alias("system"), "query_id", "doc_id", "label", "rank")
-    tf = R.rank_all(pair_tf(j), "query_id", "tf", "doc_id", ties="asc").select(
-        F.lit("tf").alias("system"), "query_id", "doc_id", "label", "rank"
-    )
-    tfidf = R.rank_all(pair_tfidf(j, docs), "query_id", "tfidf", "doc_id", ties="asc").select(
-        F.lit("tfidf").alias("system"), "query_id", "doc_id", "label", "rank"
-    )
-    return base.unionByName(tf).unionByName(tfidf)
+    """Three systems over the judged pairs: baseline (id order), tf and tfidf (ties: smaller id).
+
+    All systems are ranked in ONE skew-safe ranking pass keyed by (system, query_id)."""
+    base = j.select(F.lit("baseline").alias("system"), "query_id", "doc_id", "label", F.lit(0.0).alias("score"))
+    tf = pair_tf(j).select(F.lit("tf").alias("system"), "query_id", "doc_id", "label", F.col("tf").cast("double").alias("score"))
+    tfidf = pair_tfidf(j, docs).select(F.lit("tfidf").alias("system"), "query_id", "doc_id", "label", F.col("tfidf").alias("score"))
+    scored = base.unionByName(tf).unionByName(tfidf)
+    return R.rank_within(scored, ["system", "query_id"], "score", "doc_id", ties="asc").drop("score")
 
 
 def ideal_ranking(j: DataFrame, k: int | None = None) -> DataFrame:
@@ -111,9 +110,16 @@ def mean_average_precision(r: DataFrame, keys=("system",)) -> DataFrame:
 
 
 def dcg_at_k(r: DataFrame, k: int, keys=("system",)) -> DataFrame:
-    """Per query sum of gain/log2(rank+1) over rank <= k (linear gain)."""
-    contrib = F.when(F.col("rank") <= k, S.label_gain("label") / F.log2(F.col("rank") + 1)).otherwise(0.0)
-    return r.groupBy(*keys, "query_id").agg(F.sum(contrib).alias("dcg"))
+    """Per query sum of gain/log2(rank+1) over rank <= k (linear gain).
+
+    Added in rank order (one conditional sum per rank), so two systems with the same top-k gains
+    get bit-identical DCG and a tie stays a tie in the sign test."""
+    contrib = S.label_gain("label") / F.log2(F.col("rank") + 1)
+    parts = [F.sum(F.when(F.col("rank") == i, contrib)).alias(f"_c{i}") for i in range(1, k + 1)]
+    total = F.lit(0.0)
+    for i in range(1, k + 1):
+        total = total + F.coalesce(F.col(f"_c{i}"), F.lit(0.0))
+    return r.where(F.col("rank") <= k).groupBy(*keys, "query_id").agg(*parts).select(*keys, "query_id", total.alias("dcg"))
 
 
 def ideal_dcg_at_k(j: DataFrame, k: int) -> DataFrame:

@@ -15,12 +15,28 @@ from pyspark.sql import Window as W
 from quarry.functions.text import Analyzer, tok_whitespace
 
 
+def by_doc(docs: DataFrame, id_col: str) -> DataFrame:
+    """Hash-partition documents by id before analysis.
+
+    Every index aggregate is keyed by the document ((term, doc), (query, doc), (doc, start)), and a
+    hash partitioning on the id satisfies all of them, so after this one shuffle of the raw text
+    (pruned to the id and text columns, filters pushed below it) the tf postings, the per-query
+    document scores and the phrase / clause groups need no further exchange. Raw text is several
+    times smaller than the postings it would otherwise shuffle. A table stored bucketed by id makes
+    this exchange disappear as well."""
+    # an explicit count (the configured shuffle partitions) keeps AQE from coalescing the text
+    # into a few partitions: the work after this exchange is tokenizing, not the exchange size
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return docs.repartition(n, F.col(id_col))
+
+
 def with_tokens(docs: DataFrame, text_col: str, analyzer: Analyzer = tok_whitespace, out: str = "tokens") -> DataFrame:
     return docs.withColumn(out, analyzer(F.col(text_col)))
 
 
 def token_table(docs: DataFrame, id_col: str, text_col: str, analyzer: Analyzer = tok_whitespace) -> DataFrame:
     """(doc_id, pos, term), positions from 0. Null fields yield no tokens."""
+    docs = by_doc(docs, id_col)
     return docs.select(F.col(id_col).alias("doc_id"), F.posexplode(analyzer(F.col(text_col))).alias("pos", "term"))
 
 
@@ -34,8 +50,8 @@ def vocabulary_counts(docs: DataFrame, text_col: str, analyzer: Analyzer = tok_w
 
 
 def build_postings(docs: DataFrame, id_col: str, text_col: str, analyzer: Analyzer = tok_whitespace) -> DataFrame:
-    """(term, doc_id), one row per distinct term of a document. Narrow: no shuffle."""
-    return docs.where(F.col(text_col).isNotNull()).select(
+    """(term, doc_id), one row per distinct term of a document. Narrow after the id partitioning."""
+    return by_doc(docs, id_col).where(F.col(text_col).isNotNull()).select(
         F.explode(F.array_distinct(analyzer(F.col(text_col)))).alias("term"), F.col(id_col).alias("doc_id")
     )
 
@@ -45,11 +61,23 @@ def build_keyword_index(docs: DataFrame, id_col: str, field: str) -> DataFrame:
     return docs.where(F.col(field).isNotNull()).select(F.col(field).alias("term"), F.col(id_col).alias("doc_id"))
 
 
-def build_tf_postings(docs: DataFrame, id_col: str, text_col: str, analyzer: Analyzer = tok_whitespace) -> DataFrame:
-    """(term, doc_id, tf, doc_len). All tokens of a document sit in one input partition, so the
-    partial aggregate before the exchange already yields final rows: the shuffle moves postings,
-    not tokens. ``doc_len`` is carried on every posting so ranking needs no join with doc stats."""
-    toks = docs.where(F.col(text_col).isNotNull()).select(
+def build_tf_postings(
+    docs: DataFrame, id_col: str, text_col: str, analyzer: Analyzer = tok_whitespace, shared: bool = False
+) -> DataFrame:
+    """(term, doc_id, tf, doc_len); ``doc_len`` rides on every posting so ranking needs no join.
+
+    Single consumer (default): documents are hash-partitioned by id first (``by_doc``) and the
+    aggregate runs without a second exchange. ``shared=True`` is for plans that read the postings
+    several times (scores, df and corpus length): the postings aggregate keeps its own exchange,
+    after a partial aggregate that already yields final rows per document, so every consumer reads
+    the same shuffle output (ReusedExchange) and the corpus is tokenized once."""
+    if shared:
+        from quarry.sources.tables import spread
+
+        src = spread(docs)  # round-robin only when the input has fewer files than task slots
+    else:
+        src = by_doc(docs, id_col)
+    toks = src.where(F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("doc_id"), analyzer(F.col(text_col)).alias("tokens")
     )
     return (

@@ -18,11 +18,11 @@ rk AS (
   UNION ALL SELECT 'tf', query_id, doc_id, label, row_number() OVER (PARTITION BY query_id ORDER BY tf DESC, doc_id) FROM pt
   UNION ALL SELECT 'tfidf', query_id, doc_id, label, row_number() OVER (PARTITION BY query_id ORDER BY tfidf DESC, doc_id) FROM ptf),
 gain AS (SELECT *, CASE label WHEN 'E' THEN 4 WHEN 'S' THEN 2 WHEN 'C' THEN 1 ELSE 0 END AS g FROM rk),
-dcg AS (SELECT system, query_id, sum(CASE WHEN rank <= {K} THEN g / log2(rank + 1) ELSE 0.0 END) AS dcg FROM gain GROUP BY system, query_id),
-ideal AS (SELECT query_id, sum(CASE WHEN r <= {K} THEN g / log2(r + 1) ELSE 0.0 END) AS ideal_dcg FROM (
+dcg AS (SELECT system, query_id, {Q.ordered_sum('rank', 'g / log2(rank + 1)')} AS dcg FROM gain WHERE rank <= {K} GROUP BY system, query_id),
+ideal AS (SELECT query_id, {Q.ordered_sum('r', 'g / log2(r + 1)')} AS ideal_dcg FROM (
   SELECT query_id, CASE label WHEN 'E' THEN 4 WHEN 'S' THEN 2 WHEN 'C' THEN 1 ELSE 0 END AS g,
          row_number() OVER (PARTITION BY query_id ORDER BY CASE label WHEN 'E' THEN 4 WHEN 'S' THEN 2 WHEN 'C' THEN 1 ELSE 0 END DESC, doc_id) AS r
-  FROM judg) GROUP BY query_id),
+  FROM judg) WHERE r <= {K} GROUP BY query_id),
 nd AS (SELECT system, query_id, dcg / ideal_dcg AS ndcg FROM dcg JOIN ideal USING (query_id) WHERE ideal_dcg > 0),
 pr AS (SELECT query_id, max(CASE WHEN system = 'baseline' THEN ndcg END) AS a, max(CASE WHEN system = 'tf' THEN ndcg END) AS b
        FROM nd WHERE system IN ('baseline', 'tf') GROUP BY query_id HAVING a IS NOT NULL AND b IS NOT NULL)"""

@@ -14,7 +14,7 @@ from quarry.sources.tables import benchmark_queries, read_table
 
 def _doc_index(spark, d):
     docs = read_table(spark, d, "documents")
-    postings = I.build_tf_postings(docs, "doc_id", "text")
+    postings = I.build_tf_postings(docs, "doc_id", "text", shared=True)
     return postings, I.corpus_stats_from_postings(docs, postings)
 
 

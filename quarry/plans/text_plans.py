@@ -12,13 +12,18 @@ from quarry.plans import sql as Q
 from quarry.plans.registry import register
 from quarry.session import scratch_path
 from quarry.sources import records as REC
-from quarry.sources.tables import judgments, read_table
+from quarry.sources.tables import judgments, read_table, spread
 
 
 def _docs(spark, d):
     return read_table(spark, d, "documents")
 
 
+def _docs_rows(spark, d):
+    """Documents for per-row analyzer work: spread over the task slots when the input has few files."""
+    return spread(read_table(spark, d, "documents"))
+
+
 def _digest(tokens):
     """(n_tokens, md5 of tokens joined by U+0001): checks every token with a small output."""
     return [F.size(tokens).cast("bigint").alias("n_tokens"), F.md5(F.array_join(tokens, "\u0001")).alias("digest")]
@@ -109,7 +114,7 @@ def filter_exact_brand(spark, d):
 
 @register("scan_for_term", f"SELECT doc_id FROM documents WHERE list_contains({WS}, 'of')")
 def scan_for_term(spark, d):
-    return _docs(spark, d).where(F.array_contains(A.tok_whitespace("text"), "of")).select("doc_id")
+    return _docs_rows(spark, d).where(F.array_contains(A.tok_whitespace("text"), "of")).select("doc_id")
 
 
 @register(
@@ -153,12 +158,12 @@ def tok_as_is(spark, d):
 
 @register("tok_whitespace", f"SELECT doc_id, {_sql_digest(WS)} FROM documents")
 def tok_whitespace(spark, d):
-    return _docs(spark, d).select("doc_id", *_digest(A.tok_whitespace("text")))
+    return _docs_rows(spark, d).select("doc_id", *_digest(A.tok_whitespace("text")))
 
 
 @register("tok_punctuation", f"SELECT doc_id, {_sql_digest(PUNCT)} FROM documents")
 def tok_punctuation(spark, d):
-    return _docs(spark, d).select("doc_id", *_digest(A.tok_punctuation("text")))
+    return _docs_rows(spark, d).select("doc_id", *_digest(A.tok_punctuation("text")))
 
 
 _POSS = f"list_transform({WS}, lambda x: regexp_replace(x, '(''|''s)$', ''))"
@@ -166,12 +171,12 @@ _POSS = f"list_transform({WS}, lambda x: regexp_replace(x, '(''|''s)$', ''))"
 
 @register("flt_possessive", f"SELECT doc_id, {_sql_digest(_POSS)} FROM documents")
 def flt_possessive(spark, d):
-    return _docs(spark, d).select("doc_id", *_digest(A.flt_possessive(A.tok_whitespace("text"))))
+    return _docs_rows(spark, d).select("doc_id", *_digest(A.flt_possessive(A.tok_whitespace("text"))))
 
 
 @register("flt_lowercase", f"SELECT doc_id, {_sql_digest(f'list_transform({WS}, lambda x: lower(x))')} FROM documents")
 def flt_lowercase(spark, d):
-    return _docs(spark, d).select("doc_id", *_digest(A.flt_lowercase(A.tok_whitespace("text"))))
+    return _docs_rows(spark, d).select("doc_id", *_digest(A.flt_lowercase(A.tok_whitespace("text"))))
 
 
 # A small English stop list for the stop-term filter query.
@@ -184,7 +189,7 @@ _STOP_SQL = "[" + ", ".join(f"'{s}'" for s in STOP_TERMS) + "]"
     f"SELECT doc_id, {_sql_digest(f'list_filter({WS}, lambda x: NOT list_contains({_STOP_SQL}, x))')} FROM documents",
 )
 def flt_stop_terms(spark, d):
-    return _docs(spark, d).select("doc_id", *_digest(A.flt_stop_terms(A.tok_whitespace("text"), STOP_TERMS)))
+    return _docs_rows(spark, d).select("doc_id", *_digest(A.flt_stop_terms(A.tok_whitespace("text"), STOP_TERMS)))
 
 
 _KATA = "list_transform(" + WS + ", lambda x: regexp_replace(x, '^(\\p{Katakana}{3,})ー$', '\\1'))"
@@ -192,7 +197,7 @@ _KATA = "list_transform(" + WS + ", lambda x: regexp_replace(x, '^(\\p{Katakana}
 
 @register("flt_katakana_stem", "SELECT doc_id, " + _sql_digest(_KATA) + " FROM documents")
 def flt_katakana_stem(spark, d):
-    return _docs(spark, d).select("doc_id", *_digest(A.flt_katakana_stem(A.tok_whitespace("text"))))
+    return _docs_rows(spark, d).select("doc_id", *_digest(A.flt_katakana_stem(A.tok_whitespace("text"))))
 
 
 _CHAIN = f"list_transform(list_transform({WS}, lambda x: regexp_replace(x, '(''|''s)$', '')), lambda y: lower(y))"
@@ -201,12 +206,12 @@ _CHAIN = f"list_transform(list_transform({WS}, lambda x: regexp_replace(x, '(''|
 @register("analyze_chain", f"SELECT doc_id, {_sql_digest(_CHAIN)} FROM documents")
 def analyze_chain(spark, d):
     an = A.chain(A.tok_whitespace, A.flt_possessive, A.flt_lowercase)
-    return _docs(spark, d).select("doc_id", *_digest(an(F.col("text"))))
+    return _docs_rows(spark, d).select("doc_id", *_digest(an(F.col("text"))))
 
 
 @register("distinct_tokens", f"SELECT doc_id, len(list_distinct({WS})) AS n_distinct FROM documents")
 def distinct_tokens(spark, d):
-    return _docs(spark, d).select("doc_id", F.size(F.array_distinct(A.tok_whitespace("text"))).cast("bigint").alias("n_distinct"))
+    return _docs_rows(spark, d).select("doc_id", F.size(F.array_distinct(A.tok_whitespace("text"))).cast("bigint").alias("n_distinct"))
 
 
 @register(
@@ -219,7 +224,7 @@ def token_positions(spark, d):
 
 @register("token_count", f"SELECT doc_id, coalesce(len({WS}), 0) AS len FROM documents")
 def token_count(spark, d):
-    return I.doc_lengths(_docs(spark, d), "doc_id", "text").withColumn("len", F.col("len").cast("bigint"))
+    return I.doc_lengths(_docs_rows(spark, d), "doc_id", "text").withColumn("len", F.col("len").cast("bigint"))
 
 
 _VOLUME = {
@@ -241,7 +246,7 @@ _VOLUME = {
 )
 def analyzer_volume(spark, d):
     """Tokens emitted per analyzer over the corpus, all analyzers in one scan (then unpivot)."""
-    docs = _docs(spark, d).where(F.col("text").isNotNull())
+    docs = _docs_rows(spark, d).where(F.col("text").isNotNull())
     sums = docs.agg(*[F.sum(F.size(A.ANALYZERS[k](F.col("text")))).cast("bigint").alias(k) for k in _VOLUME])
     return sums.unpivot([], list(_VOLUME), "analyzer", "n_tokens")
 

@@ -89,8 +89,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     schema = SCHEMAS.get(name)
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    df = reader.parquet(path)
-    return spread(df) if name in SPREAD_TABLES else df
+    return reader.parquet(path)
 
 
 def tables(spark: SparkSession, sf_dir: str):
@@ -126,7 +125,7 @@ def judgments(spark: SparkSession, sf_dir: str) -> DataFrame:
     split = test when query_id % 5 = 0, else train; title = first 12 tokens, description =
     full text.
     """
-    docs = read_table(spark, sf_dir, "documents")
+    docs = spread(read_table(spark, sf_dir, "documents"))
     labels = read_table(spark, sf_dir, "labels")
     qid = F.regexp_extract(F.col("source"), "(\\d+)", 1).cast("bigint")
     # min_by is a partial aggregate: a source holding a third of the corpus still combines map-side.
@@ -179,7 +178,7 @@ def documents_load_log(spark: SparkSession, sf_dir: str, passes: int = 2, batche
     """The corpus loaded twice in ~100 commits each: commit = pass * batches + md5(doc_id) % batches."""
     from quarry.functions.hashing import md5_mod
 
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     p = F.explode(F.sequence(F.lit(0), F.lit(passes - 1))).alias("pass")
     return docs.select("doc_id", "text", p).select(
         (F.col("pass") * batches + md5_mod("doc_id", batches)).cast("bigint").alias("commit_id"),
