@@ -206,3 +206,47 @@ def biencoder_scores(pairs: DataFrame, encoder=None) -> DataFrame:
     # distinct queries: left to AQE (measured at run time) rather than counted twice through the encoder
     j = keyed.join(tv, "pkey").join(qv, "qkey")
     return j.withColumn("score", VF.cosine("embedding", "qv")).drop("embedding", "qv", "qkey", "pkey")
+
+
+# ---- listwise boosted trees ------------------------------------------------------------------
+
+
+def _per_query(df: DataFrame, agg, name: str) -> DataFrame:
+    """Join a per-query aggregate back (one row per query; AQE picks broadcast or a skew-split join)."""
+    return df.join(df.groupBy("query_id").agg(agg.alias(name)), "query_id")
+
+
+def fit_listwise_trees(train: DataFrame, cols: list[str] = FEATURES, iters: int = 10, rate: float = 0.1, depth: int = 4, seed: int = 0):
+    """Gradient boosting on the ListNet (top-one softmax) cross-entropy between the gain
+    distribution and the score distribution of each query.
+
+    The gradient of a document is p_score - p_gain, which needs per-query sums only: no pairs
+    of documents are formed, so a query holding a third of the rows costs partial aggregates, not
+    a quadratic pair set. Each round fits an MLlib regression tree to the negative gradient and
+    the scored table is checkpointed (shared checkpoint folder) to cut the loop's lineage.
+    Returns (trees, rate); score = rate * sum of tree predictions."""
+    from pyspark.ml.regression import DecisionTreeRegressor
+
+    from quarry.operators.util import materialize
+
+    base = assemble(train, cols).withColumn("gain", S.label_gain("label").cast("double"))
+    base = _per_query(base, F.max("gain"), "_gm").withColumn("_eg", F.exp(F.col("gain") - F.col("_gm")))
+    base = _per_query(base, F.sum("_eg"), "_gz").withColumn("p_t", F.col("_eg") / F.col("_gz"))
+    data = materialize(base.select("query_id", "doc_id", "features", "p_t", F.lit(0.0).alias("s")))
+    trees = []
+    for _ in range(iters):
+        e = _per_query(data, F.max("s"), "_sm").withColumn("_es", F.exp(F.col("s") - F.col("_sm")))
+        g = _per_query(e, F.sum("_es"), "_sz").withColumn("target", F.col("p_t") - F.col("_es") / F.col("_sz"))
+        tree = DecisionTreeRegressor(featuresCol="features", labelCol="target", maxDepth=depth, seed=seed).fit(g)
+        trees.append(tree)
+        data = materialize(
+            tree.transform(g).select("query_id", "doc_id", "features", "p_t", (F.col("s") + rate * F.col("prediction")).alias("s"))
+        )
+    return trees, rate
+
+
+def listwise_scores(trees, rate: float, test: DataFrame, cols: list[str] = FEATURES) -> DataFrame:
+    out = assemble(test, cols).withColumn("score", F.lit(0.0))
+    for t in trees:
+        out = t.transform(out).withColumn("score", F.col("score") + rate * F.col("prediction")).drop("prediction")
+    return out.drop("features")

@@ -88,7 +88,10 @@ def ivf_search(
     probes = nearest_centroids(queries.withColumnRenamed("query_id", "_q"), centroids, n_probe, "_q").select(
         F.col("_q").alias("query_id"), "centroid_id"
     )
-    cand = probes.join(lists, "centroid_id").select("query_id", id_col).distinct()
+    # queries x n_probe rows (the query table is size-checked): broadcast by construction, so the
+    # inverted lists stream through a hash join and a list holding a third of the corpus is never
+    # shuffled into one task
+    cand = lists.join(F.broadcast(probes), "centroid_id").select("query_id", id_col).distinct()
     q = broadcast_if_small(queries.select("query_id", F.col("embedding").alias("qv")), MAX_BROADCAST_VECTORS)
     scored = cand.join(vecs.select(id_col, "embedding"), id_col).join(q, "query_id").select(
         "query_id", id_col, V.dot("embedding", "qv").alias("score")

@@ -177,3 +177,11 @@ def ltr_biencoder_rerank(spark, d):
     j = _pairs(spark, d)
     test = j.where(F.col("split") == "test")
     return LT.ndcg_of_scores(LT.biencoder_scores(test), j)
+
+
+@register("ltr_rank_listwise")
+def ltr_rank_listwise(spark, d):
+    """Listwise boosted trees (softmax cross-entropy per query, no document pairs): mean nDCG@10 on test."""
+    j, train, test = _scaled(spark, d)
+    trees, rate = LT.fit_listwise_trees(train, iters=8, rate=0.5, depth=4)
+    return LT.ndcg_of_scores(LT.listwise_scores(trees, rate, test), j)
