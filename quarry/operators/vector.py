@@ -20,7 +20,7 @@ from quarry.functions import vectors as V
 from quarry.operators import rank as R
 from quarry.operators.util import broadcast_if_small
 
-MAX_BROADCAST_VECTORS = 200_000
+MAX_BROADCAST_VECTORS = 100_000
 
 
 def mean_vectors(vecs: DataFrame, group: str, vec: str = "embedding", out: str = "embedding") -> DataFrame:
@@ -46,11 +46,25 @@ def n_centroids(n: int) -> int:
 
 
 def sample_centroids(vecs: DataFrame, m: int, id_col: str = "vec_id") -> DataFrame:
-    """m centroids picked in md5(id) order (deterministic sample), numbered 0..m-1."""
+    """The m vectors with the smallest md5(id), numbered 0..m-1 in that order (a deterministic sample).
+
+    A global ``orderBy(md5).limit(m)`` would send m rows from every partition to one task. Instead a
+    distributed filter keeps ids whose top 32 md5 bits fall under a threshold sized for ~2m rows;
+    because the top bits order the full hash, the m smallest are all kept whenever at least m rows
+    pass (checked; the threshold doubles otherwise), and only those ~2m rows are sorted."""
+    n = vecs.count()
     h = F.md5(F.col(id_col).cast("string"))
-    picked = vecs.select(id_col, "embedding", h.alias("h")).orderBy("h").limit(m)
+    top32 = F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint")
+    frac = min(1.0, 2.0 * m / max(n, 1))
+    while True:
+        t = int(frac * 4294967296)
+        kept = vecs.select(id_col, "embedding", h.alias("h")).where(top32 < F.lit(t))
+        if frac >= 1.0 or kept.count() >= m:
+            break
+        frac = min(1.0, frac * 2)
+    picked = kept.orderBy("h").limit(m)
     return R.topk(picked.withColumn("z", F.lit(0)), m, score="z", id_col="h", ties="asc").select(
-        (F.col("rank") - 1).alias("centroid_id"), "embedding"
+        (F.col("rank") - 1).alias("centroid_id"), id_col, "embedding"
     )
 
 
@@ -65,17 +79,68 @@ def kmeans_centroids(vecs: DataFrame, m: int, seed: int = 0, max_iter: int = 20)
     return spark.createDataFrame(centers, "centroid_id int, embedding array<double>"), model
 
 
-def nearest_centroids(vecs: DataFrame, centroids: DataFrame, n: int, id_col: str = "vec_id") -> DataFrame:
-    """(id, centroid_id, dist) for each vector's n nearest centroids (Euclidean, ties: lower id).
-
-    Each vector's candidate list has one row per centroid, so the per-vector window is bounded
-    by the number of centroids."""
-    c = broadcast_if_small(centroids.select("centroid_id", F.col("embedding").alias("cv")), MAX_BROADCAST_VECTORS)
+def _nearest_sql(vecs: DataFrame, centroids: DataFrame, n: int, id_col: str) -> DataFrame:
+    """Fallback for centroid tables too large to broadcast: pairs via a join, per-vector top n."""
+    c = centroids.select("centroid_id", F.col("embedding").alias("cv"))
     d = vecs.crossJoin(c).select(id_col, "centroid_id", V.sq_dist("embedding", "cv").alias("d2"))
     top = R.topk_batch(d.withColumn("neg", -F.col("d2")), id_col, n, score="neg", id_col="centroid_id", ties="asc")
     return top.select(id_col, "centroid_id", F.sqrt("d2").alias("dist"))
 
 
+def nearest_centroids(vecs: DataFrame, centroids: DataFrame, n: int, id_col: str = "vec_id") -> DataFrame:
+    """(id, centroid_id, dist) for each vector's n nearest centroids (Euclidean, ties: lower id).
+
+    The centroid matrix (about sqrt(n) rows, size-checked) is broadcast and every task scores its
+    vectors against it in BLAS chunks: no (vector, centroid) row is ever materialised, sorted or
+    shuffled. ||x||^2 - 2x.c + ||c||^2 selects candidates; every centroid within a rigorous
+    rounding margin of the n-th candidate is then re-scored exactly as sum((x - c)^2) and ordered
+    by (distance, id), so the result is the exact n nearest."""
+    limit = MAX_BROADCAST_VECTORS
+    cen = centroids.select(F.col("centroid_id").cast("long").alias("centroid_id"), "embedding")
+    if cen.limit(limit + 1).count() > limit:
+        return _nearest_sql(vecs, centroids, n, id_col)
+    rows = cen.collect()  # bounded by the check above; becomes one broadcast variable
+    ids = np.array([r.centroid_id for r in rows], dtype=np.int64)
+    mat = np.array([list(r.embedding) for r in rows], dtype=np.float64).reshape(len(rows), -1)
+    sc = vecs.sparkSession.sparkContext
+    bc = sc.broadcast((ids, mat))
+    id_type = vecs.schema[id_col].dataType
+    schema = T.StructType(
+        [T.StructField(id_col, id_type), T.StructField("centroid_id", T.LongType()), T.StructField("dist", T.DoubleType())]
+    )
+    take = n
+
+    def run(it):
+        cids, cmat = bc.value
+        m = len(cids)
+        k = min(take, m)
+        cnorm = (cmat * cmat).sum(1)
+        cmax = float(cnorm.max()) if m else 0.0
+        chunk = max(1, int(4_000_000 // max(m, 1)))
+        for pdf in it:
+            if len(pdf) == 0 or m == 0:
+                continue
+            xs = np.array([list(v) for v in pdf["embedding"]], dtype=np.float64)
+            out_id, out_c, out_d = [], [], []
+            for s in range(0, len(xs), chunk):
+                xc = xs[s : s + chunk]
+                xn = (xc * xc).sum(1)
+                d2 = xn[:, None] - 2.0 * (xc @ cmat.T) + cnorm[None, :]
+                kth = np.partition(d2, k - 1, axis=1)[:, k - 1]
+                margin = 1e-9 * (xn + cmax) + 1e-300
+                for r in range(len(xc)):
+                    cand = np.nonzero(d2[r] <= kth[r] + 2.0 * margin[r])[0]
+                    diff = cmat[cand] - xc[r]
+                    exact = (diff * diff).sum(1)
+                    order = np.lexsort((cids[cand], exact))[:k]
+                    out_id.extend([pdf[id_col].iloc[s + r]] * len(order))
+                    out_c.extend(cids[cand][order].tolist())
+                    out_d.extend(np.sqrt(exact[order]).tolist())
+            yield pd.DataFrame({id_col: out_id, "centroid_id": out_c, "dist": out_d})
+
+    return vecs.select(id_col, "embedding").mapInPandas(run, schema)
+
+
 def ivf_assign(vecs: DataFrame, centroids: DataFrame, n: int, id_col: str = "vec_id") -> DataFrame:
     """Inverted lists: (centroid_id, id) with every vector in its n nearest lists."""
     return nearest_centroids(vecs, centroids, n, id_col).select("centroid_id", id_col)

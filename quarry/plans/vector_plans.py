@@ -114,12 +114,7 @@ def vec_exact_knn(spark, d):
 @register("ivf_centroids_sample", f"WITH {CENT_SQL} SELECT centroid_id, vec_id FROM cen")
 def ivf_centroids_sample(spark, d):
     e = _emb(spark, d)
-    m = V.n_centroids(e.count())
-    h = F.md5(F.col("vec_id").cast("string"))
-    picked = e.select("vec_id", h.alias("h")).orderBy("h").limit(m)
-    return R.topk(picked.withColumn("z", F.lit(0)), m, score="z", id_col="h", ties="asc").select(
-        (F.col("rank") - 1).alias("centroid_id"), "vec_id"
-    )
+    return V.sample_centroids(e, V.n_centroids(e.count())).select("centroid_id", "vec_id")
 
 
 @register(

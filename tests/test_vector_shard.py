@@ -59,3 +59,18 @@ def test_md5_mod_matches_python(spark):
     df = spark.createDataFrame([(w,) for w in words], "w string")
     got = [r[0] for r in df.select(md5_mod("w", 7919)).collect()]
     assert got == [int(hashlib.md5(w.encode()).hexdigest(), 16) % 7919 for w in words]
+
+
+def test_blas_nearest_centroids_equal_join_path_with_ties(spark):
+    import random
+
+    random.seed(5)
+    vecs = [(i, [random.uniform(-1, 1) for _ in range(8)]) for i in range(300)]
+    cents = [(c, [random.uniform(-1, 1) for _ in range(8)]) for c in range(12)]
+    cents.append((12, list(cents[3][1])))  # exact duplicate of centroid 3: ties go to the lower id
+    v = spark.createDataFrame(vecs, "vec_id long, embedding array<double>")
+    c = spark.createDataFrame(cents, "centroid_id long, embedding array<double>")
+    for n in (1, 3):
+        a = sorted((r.vec_id, r.centroid_id) for r in V.nearest_centroids(v, c, n).collect())
+        b = sorted((r.vec_id, r.centroid_id) for r in V._nearest_sql(v, c, n, "vec_id").collect())
+        assert a == b
