@@ -38,7 +38,53 @@ def dot_scores(docs: DataFrame, queries: DataFrame, id_col: str = "vec_id") -> D
 
 
 def exact_knn(docs: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id") -> DataFrame:
-    return R.topk_batch(dot_scores(docs, queries, id_col), "query_id", k, id_col=id_col)
+    """Exact top-k by dot product for a batch of queries, ties to the larger id.
+
+    The (size-checked) query matrix is broadcast; each task scores its vectors in BLAS chunks and
+    keeps a running top-k per query, so at most k rows per query leave a task and no
+    (vector, query) row is materialised. The final top-k merges those partial lists."""
+    limit = MAX_BROADCAST_VECTORS
+    q = queries.select(F.col("query_id").cast("long").alias("query_id"), "embedding")
+    if q.limit(limit + 1).count() > limit:
+        return R.topk_batch(dot_scores(docs, queries, id_col), "query_id", k, id_col=id_col)
+    rows = q.collect()  # bounded by the check above; becomes one broadcast variable
+    qids = np.array([r.query_id for r in rows], dtype=np.int64)
+    qmat = np.array([list(r.embedding) for r in rows], dtype=np.float64).reshape(len(rows), -1)
+    bc = docs.sparkSession.sparkContext.broadcast((qids, qmat))
+    schema = T.StructType(
+        [T.StructField("query_id", T.LongType()), T.StructField(id_col, T.LongType()), T.StructField("score", T.DoubleType())]
+    )
+
+    def run(it):
+        qi, qm = bc.value
+        nq = len(qi)
+        best_s = [np.empty(0) for _ in range(nq)]
+        best_i = [np.empty(0, dtype=np.int64) for _ in range(nq)]
+        chunk = max(1, int(4_000_000 // max(nq, 1)))
+        for pdf in it:
+            if len(pdf) == 0 or nq == 0:
+                continue
+            ids = pdf[id_col].to_numpy(dtype=np.int64)
+            xs = np.array([list(v) for v in pdf["embedding"]], dtype=np.float64)
+            for s in range(0, len(xs), chunk):
+                sc = xs[s : s + chunk] @ qm.T  # rows x queries
+                cid = ids[s : s + chunk]
+                for j in range(nq):
+                    cs = np.concatenate([best_s[j], sc[:, j]])
+                    ci = np.concatenate([best_i[j], cid])
+                    order = np.lexsort((-ci, -cs))[:k]  # score desc, then id desc
+                    best_s[j], best_i[j] = cs[order], ci[order]
+        if nq:
+            yield pd.DataFrame(
+                {
+                    "query_id": np.repeat(qi, [len(b) for b in best_i]),
+                    id_col: np.concatenate(best_i),
+                    "score": np.concatenate(best_s),
+                }
+            )
+
+    partial = docs.select(F.col(id_col).cast("long").alias(id_col), "embedding").mapInPandas(run, schema)
+    return R.topk_batch(partial, "query_id", k, id_col=id_col)
 
 
 def n_centroids(n: int) -> int:

@@ -74,3 +74,19 @@ def test_blas_nearest_centroids_equal_join_path_with_ties(spark):
         a = sorted((r.vec_id, r.centroid_id) for r in V.nearest_centroids(v, c, n).collect())
         b = sorted((r.vec_id, r.centroid_id) for r in V._nearest_sql(v, c, n, "vec_id").collect())
         assert a == b
+
+
+def test_blas_exact_knn_equals_join_path_with_ties(spark):
+    import random
+
+    from quarry.operators.rank import topk_batch
+
+    random.seed(7)
+    vecs = [(i, [random.uniform(-1, 1) for _ in range(6)]) for i in range(400)]
+    vecs += [(1000 + i, list(vecs[i][1])) for i in range(20)]  # duplicates: equal scores, larger id first
+    qs = [(q, [random.uniform(-1, 1) for _ in range(6)]) for q in range(5)]
+    v = spark.createDataFrame(vecs, "vec_id long, embedding array<double>").repartition(4)
+    q = spark.createDataFrame(qs, "query_id long, embedding array<double>")
+    a = sorted((r.query_id, r.rank, r.vec_id) for r in V.exact_knn(v, q, 10).collect())
+    b = sorted((r.query_id, r.rank, r.vec_id) for r in topk_batch(V.dot_scores(v, q), "query_id", 10, id_col="vec_id").collect())
+    assert a == b
