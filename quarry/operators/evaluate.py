@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import types as T
 
 from quarry.functions import scoring as S
-from quarry.functions.text import tok_whitespace
+from quarry.functions.text import first_tokens, tok_whitespace
 from quarry.operators import rank as R
 from quarry.operators.util import broadcast_if_small, one_row
 
@@ -33,7 +33,7 @@ def pair_tf(j: DataFrame) -> DataFrame:
 
 def title_df(docs: DataFrame, title_tokens: int = 12) -> tuple[DataFrame, DataFrame]:
     """(term, df) over the corpus titles (first ``title_tokens`` tokens) and a one-row N."""
-    t = docs.select("doc_id", F.slice(tok_whitespace("text"), 1, title_tokens).alias("t"))
+    t = docs.select("doc_id", first_tokens("text", title_tokens).alias("t"))
     dfs = t.select(F.explode(F.array_distinct("t")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     n = docs.agg(F.count(F.lit(1)).alias("n_docs"))
     return dfs, n

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.functions.text import tok_whitespace
+from quarry.functions.text import first_tokens
 from quarry.operators import lifecycle as L
 from quarry.operators import rank as R
 from quarry.operators import shard as SH
@@ -48,7 +48,7 @@ def two_stage_topk(spark, d):
     postings, stats = _doc_index(spark, d)
     top = R.search(postings, benchmark_queries(spark, d), stats, k=10, model="bm25")
     docs = read_table(spark, d, "documents")
-    title = F.array_join(F.slice(tok_whitespace("text"), 1, 12), " ")
+    title = F.array_join(first_tokens("text", 12), " ")
     out = SH.late_materialize(top, docs, "doc_id", {"title": title})
     return out.select("query_id", "rank", "doc_id", R.round_score(), "title")
 

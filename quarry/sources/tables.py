@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.functions.text import tok_whitespace
+from quarry.functions.text import first_tokens, tok_whitespace
 
 SCHEMAS: dict[str, T.StructType] = {
     "documents": T.StructType(
@@ -129,10 +129,9 @@ def judgments(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = read_table(spark, sf_dir, "labels")
     qid = F.regexp_extract(F.col("source"), "(\\d+)", 1).cast("bigint")
     # min_by is a partial aggregate: a source holding a third of the corpus still combines map-side.
-    first_doc = docs.groupBy("source").agg(F.min_by("text", "doc_id").alias("first_text"))
-    queries = first_doc.select(
-        "source", qid.alias("query_id"), F.array_join(F.slice(tok_whitespace(F.col("first_text")), 1, 5), " ").alias("query")
-    )
+    # the query is taken from a 5-token prefix, so only that prefix travels through the aggregate
+    first_doc = docs.groupBy("source").agg(F.min_by(F.array_join(first_tokens("text", 5), " "), "doc_id").alias("query"))
+    queries = first_doc.select("source", qid.alias("query_id"), "query")
     label = (
         F.when((F.col("quality") == 1) & (F.col("toxic") == 0), "E")
         .when((F.col("quality") == 1) & (F.col("toxic") == 1), "S")
@@ -147,7 +146,7 @@ def judgments(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         label.alias("label"),
         F.when(F.col("query_id") % 5 == 0, "test").otherwise("train").alias("split"),
-        F.array_join(F.slice(tok_whitespace(F.col("text")), 1, 12), " ").alias("title"),
+        F.array_join(first_tokens("text", 12), " ").alias("title"),
         F.col("text").alias("description"),
     )
 
