@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import sharding, toxicity, warc
-from quarry.llm.common import ready, read
+from quarry.llm import decontaminate, linededup, packing, sharding, toxicity, warc
+from quarry.llm.common import numbered, read, ready
 from quarry.session import scratch_path
 
 QUERIES = {}
@@ -52,3 +52,27 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "record_type",
         F.expr("try_cast(refers_to AS BIGINT)").alias("refers_to"),
     )
+
+
+@register("op4_packing")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    pieces = packing.pieces(read(spark, sf_dir, "documents"), "doc_id", "text", vocabulary)
+    rows = numbered(pieces, "pieces").select("_row", "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
+    return packing.assign(rows, 2048).drop("_row")
+
+
+@register("op2_decontamination")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(
+        read(spark, sf_dir, "documents"), "doc_id", "text", read(spark, sf_dir, "benchmark"), "item_id", "text"
+    )
+
+
+@register("op8_line_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    out = linededup.dedup_lines(docs, "doc_id", "text")
+    return out.select("doc_id", "text", "removed_lines")
