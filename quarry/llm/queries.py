@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, linededup, packing, sharding, toxicity, warc
+from quarry.llm import decontaminate, linededup, packing, sharding, sitetree, toxicity, warc
 from quarry.llm.common import numbered, read, ready
 from quarry.session import scratch_path
 
@@ -76,3 +76,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     out = linededup.dedup_lines(docs, "doc_id", "text")
     return out.select("doc_id", "text", "removed_lines")
+
+
+@register("op7_html_extraction")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sitetree.extract(read(spark, sf_dir, "pages"), "page_id", "url", "html")
