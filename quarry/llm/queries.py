@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, linededup, packing, sharding, sitetree, toxicity, warc
+from quarry.llm import decontaminate, linededup, minhash, packing, sharding, sitetree, toxicity, warc
 from quarry.llm.common import numbered, read, ready
 from quarry.session import scratch_path
 
@@ -81,3 +81,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op7_html_extraction")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sitetree.extract(read(spark, sf_dir, "pages"), "page_id", "url", "html")
+
+
+@register("op9_minhash")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read(spark, sf_dir, "documents"), "doc_id", "text")
