@@ -169,7 +169,8 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
     y = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic")).where("id IS NOT NULL AND toxic IN (0, 1)")
     y = y.where(~held_out("id", 3, 1)).groupBy("id").agg(F.max("toxic").alias("toxic"))
     x = docs.select(F.col(id_col).alias("id"), utf8(text_col).alias("text")).where("id IS NOT NULL").where(~held_out("id", 3, 1))
-    return numbered(x.join(y, "id").select("text", "toxic"), "labelled")
+    # both sides grow with the corpus: one plan at every size, never a broadcast
+    return numbered(x.join(y.hint("merge"), "id").select("text", "toxic"), "labelled")
 
 
 def score(docs: DataFrame, model: Model, id_col: str, text_col: str, carry: tuple[str, ...] = ()) -> DataFrame:
