@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, linededup, minhash, multiindex, packing, sharding, sitetree, toxicity, warc
+from quarry.llm import decontaminate, linededup, lm, minhash, multiindex, packing, sharding, sitetree, toxicity, warc
 from quarry.llm.common import numbered, read, ready
 from quarry.session import scratch_path
 
@@ -91,3 +91,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op5_multi_index")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiindex.near_duplicates(read(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+
+
+@register("op6_lm_scoring")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(read(spark, sf_dir, "documents"), "doc_id", "text")
