@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import base64
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,23 +32,32 @@ class Encoder:
 
     def __init__(self, path: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.full = Tokenizer.from_file(path)
-        specials = {t.content: i for i, t in self.full.get_added_tokens_decoder().items()}
-        self.specials = list(specials)
+        self.path = path
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.specials = [t["content"] for t in spec["added_tokens"]]
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         back = {chr(b): b for b in printable}
         back |= {chr(256 + i): b for i, b in enumerate(sorted(set(range(256)) - set(printable)))}
-        ranks = {bytes(back[c] for c in t): i for t, i in self.full.get_vocab(with_added_tokens=False).items() if t not in specials}
+        ranks = {bytes(back[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in self.specials}
         #: Fixed value: the pattern by which GPT-2's byte-level BPE splits a text.
         pattern = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
         self.fast = tiktoken.Encoding("bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
-    def __call__(self, text: str) -> list[int]:
+    @cached_property
+    def full(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
+    def __call__(self, text: str) -> np.ndarray:
         if any(s in text for s in self.specials):
-            return self.full.encode(text, add_special_tokens=False).ids
-        return self.fast.encode_ordinary(text)
+            return np.array(self.full.encode(text, add_special_tokens=False).ids, np.uint32)
+        return self.fast.encode_to_numpy(text, disallowed_special=())
+
+
+encoder = lru_cache(1)(Encoder)  # one per worker, whatever tasks it runs
 
 
 def pieces(docs: DataFrame, id_col: str, text_col: str, vocabulary: str, cap: int = 2048, end_id: int = 1) -> DataFrame:
@@ -60,11 +70,11 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, vocabulary: str, cap: in
 
     @F.arrow_udf(f"array<struct<{', '.join(c.replace(' ', ': ', 1) for c in PIECE.split(', '))}>>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        enc = Encoder(vocabulary)
+        enc = encoder(vocabulary)
         for texts in batches:
             at, starts, lengths, blobs, totals = [0], [], [], [], []
             for t in texts:
-                ids = np.array(enc(t.as_py() or "") + [end_id], "<u4")
+                ids = np.append(enc(t.as_py() or ""), np.uint32(end_id)).astype("<u4", copy=False)
                 for s in _cuts(len(ids), cap):
                     part = ids[s : s + cap]
                     starts.append(s)
