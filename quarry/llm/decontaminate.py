@@ -75,7 +75,7 @@ class Index:
         self.filter = np.zeros(1 << self.FILTER_BITS, bool)
         self.filter[(h >> np.uint64(64 - self.FILTER_BITS)).astype(np.int64)] = True
 
-    def candidates(self, p: np.ndarray, piece: int = 1 << 17) -> list[tuple[int, int]]:
+    def candidates(self, p: np.ndarray, piece: int = 1 << 14) -> list[tuple[int, int]]:
         """(item, band) with enough shared grams. Band b of an item with k edits holds the diagonals
         b (k + 1) to (b + 2) (k + 1); neighbours overlap by half, so the k + 1 diagonals of any
         match lie in one band."""
@@ -109,16 +109,16 @@ class Index:
         """(item id, start, end, edits) of the best match of every item found in a normal text."""
         p = points(text)
         best: dict[int, tuple[int, int, int]] = {}
-        for item, band in self.candidates(p):
+        for item, first, last in _runs(self.candidates(p)):
             k, m = int(self.k[item]), int(self.m[item])
             if item in best and best[item][0] == 0:
                 continue
-            lo = band * (k + 1)
-            window = text[max(0, lo) : max(0, lo + 2 * (k + 1) + m)]
+            lo, hi = first * (k + 1), (last + 2) * (k + 1) - 1
+            window = text[max(0, lo) : max(0, hi + 1 + m)]
             if (exact := window.find(self.texts[item])) >= 0:  # no edits: the alignment is the text itself
                 best[item] = (0, max(0, lo) + exact, max(0, lo) + exact + m)
                 continue
-            found = align(self.points[item], p, lo, lo + 2 * (k + 1) - 1, k)
+            found = align(self.points[item], p, lo, hi, k)
             if found and (item not in best or found < best[item]):
                 best[item] = found
         for item, t in self.short:
@@ -128,6 +128,20 @@ class Index:
         return [(self.ids[i], s, e, d) for i, (d, s, e) in sorted(best.items())]
 
 
+def _runs(found: list[tuple[int, int]]) -> Iterator[tuple[int, int, int]]:
+    """(item, first, last) of the runs of up to four neighbouring bands, which one alignment takes."""
+    run = None
+    for item, band in found:
+        if run and run[0] == item and band == run[2] + 1 and band - run[1] < 4:
+            run = (item, run[1], band)
+            continue
+        if run:
+            yield run
+        run = (item, band, band)
+    if run:
+        yield run
+
+
 def align(item: np.ndarray, text: np.ndarray, lo: int, hi: int, k: int) -> tuple[int, int, int] | None:
     """Best (edits, start, end) of the whole item within the text, with at most k edits, on paths
     that touch the diagonals lo..hi (text position minus item position), or None.
@@ -154,6 +168,8 @@ def align(item: np.ndarray, text: np.ndarray, lo: int, hi: int, k: int) -> tuple
         nxt = np.where((col >= 0) & (col <= n), nxt, far)
         nxt = np.minimum.accumulate(nxt - step) + step  # text characters without partner
         cur = np.where((col >= 0) & (col <= n), nxt, far)
+        if not i % 8 and cur.min() >= (k + 1) * shift:
+            return None
     at = int(np.argmin(cur))
     edits, start = divmod(int(cur[at]), shift)
     return (edits, start, int(diag[at] + m)) if edits <= k else None
