@@ -15,8 +15,9 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
 
     Each round links every node's larger neighbours to its smallest neighbour, then every node's
     smaller neighbours likewise; it needs O(log^2) rounds whatever the diameter. Minima are
-    partial aggregates and the hub's edges meet one row in the joins, which AQE can split, so a
-    hub with a third of all edges fills no single task. Every round is a written table.
+    partial aggregates, and the hub's edges meet one row in the joins; the minima are written first,
+    so that a join reads plain shuffles, of which AQE splits the hub's. Every round is a written
+    table.
     """
     a, b = F.col("a"), F.col("b")
     cur = written(
@@ -30,14 +31,16 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
             break
         mark = now
         both = cur.select("a", "b").union(cur.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.where(F.col("b") > F.col("a")).join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        low = written(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), name)
+        large = both.where(F.col("b") > F.col("a")).join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         # every node also keeps an edge to its own minimum when that is smaller than itself
         large = large.union(low.where(F.col("m") < F.col("a")).select("a", F.col("m").alias("b"))).distinct()
-        low2 = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = written(large, name)
+        low2 = written(large.groupBy("a").agg(F.min("b").alias("m")), name)
         small = large.join(low2, "a").where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
         nxt = written(small.union(low2.select("a", F.col("m").alias("b"))).distinct(), name)
-        drop_written(cur)
+        for done in (cur, low, large, low2):
+            drop_written(done)
         cur = nxt
     roots = cur.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("comp"))
     return cur.select(F.col("a").alias("node"), F.col("b").alias("comp")).union(roots)

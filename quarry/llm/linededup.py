@@ -136,9 +136,11 @@ def deletions(docs: DataFrame, id_col: str, text_col: str, p: Params = Params())
     lines = rows.select("doc_id", "tie", F.explode("l").alias("l")).select("doc_id", "tie", "l.*")
     lines = written(lines.dropDuplicates(["doc_id", "tie", "line"]), "lines")
     doc = F.struct("doc_id", "tie")
-    holders = (
+    # written, so that the join reads plain shuffles on both sides, of which AQE splits a hot line's
+    holders = written(
         lines.groupBy("h", "doc_id", "tie").agg(F.lit(1).alias("one"))
-        .groupBy("h").agg(F.count("one").alias("df"), F.min(doc).alias("first")).where("df > 1")
+        .groupBy("h").agg(F.count("one").alias("df"), F.min(doc).alias("first")).where("df > 1"),
+        "line-holders",
     )
     shared = written(lines.join(holders, "h"), "shared-lines")
     held = shared.select("h", "df", "first", doc.alias("doc")).distinct()

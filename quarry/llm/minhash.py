@@ -150,6 +150,26 @@ def near_duplicates(docs: DataFrame, id_col: str, text_col: str, p: Params = Par
     corpus in one text is one node. Rows that repeat an id are rows of their own (all with the
     smallest id are kept); a null id is no smallest id, and a component of null ids has a null id
     and keeps none.
+    """
+    tagged = _tagged(docs, id_col, text_col, p)
+    smallest = tagged.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
+    return tagged.join(smallest, "comp").select("doc_id", F.col("n").alias("n_shingles"), "component_id", kept.alias("kept"))
+
+
+def deduplicate(docs: DataFrame, id_col: str, text_col: str, p: Params = Params()) -> DataFrame:
+    """The rows of ``docs`` of which one stays per component: that with the smallest id (null ids
+    last). Rows equal in id and text are one document, also without words; one of them stays."""
+    tagged = _tagged(docs, id_col, text_col, p)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row", "text_id")).alias("first")
+    keep = tagged.groupBy("comp").agg(first).select(F.col("first.doc_id").alias("_i"), F.col("first.text_id").alias("_t")).distinct()
+    same = F.unhex(F.md5(utf8(text_col)))
+    out = docs.withColumn("_same", same).join(keep, F.col(id_col).eqNullSafe(F.col("_i")) & (F.col("_same") == F.col("_t")), "left_semi")
+    return out.dropDuplicates([id_col, "_same"]).drop("_same")
+
+
+def _tagged(docs: DataFrame, id_col: str, text_col: str, p: Params) -> DataFrame:
+    """(_row, doc_id, text_id, n, comp) per row.
 
     1. Signatures, in a written table; equal texts fold into a node.
     2. Rounds of stars: in each band bucket every node is tried against a single leader (the least
@@ -166,7 +186,8 @@ def near_duplicates(docs: DataFrame, id_col: str, text_col: str, p: Params = Par
     reps = written(full.join(nodes.select(F.col("node").alias("_row")), "_row", "left_semi"), "representatives")
     buckets = reps.select(F.col("_row").alias("node"), F.posexplode("bands").alias("band", "h")).select("node", F.xxhash64("band", "h").alias("bucket"))
     # only buckets with company go on
-    company = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("bucket")
+    # (such sides are written first: a join of plain shuffles is one that AQE can split at a hot bucket)
+    company = written(buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("bucket"), "company")
     buckets = written(buckets.join(company, "bucket"), "buckets")
     involved = buckets.select("node").distinct()
     texts = _texts(docs, id_col, text_col, reps, involved)
@@ -174,9 +195,9 @@ def near_duplicates(docs: DataFrame, id_col: str, text_col: str, p: Params = Par
     tested = None  # pairs (a < b) tested so far, with their verdict
     comp = None
     for turn in range(3):
-        here = buckets if comp is None else _mixed(buckets, comp)
+        here = buckets if comp is None else written(_mixed(buckets, comp), "mixed")
         order = F.struct((F.xxhash64("node", F.lit(turn)) if turn else F.col("node")).alias("rank"), F.col("node").alias("node"))
-        leader = here.groupBy("bucket").agg(F.min(order).alias("lead"))
+        leader = written(here.groupBy("bucket").agg(F.min(order).alias("lead")), "leaders")
         tries = here.join(leader, "bucket").where(F.col("node") != F.col("lead.node"))
         best = tries.groupBy("node").agg(F.min("lead").alias("lead")).select(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b"))
         tested, comp = _settle(best.distinct(), tested, comp, texts, p, f"stars-{turn}")
@@ -190,10 +211,8 @@ def near_duplicates(docs: DataFrame, id_col: str, text_col: str, p: Params = Par
     tested, comp = _settle(pairs, tested, comp, texts, p, "rest")
 
     member = nodes.join(comp.select("node", "comp"), "node", "left").select(F.col("text_id").alias("_t"), F.coalesce("comp", "node").alias("comp"))
-    tagged = rows.join(member, F.col("text_id") == F.col("_t"), "left").select("_row", "doc_id", "n", F.coalesce("comp", "_row").alias("comp"))
-    smallest = tagged.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    out = tagged.join(smallest, "comp")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+    out = rows.join(member, F.col("text_id") == F.col("_t"), "left")
+    return out.select("_row", "doc_id", "text_id", "n", F.coalesce("comp", "_row").alias("comp"))
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str, reps: DataFrame, involved: DataFrame) -> DataFrame:
@@ -208,6 +227,7 @@ def _mixed(buckets: DataFrame, comp: DataFrame) -> DataFrame:
     """Rows of buckets that still span several components, with comp."""
     known = buckets.select("bucket", "node").join(comp, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
     several = known.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("bucket")
+    several = written(several, "several")
     return known.join(several, "bucket")
 
 

@@ -57,7 +57,10 @@ class Encoder:
         return self.fast.encode_to_numpy(text, disallowed_special=())
 
 
-encoder = lru_cache(1)(Encoder)  # one per worker, whatever tasks it runs
+@lru_cache(1)
+def encoder(path: str) -> Encoder:
+    """One per worker, whatever tasks it runs."""
+    return Encoder(path)
 
 
 def pieces(docs: DataFrame, id_col: str, text_col: str, vocabulary: str, cap: int = 2048, end_id: int = 1) -> DataFrame:
