@@ -161,13 +161,17 @@ def deletions(docs: DataFrame, id_col: str, text_col: str, p: Params = Params())
 
 def dedup_lines(docs: DataFrame, id_col: str, text_col: str, p: Params = Params()) -> DataFrame:
     """``docs`` with the aligned common blocks deleted from the later documents, and a last column
-    removed_lines (array of line numbers from 0, empty: unchanged).
+    removed_lines (array of line numbers from 0, empty: unchanged; it replaces one of that name).
 
     Every row stays, in a document that loses all lines with an empty text; null ids and null or
     empty texts stay as they are, and repeated rows change alike.
     """
-    gone = deletions(docs, id_col, text_col, p).select(F.col("doc_id").alias("_g"), F.col("tie").alias("_t"), F.col("lines").alias("removed_lines"))
-    out = docs.join(gone, (docs[id_col] == gone["_g"]) & (F.xxhash64(docs[text_col]) == gone["_t"]), "left").drop("_g", "_t")
-    left = F.filter(F.split(F.col(text_col), "\n", -1), lambda _, i: ~F.array_contains("removed_lines", i))
-    cleaned = F.when(F.col("removed_lines").isNull(), F.col(text_col)).otherwise(F.array_join(left, "\n"))
-    return out.withColumn(text_col, cleaned).withColumn("removed_lines", F.coalesce("removed_lines", F.array().cast("array<int>")))
+    gone = deletions(docs, id_col, text_col, p).select(F.struct("doc_id", "tie").alias("key"), "lines")
+    rows = docs.select(F.struct("*").alias("in"))  # whatever the columns are called, none can clash
+    text = F.col("in")[text_col]
+    rows = rows.withColumn("key", F.struct(F.col("in")[id_col].alias("doc_id"), F.xxhash64(text).alias("tie")))
+    out = rows.join(gone, "key", "left")
+    left = F.filter(F.split(text, "\n", -1), lambda _, i: ~F.array_contains("lines", i))
+    cleaned = F.when(F.col("lines").isNull(), text).otherwise(F.array_join(left, "\n"))
+    columns = [cleaned.alias(c) if c == text_col else F.col("in")[c].alias(c) for c in docs.columns if c != "removed_lines"]
+    return out.select(*columns, F.coalesce("lines", F.array().cast("array<int>")).alias("removed_lines"))

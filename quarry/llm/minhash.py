@@ -163,9 +163,10 @@ def deduplicate(docs: DataFrame, id_col: str, text_col: str, p: Params = Params(
     tagged = _tagged(docs, id_col, text_col, p)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row", "text_id")).alias("first")
     keep = tagged.groupBy("comp").agg(first).select(F.col("first.doc_id").alias("_i"), F.col("first.text_id").alias("_t")).distinct()
-    same = F.unhex(F.md5(utf8(text_col)))
-    out = docs.withColumn("_same", same).join(keep, F.col(id_col).eqNullSafe(F.col("_i")) & (F.col("_same") == F.col("_t")), "left_semi")
-    return out.dropDuplicates([id_col, "_same"]).drop("_same")
+    rows = docs.select(F.struct("*").alias("in"))
+    rows = rows.select("in", F.col("in")[id_col].alias("i"), F.unhex(F.md5(utf8(F.col("in")[text_col]))).alias("t"))
+    out = rows.join(keep, F.col("i").eqNullSafe(F.col("_i")) & (F.col("t") == F.col("_t")), "left_semi").dropDuplicates(["i", "t"])
+    return out.select(*[F.col("in")[c].alias(c) for c in docs.columns])
 
 
 def _tagged(docs: DataFrame, id_col: str, text_col: str, p: Params) -> DataFrame:

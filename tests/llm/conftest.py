@@ -1,0 +1,9 @@
+import pytest
+
+
+@pytest.fixture(scope="session")
+def llm(spark):
+    from quarry.llm.common import ready
+
+    ready(spark)
+    return spark
