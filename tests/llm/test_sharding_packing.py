@@ -10,6 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from llm_session import llm  # noqa: F401
 from quarry.llm import packing, sharding
 from quarry.llm.common import numbered, ordinals
 

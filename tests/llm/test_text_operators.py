@@ -8,6 +8,7 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from llm_session import llm  # noqa: F401
 from quarry.llm import decontaminate as dc
 from quarry.llm import linededup as ld
 from quarry.llm import toxicity as tx
