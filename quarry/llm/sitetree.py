@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from html import unescape
 from urllib.parse import urlsplit
 
+import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -182,60 +183,56 @@ def host(url: str | None) -> str:
         return ""
 
 
-def parsed(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
-    """(page, url, host, digest of the text, blocks, nodes) per row. Where a page has article or main
-    elements, only the blocks inside them are kept."""
-    schema = "struct<host: string, digest: long, blocks: array<struct<path: string, landmark: boolean, text: string>>, nodes: array<struct<path: string, style: string>>>"
+def _hosts(url: pd.Series) -> pd.Series:
+    return pd.Series([host(u) for u in url], dtype=object)
 
-    @F.pandas_udf(schema)
-    def read(urls: pd.Series, htmls: pd.Series) -> pd.DataFrame:
-        out = []
-        for u, h in zip(urls, htmls, strict=True):
-            blocks, nodes = parse(h or "")
-            if any(b[1] for b in blocks):
-                blocks = [b for b in blocks if b[1]]
-            digest = xxhash.xxh3_64_intdigest("\n".join(b[2] for b in blocks).encode("utf-8", "replace")) - (1 << 63)
-            out.append(
-                {
-                    "host": host(u),
-                    "digest": digest,
-                    "blocks": [{"path": p, "landmark": x, "text": t} for p, x, t in blocks],
-                    "nodes": [{"path": p, "style": s} for p, s in nodes],
-                }
-            )
-        return pd.DataFrame(out, columns=["host", "digest", "blocks", "nodes"])
-
-    rows = pages.select(F.col(id_col).alias("page"), F.col(url_col).alias("url"), read(F.col(url_col).cast("string"), F.col(html_col).cast("string")).alias("t"))
-    return rows.select("page", "url", "t.*")
-
-
-def unimportant(pages: DataFrame, p: Params) -> DataFrame:
-    """(host, low): the node paths to remove on a host, from a table of ``parsed``.
+
+def article(html: str | None) -> tuple[list[tuple[str, bool, str]], list[tuple[str, str]]]:
+    """``parse``, and where a page has article or main elements only the blocks inside them."""
+    blocks, nodes = parse(html or "")
+    inside = [b for b in blocks if b[1]]
+    return inside or blocks, nodes
+
+
+def _outline(html: pd.Series, url: pd.Series) -> pd.DataFrame:
+    """What the style tree needs of each page: host, digest of the text, distinct (path, hash of the
+    text) items, distinct paths with their ancestors, and the nodes' child sequences."""
+    out = []
+    for h, u in zip(html, url, strict=True):
+        blocks, nodes = article(h)
+        hashes = [xxhash.xxh3_64_intdigest(t.encode("utf-8", "replace")) - (1 << 63) for _, _, t in blocks]
+        digest = xxhash.xxh3_64_intdigest(np.array(hashes, np.int64).tobytes()) - (1 << 63)
+        items = sorted({(p, x) for (p, _, _), x in zip(blocks, hashes, strict=True)})
+        branches = sorted({">".join(p.split(">")[:i]) for p, _, _ in blocks for i in range(1, p.count(">") + 2)})
+        out.append((host(u), digest, [{"path": p, "text": x} for p, x in items], branches, [{"path": p, "style": s} for p, s in nodes]))
+    return pd.DataFrame(out, columns=["host", "digest", "items", "branches", "nodes"])
+
+
+OUTLINE = "struct<host: string, digest: long, items: array<struct<path: string, text: long>>, branches: array<string>, nodes: array<struct<path: string, style: string>>>"
+
+
+def unimportant(pages: DataFrame, url_col: str, html_col: str, p: Params) -> DataFrame:
+    """(host, low): the node paths to remove on a host, written.
 
     Pages of one host are merged by node path, pages of equal text counting once. Content: a block
-    text on k of a node's m pages has the entropy -sum p log_m p of its spread over them, and the
-    node's content importance is 1 minus the mean over its texts, so what every page repeats is
-    near 0. Presentation: the entropy of the node's child sequences over its pages. A node weighs
-    (1 - gamma) presentation + gamma content, content being the mean over the blocks of its branch;
-    a leaf is its content. Everything is sums per (host, path, text): a host with a third of all
-    pages is partial sums on every task.
+    text on k of a node's m pages has the entropy log_m k, and the node's content importance is 1
+    minus the mean over its texts, so what every page repeats is near 0. Presentation: the entropy of
+    the node's child sequences over its pages. A node weighs (1 - gamma) presentation + gamma
+    content, content being the mean over the blocks of its branch; a leaf is its content. Everything
+    is sums per (host, path, text), and only paths and hashes move: a host with a third of all pages
+    is partial sums on every task.
     """
-    once = pages.groupBy("host", "digest").agg(F.min(F.struct("url", "page")).alias("first"))
-    chosen = pages.join(
-        once.select(F.col("host").alias("h"), F.col("digest").alias("d"), "first"),
-        (F.col("host") == F.col("h")) & (F.col("digest") == F.col("d")) & F.struct("url", "page").eqNullSafe(F.col("first")),
-    )
-    texts = chosen.select("host", "digest", F.explode("blocks").alias("b")).select("host", "digest", "b.path", F.xxhash64("b.text").alias("text"))
-    per_page = texts.groupBy("host", "path", "text", "digest").agg(F.count(F.lit(1)).cast("double").alias("n"))
-    per_text = per_page.groupBy("host", "path", "text").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.log("n")).alias("nlogn"))
-    spread = F.log("n") - F.col("nlogn") / F.col("n")
-    leaf = per_text.groupBy("host", "path").agg(F.sum(spread).alias("spread"), F.count(F.lit(1)).alias("texts"))
+    outline = F.pandas_udf(_outline, OUTLINE)
+    rows = pages.select(outline(F.col(html_col).cast("string"), F.col(url_col).cast("string")).alias("t")).select("t.*")
+    chosen = written(rows.groupBy("host", "digest").agg(*[F.first(c).alias(c) for c in ("items", "branches", "nodes")]), "page-outlines")
+    texts = chosen.select("host", F.explode("items").alias("b")).groupBy("host", "b.path", "b.text").agg(F.count(F.lit(1)).alias("k"))
+    leaf = texts.groupBy("host", "path").agg(F.sum(F.log("k")).alias("spread"), F.count(F.lit(1)).alias("texts"))
     ancestors = F.transform(
         F.sequence(F.lit(1), F.size(F.split("path", ">"))), lambda i: F.array_join(F.slice(F.split("path", ">"), 1, i), ">")
     )
     content = leaf.select("host", F.explode(ancestors).alias("path"), "spread", "texts").groupBy("host", "path")
     content = content.agg(F.sum("spread").alias("spread"), F.sum("texts").alias("texts"))
-    on_page = texts.select("host", "digest", F.explode(ancestors).alias("path")).distinct().groupBy("host", "path").agg(F.count(F.lit(1)).alias("m"))
+    on_page = chosen.select("host", F.explode("branches").alias("path")).groupBy("host", "path").agg(F.count(F.lit(1)).alias("m"))
     styles = chosen.select("host", F.explode("nodes").alias("s")).groupBy("host", "s.path", "s.style").agg(F.count(F.lit(1)).cast("double").alias("n"))
     style = styles.groupBy("host", "path").agg((F.log(F.sum("n")) - F.sum(F.col("n") * F.log("n")) / F.sum("n")).alias("style"))
     nodes = on_page.where(F.col("m") >= p.min_pages).join(content, ["host", "path"]).join(style, ["host", "path"], "left")
@@ -245,7 +242,7 @@ def unimportant(pages: DataFrame, p: Params) -> DataFrame:
     # a host whose pages as a whole repeat each other says nothing about single branches
     whole = judged.withColumn("top", F.max("importance").over(Window.partitionBy("host")))
     low = whole.where((F.col("importance") < p.threshold) & (F.col("top") >= 0.5))
-    return low.groupBy("host").agg(F.collect_set("path").alias("low"))
+    return written(low.groupBy("host").agg(F.collect_set("path").alias("low")), "low-branches")
 
 
 def extract(pages: DataFrame, id_col: str, url_col: str, html_col: str, p: Params = Params()) -> DataFrame:
@@ -255,11 +252,22 @@ def extract(pages: DataFrame, id_col: str, url_col: str, html_col: str, p: Param
     without blocks give an empty text. Rows without a readable host share the empty host. Repeated
     rows each get their text.
     """
-    rows = written(parsed(pages, id_col, url_col, html_col), "parsed-pages")
-    low = unimportant(rows, p).withColumnRenamed("host", "_h")
-    rows = rows.join(low, rows["host"] == low["_h"], "left")
-    under = lambda b, x: (b["path"] == x) | b["path"].startswith(F.concat(x, F.lit(">")))
-    left = F.filter("blocks", lambda b: ~F.exists("low", lambda x: under(b, x)))
-    kept = F.when(F.col("low").isNull(), F.col("blocks")).otherwise(left)
-    text = F.array_join(F.transform(kept, lambda b: b["text"]), " ")
-    return rows.select(F.col("page").alias("page_id"), "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+    low = unimportant(pages, url_col, html_col, p)
+    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).cast("string").alias("html"))
+    rows = rows.withColumn("host", F.pandas_udf(_hosts, "string")(F.col("url").cast("string")))
+    # hosts with such branches are few: their table is broadcast if it measures small, else the pages move
+    rows = rows.join(low.withColumnRenamed("host", "_h"), F.col("host") == F.col("_h"), "left")
+
+    def text_of(html: pd.Series, low: pd.Series) -> pd.Series:
+        out = []
+        for h, cut in zip(html, low, strict=True):
+            blocks, _ = article(h)
+            if cut is not None and len(cut):
+                gone = set(cut)
+                blocks = [b for b in blocks if not any(">".join(b[0].split(">")[:i]) in gone for i in range(1, b[0].count(">") + 2))]
+            out.append(" ".join(t for _, _, t in blocks))
+        return pd.Series(out)
+
+    text_of.__annotations__ = {"html": pd.Series, "low": pd.Series, "return": pd.Series}
+    out = rows.select("page_id", "url", F.pandas_udf(text_of, "string")("html", "low").alias("text"))
+    return out.withColumn("n_chars", F.length("text").cast("long"))
