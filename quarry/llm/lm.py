@@ -39,7 +39,7 @@ class Params:
     warm_texts: int = 400
     warm_bytes: int = 100_000
     group: int = 256
-    buffer: int = 2_000_000
+    buffer: int = 8_000_000
     smoothing: float = 0.1
 
 
@@ -104,10 +104,19 @@ class Vocabulary:
 
 def vocabulary(counts: DataFrame, p: Params) -> Vocabulary:
     """From the table of counts: at most ``known`` words of at most ``word_bytes`` bytes come to the
-    driver."""
+    driver. They are those above the least frequency class (sixteenths of powers of two) down to
+    which ``known`` words go, so tasks filter by a bound instead of sending their own best."""
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    top = counts.where(F.octet_length("word") <= p.word_bytes).orderBy(F.desc("c"), "word").limit(p.known).collect()
-    frequent = [(bytes(r["word"]), r["c"]) for r in top]
+    level = F.floor(F.log2(F.col("c")) * 16).cast("int")
+    short = counts.where(F.octet_length("word") <= p.word_bytes).withColumn("level", level)
+    edge, total = 1 << 30, 0
+    for r in sorted(short.groupBy("level").agg(F.count(F.lit(1)).alias("n")).collect(), key=lambda r: -r["level"]):  # under 1100 levels
+        total += r["n"]
+        if total > p.known:
+            break
+        edge = r["level"]
+    top = short.where(F.col("level") >= edge).collect()
+    frequent = sorted(((bytes(r["word"]), r["c"]) for r in top), key=lambda x: (-x[1], x[0]))
     tail = (F.crc32(F.expr("substring(word, -2, 2)")) % p.tails).alias("tail")
     per = counts.groupBy(tail).agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect()
     tail_n, tail_v = np.zeros(p.tails), np.zeros(p.tails)
@@ -122,16 +131,15 @@ def vocabulary(counts: DataFrame, p: Params) -> Vocabulary:
     return out
 
 
-def _buffered(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[list[tuple]]:
-    """Lists of rows whose texts have about ``buffer`` tokens together (or one longer text)."""
+def _buffered(batches: Iterator[pa.RecordBatch], p: Params, read) -> Iterator[list]:
+    """Lists of what ``read`` makes of a row's columns and tokens, its first item being the symbols; each
+    list has about ``buffer`` symbols (or one longer text). Long texts run beside many others then."""
     held, n = [], 0
     for batch in batches:
         cols = batch.columns
         for i in range(batch.num_rows):
-            row = [c[i].as_py() for c in cols[:-1]]
-            words = tokens(cols[-1][i].as_py())
-            held.append((*row, words))
-            n += len(words)
+            held.append(read(*[c[i].as_py() for c in cols[:-1]], tokens(cols[-1][i].as_py())))
+            n += len(held[-1][0])
             if n >= p.buffer:
                 yield held
                 held, n = [], 0
@@ -164,8 +172,8 @@ def train(texts: DataFrame, vocab: Vocabulary, p: Params) -> np.ndarray:
         vocab, shape, theta = shared.value
         own = gru.Gru(shape, theta.copy())
         adam, n = gru.Adam(shape.size(), p.rate / 4), 0
-        for rows in _buffered(batches, p):
-            docs = [vocab.encode(r[-1]) for r in rows]
+        for rows in _buffered(batches, p, lambda words: (vocab.encode(words),)):
+            docs = [r[0] for r in rows]
             gru.train(own, docs, p.lanes, p.steps, 0, adam)
             n += sum(map(len, docs))
         if n:
@@ -216,24 +224,25 @@ def score(docs: DataFrame, id_col: str, text_col: str, p: Params = Params()) ->
         vocab, shape, theta = shared.value
         model = gru.Gru(shape, theta)
         known = vocab.counts.get
-        for held in _buffered(batches, p):
-            symbols = [vocab.encode(r[-1]) for r in held]
-            logp = gru.score(model, symbols, p.lanes, p.steps, 0) / np.log(10)
-            n_known, base, rare, times = [], [], [], []
-            for i, (_, words) in enumerate(held):
-                c = np.fromiter((known(w, -1) for w in words), np.int64, len(words))
-                hit = c >= 0
-                tail = hit & (symbols[i] >= vocab.head)
-                logp[i] += vocab.within_tail(c[tail], symbols[i][tail] - vocab.head).sum()
-                n_known.append(int((c > 0).sum()))
-                base.append(float(vocab.base(c[hit]).sum()))
-                others = Counter(words[j] for j in np.flatnonzero(~hit))
-                rare.append(list(others))
-                times.append(list(others.values()))
+
+        def read(key, words):
+            """Symbols, key, known tokens, base and tail terms of the words whose counts are here, and the
+            other words with their numbers."""
+            symbols = vocab.encode(words)
+            c = np.fromiter((known(w, -1) for w in words), np.int64, len(words))
+            hit = c >= 0
+            tail = hit & (symbols >= vocab.head)
+            rest = Counter(words[j] for j in np.flatnonzero(~hit))
+            within = float(vocab.within_tail(c[tail], symbols[tail] - vocab.head).sum())
+            return symbols, key, int((c > 0).sum()), float(vocab.base(c[hit]).sum()), within, list(rest), list(rest.values())
+
+        for held in _buffered(batches, p, read):
+            symbols, keys, n_known, base, within, rare, times = zip(*held, strict=True)
+            logp = gru.score(model, list(symbols), p.lanes, p.steps, 0) / np.log(10) + np.array(within)
             yield pa.record_batch(
                 [
-                    pa.array([r[0] for r in held], pa.string()),
-                    pa.array([len(r[-1]) for r in held], pa.int64()),
+                    pa.array(keys, pa.string()),
+                    pa.array([len(x) for x in symbols], pa.int64()),
                     pa.array(n_known, pa.int64()),
                     pa.array(base, pa.float64()),
                     pa.array(logp, pa.float64()),
