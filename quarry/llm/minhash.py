@@ -22,14 +22,17 @@ VOCABULARY = 1 << 19  # words whose hashes a task remembers at a time
 class Params:
     """Shingles of ``words`` words; documents are linked at a Jaccard similarity of ``percent`` / 100
     or more. ``bands`` x ``rows`` signature coordinates: a pair at exactly 0.8 meets in no band with
-    probability (1 - 0.8**5)**36 = 6e-7. Of two documents in one band, those whose 256-bit sketches
-    differ in more than ``sketch_bits`` bits are not compared: at 0.8 that is 6 deviations off."""
+    probability (1 - 0.8**5)**36 = 6e-7. Of two documents in one band, those whose sketches (two bits
+    of each coordinate) differ in more than ``sketch_bits`` bits are not compared: at 0.8, 36 are
+    expected and 70 are 5 deviations off (3e-7). ``progress``: rounds of stars go on while they link
+    at least this share of the nodes still open."""
 
     words: int = 4
     percent: int = 80
     bands: int = 36
     rows: int = 5
-    sketch_bits: int = 64
+    sketch_bits: int = 70
+    progress: float = 0.01
 
 
 class Words(dict):
@@ -78,10 +81,15 @@ def signature(s: np.ndarray, coordinates: int, piece: int = 512) -> np.ndarray:
     return out
 
 
+SKETCH = 6  # 64-bit words
+
+
 def sketch(sig: np.ndarray) -> np.ndarray:
-    """Two bits each of the first 128 coordinates, as four 64-bit words."""
-    bits = np.stack([sig[:128] & 1, (sig[:128] >> 1) & 1], axis=1).astype(np.uint8).ravel()
-    return np.packbits(bits).view(np.int64)
+    """Two bits each of the coordinates (at most 32 x SKETCH), packed into 64-bit words."""
+    bits = np.zeros((32 * SKETCH, 2), np.uint8)
+    n = min(len(sig), len(bits))
+    bits[:n, 0], bits[:n, 1] = sig[:n] & 1, (sig[:n] >> 1) & 1
+    return np.packbits(bits.ravel()).view(np.int64)
 
 
 def _signatures(p: Params):
@@ -94,7 +102,7 @@ def _signatures(p: Params):
                 s = shingles(t.as_py(), p.words, words)
                 n.append(len(s))
                 if len(s):
-                    sig = signature(s, max(128, p.bands * p.rows))
+                    sig = signature(s, p.bands * p.rows)
                     h = seeds.copy()
                     for r in range(p.rows):
                         h = (h ^ sig[r * p.bands : (r + 1) * p.bands].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
@@ -108,7 +116,7 @@ def _signatures(p: Params):
                 [
                     pa.array(n, pa.int64()),
                     pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size * p.bands)]), pa.int32()), np.concatenate([empty, *bands])),
-                    pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size * 4)]), pa.int32()), np.concatenate([empty, *sketches])),
+                    pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size * SKETCH)]), pa.int32()), np.concatenate([empty, *sketches])),
                 ],
                 ["n", "bands", "sketch"],
             )
@@ -173,11 +181,13 @@ def _tagged(docs: DataFrame, id_col: str, text_col: str, p: Params) -> DataFrame
     """(_row, doc_id, text_id, n, comp) per row.
 
     1. Signatures, in a written table; equal texts fold into a node.
-    2. Rounds of stars: in each band bucket every node is tried against a single leader (the least
-       of the bucket by a new order each round), only its best-ranked untried one, on full sets.
-       Buckets within one component are done. This settles large groups in a linear number of tests.
-    3. Every pair left that shares a bucket but no component, has sizes that allow the similarity
-       and near sketches is tested, so no link that banding finds is missing.
+    2. Rounds of stars: in each band bucket that spans several components, every node sees a single
+       leader (the least of the bucket by a new order each round), and of the leaders it sees, the
+       likeliest by sketch among those not tried before is tested on full sets. That settles large
+       groups in a few rounds of at most one test per node.
+    3. When rounds link hardly anything more, every pair left that shares a bucket but no component,
+       with sizes and sketches that allow the similarity, is tested once, so no link that banding
+       finds is missing.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), utf8(text_col).alias("t"))
     rows = rows.select("doc_id", F.unhex(F.md5("t")).alias("text_id"), _signatures(p)("t").alias("s")).select("doc_id", "text_id", "s.*")
@@ -185,31 +195,41 @@ def _tagged(docs: DataFrame, id_col: str, text_col: str, p: Params) -> DataFrame
     full = rows.where("n > 0")
     nodes = full.groupBy("text_id").agg(F.min("_row").alias("node"), F.count(F.lit(1)).alias("copies"))
     reps = written(full.join(nodes.select(F.col("node").alias("_row")), "_row", "left_semi"), "representatives")
-    buckets = reps.select(F.col("_row").alias("node"), F.posexplode("bands").alias("band", "h")).select("node", F.xxhash64("band", "h").alias("bucket"))
+    buckets = reps.select(F.col("_row").alias("node"), F.posexplode("bands").alias("band", "h"))
+    buckets = buckets.select("node", "band", F.xxhash64("band", "h").alias("bucket"))
     # only buckets with company go on
     # (such sides are written first: a join of plain shuffles is one that AQE can split at a hot bucket)
     company = written(buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("bucket"), "company")
     buckets = written(buckets.join(company, "bucket"), "buckets")
+    open_ = buckets.withColumn("comp", F.col("node"))
     involved = buckets.select("node").distinct()
     texts = _texts(docs, id_col, text_col, reps, involved)
+    traits = written(reps.join(involved.withColumnRenamed("node", "_row"), "_row", "left_semi").select(F.col("_row").alias("node"), "n", "sketch", "bands"), "traits")
 
-    tested = None  # pairs (a < b) tested so far, with their verdict
+    tested = written(_pair_table(docs), "tested")  # pairs (a < b) tested so far, with their verdict
     comp = None
-    for turn in range(3):
-        here = buckets if comp is None else written(_mixed(buckets, comp), "mixed")
-        order = F.struct((F.xxhash64("node", F.lit(turn)) if turn else F.col("node")).alias("rank"), F.col("node").alias("node"))
-        leader = written(here.groupBy("bucket").agg(F.min(order).alias("lead")), "leaders")
-        tries = here.join(leader, "bucket").where(F.col("node") != F.col("lead.node"))
-        best = tries.groupBy("node").agg(F.min("lead").alias("lead")).select(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b"))
-        tested, comp = _settle(best.distinct(), tested, comp, texts, p, f"stars-{turn}")
-    here = written(_mixed(buckets, comp), "mixed")
-    side = here.join(reps.select(F.col("_row").alias("node"), "n", "sketch"), "node")
-    other = side.select("bucket", *[F.col(c).alias(f"{c}2") for c in ("node", "n", "sketch", "comp")])
-    apart = sum((F.bit_count(F.col("sketch")[i].bitwiseXOR(F.col("sketch2")[i])) for i in range(1, 4)), F.bit_count(F.col("sketch")[0].bitwiseXOR(F.col("sketch2")[0])))
-    sized = (100 * F.least("n", "n2") >= p.percent * F.greatest("n", "n2"))
-    pairs = side.join(other, "bucket").where((F.col("node") < F.col("node2")) & (F.col("comp") != F.col("comp2")) & sized & (apart <= p.sketch_bits))
-    pairs = pairs.select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct()
-    tested, comp = _settle(pairs, tested, comp, texts, p, "rest")
+    turn = 0
+    while True:
+        order = F.struct(F.xxhash64("node", F.lit(turn)).alias("rank"), F.col("node").alias("node"), F.col("comp").alias("comp"))
+        leader = written(open_.groupBy("bucket").agg(F.min(order).alias("lead")), "leaders")
+        tries = open_.join(leader, "bucket").where(F.col("comp") != F.col("lead.comp"))
+        tries = tries.select("node", F.col("lead.node").alias("lead")).distinct()
+        tries = _untested(tries.select("node", F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")), tested)
+        near = _alike(tries, traits, p)
+        best = near.groupBy("node").agg(F.min(F.struct("apart", "a", "b")).alias("x")).select("x.a", "x.b").distinct()
+        tested, comp, linked = _settle(best, tested, comp, texts, p, f"stars-{turn}")
+        open_ = written(_mixed(buckets, comp), "mixed")
+        left = open_.select("node").distinct().count()
+        turn += 1
+        if linked <= p.progress * left:
+            break
+    one = open_.join(traits.select("node", "n", "sketch", "bands"), "node")
+    other = one.select("bucket", *[F.col(c).alias(f"{c}2") for c in ("node", "n", "sketch", "bands", "comp")])
+    first = F.array_position(F.zip_with("bands", "bands2", lambda x, y: x == y), True) == F.col("band") + 1
+    ok = (F.col("node") < F.col("node2")) & (F.col("comp") != F.col("comp2")) & _sized("n", "n2", p) & (_apart("sketch", "sketch2") <= p.sketch_bits)
+    pairs = one.join(other, "bucket").where(ok & first)  # a pair counts in the first band that it shares
+    pairs = pairs.select(F.col("node").alias("a"), F.col("node2").alias("b"))
+    tested, comp, _ = _settle(_untested(pairs, tested), tested, comp, texts, p, "rest")
 
     member = nodes.join(comp.select("node", "comp"), "node", "left").select(F.col("text_id").alias("_t"), F.coalesce("comp", "node").alias("comp"))
     out = rows.join(member, F.col("text_id") == F.col("_t"), "left")
@@ -224,21 +244,48 @@ def _texts(docs: DataFrame, id_col: str, text_col: str, reps: DataFrame, involve
     return written(found.select("node", "t").dropDuplicates(["node"]), "texts")
 
 
+def _pair_table(df: DataFrame) -> DataFrame:
+    return df.sparkSession.createDataFrame([], "a long, b long, same boolean")
+
+
+def _sized(n: str, m: str, p: Params):
+    """Whether two set sizes allow the similarity."""
+    return 100 * F.least(n, m) >= p.percent * F.greatest(n, m)
+
+
+def _apart(x: str, y: str):
+    """Bits in which two sketches differ."""
+    out = F.lit(0)
+    for i in range(SKETCH):
+        out = out + F.bit_count(F.col(x)[i].bitwiseXOR(F.col(y)[i]))
+    return out
+
+
+def _alike(pairs: DataFrame, traits: DataFrame, p: Params) -> DataFrame:
+    """The pairs (columns a, b) whose sizes and sketches allow the similarity, with apart."""
+    a = traits.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
+    b = traits.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
+    both = pairs.join(a, "a").join(b, "b").where(_sized("na", "nb", p))
+    return both.withColumn("apart", _apart("sa", "sb")).where(F.col("apart") <= p.sketch_bits).drop("na", "nb", "sa", "sb")
+
+
+def _untested(pairs: DataFrame, tested: DataFrame) -> DataFrame:
+    return pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
+
+
 def _mixed(buckets: DataFrame, comp: DataFrame) -> DataFrame:
     """Rows of buckets that still span several components, with comp."""
-    known = buckets.select("bucket", "node").join(comp, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
+    known = buckets.join(comp, "node", "left").select("bucket", "band", "node", F.coalesce("comp", "node").alias("comp"))
     several = known.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("bucket")
     several = written(several, "several")
     return known.join(several, "bucket")
 
 
-def _settle(pairs: DataFrame, tested: DataFrame | None, comp: DataFrame | None, texts: DataFrame, p: Params, name: str):
-    """Test the pairs not tested before; returns all tested pairs and the new components."""
-    if tested is not None:
-        pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
+def _settle(pairs: DataFrame, tested: DataFrame, comp: DataFrame | None, texts: DataFrame, p: Params, name: str):
+    """Test the pairs on full sets; returns all tested pairs, the new components and the number of links."""
     both = pairs.join(texts.select(F.col("node").alias("a"), F.col("t").alias("ta")), "a").join(texts.select(F.col("node").alias("b"), F.col("t").alias("tb")), "b")
     new = written(both.select("a", "b", _jaccard(p)("ta", "tb").alias("same")), name)
-    tested = new if tested is None else tested.union(new)
-    edges = tested.where("same").select("a", "b")
-    found = written(components(edges), f"{name}-components")
-    return tested, found
+    links = new.where("same").select("a", "b")
+    linked = links.count()
+    old = links.limit(0) if comp is None else comp.select(F.col("node").alias("a"), F.col("comp").alias("b"))
+    return tested.union(new), written(components(links.union(old)), f"{name}-components"), linked
