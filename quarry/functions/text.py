@@ -86,14 +86,3 @@ ANALYZERS: dict[str, Analyzer] = {
 
 def flt_lowercase_after(tokenizer: Analyzer) -> Analyzer:
     return chain(tokenizer, flt_lowercase)
-
-
-_WS_SET = WHITESPACE_CLASS[1:-2]  # the character set inside [...]+
-
-
-def first_tokens(col, n: int) -> Column:
-    """The first n whitespace tokens, equal to ``slice(tok_whitespace(col), 1, n)``, but the regex
-    engine reads only the prefix holding them instead of splitting a whole long text. Token and
-    separator classes are disjoint, so the match is linear."""
-    prefix = f"^[{_WS_SET}]*((?:[^{_WS_SET}]+[{_WS_SET}]+){{0,{n - 1}}}[^{_WS_SET}]+)"
-    return tok_whitespace(F.regexp_extract(_c(col), prefix, 1))

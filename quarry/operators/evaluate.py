@@ -9,15 +9,16 @@ over each query's full list.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 from pyspark.sql import types as T
 
 from quarry.functions import scoring as S
-from quarry.functions.text import first_tokens, tok_whitespace
+from quarry.functions.text import tok_whitespace
 from quarry.operators import rank as R
-from quarry.operators.util import broadcast_if_small, one_row
+from quarry.operators.index import let, term_counts
+from quarry.operators.util import one_row
 
 
 def system_baseline(j: DataFrame) -> DataFrame:
@@ -27,48 +28,45 @@ def system_baseline(j: DataFrame) -> DataFrame:
 
 def pair_tf(j: DataFrame) -> DataFrame:
     """Title tokens that are among the query keywords (keyword set semantics)."""
-    kw = tok_whitespace("query")
-    return j.withColumn("tf", F.size(F.filter(tok_whitespace("title"), lambda x: F.array_contains(kw, x))).cast("bigint"))
+    held = let(tok_whitespace("query"), lambda kw: F.filter(tok_whitespace("title"), lambda x: F.array_contains(kw, x)))
+    return j.withColumn("tf", F.size(held).cast("bigint"))
 
 
-def title_df(docs: DataFrame, title_tokens: int = 12) -> tuple[DataFrame, DataFrame]:
-    """(term, df) over the corpus titles (first ``title_tokens`` tokens) and a one-row N."""
-    t = docs.select("doc_id", first_tokens("text", title_tokens).alias("t"))
-    dfs = t.select(F.explode(F.array_distinct("t")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    n = docs.agg(F.count(F.lit(1)).alias("n_docs"))
-    return dfs, n
+def keyword_df(docs: DataFrame, keywords: DataFrame, text_col: str = "text") -> DataFrame:
+    """(term, df) over the documents, of the terms of ``keywords`` only."""
+    terms = docs.select(F.explode(F.array_distinct(tok_whitespace(text_col))).alias("term"))
+    return terms.join(keywords.select("term").distinct(), "term").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
 def pair_tfidf(j: DataFrame, docs: DataFrame) -> DataFrame:
-    """Sum over distinct query keywords of title tf * idf; unknown keywords use idf(N, 0)."""
-    dfs, n = title_df(docs)
-    kw = j.select("query_id", "doc_id", F.explode(F.array_distinct(tok_whitespace("query"))).alias("term"))
-    ttf = (
-        j.select("query_id", "doc_id", F.explode(tok_whitespace("title")).alias("term"))
-        .groupBy("query_id", "doc_id", "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
-    kw_terms = broadcast_if_small(kw.select("term").distinct())
-    dfs_q = dfs.join(kw_terms, "term", "left_semi")
-    con = (
-        kw.join(ttf, ["query_id", "doc_id", "term"])
-        .join(broadcast_if_small(dfs_q), "term", "left")
-        .crossJoin(one_row(n))
-        .withColumn("c", F.col("tf") * S.idf("n_docs", F.coalesce("df", F.lit(0))))
+    """Sum over the distinct query keywords in the title of tf * idf; pairs without any get 0.
+
+    The keywords of a title are counted within its row, so one (pair, keyword) row each meets the
+    document frequencies, and sums of whole billionths make ties exact."""
+    kw = F.array_distinct(tok_whitespace("query"))
+    held = let(kw, lambda k: F.filter(term_counts(tok_whitespace("title")), lambda x: F.array_contains(k, x["term"])))
+    hits = j.select("query_id", "doc_id", F.explode(held).alias("c"))
+    keywords = j.select("query_id", "query").distinct().select(F.explode(kw).alias("term"))
+    n = docs.agg(F.count(F.lit(1)).alias("n_docs"))
+    con = hits.select("query_id", "doc_id", "c.term", "c.tf").join(keyword_df(docs, keywords), "term").crossJoin(one_row(n))
+    s = con.groupBy("query_id", "doc_id").agg(F.sum(R.units(F.col("tf") * S.idf("n_docs", "df"))).alias("s"))
+    out = j.join(s, ["query_id", "doc_id"], "left")
+    return out.withColumn("tfidf", F.coalesce(R.in_units(F.col("s")), F.lit(0.0))).drop("s")
+
+
+def system_scores(j: DataFrame, docs: DataFrame) -> DataFrame:
+    """(system, query_id, doc_id, label, score) of three systems over the judged pairs: baseline (all
+    0, so in id order), tf and tfidf. One row per pair is scored, then unfolded."""
+    scored = pair_tfidf(pair_tf(j), docs)
+    systems = F.array(
+        *[F.struct(F.lit(n).alias("system"), c.cast("double").alias("score")) for n, c in (("baseline", F.lit(0.0)), ("tf", F.col("tf")), ("tfidf", F.col("tfidf")))]
     )
-    s = con.groupBy("query_id", "doc_id").agg(S.ordered_sum("term", "c").alias("s"))
-    return j.join(s, ["query_id", "doc_id"], "left").withColumn("tfidf", F.coalesce("s", F.lit(0.0))).drop("s")
-
+    return scored.select("query_id", "doc_id", "label", F.explode(systems).alias("s")).select("s.system", "query_id", "doc_id", "label", "s.score")
 
-def system_rankings(j: DataFrame, docs: DataFrame) -> DataFrame:
-    """Three systems over the judged pairs: baseline (id order), tf and tfidf (ties: smaller id).
 
-    All systems are ranked in ONE skew-safe ranking pass keyed by (system, query_id)."""
-    base = j.select(F.lit("baseline").alias("system"), "query_id", "doc_id", "label", F.lit(0.0).alias("score"))
-    tf = pair_tf(j).select(F.lit("tf").alias("system"), "query_id", "doc_id", "label", F.col("tf").cast("double").alias("score"))
-    tfidf = pair_tfidf(j, docs).select(F.lit("tfidf").alias("system"), "query_id", "doc_id", "label", F.col("tfidf").alias("score"))
-    scored = base.unionByName(tf).unionByName(tfidf)
-    return R.rank_within(scored, ["system", "query_id"], "score", "doc_id", ties="asc").drop("score")
+def system_rankings(j: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """The best ``k`` per system and query (ties: smaller id): partial top-k before the shuffle."""
+    return R.topk_batch(system_scores(j, docs), ["system", "query_id"], k, ties="asc").drop("score")
 
 
 def ideal_ranking(j: DataFrame, k: int | None = None) -> DataFrame:
@@ -89,24 +87,21 @@ def precision_at_k(r: DataFrame, k: int, keys=("system",)) -> DataFrame:
     return per_q.groupBy(*keys).agg(F.avg("p").alias(f"p_at_{k}"))
 
 
-def average_precision(r: DataFrame, keys=("system",)) -> DataFrame:
-    """AP per query over queries with at least one relevant row."""
-    rel = S.is_relevant("label")
-    # running count of relevant rows in rank order, skew-safe (a hot query spans partitions)
-    base = r.withColumn("rel", rel).withColumn("_neg_rank", -F.col("rank"))
-    cum = R.rank_within(base.drop("rank"), [*keys, "query_id"], "_neg_rank", "doc_id", running="rel").withColumnRenamed(
-        "running_rel", "cum_rel"
-    )
+def average_precision(scored: DataFrame, keys=("system",)) -> DataFrame:
+    """AP per query over queries with at least one relevant row, from scored pairs. Ranks and running
+    counts of relevant rows come from one skew-safe pass (a hot query spans partitions)."""
+    rel = scored.withColumn("rel", S.is_relevant("label"))
+    cum = R.rank_within(rel, [*keys, "query_id"], "score", "doc_id", running="rel")
     return (
         cum.groupBy(*keys, "query_id")
-        .agg(F.sum(F.when(F.col("rel") == 1, F.col("cum_rel") / F.col("rank"))).alias("s"), F.sum("rel").alias("n_rel"))
+        .agg(F.sum(F.when(F.col("rel") == 1, F.col("running_rel") / F.col("rank"))).alias("s"), F.sum("rel").alias("n_rel"))
         .where(F.col("n_rel") > 0)
         .select(*keys, "query_id", (F.col("s") / F.col("n_rel")).alias("ap"))
     )
 
 
-def mean_average_precision(r: DataFrame, keys=("system",)) -> DataFrame:
-    return average_precision(r, keys).groupBy(*keys).agg(F.avg("ap").alias("map"))
+def mean_average_precision(scored: DataFrame, keys=("system",)) -> DataFrame:
+    return average_precision(scored, keys).groupBy(*keys).agg(F.avg("ap").alias("map"))
 
 
 def dcg_at_k(r: DataFrame, k: int, keys=("system",)) -> DataFrame:
@@ -176,19 +171,33 @@ def binomial_sign_test(pairs: DataFrame) -> DataFrame:
     return c.select("a_wins", "b_wins", _binom_p(F.col("b_wins"), F.col("a_wins") + F.col("b_wins")).alias("p_value"))
 
 
+def _t_columns(d: Column) -> list[Column]:
+    n = F.count(F.lit(1))
+    return [n.alias("n"), F.avg(d).alias("mean_diff"), (F.avg(d) / (F.stddev_samp(d) / F.sqrt(n))).alias("t")]
+
+
 def paired_t(pairs: DataFrame) -> DataFrame:
-    """Paired t statistic of b - a... (ttest_rel(a, b) uses a - b)."""
-    d = F.col("a") - F.col("b")
-    return pairs.agg(
-        F.count(F.lit(1)).alias("n"), F.avg(d).alias("mean_diff"), (F.avg(d) / (F.stddev_samp(d) / F.sqrt(F.count(F.lit(1))))).alias("t")
-    )
+    """Paired t statistic of a - b (a: the improved system)."""
+    return pairs.agg(*_t_columns(F.col("a") - F.col("b")))
 
 
-def paired_t_test(pairs: DataFrame) -> DataFrame:
-    t = paired_t(pairs)
+def paired_t_by_pair(metric: DataFrame, value: str = "ndcg") -> DataFrame:
+    """(system_a, system_b, n, mean_diff, t) for all pairs of systems, the later name minus the earlier:
+    one self-join on the query (each query meets itself once per system)."""
+    a = metric.select("query_id", F.col("system").alias("system_a"), F.col(value).alias("a"))
+    b = metric.select("query_id", F.col("system").alias("system_b"), F.col(value).alias("b"))
+    both = a.join(b, "query_id").where(F.col("system_a") > F.col("system_b"))
+    return both.groupBy("system_a", "system_b").agg(*_t_columns(F.col("a") - F.col("b")))
+
+
+def with_t_p_value(t: DataFrame) -> DataFrame:
     return t.withColumn("p_value", _t_p(F.col("t"), (F.col("n") - 1).cast("double")))
 
 
+def paired_t_test(pairs: DataFrame) -> DataFrame:
+    return with_t_p_value(paired_t(pairs))
+
+
 def bonferroni(p, m: int):
     """p * m(m-1)/2 over all pairs of m systems, not clamped."""
     return p * F.lit(m * (m - 1) / 2.0)

@@ -8,38 +8,50 @@ aggregation for per-term counts, so hot terms do not skew a task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from quarry.functions.text import Analyzer, tok_whitespace
 
 
-def by_doc(docs: DataFrame, id_col: str) -> DataFrame:
-    """Hash-partition documents by id before analysis.
-
-    Every index aggregate is keyed by the document ((term, doc), (query, doc), (doc, start)), and a
-    hash partitioning on the id satisfies all of them, so after this one shuffle of the raw text
-    (pruned to the id and text columns, filters pushed below it) the tf postings, the per-query
-    document scores and the phrase / clause groups need no further exchange. Raw text is several
-    times smaller than the postings it would otherwise shuffle. A table stored bucketed by id makes
-    this exchange disappear as well."""
-    # an explicit count (the configured shuffle partitions) keeps AQE from coalescing the text
-    # into a few partitions: the work after this exchange is tokenizing, not the exchange size
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return docs.repartition(n, F.col(id_col))
-
-
 def with_tokens(docs: DataFrame, text_col: str, analyzer: Analyzer = tok_whitespace, out: str = "tokens") -> DataFrame:
     return docs.withColumn(out, analyzer(F.col(text_col)))
 
 
 def token_table(docs: DataFrame, id_col: str, text_col: str, analyzer: Analyzer = tok_whitespace) -> DataFrame:
-    """(doc_id, pos, term), positions from 0. Null fields yield no tokens."""
-    docs = by_doc(docs, id_col)
+    """(doc_id, pos, term), positions from 0. Null fields yield no tokens. No exchange."""
     return docs.select(F.col(id_col).alias("doc_id"), F.posexplode(analyzer(F.col(text_col))).alias("pos", "term"))
 
 
+def run_starts(items, key=lambda x: x) -> Column:
+    """Indexes at which a sorted array starts a run of equal keys."""
+    before = lambda i: key(F.get(items, i - 1))
+    at = F.sequence(F.lit(0), F.size(items) - 1)
+    return F.when(F.size(items) > 0, F.filter(at, lambda i: (i == 0) | (key(F.get(items, i)) != before(i)))).otherwise(
+        F.array().cast("array<int>")
+    )
+
+
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once per row, however often the body and the lambdas in it
+    use it (a column would be copied into every use, also into those run per array element)."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def term_counts(tokens: Column) -> Column:
+    """Array of (term, tf) of a row's tokens, made within the row by sorting them."""
+
+    def runs(s):
+        def of(at):
+            end = lambda i: F.coalesce(F.get(at, i + 1), F.size(s))
+            return F.transform(at, lambda x, i: F.struct(F.get(s, x).alias("term"), (end(i) - x).cast("bigint").alias("tf")))
+
+        return let(run_starts(s), of)
+
+    return let(F.array_sort(tokens), runs)
+
+
 def vocabulary_counts(docs: DataFrame, text_col: str, analyzer: Analyzer = tok_whitespace) -> DataFrame:
     """Collection frequency per term (partial aggregation before the shuffle)."""
     return (
@@ -50,8 +62,8 @@ def vocabulary_counts(docs: DataFrame, text_col: str, analyzer: Analyzer = tok_w
 
 
 def build_postings(docs: DataFrame, id_col: str, text_col: str, analyzer: Analyzer = tok_whitespace) -> DataFrame:
-    """(term, doc_id), one row per distinct term of a document. Narrow after the id partitioning."""
-    return by_doc(docs, id_col).where(F.col(text_col).isNotNull()).select(
+    """(term, doc_id), one row per distinct term of a document. No exchange."""
+    return docs.where(F.col(text_col).isNotNull()).select(
         F.explode(F.array_distinct(analyzer(F.col(text_col)))).alias("term"), F.col(id_col).alias("doc_id")
     )
 
@@ -61,40 +73,58 @@ def build_keyword_index(docs: DataFrame, id_col: str, field: str) -> DataFrame:
     return docs.where(F.col(field).isNotNull()).select(F.col(field).alias("term"), F.col(id_col).alias("doc_id"))
 
 
-def build_tf_postings(
-    docs: DataFrame, id_col: str, text_col: str, analyzer: Analyzer = tok_whitespace, shared: bool = False
-) -> DataFrame:
+def build_tf_postings(docs: DataFrame, id_col: str, text_col: str, analyzer: Analyzer = tok_whitespace) -> DataFrame:
     """(term, doc_id, tf, doc_len); ``doc_len`` rides on every posting so ranking needs no join.
+    A row holds a whole document, so its terms are counted within the row: no exchange."""
+    counted = let(analyzer(F.col(text_col)), lambda t: F.transform(term_counts(t), lambda c: F.struct(c["term"].alias("term"), c["tf"].alias("tf"), F.size(t).alias("doc_len"))))
+    rows = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.explode(counted).alias("c"))
+    return rows.select("c.term", "doc_id", "c.tf", "c.doc_len")
 
-    Single consumer (default): documents are hash-partitioned by id first (``by_doc``) and the
-    aggregate runs without a second exchange. ``shared=True`` is for plans that read the postings
-    several times (scores, df and corpus length): the postings aggregate keeps its own exchange,
-    after a partial aggregate that already yields final rows per document, so every consumer reads
-    the same shuffle output (ReusedExchange) and the corpus is tokenized once."""
-    if shared:
-        from quarry.sources.tables import spread
-
-        src = spread(docs)  # round-robin only when the input has fewer files than task slots
-    else:
-        src = by_doc(docs, id_col)
-    toks = src.where(F.col(text_col).isNotNull()).select(
-        F.col(id_col).alias("doc_id"), analyzer(F.col(text_col)).alias("tokens")
-    )
-    return (
-        toks.select("doc_id", F.size("tokens").alias("doc_len"), F.explode("tokens").alias("term"))
-        .groupBy("term", "doc_id", "doc_len")
-        .agg(F.count(F.lit(1)).alias("tf"))
-        .select("term", "doc_id", "tf", "doc_len")
-    )
+
+def matching_counts(docs: DataFrame, id_col: str, text_col: str, terms: DataFrame, analyzer: Analyzer = tok_whitespace) -> DataFrame:
+    """(term, doc_id, tf, doc_len) of the terms of ``terms`` only, and per document one row of the
+    term '' (no token is empty) that stands for the document itself, a null field having length 0.
+
+    Terms are counted and filtered where the text is read; what is left moves once, by document.
+    Statistics and scores read that one exchange (ReusedExchange), and sums per (query, document)
+    need no other.
+    """
+    tokens = F.coalesce(analyzer(F.col(text_col)), F.array().cast("array<string>"))
+
+    def rows_of(t):
+        itself = F.array(F.struct(F.lit("").alias("term"), F.lit(1).cast("bigint").alias("tf")))
+        return F.transform(F.concat(term_counts(t), itself), lambda c: F.struct(c["term"].alias("term"), c["tf"].alias("tf"), F.size(t).alias("doc_len")))
+
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.explode(let(tokens, rows_of)).alias("c"))
+    wanted = terms.select("term").distinct().union(docs.sparkSession.createDataFrame([("",)], "term string"))
+    return rows.select("c.term", "doc_id", "c.tf", "c.doc_len").join(wanted, "term").repartition("doc_id")
+
+
+def matching_stats(matching: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(term, df) and one row (n_docs, avg_len) from ``matching_counts``.
+
+    tf and doc_len stay in use and nothing is filtered, so that the exchange below is the one that
+    the scores read."""
+    per = matching.groupBy("term").agg(F.count(F.when(F.col("tf") > 0, 1)).alias("df"), F.sum(F.col("doc_len").cast("double")).alias("len"))
+    itself = F.col("term") == ""
+    n, total = F.sum(F.when(itself, F.col("df"))), F.sum(F.when(itself, F.col("len")))
+    return per.select("term", "df"), per.agg(n.alias("n_docs"), (total / n).alias("avg_len"))
 
 
 def build_positional(docs: DataFrame, id_col: str, text_col: str, analyzer: Analyzer = tok_whitespace) -> DataFrame:
-    """(term, doc_id, positions ARRAY<INT> ascending). A position list is bounded by one document."""
-    return (
-        token_table(docs.where(F.col(text_col).isNotNull()), id_col, text_col, analyzer)
-        .groupBy("term", "doc_id")
-        .agg(F.sort_array(F.collect_list("pos")).alias("positions"))
-    )
+    """(term, doc_id, positions ARRAY<INT> ascending), made within each document's row."""
+
+    def runs(s):
+        def of(at):
+            end = lambda i: F.coalesce(F.get(at, i + 1), F.size(s))
+            run = lambda x, i: F.transform(F.slice(s, x + 1, end(i) - x), lambda y: y["pos"])
+            return F.transform(at, lambda x, i: F.struct(F.get(s, x)["term"].alias("term"), run(x, i).alias("positions")))
+
+        return let(run_starts(s, lambda x: x["term"]), of)
+
+    pairs = F.array_sort(F.transform(analyzer(F.col(text_col)), lambda t, i: F.struct(t.alias("term"), i.alias("pos"))))
+    rows = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.explode(let(pairs, runs)).alias("p"))
+    return rows.select("p.term", "doc_id", "p.positions")
 
 
 def term_lookup(postings: DataFrame, term: str) -> DataFrame:
@@ -120,14 +150,6 @@ def corpus_stats(docs: DataFrame, id_col: str, text_col: str, analyzer: Analyzer
     return lens.agg(F.count(F.lit(1)).alias("n_docs"), F.avg(F.col("len").cast("double")).alias("avg_len"))
 
 
-def corpus_stats_from_postings(docs: DataFrame, postings: DataFrame) -> DataFrame:
-    """One row (n_docs, avg_len) without tokenizing again: N from the document scan, total length
-    as the sum of tf over the postings (whose shuffle the ranking plan already holds)."""
-    n = docs.agg(F.count(F.lit(1)).alias("n_docs"))
-    tot = postings.agg(F.sum("tf").alias("_tot"))
-    return n.crossJoin(tot).select("n_docs", (F.coalesce(F.col("_tot"), F.lit(0)) / F.col("n_docs")).alias("avg_len"))
-
-
 def dense_ids(df: DataFrame, order_col: str, out: str = "idx") -> DataFrame:
     """Consecutive 0-based integers in ``order_col`` order without a single-partition window.
 
@@ -138,8 +160,7 @@ def dense_ids(df: DataFrame, order_col: str, out: str = "idx") -> DataFrame:
     """
     from quarry.operators.util import materialize
 
-    n_parts = max(df.sparkSession.sparkContext.defaultParallelism, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    sorted_df = df.repartitionByRange(n_parts, F.col(order_col)).sortWithinPartitions(order_col)
+    sorted_df = df.repartitionByRange(F.col(order_col)).sortWithinPartitions(order_col)
     tagged = materialize(sorted_df.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id()))
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
     offsets = counts.withColumn(

@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from quarry.functions.hashing import md5_mod
 from quarry.operators import index as I
-from quarry.operators.util import broadcast_if_small
 
 
 def upserts_per_commit(log: DataFrame) -> DataFrame:

@@ -8,15 +8,14 @@ feature values.
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quarry.functions import scoring as S
 from quarry.functions.text import tok_whitespace
 from quarry.operators import evaluate as E
-from quarry.operators.util import broadcast_if_small, one_row
+from quarry.operators.index import let
+from quarry.operators.util import one_row
 
 # The 20 feature names, in the reference's order.
 FEATURES = [
@@ -45,43 +44,52 @@ def field_stats(train: DataFrame, col: str) -> tuple[DataFrame, DataFrame]:
     return n, dfs
 
 
-def field_features(pairs: DataFrame, train: DataFrame, short: str, col: str) -> DataFrame:
-    n, dfs = field_stats(train, col)
-    kw = pairs.select(*PAIR, F.posexplode(tok_whitespace("query")).alias("qpos", "term"))
-    kw_keys = kw.select(*PAIR, "term").distinct()
-    ftf = (
-        pairs.where(F.col(col).isNotNull())
-        .select(*PAIR, F.explode(tok_whitespace(col)).alias("term"))
-        .join(kw_keys, PAIR + ["term"], "left_semi")
-        .groupBy(*PAIR, "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
-    lens = pairs.select(*PAIR, F.when(F.col(col).isNotNull(), F.size(tok_whitespace(col))).otherwise(0).alias("len"))
-    q_terms = broadcast_if_small(kw.select("term").distinct())
-    rows = (
-        kw.join(ftf, PAIR + ["term"], "left")
-        .join(dfs.join(q_terms, "term", "left_semi"), "term", "left")
-        .join(lens, PAIR)
-        .crossJoin(one_row(n))
-        .withColumn("tf", F.coalesce("tf", F.lit(0)).cast("double"))
-        .withColumn("idf", S.idf("n", F.coalesce("df", F.lit(0))))
-        .withColumn("tfidf", F.col("tf") * F.col("idf"))
-        .withColumn("bm25", S.bm25_weight("tf", S.BM25_K1, S.BM25_B, "len", "avg_len") * F.col("idf"))
-    )
-    aggs = []
-    for f in ("tf", "tfidf", "bm25"):
-        aggs += [F.sum(f).alias(f"{short}_{f}_sum"), F.avg(f).alias(f"{short}_{f}_avg"), F.var_pop(f).alias(f"{short}_{f}_var")]
-    per_pair = rows.groupBy(*PAIR).agg(*aggs)
-    return lens.withColumnRenamed("len", f"{short}_len").join(per_pair, PAIR, "left")
+def keyword_rows(pairs: DataFrame) -> DataFrame:
+    """One row per pair and query keyword (repeats kept, none for an empty query: one null row) with
+    the keyword's tf in each field, counted within the pair's row, and the fields' lengths."""
+    def tokens(col):
+        return F.coalesce(tok_whitespace(col), F.array().cast("array<string>"))
+
+    def of(held):
+        lens = [F.size(held[s]).alias(f"{s}_len") for s in FIELDS]
+        tfs = lambda w: [(F.size(held[s]) - F.size(F.array_remove(held[s], w))).cast("double").alias(f"{s}_tf") for s in FIELDS]
+        return F.struct(*lens, F.transform(held["q"], lambda w: F.struct(w.alias("term"), *tfs(w))).alias("kws"))
+
+    held = F.struct(tokens("query").alias("q"), *[tokens(c).alias(s) for s, c in FIELDS.items()])
+    rows = pairs.select(*PAIR, "label", "split", let(held, of).alias("r"))
+    rows = rows.select(*PAIR, "label", "split", *[f"r.{s}_len" for s in FIELDS], F.explode_outer("r.kws").alias("k"))
+    return rows.select(*PAIR, "label", "split", *[f"{s}_len" for s in FIELDS], "k.*")
+
+
+def keyword_dfs(train: DataFrame, keywords: DataFrame) -> DataFrame:
+    """(term, title_df, desc_df) over the training pairs, of the keywords only."""
+    def marked(short):
+        distinct = F.array_distinct(F.coalesce(tok_whitespace(FIELDS[short]), F.array().cast("array<string>")))
+        return F.transform(distinct, lambda w: F.struct(w.alias("term"), *[F.lit(int(short == o)).alias(f"{o}_df") for o in FIELDS]))
+
+    marks = [marked(short) for short in FIELDS]
+    terms = train.select(F.explode(F.concat(*marks)).alias("m")).select("m.*")
+    return terms.join(keywords.select("term").distinct(), "term").groupBy("term").agg(*[F.sum(f"{s}_df").alias(f"{s}_df") for s in FIELDS])
 
 
 def features(pairs: DataFrame) -> DataFrame:
-    """Pairs (query_id, doc_id, query, title, description, label, split) + the 20 features."""
+    """Pairs (query_id, doc_id, query, title, description, label, split) + the 20 features: one join
+    to the document frequencies and one aggregate per pair for both fields."""
     train = pairs.where(F.col("split") == "train")
-    out = pairs.select(*PAIR, "label", "split")
-    for short, col in FIELDS.items():
-        out = out.join(field_features(pairs, train, short, col), PAIR)
-    return out.select(*PAIR, "label", "split", *[F.col(f).cast("double").alias(f) for f in FEATURES])
+    keywords = pairs.select("query").distinct().select(F.explode(tok_whitespace("query")).alias("term"))
+    sizes = [F.when(F.col(c).isNotNull(), F.size(tok_whitespace(c))).otherwise(0) for c in FIELDS.values()]
+    n = F.count(F.lit(1))
+    stats = train.agg(n.alias("n"), *[(F.sum(x) / n).alias(f"{s}_avg") for s, x in zip(FIELDS, sizes, strict=True)])
+    rows = keyword_rows(pairs).join(keyword_dfs(train, keywords), "term", "left").crossJoin(one_row(stats))
+    aggs = []
+    for s in FIELDS:
+        idf = S.idf("n", F.coalesce(f"{s}_df", F.lit(0)))
+        tf = F.col(f"{s}_tf")
+        bm25 = S.bm25_weight(f"{s}_tf", S.BM25_K1, S.BM25_B, f"{s}_len", f"{s}_avg") * idf
+        for name, x in (("tf", tf), ("tfidf", tf * idf), ("bm25", bm25)):
+            aggs += [F.sum(x).alias(f"{s}_{name}_sum"), F.avg(x).alias(f"{s}_{name}_avg"), F.var_pop(x).alias(f"{s}_{name}_var")]
+    per_pair = rows.groupBy(*PAIR, "label", "split", *[f"{s}_len" for s in FIELDS]).agg(*aggs)
+    return per_pair.select(*PAIR, "label", "split", *[F.col(f).cast("double").alias(f) for f in FEATURES])
 
 
 def minmax(feats: DataFrame, cols: list[str] = FEATURES) -> DataFrame:
@@ -110,7 +118,7 @@ def fit_logistic(train: DataFrame, cols: list[str] = FEATURES):
 
     data = assemble(train, cols).withColumn("y", S.is_relevant("label").cast("double"))
     n = data.count()
-    lr = LogisticRegression(featuresCol="features", labelCol="y", regParam=1.0 / max(n, 1), elasticNetParam=0.0, standardization=False, maxIter=1000)
+    lr = LogisticRegression(featuresCol="features", labelCol="y", regParam=1.0 / max(n, 1), elasticNetParam=0.0, standardization=False, maxIter=10000)
     return lr.fit(data)
 
 
@@ -122,90 +130,75 @@ def logistic_scores(model, test: DataFrame, cols: list[str] = FEATURES) -> DataF
     return pred.withColumn("score", F.log(vector_to_array("probability")[1])).drop("features", "rawPrediction", "probability", "prediction")
 
 
-def fit_gbt(train: DataFrame, cols: list[str] = FEATURES, valid_col: str | None = None, step: float = 0.1, iters: int = 50, seed: int = 0):
-    """Pointwise boosted trees on the graded gain (MLlib GBTRegressor)."""
-    from pyspark.ml.regression import GBTRegressor
-
-    data = assemble(train, cols).withColumn("gain", S.label_gain("label").cast("double"))
-    kw = dict(featuresCol="features", labelCol="gain", stepSize=step, maxIter=iters, seed=seed, maxDepth=6)
-    if valid_col:
-        kw["validationIndicatorCol"] = valid_col
-    return GBTRegressor(**kw).fit(data)
-
-
-def model_scores(model, test: DataFrame, cols: list[str] = FEATURES) -> DataFrame:
-    return model.transform(assemble(test, cols)).withColumnRenamed("prediction", "score").drop("features")
-
-
 def ndcg_of_scores(scored: DataFrame, judg: DataFrame, k: int = 10, ascending: bool = False) -> DataFrame:
     """Rank pairs by score (desc, ties: smaller id; or ascending) and return mean nDCG@k."""
     from quarry.operators import rank as R
 
     s = scored.withColumn("_s", -F.col("score") if ascending else F.col("score"))
-    r = R.rank_all(s, "query_id", "_s", "doc_id", ties="asc").withColumn("system", F.lit("model"))
+    r = R.topk_batch(s, "query_id", k, score="_s", ties="asc").withColumn("system", F.lit("model"))
     nd = E.ndcg_at_k(r.select("system", "query_id", "doc_id", "label", "rank"), judg, k)
     return nd.agg(F.avg("ndcg").alias("mean_ndcg"), F.count(F.lit(1)).alias("n_queries"))
 
 
-def top_features(model, cols: list[str], k: int = 10) -> list[tuple[str, float]]:
-    """The k most important features (ties: later name first, as a max-heap of (importance, name))."""
-    imp = list(model.featureImportances.toArray())
-    ranked = sorted(zip(imp, cols), reverse=True)[:k]
-    return [(n, float(v)) for v, n in ranked]
+def top_features(trees, cols: list[str], k: int = 10) -> list[tuple[str, float]]:
+    """The k most important features over all trees (ties: later name first, as a max-heap of
+    (importance, name))."""
+    imp = sum(t.featureImportances.toArray() for t in trees) / max(1, len(trees))
+    return [(n, float(v)) for v, n in sorted(zip(imp, cols, strict=True), reverse=True)[:k]]
+
 
+# ---- model scores over text pairs -------------------------------------------------------------
 
-# ---- external scorers over text pairs (mapInPandas) -------------------------------------------
+LABELS = ["I", "C", "S", "E"]  # class numbers of the label model
 
-# Input template markers of the masked-language-model re-ranker.
-SEP, MASK = "[SEP]", "[MASK]"
 
+def fit_label_model(train: DataFrame, cols: list[str] = FEATURES):
+    """Multinomial logistic regression of the four labels on the lexical features."""
+    from pyspark.ml.classification import LogisticRegression
 
-def lexical_mask_scorer(texts: list[str]) -> list[list[tuple[str, float]]]:
-    """Deterministic stand-in for a fill-mask model: scores for the four label tokens from the
-    keyword overlap between the query and title parts of "[MASK] [SEP] q [SEP] t"."""
-    out = []
-    for t in texts:
-        parts = t.split(f" {SEP} ")
-        q = set(parts[1].split()) if len(parts) > 1 else set()
-        ti = parts[2].split() if len(parts) > 2 else []
-        overlap = sum(1 for w in ti if w in q) / (len(ti) or 1)
-        p_i = 1.0 / (1.0 + 10.0 * overlap)
-        rest = (1.0 - p_i) / 3.0
-        out.append([("E", rest * 1.5), ("S", rest), ("C", rest * 0.5), ("I", p_i)])
-    return out
+    y = F.array_position(F.array(*[F.lit(x) for x in LABELS]), F.col("label")) - 1
+    data = assemble(train, cols).withColumn("y", y.cast("double"))
+    return LogisticRegression(featuresCol="features", labelCol="y", family="multinomial", regParam=0.01, maxIter=200).fit(data)
 
 
-def penalty_rerank(pairs: DataFrame, scorer=lexical_mask_scorer, batch: int = 16) -> DataFrame:
-    """Penalty = score of token "I", else the minimum returned score; computed per batch in tasks."""
-    schema = T.StructType(
-        [T.StructField("query_id", T.LongType()), T.StructField("doc_id", T.LongType()), T.StructField("penalty", T.DoubleType())]
-    )
-    texts = pairs.select(*PAIR, F.concat_ws(" ", F.lit(MASK), F.lit(SEP), "query", F.lit(SEP), "title").alias("text"))
+def label_outputs(model, pairs: DataFrame, cols: list[str] = FEATURES, n: int = 3) -> DataFrame:
+    """Pairs plus ``outputs``: the model's n likeliest labels as (token, score), best first."""
+    from pyspark.ml.functions import vector_to_array
 
-    def run(it):
-        for pdf in it:
-            pens = []
-            for s in range(0, len(pdf), batch):
-                for outs in scorer(pdf["text"].iloc[s : s + batch].tolist()):
-                    hit = [sc for tok, sc in outs if tok == "I"]
-                    pens.append(hit[0] if hit else min([sc for _, sc in outs] + [1.0]))
-            yield pd.DataFrame({"query_id": pdf["query_id"].values, "doc_id": pdf["doc_id"].values, "penalty": pens})
+    p = model.transform(assemble(pairs, cols)).withColumn("_p", vector_to_array("probability"))
+    seen = F.transform("_p", lambda x, i: F.struct(x.alias("score"), F.get(F.array(*[F.lit(t) for t in LABELS]), i).alias("token")))
+    out = p.withColumn("outputs", F.slice(F.reverse(F.array_sort(seen)), 1, n))
+    return out.drop("features", "rawPrediction", "probability", "prediction", "_p")
+
+
+def penalty(outputs: Column | str) -> Column:
+    """Penalty of a pair from a scorer's (token, score) outputs: the score of token "I" if it is among
+    them, else the least score returned, 1 without any output."""
+    outputs = F.col(outputs) if isinstance(outputs, str) else outputs
+    hit = F.filter(outputs, lambda x: x["token"] == "I")
+    least = F.array_min(F.transform(outputs, lambda x: x["score"]))
+    return F.coalesce(F.get(hit, 0)["score"], least, F.lit(1.0))
+
+
+def encode(df: DataFrame, text_col: str, out: str, dim: int = 64) -> DataFrame:
+    """``out``: the text's lower-cased tokens hashed into ``dim`` features, length 1 (MLlib, JVM-side)."""
+    from pyspark.ml.feature import HashingTF, Normalizer
+    from pyspark.ml.functions import vector_to_array
 
-    return texts.mapInPandas(run, schema)
+    tokens = F.coalesce(F.transform(tok_whitespace(text_col), F.lower), F.array().cast("array<string>"))
+    hashed = HashingTF(numFeatures=dim, inputCol="_tokens", outputCol="_hashed").transform(df.withColumn("_tokens", tokens))
+    unit = Normalizer(p=2.0, inputCol="_hashed", outputCol="_unit").transform(hashed)
+    return unit.withColumn(out, vector_to_array("_unit")).drop("_tokens", "_hashed", "_unit")
 
 
-def biencoder_scores(pairs: DataFrame, encoder=None) -> DataFrame:
-    """Cosine of query and title vectors; each DISTINCT query is encoded once and joined back."""
+def biencoder_scores(pairs: DataFrame) -> DataFrame:
+    """Cosine of query and title vectors; each DISTINCT query is encoded once and joined back by its
+    text, the title is encoded in its row. A null or empty side has cosine 0."""
     from quarry.functions import vectors as VF
-    from quarry.operators.vector import embed
 
-    qs = pairs.select("query").distinct().withColumn("qkey", F.xxhash64("query"))
-    qv = embed(qs.select("qkey", "query"), "qkey", "query", encoder).withColumnRenamed("embedding", "qv")
-    tv = embed(pairs.select(F.concat_ws(":", "query_id", "doc_id").alias("pkey"), "title"), "pkey", "title", encoder)
-    keyed = pairs.withColumn("qkey", F.xxhash64("query")).withColumn("pkey", F.concat_ws(":", "query_id", "doc_id"))
-    # distinct queries: left to AQE (measured at run time) rather than counted twice through the encoder
-    j = keyed.join(tv, "pkey").join(qv, "qkey")
-    return j.withColumn("score", VF.cosine("embedding", "qv")).drop("embedding", "qv", "qkey", "pkey")
+    qv = encode(pairs.select("query").distinct(), "query", "qv")
+    j = encode(pairs, "title", "tv").join(qv.withColumnRenamed("query", "_q"), F.col("query").eqNullSafe(F.col("_q")))
+    return j.withColumn("score", VF.dot("tv", "qv")).drop("tv", "qv", "_q")
 
 
 # ---- listwise boosted trees ------------------------------------------------------------------
@@ -216,32 +209,30 @@ def _per_query(df: DataFrame, agg, name: str) -> DataFrame:
     return df.join(df.groupBy("query_id").agg(agg.alias(name)), "query_id")
 
 
-def fit_listwise_trees(train: DataFrame, cols: list[str] = FEATURES, iters: int = 10, rate: float = 0.1, depth: int = 4, seed: int = 0):
+def fit_listwise_trees(train: DataFrame, cols: list[str] = FEATURES, rounds: int = 100, rate: float = 0.1, depth: int = 4, seed: int = 0):
     """Gradient boosting on the ListNet (top-one softmax) cross-entropy between the gain
-    distribution and the score distribution of each query.
+    distribution and the score distribution of each query, exactly ``rounds`` trees.
 
     The gradient of a document is p_score - p_gain, which needs per-query sums only: no pairs
     of documents are formed, so a query holding a third of the rows costs partial aggregates, not
     a quadratic pair set. Each round fits an MLlib regression tree to the negative gradient and
-    the scored table is checkpointed (shared checkpoint folder) to cut the loop's lineage.
+    the scored table is checkpointed (shared checkpoint folder) to cut the loop's lineage. Scores
+    stay below rounds * rate in size, so their exponentials need no shift.
     Returns (trees, rate); score = rate * sum of tree predictions."""
     from pyspark.ml.regression import DecisionTreeRegressor
 
     from quarry.operators.util import materialize
 
-    base = assemble(train, cols).withColumn("gain", S.label_gain("label").cast("double"))
-    base = _per_query(base, F.max("gain"), "_gm").withColumn("_eg", F.exp(F.col("gain") - F.col("_gm")))
+    base = assemble(train, cols).withColumn("_eg", F.exp(S.label_gain("label").cast("double")))
     base = _per_query(base, F.sum("_eg"), "_gz").withColumn("p_t", F.col("_eg") / F.col("_gz"))
     data = materialize(base.select("query_id", "doc_id", "features", "p_t", F.lit(0.0).alias("s")))
     trees = []
-    for _ in range(iters):
-        e = _per_query(data, F.max("s"), "_sm").withColumn("_es", F.exp(F.col("s") - F.col("_sm")))
-        g = _per_query(e, F.sum("_es"), "_sz").withColumn("target", F.col("p_t") - F.col("_es") / F.col("_sz"))
+    for _ in range(rounds):
+        g = _per_query(data, F.sum(F.exp("s")), "_sz").withColumn("target", F.col("p_t") - F.exp("s") / F.col("_sz"))
         tree = DecisionTreeRegressor(featuresCol="features", labelCol="target", maxDepth=depth, seed=seed).fit(g)
         trees.append(tree)
-        data = materialize(
-            tree.transform(g).select("query_id", "doc_id", "features", "p_t", (F.col("s") + rate * F.col("prediction")).alias("s"))
-        )
+        moved = tree.transform(data).withColumn("s", F.col("s") + rate * F.col("prediction"))
+        data = materialize(moved.select("query_id", "doc_id", "features", "p_t", "s"))
     return trees, rate
 
 

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.util import broadcast_if_small
+from quarry.functions.text import tok_whitespace
 
 # ---- set operators on id frames ---------------------------------------------------------------
 
@@ -35,6 +35,12 @@ def bool_and_not(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.select("doc_id").join(b.select("doc_id"), "doc_id", "left_anti")
 
 
+def documents_with_any(docs: DataFrame, id_col: str, text_col: str, terms: list[str], analyzer=tok_whitespace) -> DataFrame:
+    """(doc_id) of the documents that hold one of a few literal terms, decided within the row."""
+    held = F.arrays_overlap(analyzer(F.col(text_col)), F.array(*[F.lit(t) for t in terms]))
+    return docs.where(held).select(F.col(id_col).alias("doc_id"))
+
+
 def or_with_tf(a: DataFrame, b: DataFrame) -> DataFrame:
     """Union keeping each side's tf, 0 where absent: (doc_id, tf_a, tf_b)."""
     return (
@@ -73,9 +79,8 @@ def phrase_match(tokens: DataFrame, phrases: DataFrame) -> DataFrame:
     matching phrase word ``off`` votes for a start at pos - off; a start with votes from all
     offsets is a match. Grouping is keyed by document, so frequent words do not skew it.
     """
-    p = broadcast_if_small(phrases)
-    votes = tokens.join(p, "term").select("query_id", "doc_id", (F.col("pos") - F.col("off")).alias("start"), "off", "plen")
-    starts = votes.groupBy("query_id", "doc_id", "start", "plen").agg(F.countDistinct("off").alias("n"))
+    votes = tokens.join(phrases, "term").select("query_id", "doc_id", (F.col("pos") - F.col("off")).alias("start"), "off", "plen")
+    starts = votes.groupBy("query_id", "doc_id", "start", "plen").agg(F.count(F.lit(1)).alias("n"))
     return starts.where(F.col("n") == F.col("plen")).select("query_id", "doc_id").distinct()
 
 
@@ -181,7 +186,7 @@ def bool_query(positional: DataFrame, clauses: dict[int, object]) -> DataFrame:
         [(qid, t) for qid, node in clauses.items() for t in sorted(leaf_terms(node))], "query_id bigint, term string"
     )
     per_doc = (
-        positional.join(broadcast_if_small(leaves), "term")
+        positional.join(leaves, "term")
         .groupBy("query_id", "doc_id")
         .agg(F.map_from_entries(F.collect_list(F.struct("term", "positions"))).alias("m"))
     )

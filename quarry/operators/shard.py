@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from quarry.functions.hashing import md5_mod
 from quarry.operators.rank import topk_batch
-from quarry.operators.util import broadcast_if_small
 
 
 def assign_shard(df: DataFrame, id_col: str, n: int, out: str = "shard") -> DataFrame:
@@ -32,11 +31,9 @@ def sharded_topk(scored: DataFrame, k: int, group: str = "query_id", id_col: str
 def late_materialize(top: DataFrame, docs: DataFrame, id_col: str, fields: dict) -> DataFrame:
     """Fetch stored fields only for the winners (a keyed join cannot misalign ids and fields).
 
-    ``top`` holds at most k rows per query of an already size-checked query table, so it is
-    broadcast by construction; ``fields`` (name -> Column over ``docs``) are computed after the
-    join, i.e. only for the winners."""
-    winners = F.broadcast(top)
-    joined = docs.withColumnRenamed(id_col, "doc_id").join(winners, "doc_id")
+    ``top`` holds at most k rows per query; AQE broadcasts it if it measures small. ``fields``
+    (name -> Column over ``docs``) are computed after the join, i.e. only for the winners."""
+    joined = docs.withColumnRenamed(id_col, "doc_id").join(top, "doc_id")
     return joined.select(*top.columns, *[c.alias(n) for n, c in fields.items()])
 
 

@@ -1,14 +1,15 @@
 """Vector similarity search: exact top-k, IVF (coarse quantisation) and LSH.
 
-Exact search scores every (document, query) pair, so the query batch is the broadcast side and
-must be bounded; IVF restricts the candidates to the probed centroid lists, which is the plan
-that holds as the corpus grows. Centroids number about sqrt(n) and are broadcast behind a size
-check. Vectors stay out of shuffles until the rerank.
+Query vectors and centroids are stated sets that meet all rows in blocks: a block of at most
+``BLOCK`` vectors is broadcast, every task scores its rows against it with BLAS and keeps the best
+of the block, and a partial top-k merges the blocks. One plan at every size; the driver and a task
+hold one block. IVF restricts the candidates to the probed centroid lists.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -18,9 +19,23 @@ from pyspark.sql import types as T
 
 from quarry.functions import vectors as V
 from quarry.operators import rank as R
-from quarry.operators.util import broadcast_if_small
+from quarry.operators.index import dense_ids
 
-MAX_BROADCAST_VECTORS = 100_000
+BLOCK = 4096  # query vectors or centroids that a task holds at a time
+ROWS = 2048  # rows scored against a block at a time
+
+
+def blocks(vectors: DataFrame, id_col: str, vec_col: str = "embedding") -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(ids, matrix) blocks of a table of vectors, streamed partition by partition."""
+    ids, rows = [], []
+    for r in vectors.select(F.col(id_col).cast("long").alias("i"), F.col(vec_col).cast("array<double>").alias("v")).toLocalIterator():
+        ids.append(r["i"])
+        rows.append(np.array(r["v"]))
+        if len(ids) == BLOCK:
+            yield np.array(ids, np.int64), np.stack(rows)
+            ids, rows = [], []
+    if ids:
+        yield np.array(ids, np.int64), np.stack(rows)
 
 
 def mean_vectors(vecs: DataFrame, group: str, vec: str = "embedding", out: str = "embedding") -> DataFrame:
@@ -32,59 +47,60 @@ def mean_vectors(vecs: DataFrame, group: str, vec: str = "embedding", out: str =
 
 
 def dot_scores(docs: DataFrame, queries: DataFrame, id_col: str = "vec_id") -> DataFrame:
-    """(query_id, id, score) for every document and query; queries are the broadcast side."""
-    q = broadcast_if_small(queries.select("query_id", F.col("embedding").alias("qv")), MAX_BROADCAST_VECTORS)
+    """(query_id, id, score) for every document and query: the whole matrix is the result."""
+    q = queries.select("query_id", F.col("embedding").alias("qv"))
     return docs.crossJoin(q).select("query_id", id_col, V.dot("embedding", "qv").alias("score"))
 
 
-def exact_knn(docs: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id") -> DataFrame:
-    """Exact top-k by dot product for a batch of queries, ties to the larger id.
-
-    The (size-checked) query matrix is broadcast; each task scores its vectors in BLAS chunks and
-    keeps a running top-k per query, so at most k rows per query leave a task and no
-    (vector, query) row is materialised. The final top-k merges those partial lists."""
-    limit = MAX_BROADCAST_VECTORS
-    q = queries.select(F.col("query_id").cast("long").alias("query_id"), "embedding")
-    if q.limit(limit + 1).count() > limit:
-        return R.topk_batch(dot_scores(docs, queries, id_col), "query_id", k, id_col=id_col)
-    rows = q.collect()  # bounded by the check above; becomes one broadcast variable
-    qids = np.array([r.query_id for r in rows], dtype=np.int64)
-    qmat = np.array([list(r.embedding) for r in rows], dtype=np.float64).reshape(len(rows), -1)
-    bc = docs.sparkSession.sparkContext.broadcast((qids, qmat))
+def _merged(parts: list[DataFrame], empty: DataFrame) -> DataFrame:
+    out = empty
+    for part in parts:
+        out = part if out is empty else out.unionByName(part)
+    return out
+
+
+def _best_per_query(docs: DataFrame, queries: DataFrame, k: int, id_col: str, score) -> DataFrame:
+    """(query_id, id, score) holding each query's best k, ties to the larger id, and at most k rows
+    per query and task. ``score``: rows x block matrix of two matrices, larger is better."""
     schema = T.StructType(
         [T.StructField("query_id", T.LongType()), T.StructField(id_col, T.LongType()), T.StructField("score", T.DoubleType())]
     )
+    rows = docs.select(F.col(id_col).cast("long").alias(id_col), "embedding")
+    parts = []
+    for block in blocks(queries, "query_id"):
+        shared = docs.sparkSession.sparkContext.broadcast(block)
+
+        def run(batches, shared=shared):
+            qids, q = shared.value
+            best_s, best_i = np.full((len(qids), 0), 0.0), np.zeros((len(qids), 0), np.int64)
+            for pdf in batches:
+                for at in range(0, len(pdf), ROWS):
+                    ids = pdf[id_col].to_numpy(np.int64)[at : at + ROWS]
+                    s = score(np.stack(pdf["embedding"].iloc[at : at + ROWS]).astype(np.float64), q).T
+                    s = np.concatenate([best_s, s], axis=1)
+                    i = np.concatenate([best_i, np.broadcast_to(ids, (len(qids), len(ids)))], axis=1)
+                    order = np.lexsort((-i, -s), axis=1)[:, :k]
+                    best_s, best_i = np.take_along_axis(s, order, 1), np.take_along_axis(i, order, 1)
+            n = best_s.shape[1]
+            yield pd.DataFrame({"query_id": np.repeat(qids, n), id_col: best_i.ravel(), "score": best_s.ravel()})
+
+        parts.append(rows.mapInPandas(run, schema))
+    return R.topk_batch(_merged(parts, docs.sparkSession.createDataFrame([], schema)), "query_id", k, id_col=id_col)
 
-    def run(it):
-        qi, qm = bc.value
-        nq = len(qi)
-        best_s = [np.empty(0) for _ in range(nq)]
-        best_i = [np.empty(0, dtype=np.int64) for _ in range(nq)]
-        chunk = max(1, int(4_000_000 // max(nq, 1)))
-        for pdf in it:
-            if len(pdf) == 0 or nq == 0:
-                continue
-            ids = pdf[id_col].to_numpy(dtype=np.int64)
-            xs = np.array([list(v) for v in pdf["embedding"]], dtype=np.float64)
-            for s in range(0, len(xs), chunk):
-                sc = xs[s : s + chunk] @ qm.T  # rows x queries
-                cid = ids[s : s + chunk]
-                for j in range(nq):
-                    cs = np.concatenate([best_s[j], sc[:, j]])
-                    ci = np.concatenate([best_i[j], cid])
-                    order = np.lexsort((-ci, -cs))[:k]  # score desc, then id desc
-                    best_s[j], best_i[j] = cs[order], ci[order]
-        if nq:
-            yield pd.DataFrame(
-                {
-                    "query_id": np.repeat(qi, [len(b) for b in best_i]),
-                    id_col: np.concatenate(best_i),
-                    "score": np.concatenate(best_s),
-                }
-            )
-
-    partial = docs.select(F.col(id_col).cast("long").alias(id_col), "embedding").mapInPandas(run, schema)
-    return R.topk_batch(partial, "query_id", k, id_col=id_col)
+
+def exact_knn(docs: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id") -> DataFrame:
+    """Exact top-k by dot product for a batch of queries, ties to the larger id."""
+    return _best_per_query(docs, queries, k, id_col, lambda x, q: x @ q.T)
+
+
+def exact_l2(docs: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id") -> DataFrame:
+    """(query_id, rank, id, dist): the exact k nearest by Euclidean distance."""
+
+    def near(x, q):
+        return -np.sqrt(np.maximum(0.0, (x * x).sum(1)[:, None] - 2 * x @ q.T + (q * q).sum(1)))
+
+    out = _best_per_query(docs, queries, k, id_col, near)
+    return out.select("query_id", "rank", id_col, (-F.col("score")).alias("dist"))
 
 
 def n_centroids(n: int) -> int:
@@ -94,7 +110,7 @@ def n_centroids(n: int) -> int:
 def sample_centroids(vecs: DataFrame, m: int, id_col: str = "vec_id") -> DataFrame:
     """The m vectors with the smallest md5(id), numbered 0..m-1 in that order (a deterministic sample).
 
-    A global ``orderBy(md5).limit(m)`` would send m rows from every partition to one task. Instead a
+    A global ``orderBy(md5).limit(m)`` would send m rows to one task. Instead a
     distributed filter keeps ids whose top 32 md5 bits fall under a threshold sized for ~2m rows;
     because the top bits order the full hash, the m smallest are all kept whenever at least m rows
     pass (checked; the threshold doubles otherwise), and only those ~2m rows are sorted."""
@@ -108,10 +124,8 @@ def sample_centroids(vecs: DataFrame, m: int, id_col: str = "vec_id") -> DataFra
         if frac >= 1.0 or kept.count() >= m:
             break
         frac = min(1.0, frac * 2)
-    picked = kept.orderBy("h").limit(m)
-    return R.topk(picked.withColumn("z", F.lit(0)), m, score="z", id_col="h", ties="asc").select(
-        (F.col("rank") - 1).alias("centroid_id"), id_col, "embedding"
-    )
+    numbered = dense_ids(kept, "h", "centroid_id")
+    return numbered.where(F.col("centroid_id") < m).select("centroid_id", id_col, "embedding")
 
 
 def kmeans_centroids(vecs: DataFrame, m: int, seed: int = 0, max_iter: int = 20) -> DataFrame:
@@ -125,89 +139,78 @@ def kmeans_centroids(vecs: DataFrame, m: int, seed: int = 0, max_iter: int = 20)
     return spark.createDataFrame(centers, "centroid_id int, embedding array<double>"), model
 
 
-def _nearest_sql(vecs: DataFrame, centroids: DataFrame, n: int, id_col: str) -> DataFrame:
-    """Fallback for centroid tables too large to broadcast: pairs via a join, per-vector top n."""
-    c = centroids.select("centroid_id", F.col("embedding").alias("cv"))
-    d = vecs.crossJoin(c).select(id_col, "centroid_id", V.sq_dist("embedding", "cv").alias("d2"))
-    top = R.topk_batch(d.withColumn("neg", -F.col("d2")), id_col, n, score="neg", id_col="centroid_id", ties="asc")
-    return top.select(id_col, "centroid_id", F.sqrt("d2").alias("dist"))
-
-
 def nearest_centroids(vecs: DataFrame, centroids: DataFrame, n: int, id_col: str = "vec_id") -> DataFrame:
-    """(id, centroid_id, dist) for each vector's n nearest centroids (Euclidean, ties: lower id).
-
-    The centroid matrix (about sqrt(n) rows, size-checked) is broadcast and every task scores its
-    vectors against it in BLAS chunks: no (vector, centroid) row is ever materialised, sorted or
-    shuffled. ||x||^2 - 2x.c + ||c||^2 selects candidates; every centroid within a rigorous
-    rounding margin of the n-th candidate is then re-scored exactly as sum((x - c)^2) and ordered
-    by (distance, id), so the result is the exact n nearest."""
-    limit = MAX_BROADCAST_VECTORS
-    cen = centroids.select(F.col("centroid_id").cast("long").alias("centroid_id"), "embedding")
-    if cen.limit(limit + 1).count() > limit:
-        return _nearest_sql(vecs, centroids, n, id_col)
-    rows = cen.collect()  # bounded by the check above; becomes one broadcast variable
-    ids = np.array([r.centroid_id for r in rows], dtype=np.int64)
-    mat = np.array([list(r.embedding) for r in rows], dtype=np.float64).reshape(len(rows), -1)
-    sc = vecs.sparkSession.sparkContext
-    bc = sc.broadcast((ids, mat))
-    id_type = vecs.schema[id_col].dataType
+    """(id, centroid_id, dist, rank): each vector's n nearest centroids (Euclidean, ties: lower id).
+
+    ||x||^2 - 2x.c + ||c||^2 picks the candidates of a block, a few more than n; they are scored again
+    exactly as sum((x - c)^2) and ordered by (distance, id). A row whose next candidate is within
+    rounding of the last one taken is scored against the whole block. So the result is exact."""
     schema = T.StructType(
-        [T.StructField(id_col, id_type), T.StructField("centroid_id", T.LongType()), T.StructField("dist", T.DoubleType())]
+        [T.StructField(id_col, vecs.schema[id_col].dataType), T.StructField("centroid_id", T.LongType()), T.StructField("d2", T.DoubleType())]
     )
-    take = n
-
-    def run(it):
-        cids, cmat = bc.value
-        m = len(cids)
-        k = min(take, m)
-        cnorm = (cmat * cmat).sum(1)
-        cmax = float(cnorm.max()) if m else 0.0
-        chunk = max(1, int(4_000_000 // max(m, 1)))
-        for pdf in it:
-            if len(pdf) == 0 or m == 0:
-                continue
-            xs = np.array([list(v) for v in pdf["embedding"]], dtype=np.float64)
-            out_id, out_c, out_d = [], [], []
-            for s in range(0, len(xs), chunk):
-                xc = xs[s : s + chunk]
-                xn = (xc * xc).sum(1)
-                d2 = xn[:, None] - 2.0 * (xc @ cmat.T) + cnorm[None, :]
-                kth = np.partition(d2, k - 1, axis=1)[:, k - 1]
-                margin = 1e-9 * (xn + cmax) + 1e-300
-                for r in range(len(xc)):
-                    cand = np.nonzero(d2[r] <= kth[r] + 2.0 * margin[r])[0]
-                    diff = cmat[cand] - xc[r]
-                    exact = (diff * diff).sum(1)
-                    order = np.lexsort((cids[cand], exact))[:k]
-                    out_id.extend([pdf[id_col].iloc[s + r]] * len(order))
-                    out_c.extend(cids[cand][order].tolist())
-                    out_d.extend(np.sqrt(exact[order]).tolist())
-            yield pd.DataFrame({id_col: out_id, "centroid_id": out_c, "dist": out_d})
-
-    return vecs.select(id_col, "embedding").mapInPandas(run, schema)
-
-
-def ivf_assign(vecs: DataFrame, centroids: DataFrame, n: int, id_col: str = "vec_id") -> DataFrame:
-    """Inverted lists: (centroid_id, id) with every vector in its n nearest lists."""
-    return nearest_centroids(vecs, centroids, n, id_col).select("centroid_id", id_col)
+    rows, parts = vecs.select(id_col, "embedding"), []
+    for block in blocks(centroids, "centroid_id"):
+        shared = vecs.sparkSession.sparkContext.broadcast(block)
+
+        def run(batches, shared=shared):
+            ids, c = shared.value
+            order = np.argsort(ids)
+            ids, c = ids[order], c[order]  # equal distances then stand in id order
+            norms = (c * c).sum(1)
+            take = min(n, len(ids))
+            pool = min(len(ids), take + 8)
+
+            def exact(x, cand):
+                d = ((x[:, None, :] - c[cand]) ** 2).sum(axis=2)
+                best = np.argsort(d, axis=1, kind="stable")[:, :take]
+                return np.take_along_axis(cand, best, 1), np.take_along_axis(d, best, 1)
+
+            for pdf in batches:
+                for at in range(0, len(pdf), ROWS):
+                    part = pdf.iloc[at : at + ROWS]
+                    x = np.stack(part["embedding"]).astype(np.float64)
+                    sq = (x * x).sum(1)
+                    rough = sq[:, None] - 2 * x @ c.T + norms
+                    cand = np.sort(np.argpartition(rough, pool - 1, axis=1)[:, :pool], axis=1)
+                    near, d = exact(x, cand)
+                    if pool < len(ids):
+                        edge = np.take_along_axis(rough, cand, 1).max(axis=1)
+                        for r in np.flatnonzero(d[:, -1] >= edge - 1e-9 * (sq + norms.max())):
+                            near[r : r + 1], d[r : r + 1] = exact(x[r : r + 1], np.arange(len(ids))[None, :])
+                    yield pd.DataFrame({id_col: np.repeat(part[id_col].to_numpy(), take), "centroid_id": ids[near].ravel(), "d2": d.ravel()})
+
+        parts.append(rows.mapInPandas(run, schema))
+    merged = _merged(parts, vecs.sparkSession.createDataFrame([], schema)).withColumn("_near", -F.col("d2"))
+    top = R.topk_batch(merged, id_col, n, score="_near", id_col="centroid_id", ties="asc")
+    return top.select(id_col, "centroid_id", F.sqrt("d2").alias("dist"), "rank")
+
+
+def ivf_assign(vecs: DataFrame, centroids: DataFrame, n: int, id_col: str = "vec_id", keep=None) -> DataFrame:
+    """Inverted lists: (centroid_id, id, rank) with every vector in its n nearest lists. ``keep`` (a
+    condition over centroid_id, dist and rank) filters the assignments."""
+    lists = nearest_centroids(vecs, centroids, n, id_col)
+    return (lists if keep is None else lists.where(keep)).select("centroid_id", id_col, "rank")
 
 
 def ivf_search(
-    vecs: DataFrame, queries: DataFrame, centroids: DataFrame, lists: DataFrame, n_probe: int, k: int, id_col: str = "vec_id"
+    vecs: DataFrame, queries: DataFrame, centroids: DataFrame, lists: DataFrame, n_probes: list[int], k: int, id_col: str = "vec_id"
 ) -> DataFrame:
-    """Probe the query's n_probe nearest lists, dedupe candidates, rerank by exact dot, best k."""
-    probes = nearest_centroids(queries.withColumnRenamed("query_id", "_q"), centroids, n_probe, "_q").select(
-        F.col("_q").alias("query_id"), "centroid_id"
-    )
-    # queries x n_probe rows (the query table is size-checked): broadcast by construction, so the
-    # inverted lists stream through a hash join and a list holding a third of the corpus is never
-    # shuffled into one task
-    cand = lists.join(F.broadcast(probes), "centroid_id").select("query_id", id_col).distinct()
-    q = broadcast_if_small(queries.select("query_id", F.col("embedding").alias("qv")), MAX_BROADCAST_VECTORS)
-    scored = cand.join(vecs.select(id_col, "embedding"), id_col).join(q, "query_id").select(
-        "query_id", id_col, V.dot("embedding", "qv").alias("score")
-    )
-    return R.topk_batch(scored, "query_id", k, id_col=id_col)
+    """(n_probe, query_id, rank, id, score): for each n of ``n_probes``, probe the query's n nearest of
+    the lists that hold every vector n times, rerank the candidates by exact dot, best k.
+
+    ``lists`` come from one assignment to max(n_probes) lists: a pair is a candidate from the least
+    n that covers both the list's rank for the vector and its rank for the query, so all n share one
+    join and one score per (query, vector). A crowded list is a hot join key that AQE splits."""
+    most = max(n_probes)
+    probes = nearest_centroids(queries.withColumnRenamed("query_id", "_q"), centroids, most, "_q")
+    probes = probes.select(F.col("_q").alias("query_id"), "centroid_id", F.col("rank").alias("_r"))
+    cand = lists.join(probes, "centroid_id").groupBy("query_id", id_col).agg(F.min(F.greatest("rank", "_r")).alias("least"))
+    q = queries.select("query_id", F.col("embedding").alias("qv"))
+    scored = cand.join(vecs.select(id_col, "embedding"), id_col).join(q, "query_id")
+    scored = scored.select("query_id", id_col, "least", V.dot("embedding", "qv").alias("score"))
+    params = F.array(*[F.lit(n) for n in n_probes])
+    each = scored.withColumn("n_probe", F.explode(F.filter(params, lambda n: n >= F.col("least")))).drop("least")
+    return R.topk_batch(each, ["n_probe", "query_id"], k, id_col=id_col)
 
 
 def recall(exact: DataFrame, approx: DataFrame, keys: list[str], id_col: str = "vec_id") -> DataFrame:
@@ -230,17 +233,24 @@ def lsh_model(vecs: DataFrame, bucket_length: float = 1.0, tables: int = 10, see
     return lsh.fit(feats), feats
 
 
-def lsh_knn(vecs: DataFrame, queries: DataFrame, k: int, threshold: float, bucket_length: float = 1.0, tables: int = 10, id_col: str = "vec_id"):
-    """Approximate k nearest by Euclidean distance: similarity join on shared buckets, then top-k."""
+def lsh_knn(vecs: DataFrame, queries: DataFrame, k: int, bucket_length: float = 1.0, tables: int = 10, id_col: str = "vec_id"):
+    """Approximate k nearest by Euclidean distance: a similarity join on shared buckets without a
+    distance limit, then top-k. Queries that share buckets with fewer than k vectors are searched
+    exactly, so every query has k rows (or as many as there are vectors)."""
     from pyspark.ml.functions import array_to_vector
 
+    from quarry.operators.util import materialize
+
     model, feats = lsh_model(vecs, bucket_length, tables)
     qf = queries.withColumn("features", array_to_vector(F.col("embedding").cast("array<double>")))
-    pairs = model.approxSimilarityJoin(feats, qf, threshold, distCol="dist").select(
+    pairs = model.approxSimilarityJoin(feats, qf, float("inf"), distCol="dist").select(
         F.col(f"datasetA.{id_col}").alias(id_col), F.col("datasetB.query_id").alias("query_id"), "dist"
     )
     top = R.topk_batch(pairs.withColumn("neg", -F.col("dist")), "query_id", k, score="neg", id_col=id_col, ties="asc")
-    return top.select("query_id", "rank", id_col, "dist")
+    top = materialize(top.select("query_id", "rank", id_col, "dist"))
+    full = top.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= k)
+    rest = exact_l2(vecs, queries.join(full, "query_id", "left_anti"), k, id_col)
+    return top.join(full, "query_id", "left_semi").unionByName(rest)
 
 
 # ---- batch encoder (mapInPandas) -------------------------------------------------------------
@@ -248,27 +258,9 @@ def lsh_knn(vecs: DataFrame, queries: DataFrame, k: int, threshold: float, bucke
 ENCODER_BATCH = 512
 
 
-def hashing_encoder(dim: int = 64):
-    """Stand-in sentence encoder: signed feature hashing of lowercased tokens, L2-normalised.
-
-    Any callable list[str] -> ndarray (n, dim) can be passed to ``embed`` instead."""
-    import zlib
-
-    def encode(texts: list[str]) -> np.ndarray:
-        out = np.zeros((len(texts), dim), dtype=np.float32)
-        for r, t in enumerate(texts):
-            for tok in (t or "").lower().split():
-                h = zlib.crc32(tok.encode("utf-8"))
-                out[r, h % dim] += 1.0 if (h >> 16) & 1 else -1.0
-        nrm = np.linalg.norm(out, axis=1, keepdims=True)
-        return out / np.where(nrm == 0, 1.0, nrm)
-
-    return encode
-
-
-def embed(df: DataFrame, id_col: str, text_col: str, encoder=None, batch: int = ENCODER_BATCH) -> DataFrame:
-    """(id, embedding) by calling ``encoder`` on batches of ``batch`` texts inside each task."""
-    enc = encoder or hashing_encoder()
+def embed(df: DataFrame, id_col: str, text_col: str, encoder, batch: int = ENCODER_BATCH) -> DataFrame:
+    """(id, embedding) by calling ``encoder`` (list of texts -> matrix) on batches of ``batch`` texts
+    inside each task: the place for a model of one's own. ``ltr.encode`` needs none."""
     id_type = df.schema[id_col].dataType
     schema = T.StructType([T.StructField(id_col, id_type), T.StructField("embedding", T.ArrayType(T.FloatType()))])
 
@@ -276,7 +268,7 @@ def embed(df: DataFrame, id_col: str, text_col: str, encoder=None, batch: int =
         for pdf in it:
             for s in range(0, len(pdf), batch):
                 part = pdf.iloc[s : s + batch]
-                vecs = enc(part[text_col].tolist())
-                yield pd.DataFrame({id_col: part[id_col].values, "embedding": list(vecs.astype(np.float32))})
+                vecs = np.asarray(encoder(part[text_col].tolist()), np.float32)
+                yield pd.DataFrame({id_col: part[id_col].values, "embedding": list(vecs)})
 
     return df.select(id_col, text_col).mapInPandas(run, schema)

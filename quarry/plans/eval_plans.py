@@ -8,7 +8,7 @@ from quarry.operators import evaluate as E
 from quarry.plans import sql as Q
 from quarry.plans.rank_plans import PAIR_TF_SQL, PAIR_TFIDF_SQL
 from quarry.plans.registry import register
-from quarry.sources.tables import judgments_once as judgments, read_table
+from quarry.sources.tables import judgments, read_table, spread
 
 K = 10
 
@@ -24,21 +24,25 @@ ideal AS (SELECT query_id, {Q.ordered_sum('r', 'g / log2(r + 1)')} AS ideal_dcg
          row_number() OVER (PARTITION BY query_id ORDER BY CASE label WHEN 'E' THEN 4 WHEN 'S' THEN 2 WHEN 'C' THEN 1 ELSE 0 END DESC, doc_id) AS r
   FROM judg) WHERE r <= {K} GROUP BY query_id),
 nd AS (SELECT system, query_id, dcg / ideal_dcg AS ndcg FROM dcg JOIN ideal USING (query_id) WHERE ideal_dcg > 0),
-pr AS (SELECT query_id, max(CASE WHEN system = 'baseline' THEN ndcg END) AS a, max(CASE WHEN system = 'tf' THEN ndcg END) AS b
+pr AS (SELECT query_id, max(CASE WHEN system = 'tf' THEN ndcg END) AS a, max(CASE WHEN system = 'baseline' THEN ndcg END) AS b
        FROM nd WHERE system IN ('baseline', 'tf') GROUP BY query_id HAVING a IS NOT NULL AND b IS NOT NULL)"""
 
 
+def _docs(spark, d):
+    return spread(read_table(spark, d, "documents").select("doc_id", "text"))
+
+
 def _rankings(spark, d):
-    return E.system_rankings(judgments(spark, d), read_table(spark, d, "documents"))
+    return E.system_rankings(judgments(spark, d), _docs(spark, d), K)
 
 
 def _ndcg(spark, d):
-    j = judgments(spark, d)
-    return E.ndcg_at_k(E.system_rankings(j, read_table(spark, d, "documents")), j, K)
+    return E.ndcg_at_k(_rankings(spark, d), judgments(spark, d).select("query_id", "doc_id", "label"), K)
 
 
 def _pairs(spark, d):
-    return E.paired(_ndcg(spark, d), "baseline", "tf")
+    """(improved, baseline) per query."""
+    return E.paired(_ndcg(spark, d), "tf", "baseline")
 
 
 @register(
@@ -61,7 +65,7 @@ def eval_precision_at_k(spark, d):
         SELECT system, round(avg(ap), 6) AS map FROM ap GROUP BY system""",
 )
 def eval_map(spark, d):
-    return E.mean_average_precision(_rankings(spark, d)).select("system", F.round("map", 6).alias("map"))
+    return E.mean_average_precision(E.system_scores(judgments(spark, d), _docs(spark, d))).select("system", F.round("map", 6).alias("map"))
 
 
 @register("eval_dcg", f"WITH {RANKINGS_SQL} SELECT system, query_id, round(dcg, 6) AS dcg FROM dcg")
@@ -86,10 +90,9 @@ def eval_ndcg(spark, d):
         GROUP BY system, mean_ndcg""",
 )
 def eval_compare_systems(spark, d):
-    j = judgments(spark, d)
-    r = E.system_rankings(j, read_table(spark, d, "documents"))
+    r = _rankings(spark, d)
     dcg = E.dcg_at_k(r, K).groupBy("system").agg(F.avg("dcg").alias("mean_dcg"))
-    nd = E.ndcg_at_k(r, j, K).groupBy("system").agg(F.avg("ndcg").alias("mean_ndcg"))
+    nd = _ndcg(spark, d).groupBy("system").agg(F.avg("ndcg").alias("mean_ndcg"))
     return dcg.join(nd, "system").select("system", F.round("mean_dcg", 6).alias("mean_dcg"), F.round("mean_ndcg", 6).alias("mean_ndcg"))
 
 
@@ -131,17 +134,26 @@ def test_paired_t_p(spark, d):
     return E.paired_t_test(_pairs(spark, d))
 
 
-@register("test_bonferroni")
+_T = "avg(a.ndcg - b.ndcg) / (stddev_samp(a.ndcg - b.ndcg) / sqrt(count(*)))"
+
+
+@register(
+    "test_bonferroni",
+    f"""WITH {RANKINGS_SQL} SELECT a.system AS system_a, b.system AS system_b, count(*) AS n,
+          round(avg(a.ndcg - b.ndcg), 6) AS mean_diff, round({_T}, 6) AS t
+        FROM nd a JOIN nd b ON a.query_id = b.query_id AND a.system > b.system GROUP BY a.system, b.system""",
+)
 def test_bonferroni(spark, d):
-    """Paired t-tests for every pair of the three systems, p multiplied by m(m-1)/2."""
-    nd = _ndcg(spark, d)
-    systems = ["baseline", "tf", "tfidf"]
-    out = None
-    for i, a in enumerate(systems):
-        for b in systems[i + 1 :]:
-            t = E.paired_t_test(E.paired(nd, b, a)).select(F.lit(b).alias("system_a"), F.lit(a).alias("system_b"), "*")
-            out = t if out is None else out.unionByName(t)
-    return out.withColumn("p_bonferroni", E.bonferroni(F.col("p_value"), len(systems)))
+    """Paired t-tests (improved minus baseline) for every pair of the systems in one plan."""
+    t = E.paired_t_by_pair(_ndcg(spark, d))
+    return t.select("system_a", "system_b", "n", F.round("mean_diff", 6).alias("mean_diff"), F.round("t", 6).alias("t"))
+
+
+@register("test_bonferroni_p")
+def test_bonferroni_p(spark, d):
+    """The same tests with p-values and their Bonferroni correction m(m-1)/2 * p."""
+    t = E.with_t_p_value(E.paired_t_by_pair(_ndcg(spark, d)))
+    return t.withColumn("p_bonferroni", E.bonferroni(F.col("p_value"), 3))
 
 
 @register("test_ks_normal")

@@ -9,7 +9,7 @@ from quarry.operators import index as I
 from quarry.operators import match as M
 from quarry.plans import sql as Q
 from quarry.plans.registry import register
-from quarry.sources.tables import read_table
+from quarry.sources.tables import read_table, spread
 
 A, B, C = "The", "of", "was"
 WS = Q.ws("text")
@@ -17,8 +17,12 @@ POSTINGS_SQL = f"p AS (SELECT DISTINCT term, doc_id FROM (SELECT doc_id, unnest(
 TOKENS_SQL = f"tok AS (SELECT doc_id, unnest(range(len(t))) AS pos, unnest(t) AS term FROM (SELECT doc_id, {WS} AS t FROM documents WHERE text IS NOT NULL))"
 
 
+def _docs(spark, d):
+    return spread(read_table(spark, d, "documents").select("doc_id", "text"))
+
+
 def _post(spark, d):
-    return I.build_postings(read_table(spark, d, "documents"), "doc_id", "text")
+    return I.build_postings(_docs(spark, d), "doc_id", "text")
 
 
 def _ids_sql(t):
@@ -87,7 +91,7 @@ TF_SQL = f"""tfp AS (SELECT term, doc_id, count(*) AS tf FROM (SELECT doc_id, un
         ON a.doc_id = b.doc_id""",
 )
 def or_with_tf(spark, d):
-    p = I.build_tf_postings(read_table(spark, d, "documents"), "doc_id", "text")
+    p = I.build_tf_postings(_docs(spark, d), "doc_id", "text")
     return M.or_with_tf(I.term_lookup(p, "the"), I.term_lookup(p, "of"))
 
 
@@ -96,7 +100,7 @@ POS_SQL = f"""pp AS (SELECT term, doc_id, list(pos ORDER BY pos) AS positions FR
 
 
 def _positional(spark, d):
-    return I.build_positional(read_table(spark, d, "documents"), "doc_id", "text")
+    return I.build_positional(_docs(spark, d), "doc_id", "text")
 
 
 @register(
@@ -123,7 +127,7 @@ def or_with_positions(spark, d):
 
 
 PHRASE_Q = f"""ph AS (SELECT item_id AS query_id, unnest(range(len(t))) AS off, unnest(t) AS term, len(t) AS plen
-                FROM (SELECT item_id, list_slice({Q.ws('text')}, 1, 3) AS t FROM benchmark)
+                FROM (SELECT item_id, {Q.ws('text')} AS t FROM benchmark)
                 UNION ALL SELECT -1, 0, 'of', 2 UNION ALL SELECT -1, 1, 'the', 2)"""
 
 
@@ -135,13 +139,13 @@ PHRASE_Q = f"""ph AS (SELECT item_id AS query_id, unnest(range(len(t))) AS off,
           FROM tok JOIN ph USING (term) GROUP BY query_id, doc_id, start, plen) WHERE n = plen""",
 )
 def phrase_match(spark, d):
-    """Phrases = first 3 tokens of every benchmark item, plus "of the" (query -1)."""
+    """Phrases = every whole benchmark item, plus "of the" (query -1)."""
     from quarry.functions.text import tok_whitespace
 
-    b = read_table(spark, d, "benchmark").select("item_id", F.slice(tok_whitespace("text"), 1, 3).alias("t"))
+    b = read_table(spark, d, "benchmark").select("item_id", tok_whitespace("text").alias("t"))
     ph = b.select(F.col("item_id").alias("query_id"), F.posexplode("t").alias("off", "term"), F.size("t").alias("plen"))
     ph = ph.unionByName(M.phrase_table(spark, {-1: ["of", "the"]}))
-    toks = I.token_table(read_table(spark, d, "documents"), "doc_id", "text")
+    toks = I.token_table(_docs(spark, d), "doc_id", "text")
     return M.phrase_match(toks, ph)
 
 
@@ -191,6 +195,6 @@ def bool_query(spark, d):
 )
 def phrase_in_conjunction(spark, d):
     """A AND "of the", composed from the phrase operator and an id intersection."""
-    docs = read_table(spark, d, "documents")
+    docs = _docs(spark, d)
     ph = M.phrase_match(I.token_table(docs, "doc_id", "text"), M.phrase_table(spark, {0: ["of", "the"]}))
     return M.bool_and(ph, M.ids(I.build_postings(docs, "doc_id", "text"), A))

@@ -9,13 +9,11 @@ from quarry.operators import index as I
 from quarry.operators import rank as R
 from quarry.plans import sql as Q
 from quarry.plans.registry import register
-from quarry.sources.tables import benchmark_queries, read_table
+from quarry.sources.tables import benchmark_queries, read_table, spread
 
 
-def _doc_index(spark, d):
-    docs = read_table(spark, d, "documents")
-    postings = I.build_tf_postings(docs, "doc_id", "text", shared=True)
-    return postings, I.corpus_stats_from_postings(docs, postings)
+def _docs(spark, d):
+    return spread(read_table(spark, d, "documents").select("doc_id", "text"))
 
 
 def _bench_sql(weight: str) -> str:
@@ -23,15 +21,14 @@ def _bench_sql(weight: str) -> str:
 dfs AS (SELECT term, count(*) AS df FROM tfp WHERE term IN (SELECT term FROM bq) GROUP BY term),
 hits AS (SELECT bq.query_id, bq.qpos, p.doc_id, {weight} AS w
          FROM tfp p JOIN bq USING (term) JOIN dfs USING (term) CROSS JOIN st),
-sc AS (SELECT query_id, doc_id, {Q.ordered_sum('qpos', 'w')} AS score FROM hits GROUP BY query_id, doc_id),
+sc AS (SELECT query_id, doc_id, {Q.unit_sum('w')} AS score FROM hits GROUP BY query_id, doc_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id DESC) AS rank FROM sc)
 SELECT query_id, rank, doc_id, round(score, 6) AS score FROM r WHERE rank <= 10"""
 
 
 def _bench(model):
     def run(spark, d):
-        postings, stats = _doc_index(spark, d)
-        out = R.search(postings, benchmark_queries(spark, d), stats, k=10, model=model)
+        out = R.search(_docs(spark, d), "doc_id", "text", benchmark_queries(spark, d), k=10, model=model)
         return out.select("query_id", "rank", "doc_id", R.round_score())
 
     return run
@@ -60,15 +57,14 @@ q AS (SELECT 'of' AS term, 0 AS qpos UNION ALL SELECT 'the', 1)"""
 @register(
     "topk",
     f"""WITH {OF_THE},
-        sc AS (SELECT doc_id, {Q.ordered_sum('q.qpos', Q.bm25_w('p.tf', '1.2', '0.75', 'p.doc_len', 'st.avg_len') + ' * ' + Q.idf('st.n_docs', 'dfs.df'))} AS score
+        sc AS (SELECT doc_id, {Q.unit_sum(Q.bm25_w('p.tf', '1.2', '0.75', 'p.doc_len', 'st.avg_len') + ' * ' + Q.idf('st.n_docs', 'dfs.df'))} AS score
                FROM tfp p JOIN q USING (term) JOIN dfs USING (term) CROSS JOIN st GROUP BY doc_id)
         SELECT row_number() OVER (ORDER BY score DESC, doc_id DESC) AS rank, doc_id, round(score, 6) AS score
         FROM sc ORDER BY score DESC, doc_id DESC LIMIT 10""",
 )
 def topk(spark, d):
     """One query {of, the}, BM25, global best 10 (TakeOrderedAndProject), ties to the larger id."""
-    postings, stats = _doc_index(spark, d)
-    scored = R.score_postings(postings, literal_queries(spark, {0: ["of", "the"]}), stats, "bm25")
+    scored = R.score_queries(_docs(spark, d), "doc_id", "text", literal_queries(spark, {0: ["of", "the"]}), "bm25")
     return R.topk(scored, 10).select("rank", "doc_id", R.round_score())
 
 
@@ -81,8 +77,7 @@ def topk(spark, d):
 )
 def rank_tf(spark, d):
     """Sum of tf over a two-term OR."""
-    postings, stats = _doc_index(spark, d)
-    scored = R.score_postings(postings, literal_queries(spark, {0: ["of", "the"]}), stats, "tf")
+    scored = R.score_queries(_docs(spark, d), "doc_id", "text", literal_queries(spark, {0: ["of", "the"]}), "tf")
     return R.topk(scored, 10).select("rank", "doc_id", "score")
 
 
@@ -93,7 +88,7 @@ def rank_tf(spark, d):
         SELECT rank, doc_id, tf FROM r WHERE rank <= 10""",
 )
 def rank_term_tf(spark, d):
-    postings, _ = _doc_index(spark, d)
+    postings = I.build_tf_postings(_docs(spark, d), "doc_id", "text")
     return R.topk(postings.where(F.col("term") == "of"), 10, score="tf").select("rank", "doc_id", "tf")
 
 
@@ -105,8 +100,8 @@ def rank_term_tf(spark, d):
 )
 def first_k_in_id_order(spark, d):
     """Unsorted Boolean result: the first 10 ids plus the total match count."""
-    postings, _ = _doc_index(spark, d)
-    m = M.bool_or(M.ids(postings, "The"), M.ids(postings, "was"))
+    # one pass and no shuffle: a document's row knows whether it holds either term
+    m = M.documents_with_any(_docs(spark, d), "doc_id", "text", ["The", "was"])
     total = m.agg(F.count(F.lit(1)).alias("product_count"))
     first = R.topk(m.withColumn("z", F.lit(0)), 10, score="z", ties="asc")
     return first.crossJoin(one_row(total)).select("rank", "doc_id", "product_count")
@@ -133,8 +128,9 @@ def rank_tf_positional(spark, d):
     "FROM (SELECT term, count(*) AS df FROM tfp GROUP BY term) CROSS JOIN st",
 )
 def score_idf(spark, d):
-    postings, stats = _doc_index(spark, d)
-    dfs = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    docs = _docs(spark, d)
+    dfs = I.term_df(I.build_postings(docs, "doc_id", "text"))
+    stats = docs.agg(F.count(F.lit(1)).alias("n_docs"))
     return dfs.crossJoin(one_row(stats)).select("term", "df", F.round(S.idf("n_docs", "df"), 6).alias("idf"))
 
 
@@ -144,9 +140,10 @@ def score_idf(spark, d):
     "FROM tfp CROSS JOIN st WHERE term = 'of'",
 )
 def score_bm25_weight(spark, d):
-    postings, stats = _doc_index(spark, d)
+    matching = I.matching_counts(_docs(spark, d), "doc_id", "text", literal_queries(spark, {0: ["of"]}))
+    _, stats = I.matching_stats(matching)
     w = S.bm25_weight("tf", 1.2, 0.75, "doc_len", "avg_len")
-    return postings.where(F.col("term") == "of").crossJoin(one_row(stats)).select("doc_id", F.round(w, 6).alias("w"))
+    return matching.where(F.col("term") == "of").crossJoin(one_row(stats)).select("doc_id", F.round(w, 6).alias("w"))
 
 
 @register(
@@ -155,9 +152,10 @@ def score_bm25_weight(spark, d):
     "FROM tfp CROSS JOIN st WHERE term = 'of'",
 )
 def score_bm25f_weight(spark, d):
-    postings, stats = _doc_index(spark, d)
+    matching = I.matching_counts(_docs(spark, d), "doc_id", "text", literal_queries(spark, {0: ["of"]}))
+    _, stats = I.matching_stats(matching)
     w = S.bm25f_weight("tf", 2.0, 0.75, "doc_len", "avg_len")
-    return postings.where(F.col("term") == "of").crossJoin(one_row(stats)).select("doc_id", F.round(w, 6).alias("w"))
+    return matching.where(F.col("term") == "of").crossJoin(one_row(stats)).select("doc_id", F.round(w, 6).alias("w"))
 
 
 # ---- BM25F over part: title = p_name, keyword field = p_brand ----------------------------------
@@ -193,9 +191,9 @@ dft AS (SELECT term, count(*) AS df FROM p GROUP BY term),
 dfb AS (SELECT qb.query_id, count(d.p_partkey) AS df FROM qb LEFT JOIN part d ON d.p_brand = qb.brand GROUP BY qb.query_id),
 th AS (SELECT params.k1, qt.query_id, p.doc_id, qt.qpos, {wt} AS w, {Q.idf('st.n_docs', 'dft.df')} AS idf
        FROM p JOIN qt USING (term) JOIN dft USING (term) CROSS JOIN st CROSS JOIN params),
-ts AS (SELECT k1, query_id, doc_id, {Q.ordered_sum('qpos', 'w / (k1 + w) * idf')} AS s FROM th GROUP BY k1, query_id, doc_id),
+ts AS (SELECT k1, query_id, doc_id, sum(CAST(round(w / (k1 + w) * idf * 1e9) AS BIGINT)) AS s FROM th GROUP BY k1, query_id, doc_id),
 sc AS (SELECT ts.k1, ts.query_id, ts.doc_id,
-              ts.s + ({wb}) / (ts.k1 + ({wb})) * {Q.idf('st.n_docs', 'dfb.df')} AS score
+              (ts.s + CAST(round(({wb}) / (ts.k1 + ({wb})) * {Q.idf('st.n_docs', 'dfb.df')} * 1e9) AS BIGINT)) / 1e9 AS score
        FROM ts JOIN part d ON d.p_partkey = ts.doc_id JOIN qb ON qb.query_id = ts.query_id
        JOIN dfb ON dfb.query_id = ts.query_id CROSS JOIN st),
 r AS (SELECT *, row_number() OVER (PARTITION BY k1, query_id ORDER BY score DESC, doc_id DESC) AS rank FROM sc)
@@ -237,15 +235,14 @@ def pair_tf(spark, d):
     return ptf(judgments(spark, d)).select("query_id", "doc_id", "tf")
 
 
-PAIR_TFIDF_SQL = f"""tt AS (SELECT doc_id, array_to_string(list_slice({Q.ws('text')}, 1, 12), ' ') AS title FROM documents),
-tdf AS (SELECT term, count(*) AS df FROM (SELECT DISTINCT doc_id, unnest({Q.ws('title')}) AS term FROM tt) GROUP BY term),
+PAIR_TFIDF_SQL = f"""tdf AS (SELECT term, count(*) AS df FROM (SELECT DISTINCT doc_id, unnest({Q.ws('text')}) AS term FROM documents) GROUP BY term),
 nn AS (SELECT count(*) AS n FROM documents),
-kw AS (SELECT DISTINCT query_id, doc_id, unnest(list_distinct({Q.ws('query')})) AS term FROM judg),
 ttf AS (SELECT query_id, doc_id, term, count(*) AS tf FROM (SELECT query_id, doc_id, unnest({Q.ws('title')}) AS term FROM judg)
         GROUP BY query_id, doc_id, term),
-con AS (SELECT kw.query_id, kw.doc_id, kw.term, ttf.tf * {Q.idf('nn.n', 'coalesce(tdf.df, 0)')} AS c
-        FROM kw JOIN ttf USING (query_id, doc_id, term) LEFT JOIN tdf USING (term) CROSS JOIN nn),
-cs AS (SELECT query_id, doc_id, {Q.ordered_sum('term', 'c')} AS s FROM con GROUP BY query_id, doc_id),
+kw AS (SELECT DISTINCT item_id AS query_id, unnest({Q.ws('text')}) AS term FROM benchmark),
+con AS (SELECT ttf.query_id, ttf.doc_id, ttf.tf * {Q.idf('nn.n', 'tdf.df')} AS c
+        FROM ttf JOIN kw USING (query_id, term) JOIN tdf USING (term) CROSS JOIN nn),
+cs AS (SELECT query_id, doc_id, {Q.unit_sum('c')} AS s FROM con GROUP BY query_id, doc_id),
 ptf AS (SELECT j.query_id, j.doc_id, j.label, coalesce(cs.s, 0.0) AS tfidf FROM judg j LEFT JOIN cs USING (query_id, doc_id))"""
 
 

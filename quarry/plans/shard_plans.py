@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.functions.text import first_tokens
+from quarry.operators import index as I
 from quarry.operators import lifecycle as L
 from quarry.operators import rank as R
 from quarry.operators import shard as SH
 from quarry.plans import sql as Q
-from quarry.plans.rank_plans import _bench_sql, _doc_index
+from quarry.plans.rank_plans import _bench_sql, _docs
 from quarry.plans.registry import register
 from quarry.sources.tables import benchmark_queries, read_table
 
@@ -28,8 +28,7 @@ def shard_assign(spark, d):
 @register("sharded_topk", _bench_sql(BM25_W))
 def sharded_topk(spark, d):
     """BM25 with global statistics, top 10 per (shard, query) then per query: equals rank_bm25."""
-    postings, stats = _doc_index(spark, d)
-    scored = R.score_postings(postings, benchmark_queries(spark, d), stats, "bm25")
+    scored = R.score_queries(_docs(spark, d), "doc_id", "text", benchmark_queries(spark, d), "bm25")
     top = SH.sharded_topk(SH.assign_shard(scored, "doc_id", N_SHARDS), 10)
     return top.select("query_id", "rank", "doc_id", R.round_score())
 
@@ -39,17 +38,15 @@ def sharded_topk(spark, d):
     _bench_sql(BM25_W).replace(
         "SELECT query_id, rank, doc_id, round(score, 6) AS score FROM r WHERE rank <= 10",
         f"""SELECT r.query_id, r.rank, r.doc_id, round(r.score, 6) AS score,
-                   array_to_string(list_slice({Q.ws('d.text')}, 1, 12), ' ') AS title
+                   d.text AS title
             FROM r JOIN documents d USING (doc_id) WHERE r.rank <= 10""",
     ),
 )
 def two_stage_topk(spark, d):
     """Rank on narrow postings first, then fetch the title only for the 10 winners per query."""
-    postings, stats = _doc_index(spark, d)
-    top = R.search(postings, benchmark_queries(spark, d), stats, k=10, model="bm25")
+    top = R.search(_docs(spark, d), "doc_id", "text", benchmark_queries(spark, d), k=10, model="bm25")
     docs = read_table(spark, d, "documents")
-    title = F.array_join(first_tokens("text", 12), " ")
-    out = SH.late_materialize(top, docs, "doc_id", {"title": title})
+    out = SH.late_materialize(top, docs, "doc_id", {"title": F.col("text")})
     return out.select("query_id", "rank", "doc_id", R.round_score(), "title")
 
 
@@ -70,6 +67,7 @@ def shard_split(spark, d):
 )
 def shard_vocabulary_union(spark, d):
     """Sorted union of each shard's ~1 % vocabulary sample (per-shard distinct, then union)."""
-    postings, _ = _doc_index(spark, d)
-    per_shard = SH.assign_shard(postings, "doc_id", N_SHARDS).select("shard", "term").distinct()
-    return L.hash_sample_terms(per_shard).select("term").distinct()
+    # the sample is a predicate on the term, so it is taken before anything moves
+    sample = I.build_postings(_docs(spark, d), "doc_id", "text").where(L.in_hash_sample("term"))
+    per_shard = SH.assign_shard(sample, "doc_id", N_SHARDS).select("shard", "term").distinct()
+    return per_shard.select("term").distinct()

@@ -8,10 +8,10 @@ def ws(expr: str) -> str:
     return f"list_filter(string_split_regex({expr}, '\\s+'), lambda x: x <> '')"
 
 
-# Benchmark query set: first 4 whitespace tokens of each item.
+# Benchmark query set: all whitespace tokens of each item.
 BENCH_Q = f"""bq AS (
   SELECT item_id AS query_id, unnest(range(len(t))) AS qpos, unnest(t) AS term
-  FROM (SELECT item_id, list_slice({ws('text')}, 1, 4) AS t FROM benchmark))"""
+  FROM (SELECT item_id, {ws('text')} AS t FROM benchmark))"""
 
 # Term-frequency postings over documents.
 DOC_TF = f"""tfp AS (
@@ -24,19 +24,20 @@ DOC_STATS = f"""st AS (
   SELECT count(*) AS n_docs, avg(coalesce(len({ws('text')}), 0)::DOUBLE) AS avg_len FROM documents)"""
 
 # Judged pairs derived from documents + labels.
-JUDG = f"""qs AS (
-  SELECT source, CAST(regexp_extract(source, '(\\d+)', 1) AS BIGINT) AS query_id,
-         array_to_string(list_slice({ws('arg_min(text, doc_id)')}, 1, 5), ' ') AS query
-  FROM documents GROUP BY source),
-judg AS (
-  SELECT qs.query_id, qs.query, l.doc_id,
+JUDG = """judg AS (
+  SELECT q.item_id AS query_id, q.text AS query, l.doc_id,
          CASE WHEN l.quality = 1 AND l.toxic = 0 THEN 'E'
               WHEN l.quality = 1 AND l.toxic = 1 THEN 'S'
               WHEN l.quality = 0 AND l.toxic = 0 THEN 'C' ELSE 'I' END AS label,
-         CASE WHEN qs.query_id % 5 = 0 THEN 'test' ELSE 'train' END AS split,
-         array_to_string(list_slice({ws('d.text')}, 1, 12), ' ') AS title,
-         d.text AS description
-  FROM labels l JOIN documents d USING (doc_id) JOIN qs USING (source))"""
+         CASE WHEN q.item_id % 5 = 0 THEN 'test' ELSE 'train' END AS split,
+         d.text AS title, d.text AS description
+  FROM labels l JOIN documents d USING (doc_id)
+  JOIN benchmark q ON q.item_id = TRY_CAST(regexp_extract(d.source, '(\\d+)', 1) AS BIGINT))"""
+
+
+def unit_sum(value: str) -> str:
+    """Sum of contributions as whole billionths, which no order of addition changes."""
+    return f"sum(CAST(round(({value}) * 1e9) AS BIGINT)) / 1e9"
 
 
 def ordered_sum(order: str, value: str) -> str:

@@ -19,6 +19,10 @@ def _docs(spark, d):
     return read_table(spark, d, "documents")
 
 
+def _texts(spark, d):
+    return spread(read_table(spark, d, "documents").select("doc_id", "text"))
+
+
 def _docs_rows(spark, d):
     """Documents for per-row analyzer work: spread over the task slots when the input has few files."""
     return spread(read_table(spark, d, "documents"))
@@ -78,7 +82,7 @@ def export_json(spark, d):
 @register("save_load_index", f"WITH {Q.DOC_TF} SELECT term, doc_id, tf FROM tfp")
 def save_load_index(spark, d):
     path = scratch_path(spark, "index")
-    REC.save_index(I.build_tf_postings(_docs(spark, d), "doc_id", "text").select("term", "doc_id", "tf"), path)
+    REC.save_index(I.build_tf_postings(_texts(spark, d), "doc_id", "text").select("term", "doc_id", "tf"), path)
     return REC.load_index(spark, path).select("term", "doc_id", "tf")
 
 
@@ -219,7 +223,7 @@ def distinct_tokens(spark, d):
     f"SELECT doc_id, unnest(range(len(t))) AS pos, unnest(t) AS term FROM (SELECT doc_id, {WS} AS t FROM documents)",
 )
 def token_positions(spark, d):
-    return I.token_table(_docs(spark, d), "doc_id", "text").withColumn("pos", F.col("pos").cast("bigint"))
+    return I.token_table(_texts(spark, d), "doc_id", "text").withColumn("pos", F.col("pos").cast("bigint"))
 
 
 @register("token_count", f"SELECT doc_id, coalesce(len({WS}), 0) AS len FROM documents")
@@ -256,7 +260,7 @@ def analyzer_volume(spark, d):
 
 @register("vocabulary_counts", f"SELECT term, count(*) AS cf FROM (SELECT unnest({WS}) AS term FROM documents) GROUP BY term")
 def vocabulary_counts(spark, d):
-    return I.vocabulary_counts(_docs(spark, d), "text")
+    return I.vocabulary_counts(_texts(spark, d), "text")
 
 
 @register(
@@ -264,7 +268,7 @@ def vocabulary_counts(spark, d):
     f"SELECT DISTINCT term, doc_id FROM (SELECT doc_id, unnest({WS}) AS term FROM documents WHERE text IS NOT NULL)",
 )
 def build_postings(spark, d):
-    return I.build_postings(_docs(spark, d), "doc_id", "text")
+    return I.build_postings(_texts(spark, d), "doc_id", "text")
 
 
 @register("build_keyword_index", "SELECT p_brand AS term, p_partkey AS doc_id FROM part WHERE p_brand IS NOT NULL")
@@ -274,7 +278,7 @@ def build_keyword_index(spark, d):
 
 @register("build_tf_postings", f"WITH {Q.DOC_TF} SELECT term, doc_id, tf, doc_len FROM tfp")
 def build_tf_postings(spark, d):
-    return I.build_tf_postings(_docs(spark, d), "doc_id", "text").withColumn("doc_len", F.col("doc_len").cast("bigint"))
+    return I.build_tf_postings(_texts(spark, d), "doc_id", "text").withColumn("doc_len", F.col("doc_len").cast("bigint"))
 
 
 @register(
@@ -285,13 +289,13 @@ def build_tf_postings(spark, d):
         GROUP BY term, doc_id""",
 )
 def build_positional(spark, d):
-    p = I.build_positional(_docs(spark, d), "doc_id", "text")
+    p = I.build_positional(_texts(spark, d), "doc_id", "text")
     return p.select("term", "doc_id", F.size("positions").cast("bigint").alias("n_pos"), F.array_join("positions", ",").alias("positions"))
 
 
 @register("term_lookup", f"WITH {Q.DOC_TF} SELECT doc_id, tf FROM tfp WHERE term = 'of'")
 def term_lookup(spark, d):
-    return I.term_lookup(I.build_tf_postings(_docs(spark, d), "doc_id", "text"), "of").select("doc_id", "tf")
+    return I.term_lookup(I.build_tf_postings(_texts(spark, d), "doc_id", "text"), "of").select("doc_id", "tf")
 
 
 @register(
@@ -300,29 +304,29 @@ def term_lookup(spark, d):
 )
 def dense_doc_ids(spark, d):
     """Dense integer ids for the vocabulary in term order (distributed numbering)."""
-    vocab = I.vocabulary_counts(_docs(spark, d), "text").select("term")
+    vocab = I.vocabulary_counts(_texts(spark, d), "text").select("term")
     return I.dense_ids(vocab, "term")
 
 
 @register("term_df", f"WITH {Q.DOC_TF} SELECT term, count(*) AS df FROM tfp GROUP BY term")
 def term_df(spark, d):
-    return I.term_df(I.build_postings(_docs(spark, d), "doc_id", "text"))
+    return I.term_df(I.build_postings(_texts(spark, d), "doc_id", "text"))
 
 
 @register("doc_length_avg", f"WITH {Q.DOC_STATS} SELECT n_docs, round(avg_len, 6) AS avg_len FROM st")
 def doc_length_avg(spark, d):
-    return I.corpus_stats(_docs(spark, d), "doc_id", "text").select("n_docs", F.round("avg_len", 6).alias("avg_len"))
+    return I.corpus_stats(_texts(spark, d), "doc_id", "text").select("n_docs", F.round("avg_len", 6).alias("avg_len"))
 
 
 @register("flt_porter_stem")
 def flt_porter_stem(spark, d):
     """Postings of the whole corpus re-keyed by Porter stem (vocabulary job)."""
-    postings = I.build_tf_postings(_docs(spark, d), "doc_id", "text", A.flt_lowercase_after(A.tok_whitespace))
+    postings = I.build_tf_postings(_texts(spark, d), "doc_id", "text", A.flt_lowercase_after(A.tok_whitespace))
     return I.stem_postings(postings.select("term", "doc_id", "tf"))
 
 
 @register("stem_vocabulary")
 def stem_vocabulary(spark, d):
     """(term, stem) for every distinct lowercased token."""
-    postings = I.build_postings(_docs(spark, d), "doc_id", "text", A.flt_lowercase_after(A.tok_whitespace))
+    postings = I.build_postings(_texts(spark, d), "doc_id", "text", A.flt_lowercase_after(A.tok_whitespace))
     return I.stem_vocabulary(postings)

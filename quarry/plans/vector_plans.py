@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quarry.operators import ltr as LT
 from quarry.operators import vector as V
 from quarry.functions import vectors as VF
 from quarry.operators import rank as R
@@ -65,7 +66,7 @@ def _emb(spark, d):
 
 
 def _queries(spark, d):
-    """Per-label mean vectors, checkpointed: computed once, then size-checked and broadcast."""
+    """Per-label mean vectors, checkpointed: computed once, then read in blocks."""
     from quarry.operators.util import materialize
 
     q = V.mean_vectors(_emb(spark, d), "label").withColumnRenamed("label", "query_id")
@@ -81,15 +82,8 @@ def _centroids(spark, d):
 
 
 def _ivf(spark, d, probes):
-    e = _emb(spark, d)
-    q = _queries(spark, d)
-    cen = _centroids(spark, d)
-    out = None
-    for n in probes:
-        lists = V.ivf_assign(e, cen, n)
-        r = V.ivf_search(e, q, cen, lists, n, K).select(F.lit(n).alias("n_probe"), "query_id", "rank", "vec_id", "score")
-        out = r if out is None else out.unionByName(r)
-    return out
+    e, q, cen = _emb(spark, d), _queries(spark, d), _centroids(spark, d)
+    return V.ivf_search(e, q, cen, V.ivf_assign(e, cen, max(probes)), probes, K)
 
 
 @register(
@@ -164,7 +158,7 @@ def ivf_search_kmeans(spark, d):
     e = _emb(spark, d)
     q = _queries(spark, d)
     cen, _ = V.kmeans_centroids(e, V.n_centroids(e.count()))
-    approx = V.ivf_search(e, q, cen, V.ivf_assign(e, cen, 5), 5, K)
+    approx = V.ivf_search(e, q, cen, V.ivf_assign(e, cen, 5), [5], K)
     exact = V.exact_knn(e, q, K)
     return V.recall(exact, approx, ["query_id"])
 
@@ -179,14 +173,14 @@ def vec_ann_build(spark, d):
 @register("vec_ann_query")
 def vec_ann_query(spark, d):
     """Approximate 10 nearest by Euclidean distance via an LSH similarity join."""
-    return V.lsh_knn(_emb(spark, d), _queries(spark, d), K, threshold=2.0, bucket_length=0.5, tables=10)
+    return V.lsh_knn(_emb(spark, d), _queries(spark, d), K, bucket_length=0.5, tables=10)
 
 
-@register("vec_embed_batch")
+@register("vec_embed_batch", "SELECT item_id, 64::BIGINT AS dim, CASE WHEN trim(text) = '' THEN 0.0 ELSE 1.0 END AS norm FROM benchmark")
 def vec_embed_batch(spark, d):
-    """Encode benchmark texts in batches of 512 inside tasks (hashing stand-in encoder)."""
-    b = read_table(spark, d, "benchmark")
-    return V.embed(b, "item_id", "text").select("item_id", F.size("embedding").alias("dim"), F.round(VF.norm("embedding"), 6).alias("norm"))
+    """Benchmark texts as hashed token features of length 1."""
+    b = LT.encode(read_table(spark, d, "benchmark"), "text", "embedding")
+    return b.select("item_id", F.size("embedding").cast("bigint").alias("dim"), F.round(VF.norm("embedding"), 6).alias("norm"))
 
 
 @register(
@@ -196,10 +190,6 @@ def vec_embed_batch(spark, d):
         FROM embeddings e CROSS JOIN qv q""",
 )
 def vec_cosine(spark, d):
-    """Cosine of every vector with every (broadcast, size-checked) query vector: the bi-encoder
-    scoring step on ready-made vectors."""
-    q = _queries(spark, d)
-    from quarry.operators.util import broadcast_if_small
-
-    qb = broadcast_if_small(q.select("query_id", F.col("embedding").alias("qv")), V.MAX_BROADCAST_VECTORS)
-    return _emb(spark, d).crossJoin(qb).select("query_id", "vec_id", F.round(VF.cosine("embedding", "qv"), 6).alias("cosine"))
+    """Cosine of every vector with every query vector: the bi-encoder scoring step on ready-made vectors."""
+    q = _queries(spark, d).select("query_id", F.col("embedding").alias("qv"))
+    return _emb(spark, d).crossJoin(q).select("query_id", "vec_id", F.round(VF.cosine("embedding", "qv"), 6).alias("cosine"))

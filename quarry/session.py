@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -29,6 +32,8 @@ def get_session(master: str | None = None, partitions: int = 8, app: str = "quar
     b = b.config("spark.sql.shuffle.partitions", str(partitions))
     if master and master.startswith("local"):
         b = b.config("spark.driver.memory", os.environ.get("QUARRY_DRIVER_MEMORY", "8g"))
+        # the test tables are one row group each: without this a scan is one task
+        b = b.config("spark.quarry.scan.partitions", str(2 * partitions))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -38,13 +43,16 @@ def get_session(master: str | None = None, partitions: int = 8, app: str = "quar
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the folder is configured by the deployment and must be shared storage.
-    Only when it is unset (local tests) do we create one under the local temp folder.
+    On a cluster the deployment must name it, since executors and driver share no local folder.
+    Only a local master gets one of its own, under the temp folder and deleted at exit.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all machines share (master {sc.master})")
         d = tempfile.mkdtemp(prefix="quarry-ckpt-")
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", d)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)

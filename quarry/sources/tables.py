@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.functions.text import first_tokens, tok_whitespace
+from quarry.functions.text import tok_whitespace
 
 SCHEMAS: dict[str, T.StructType] = {
     "documents": T.StructType(
@@ -67,22 +67,11 @@ SCHEMAS: dict[str, T.StructType] = {
 }
 
 
-# Text-heavy tables whose per-row work (tokenizing) dwarfs the read.
-SPREAD_TABLES = {"documents", "pages", "conversations"}
-
-
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan over the cluster when it comes from fewer files than task slots.
-
-    A large input has many files (and row groups), so this is a no-op at scale; a single-file
-    input (one row group reads as one task) is spread before the expensive per-row work.
-    Filters and projections are still pushed below the exchange into the scan."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    try:
-        n_files = len(df.inputFiles())
-    except Exception:  # noqa: BLE001
-        return df
-    return df.repartition(slots * 2) if n_files < slots else df
+    """``df`` dealt over ``spark.quarry.scan.partitions`` tasks if the deployment sets that, for inputs
+    of a few huge row groups; by default a scan keeps its own splits."""
+    n = df.sparkSession.conf.get("spark.quarry.scan.partitions", None)
+    return df.repartition(int(n)) if n else df
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -92,24 +81,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(path)
 
 
-def tables(spark: SparkSession, sf_dir: str):
-    """Callable view: ``t = tables(spark, d); t("documents")``."""
-    return lambda name: read_table(spark, sf_dir, name)
-
-
 # ---------------------------------------------------------------------------------------------
 # Derived tables (each is a pure function of the given tables, so it grows with them)
 # ---------------------------------------------------------------------------------------------
 
-QUERY_TERMS = 4  # benchmark queries use the first 4 whitespace tokens of each item
-
-
-def benchmark_queries(spark: SparkSession, sf_dir: str, n_terms: int = QUERY_TERMS) -> DataFrame:
-    """Query set (query_id, term, qpos): first ``n_terms`` tokens of each benchmark item."""
+def benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Query set (query_id, term, qpos): all tokens of each benchmark item."""
     b = read_table(spark, sf_dir, "benchmark")
-    return b.select(
-        F.col("item_id").alias("query_id"), F.posexplode(F.slice(tok_whitespace(F.col("text")), 1, n_terms)).alias("qpos", "term")
-    )
+    return b.select(F.col("item_id").alias("query_id"), F.posexplode(tok_whitespace(F.col("text"))).alias("qpos", "term"))
 
 
 def literal_queries(spark: SparkSession, queries: dict[int, list[str]]) -> DataFrame:
@@ -120,33 +99,29 @@ def literal_queries(spark: SparkSession, queries: dict[int, list[str]]) -> DataF
 def judgments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Judged pairs (query_id, query, doc_id, label, split, title, description).
 
-    query_id = the number in ``documents.source``; query = first 5 tokens of the lowest
-    doc_id of the source; label from (quality, toxic): (1,0) E, (1,1) S, (0,0) C, (0,1) I;
-    split = test when query_id % 5 = 0, else train; title = first 12 tokens, description =
-    full text.
+    query_id = the number in ``documents.source`` (documents without one are judged for nothing),
+    query = the benchmark item of that id; label from (quality, toxic): (1,0) E, (1,1) S, (0,0) C,
+    (0,1) I; split = test when query_id % 5 = 0, else train; title and description = the text.
     """
-    docs = spread(read_table(spark, sf_dir, "documents"))
+    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     labels = read_table(spark, sf_dir, "labels")
-    qid = F.regexp_extract(F.col("source"), "(\\d+)", 1).cast("bigint")
-    # min_by is a partial aggregate: a source holding a third of the corpus still combines map-side.
-    # the query is taken from a 5-token prefix, so only that prefix travels through the aggregate
-    first_doc = docs.groupBy("source").agg(F.min_by(F.array_join(first_tokens("text", 5), " "), "doc_id").alias("query"))
-    queries = first_doc.select("source", qid.alias("query_id"), "query")
+    queries = read_table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
+    qid = F.regexp_extract(F.col("source"), "(\\d+)", 1).try_cast("bigint")
     label = (
         F.when((F.col("quality") == 1) & (F.col("toxic") == 0), "E")
         .when((F.col("quality") == 1) & (F.col("toxic") == 1), "S")
         .when((F.col("quality") == 0) & (F.col("toxic") == 0), "C")
         .otherwise("I")
     )
-    # one row per source: left to AQE, which broadcasts it after measuring it at run time
-    pairs = labels.join(docs.select("doc_id", "source", "text"), "doc_id").join(queries, "source")
+    # one row per query: left to AQE, which broadcasts it after measuring it at run time
+    pairs = labels.join(docs.withColumn("query_id", qid), "doc_id").join(queries, "query_id")
     return pairs.select(
         "query_id",
         "query",
         "doc_id",
         label.alias("label"),
         F.when(F.col("query_id") % 5 == 0, "test").otherwise("train").alias("split"),
-        F.array_join(first_tokens("text", 12), " ").alias("title"),
+        F.col("text").alias("title"),
         F.col("text").alias("description"),
     )
 
