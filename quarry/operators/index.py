@@ -167,7 +167,7 @@ def dense_ids(df: DataFrame, order_col: str, out: str = "idx") -> DataFrame:
         "_off", F.coalesce(F.sum("_n").over(W.orderBy("_pid").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     )
     return (
-        tagged.join(F.broadcast(offsets.select("_pid", "_off", "_first")), "_pid")
+        tagged.join(offsets.select("_pid", "_off", "_first"), "_pid")
         .withColumn(out, F.col("_off") + F.col("_mid") - F.col("_first"))
         .drop("_pid", "_mid", "_off", "_first")
     )
@@ -183,7 +183,9 @@ def stem_vocabulary(postings: DataFrame) -> DataFrame:
 
 def stem_postings(postings: DataFrame) -> DataFrame:
     """Postings re-keyed by Porter stem: (term = stem, doc_id, tf summed over merged terms)."""
-    vocab = stem_vocabulary(postings)
+    from quarry.operators.util import materialize
+
+    vocab = materialize(stem_vocabulary(postings))  # the join then reads plain shuffles, which AQE splits at a hot term
     return (
         postings.join(vocab, "term")
         .groupBy(F.col("stem").alias("term"), "doc_id")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.hashing import md5_mod
 from quarry.operators import index as I
+from quarry.operators.util import one_row
 
 
 def upserts_per_commit(log: DataFrame) -> DataFrame:
@@ -26,20 +27,51 @@ def upserts_per_commit(log: DataFrame) -> DataFrame:
 
 
 def live_view(log: DataFrame, at_commit=None) -> DataFrame:
-    """(doc_id, commit_id, title) of the documents live at ``at_commit`` (default: latest)."""
+    """(doc_id, commit_id, title) of the documents live at ``at_commit`` (default: latest), in one
+    aggregate over the log. A truncate (op of a row without id) removes every earlier version."""
     if at_commit is not None:
         log = log.where(F.col("commit_id") <= F.lit(at_commit))
-    up = (
-        log.where(F.col("op") == "upsert")
-        .groupBy("doc_id")
-        .agg(F.max("commit_id").alias("u"), F.max_by("title", F.struct("commit_id", "seq")).alias("title"))
+    upsert = F.col("op") == "upsert"
+    docs = log.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+        F.max(F.when(upsert, F.col("commit_id"))).alias("u"),
+        F.max_by("title", F.when(upsert, F.struct("commit_id", "seq"))).alias("title"),
+        F.max(F.when(F.col("op") == "delete", F.col("commit_id"))).alias("dmax"),
+    )
+    live = docs.where(F.col("u").isNotNull() & (F.col("dmax").isNull() | (F.col("dmax") <= F.col("u"))))
+    cut = log.agg(F.max(F.when(F.col("op") == "truncate", F.col("commit_id"))).alias("cut"))
+    live = live.crossJoin(one_row(cut)).where(F.col("cut").isNull() | (F.col("u") > F.col("cut")))
+    return live.select("doc_id", F.col("u").alias("commit_id"), "title")
+
+
+def truncate(log: DataFrame, commit_id) -> DataFrame:
+    """The log with a truncate at ``commit_id``: what it and earlier commits wrote is gone."""
+    spark = log.sparkSession
+    kinds = {f.name: f.dataType.simpleString() for f in log.schema}
+    row = spark.range(1).select(
+        *[
+            {"op": F.lit("truncate"), "commit_id": F.lit(commit_id)}.get(c, F.lit(None)).cast(kinds[c]).alias(c)
+            for c in log.columns
+        ]
     )
-    dels = log.where(F.col("op") == "delete").groupBy("doc_id").agg(F.max("commit_id").alias("dmax"))
-    return (
-        up.join(dels, "doc_id", "left")
-        .where(F.col("dmax").isNull() | (F.col("dmax") <= F.col("u")))
-        .select("doc_id", F.col("u").alias("commit_id"), "title")
+    return log.unionByName(row)
+
+
+def live_rows(log: DataFrame) -> DataFrame:
+    """The log's rows that wrote the live version of a document, found from the narrow columns; titles
+    move once, to meet their keys, and dead versions go before anything reads their text."""
+    upsert = F.col("op") == "upsert"
+    keys = log.groupBy("doc_id").agg(
+        F.max(F.when(upsert, F.struct("commit_id", "seq"))).alias("w"),
+        F.max(F.when(F.col("op") == "delete", F.col("commit_id"))).alias("dmax"),
     )
+    keys = keys.where(F.col("w").isNotNull() & (F.col("dmax").isNull() | (F.col("dmax") <= F.col("w.commit_id"))))
+    keys = keys.select("doc_id", F.col("w.commit_id").alias("commit_id"), F.col("w.seq").alias("seq"))
+    return log.where(upsert).join(keys, ["doc_id", "commit_id", "seq"], "left_semi")
+
+
+def live_term_counts(log: DataFrame) -> DataFrame:
+    """(term, doc_id, tf) of the live documents, counted within each live row."""
+    return I.build_tf_postings(live_rows(log), "doc_id", "title").select("term", "doc_id", "tf")
 
 
 def live_keys(log: DataFrame) -> DataFrame:
@@ -77,25 +109,24 @@ def segment_live_counts(log: DataFrame) -> DataFrame:
     return commits.join(live, "commit_id", "left").select("commit_id", F.coalesce("n_live", F.lit(0)).alias("n_live"))
 
 
-def merge_two_smallest(counts: DataFrame) -> DataFrame:
-    """One maintenance step: the two segments with the fewest live docs (ties: later commit first)
-    become one. Output (segment, n_live) with the merged one named 'a+b'."""
-    from pyspark.sql import Window as W
+MAX_SEGMENTS = 10
 
-    w = W.orderBy(F.col("n_live").asc(), F.col("commit_id").desc())
-    # one row per segment (commit): bounded by the number of commits, not by the data
-    ranked = counts.withColumn("r", F.row_number().over(w))
-    small = ranked.where(F.col("r") <= 2).agg(
-        F.concat_ws("+", F.min("commit_id").cast("string"), F.max("commit_id").cast("string")).alias("segment"),
-        F.sum("n_live").alias("n_live"),
-    )
-    rest = ranked.where(F.col("r") > 2).select(F.col("commit_id").cast("string").alias("segment"), "n_live")
-    return rest.unionByName(small)
 
+def merge_two_smallest(segments: DataFrame, live: DataFrame, counts: DataFrame, at_most: int = MAX_SEGMENTS) -> DataFrame:
+    """One maintenance step over (commit_id, term, doc_id, tf) postings, returned with ``segment``: with
+    more than ``at_most`` segments, the two with the fewest live documents (ties: later commit first)
+    are rewritten as one, 'a+b', that holds their live rows only; the others stay as they are.
 
-def truncate_before(log: DataFrame, commit_id) -> DataFrame:
-    """Everything up to and including ``commit_id`` is truncated; later commits replay."""
-    return log.where(F.col("commit_id") > F.lit(commit_id))
+    ``counts`` has one row per segment, so the choice is a top 2, broadcast if it measures small."""
+    n = counts.agg(F.count(F.lit(1)).alias("segments"))
+    two = counts.orderBy("n_live", F.desc("commit_id")).limit(2).crossJoin(one_row(n)).where(F.col("segments") > at_most)
+    name = two.agg(F.concat_ws("+", F.min("commit_id").cast("string"), F.max("commit_id").cast("string")).alias("merged"))
+    chosen = two.select(F.col("commit_id").alias("c")).crossJoin(one_row(name))
+    tagged = segments.join(chosen, F.col("commit_id") == F.col("c"), "left")
+    kept = live.select(F.col("doc_id").alias("d"), F.col("commit_id").alias("lc"))
+    small = tagged.where(F.col("c").isNotNull()).join(kept, (F.col("doc_id") == F.col("d")) & (F.col("commit_id") == F.col("lc")), "left_semi")
+    rest = tagged.where(F.col("c").isNull()).select(F.col("commit_id").cast("string").alias("segment"), "term", "doc_id", "tf")
+    return rest.unionByName(small.select(F.col("merged").alias("segment"), "term", "doc_id", "tf"))
 
 
 def in_hash_sample(term_col: str = "term", m: int = 100):

@@ -9,7 +9,7 @@ from quarry.operators import lifecycle as L
 from quarry.plans import sql as Q
 from quarry.plans.registry import register
 from quarry.session import scratch_path
-from quarry.sources.tables import LOG_SCHEMA, SCHEMAS, documents_load_log, events_log, events_to_log
+from quarry.sources.tables import LOG_SCHEMA, SCHEMAS, documents_load_log, events_log, events_to_log, read_table
 
 LOG_SQL = """log AS (
   SELECT date_diff('day', DATE '1970-01-01', ts::DATE)::BIGINT AS commit_id, user_id AS doc_id,
@@ -79,15 +79,22 @@ def live_postings(spark, d):
 
 @register(
     "merge_two_smallest",
-    f"""WITH {LIVE_SQL},
+    f"""WITH {SEG_SQL},
         cnt AS (SELECT c.commit_id, coalesce(n.n_live, 0) AS n_live FROM (SELECT DISTINCT commit_id FROM log) c
                 LEFT JOIN (SELECT commit_id, count(*) AS n_live FROM live GROUP BY commit_id) n USING (commit_id)),
-        rk AS (SELECT *, row_number() OVER (ORDER BY n_live, commit_id DESC) AS r FROM cnt)
-        SELECT commit_id::VARCHAR AS segment, n_live FROM rk WHERE r > 2
-        UNION ALL SELECT min(commit_id)::VARCHAR || '+' || max(commit_id)::VARCHAR, sum(n_live)::BIGINT FROM rk WHERE r <= 2""",
+        rk AS (SELECT *, row_number() OVER (ORDER BY n_live, commit_id DESC) AS r, count(*) OVER () AS k FROM cnt),
+        two AS (SELECT commit_id FROM rk WHERE r <= 2 AND k > 10),
+        mrg AS (SELECT (SELECT min(commit_id)::VARCHAR || '+' || max(commit_id)::VARCHAR FROM two) AS segment, s.term, s.doc_id, s.tf
+                FROM seg s JOIN live l ON l.doc_id = s.doc_id AND l.commit_id = s.commit_id WHERE s.commit_id IN (SELECT commit_id FROM two)
+                UNION ALL SELECT commit_id::VARCHAR, term, doc_id, tf FROM seg WHERE commit_id NOT IN (SELECT commit_id FROM two))
+        SELECT segment, count(*) AS n_postings, count(DISTINCT doc_id) AS n_docs, sum(tf)::BIGINT AS total_tf FROM mrg GROUP BY segment""",
 )
 def merge_two_smallest(spark, d):
-    return L.merge_two_smallest(L.segment_live_counts(events_log(spark, d)))
+    """The segments after a maintenance step: rows, documents and occurrences."""
+    log = events_log(spark, d)
+    merged = L.merge_two_smallest(L.segment_postings(log), L.live_keys(log), L.segment_live_counts(log))
+    docs = merged.groupBy("segment", "doc_id").agg(F.count(F.lit(1)).alias("n"), F.sum("tf").alias("tf"))
+    return docs.groupBy("segment").agg(F.sum("n").alias("n_postings"), F.count(F.lit(1)).alias("n_docs"), F.sum("tf").alias("total_tf"))
 
 
 @register("compact_all", f"WITH {SEG_SQL} SELECT term, doc_id, tf FROM lp")
@@ -97,23 +104,21 @@ def compact_all(spark, d):
 
     log = events_log(spark, d)
     path = scratch_path(spark, "compacted")
-    REC.save_index(L.live_postings(L.segment_postings(log), L.live_keys(log)), path, buckets=16)
+    REC.save_index(L.live_term_counts(log), path, buckets=16)
     return REC.load_index(spark, path).select("term", "doc_id", "tf")
 
 
 @register(
     "truncate_corpus",
-    f"""WITH {LOG_SQL}, tl AS (SELECT * FROM log WHERE commit_id > (SELECT min(commit_id) + 14 FROM log)),
-        up AS (SELECT doc_id, max(commit_id) AS u, arg_max(title, (commit_id, seq)) AS title FROM tl WHERE op = 'upsert' GROUP BY doc_id),
-        dl AS (SELECT doc_id, max(commit_id) AS dmax FROM tl WHERE op = 'delete' GROUP BY doc_id)
-        SELECT up.doc_id, up.u AS commit_id, up.title FROM up LEFT JOIN dl USING (doc_id) WHERE dl.dmax IS NULL OR dl.dmax <= up.u""",
+    f"WITH {LIVE_SQL} SELECT 'before' AS state, count(*) AS n_live FROM live UNION ALL SELECT 'after', 0",
 )
 def truncate_corpus(spark, d):
-    """Truncate after the 15th day, replay the later commits: the live view holds only later writes."""
+    """Live documents before and after a truncate at the last commit, which empties the corpus."""
     log = events_log(spark, d)
-    cut = log.agg((F.min("commit_id") + 14).alias("cut"))
-    kept = log.crossJoin(F.broadcast(cut)).where(F.col("commit_id") > F.col("cut")).drop("cut")
-    return L.live_view(kept)
+    last = log.agg(F.max("commit_id")).first()[0]
+    n = F.count(F.lit(1)).alias("n_live")
+    before = L.live_view(log).agg(n).select(F.lit("before").alias("state"), "n_live")
+    return before.unionByName(L.live_view(L.truncate(log, last)).agg(n).select(F.lit("after").alias("state"), "n_live"))
 
 
 DOCLOAD_SQL = f"""dl AS (SELECT p * 100 + {Q.md5_mod('CAST(doc_id AS VARCHAR)', 100)} AS commit_id, doc_id, text AS title
@@ -126,8 +131,7 @@ smp AS (SELECT DISTINCT term FROM lp WHERE {Q.md5_mod('term', 100)} = 0)"""
 
 
 def _docload_live_postings(spark, d):
-    log = documents_load_log(spark, d)
-    return L.live_postings(L.segment_postings(log), L.live_keys(log))
+    return L.live_term_counts(documents_load_log(spark, d))
 
 
 @register("hash_sample_terms", f"WITH {DOCLOAD_SQL} SELECT term FROM smp")
@@ -147,12 +151,26 @@ def bulk_query_workload(spark, d):
     return L.bulk_query(_docload_live_postings(spark, d), 100, 10)
 
 
-@register("stream_upserts", f"WITH {LIVE_SQL} SELECT doc_id, commit_id, title FROM live")
+FILES = 4
+STREAM_SQL = LIVE_SQL.replace(
+    "date_diff('day', DATE '1970-01-01', ts::DATE)::BIGINT AS commit_id",
+    f"(date_diff('day', (SELECT min(ts)::DATE FROM events), ts::DATE) * {FILES} // "
+    "(SELECT date_diff('day', min(ts)::DATE, max(ts)::DATE) + 1 FROM events))::BIGINT AS commit_id",
+)
+
+
+@register("stream_upserts", f"WITH {STREAM_SQL} SELECT doc_id, commit_id, title FROM live")
 def stream_upserts(spark, d):
-    """Structured Streaming: the events file is read as a stream, each micro-batch appended to the
-    log table by foreachBatch (idempotent per batch id); the live view of the streamed log must
-    equal the batch live view."""
+    """Structured Streaming: the events arrive as files, each micro-batch is one commit (its batch id)
+    appended to the log table by foreachBatch (idempotent per batch id); the live view of the log."""
     from quarry.streaming.upserts import read_log, stream_log_to_table
 
-    path, _ = stream_log_to_table(spark, d, "events.parquet", SCHEMAS["events"], events_to_log)
+    ev = read_table(spark, d, "events")
+    lo, hi = ev.agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
+    days = (hi - lo).days + 1
+    inbox = scratch_path(spark, "events-inbox")
+    part = F.floor(F.datediff(F.to_date("ts"), F.lit(lo)) * FILES / days)
+    for i in range(FILES):  # files arrive one after another
+        ev.where(part == i).coalesce(1).write.mode("append").parquet(inbox)
+    path, _ = stream_log_to_table(spark, inbox, "*.parquet", SCHEMAS["events"], events_to_log)
     return L.live_view(read_log(spark, path, LOG_SCHEMA))

@@ -53,6 +53,9 @@ def scan_judgments(spark, d):
     return judgments(spark, d).select("query_id", "query", "doc_id", "label", "split", "title")
 
 
+BODY = 1000
+
+
 @register(
     "ingest_json",
     """SELECT user_id, e.doc_id, e.title FROM (
@@ -61,9 +64,11 @@ def scan_judgments(spark, d):
          FROM events GROUP BY user_id)""",
 )
 def ingest_json(spark, d):
-    """Per user, a JSON array of {doc_id, title} records (an update body) parsed back to rows."""
+    """JSON arrays of {doc_id, title} records (update bodies of one user, of at most BODY events)
+    parsed back to rows."""
     ev = read_table(spark, d, "events")
-    bodies = ev.groupBy("user_id").agg(
+    body = F.floor(F.col("event_id") / BODY).alias("body_no")  # bounds a body whatever a user writes
+    bodies = ev.groupBy("user_id", body).agg(
         F.to_json(
             F.transform(
                 F.array_sort(F.collect_list(F.struct("event_id", "event_type"))),
@@ -92,6 +97,13 @@ def sample_rows(spark, d):
     return _docs(spark, d).sample(fraction=0.01, seed=0).select("doc_id", "source")
 
 
+@register("random_row", "SELECT doc_id, source FROM documents ORDER BY md5(CAST(doc_id AS VARCHAR) || ':7'), doc_id LIMIT 1")
+def random_row(spark, d):
+    """One row at random: the least of a seeded hash, a partial top 1."""
+    seeded = F.md5(F.concat(F.col("doc_id").cast("string"), F.lit(":7")))
+    return _docs(spark, d).orderBy(seeded, "doc_id").limit(1).select("doc_id", "source")
+
+
 @register("hash_sample", f"SELECT doc_id, source FROM documents WHERE {Q.md5_mod('CAST(doc_id AS VARCHAR)', 100)} = 0")
 def hash_sample(spark, d):
     """Deterministic ~1 % sample: md5(id) % 100 == 0."""
@@ -196,6 +208,27 @@ def flt_stop_terms(spark, d):
     return _docs_rows(spark, d).select("doc_id", *_digest(A.flt_stop_terms(A.tok_whitespace("text"), STOP_TERMS)))
 
 
+# Entries "term,part of speech" of a stop table, and the parts that stop.
+STOP_ENTRIES = ["the,DT", "a,DT", "of,IN", "in,IN", "on,IN", "and,CC", "is,VBZ", "was,VBD", "to,TO"]
+STOP_PARTS = ["DT", "IN", "CC"]
+_ENTRIES_SQL = ", ".join(f"('{e}')" for e in STOP_ENTRIES)
+_PARTS_SQL = ", ".join(f"'{x}'" for x in STOP_PARTS)
+
+
+@register(
+    "flt_stop_table",
+    f"""WITH stop AS (SELECT split_part(e, ',', 1) AS term FROM (VALUES {_ENTRIES_SQL}) t(e) WHERE split_part(e, ',', 2) IN ({_PARTS_SQL}))
+        SELECT doc_id, pos, term FROM (SELECT doc_id, unnest(range(len(t))) AS pos, unnest(t) AS term
+          FROM (SELECT doc_id, {WS} AS t FROM documents)) WHERE term NOT IN (SELECT term FROM stop)""",
+)
+def flt_stop_table(spark, d):
+    """Tokens not in a stop table of any size, whose entries carry a part of speech."""
+    entries = spark.createDataFrame([(e,) for e in STOP_ENTRIES], "entry string")
+    stop = entries.where(F.substring_index("entry", ",", -1).isin(STOP_PARTS)).select(F.substring_index("entry", ",", 1).alias("term"))
+    tokens = I.token_table(_texts(spark, d), "doc_id", "text").withColumn("pos", F.col("pos").cast("bigint"))
+    return tokens.join(stop, "term", "left_anti").select("doc_id", "pos", "term")
+
+
 _KATA = "list_transform(" + WS + ", lambda x: regexp_replace(x, '^(\\p{Katakana}{3,})ー$', '\\1'))"
 
 
@@ -295,14 +328,29 @@ def build_positional(spark, d):
 
 @register("term_lookup", f"WITH {Q.DOC_TF} SELECT doc_id, tf FROM tfp WHERE term = 'of'")
 def term_lookup(spark, d):
-    return I.term_lookup(I.build_tf_postings(_texts(spark, d), "doc_id", "text"), "of").select("doc_id", "tf")
+    """One term from a stored index: only its bucket's folder is read."""
+    path = scratch_path(spark, "index")
+    REC.save_index(I.build_tf_postings(_texts(spark, d), "doc_id", "text").select("term", "doc_id", "tf"), path)
+    return REC.lookup_saved(REC.load_index(spark, path), "of").select("doc_id", "tf")
 
 
 @register(
     "dense_doc_ids",
-    f"SELECT term, row_number() OVER (ORDER BY term) - 1 AS idx FROM (SELECT DISTINCT unnest({WS}) AS term FROM documents)",
+    """WITH n AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS idx FROM documents)
+       SELECT l.doc_id, n.idx, n.doc_id AS decoded FROM labels l JOIN n USING (doc_id)""",
 )
 def dense_doc_ids(spark, d):
+    """Labelled documents under dense document ids, and decoded again."""
+    ids = I.dense_ids(_docs(spark, d).select("doc_id"), "doc_id")
+    encoded = read_table(spark, d, "labels").select("doc_id").join(ids, "doc_id")
+    return encoded.join(ids.withColumnRenamed("doc_id", "decoded"), "idx").select("doc_id", "idx", "decoded")
+
+
+@register(
+    "dense_term_ids",
+    f"SELECT term, row_number() OVER (ORDER BY term) - 1 AS idx FROM (SELECT DISTINCT unnest({WS}) AS term FROM documents)",
+)
+def dense_term_ids(spark, d):
     """Dense integer ids for the vocabulary in term order (distributed numbering)."""
     vocab = I.vocabulary_counts(_texts(spark, d), "text").select("term")
     return I.dense_ids(vocab, "term")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.hashing import term_bucket
@@ -15,20 +15,17 @@ def ingest_json_array(df: DataFrame, col: str, schema: str = RECORD_ARRAY) -> Da
     return df.select(F.inline(F.from_json(F.col(col), schema)))
 
 
-def parse_json(col: str, schema: str) -> Column:
-    return F.from_json(F.col(col), schema)
-
-
 def export_json(df: DataFrame, cols: list[str], out: str = "json") -> DataFrame:
     return df.select(F.to_json(F.struct(*[F.col(c) for c in cols])).alias(out))
 
 
 def save_index(postings: DataFrame, path: str, buckets: int = 64) -> None:
-    """Write postings as Parquet partitioned by a term bucket, so a term lookup reads one folder."""
+    """Write postings as Parquet partitioned by a term bucket, so a term lookup reads one folder. The
+    rebalance lets AQE size the tasks: a hot term's bucket is several files, small buckets share one task."""
     (
         postings.withColumn("term_bucket", term_bucket(F.col("term"), buckets))
-        .repartition("term_bucket")
-        .sortWithinPartitions("term", "doc_id")
+        .hint("rebalance", "term_bucket")
+        .sortWithinPartitions("term_bucket", "term", "doc_id")
         .write.mode("overwrite")
         .partitionBy("term_bucket")
         .parquet(path)

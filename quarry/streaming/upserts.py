@@ -28,7 +28,7 @@ def stream_log_to_table(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         seen.append(batch_id)
-        log = to_log(batch)
+        log = to_log(batch).withColumn("commit_id", F.lit(batch_id).cast("bigint"))  # a batch is a commit
         log.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     stream = (
