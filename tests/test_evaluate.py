@@ -27,7 +27,7 @@ def test_precision_at_k_divides_by_list_length(spark):
 
 
 def test_map_skips_queries_without_relevant(spark):
-    got = E.mean_average_precision(_df(spark)).first()["map"]
+    got = E.mean_average_precision(_df(spark).withColumn("score", -F.col("rank")).drop("rank")).first()["map"]
     aps = []
     for labs in RANK.values():
         rel, s = 0, 0.0
@@ -89,7 +89,10 @@ def test_paired_t_and_sign_tests(spark):
     m = sum(d) / len(d)
     sd = math.sqrt(sum((x - m) ** 2 for x in d) / (len(d) - 1))
     assert abs(t.t - m / (sd / math.sqrt(len(d)))) < 1e-12
-    assert abs(t.p_value - t_two_sided_p(t.t, 5)) < 1e-12
+    angle = math.atan(t.t / math.sqrt(5))  # the closed form for 5 degrees of freedom
+    tail = 1 - 2 / math.pi * (angle + math.sin(angle) * (math.cos(angle) + 2 / 3 * math.cos(angle) ** 3))
+    assert abs(t.p_value - tail) < 1e-9
+    assert t.mean_diff > 0  # improved (a) minus baseline (b)
     s = E.binomial_sign_test(df).first()
     assert (s.a_wins, s.b_wins) == (4, 1)
     assert abs(s.p_value - 0.375) < 1e-12
@@ -103,7 +106,25 @@ def test_distribution_functions_known_values():
     assert binom_two_sided_p_half(3, 6) == 1.0
 
 
-def test_ks_normal_runs(spark):
-    df = spark.createDataFrame([(float(x) / 10,) for x in range(-20, 21)], "v double")
+def test_ks_statistic_equals_brute_force(spark):
+    vals = [float(x) / 10 for x in range(-20, 21)] + [0.05, 1.7]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
     r = E.ks_normal(df, "v").first()
-    assert 0 <= r.pValue <= 1 and 0 <= r.statistic <= 1
+    cdf = lambda v: 0.5 * math.erfc(-v / math.sqrt(2))
+    n = len(vals)
+    exp = max(max((i + 1) / n - cdf(v), cdf(v) - i / n) for i, v in enumerate(sorted(vals)))
+    assert abs(r.statistic - exp) < 1e-9
+    far = spark.createDataFrame([(v + 5,) for v in vals], "v double")
+    assert E.ks_normal(far, "v").first().pValue < 1e-6 < r.pValue
+
+
+def test_paired_t_of_all_pairs_has_the_sign_of_the_later_system(spark):
+    rows = [(s, q, v) for s, vs in {"baseline": [0.1, 0.2, 0.3], "tf": [0.4, 0.3, 0.9], "tfidf": [0.5, 0.2, 0.8]}.items() for q, v in enumerate(vs)]
+    got = {(r.system_a, r.system_b): r for r in E.paired_t_by_pair(spark.createDataFrame(rows, "system string, query_id long, ndcg double")).collect()}
+    assert set(got) == {("tf", "baseline"), ("tfidf", "baseline"), ("tfidf", "tf")}
+    r = got["tf", "baseline"]
+    assert r.n == 3 and abs(r.mean_diff - 1.0 / 3) < 1e-12  # (0.3 + 0.1 + 0.6) / 3
+    sd = math.sqrt(sum((d - 1 / 3) ** 2 for d in (0.3, 0.1, 0.6)) / 2)
+    assert abs(r.t - (1 / 3) / (sd / math.sqrt(3))) < 1e-9
+    p = E.with_t_p_value(spark.createDataFrame([(3, 0.1, 2.0)], "n long, mean_diff double, t double")).first().p_value
+    assert abs(p - 0.183503) < 1e-6  # t = 2 with 2 degrees of freedom: 1 - 2 / sqrt(6)

@@ -18,14 +18,14 @@ def test_ivf_probing_all_lists_is_exact(spark):
     cen = V.sample_centroids(e, V.n_centroids(e.count()))
     m = cen.count()
     exact = V.exact_knn(e, q, 10)
-    approx = V.ivf_search(e, q, cen, V.ivf_assign(e, cen, 1), m, 10)
+    approx = V.ivf_search(e, q, cen, V.ivf_assign(e, cen, m), [m], 10)
     r = V.recall(exact, approx, ["query_id"]).collect()
     assert r and all(x.recall == 1.0 for x in r)
 
 
 def test_lsh_distances_are_exact(spark):
     e, q = _q(spark)
-    got = V.lsh_knn(e, q, 5, threshold=3.0, bucket_length=1.0, tables=4)
+    got = V.lsh_knn(e, q, 5, bucket_length=1.0, tables=4)
     from quarry.functions import vectors as VF
 
     chk = got.join(e, "vec_id").join(q.withColumnRenamed("embedding", "qv"), "query_id").select(
@@ -34,6 +34,30 @@ def test_lsh_distances_are_exact(spark):
     assert all(abs(r.dist - r.d) < 1e-4 for r in chk.collect())
 
 
+def test_lsh_gives_k_rows_for_every_query(spark):
+    e, q = _q(spark)
+    for length in (0.01, 0.5):  # with tiny buckets hardly anything collides: the exact search steps in
+        got = V.lsh_knn(e, q, 10, bucket_length=length, tables=2)
+        assert {r.query_id: r["count"] for r in got.groupBy("query_id").count().collect()} == {r.query_id: 10 for r in q.collect()}
+    exact = {(r.query_id, r.rank, r.vec_id) for r in V.exact_l2(e, q, 10).collect()}
+    assert {(r.query_id, r.rank, r.vec_id) for r in V.lsh_knn(e, q, 10, bucket_length=1e-6, tables=1).collect()} == exact
+
+
+def test_assignment_filter(spark):
+    e, _ = _q(spark)
+    cen = V.sample_centroids(e, 5)
+    every = V.ivf_assign(e, cen, 3)
+    near = V.ivf_assign(e, cen, 3, keep=F.col("dist") < 1.0)
+    assert 0 <= near.count() < every.count() == 3 * e.count()
+
+
+def test_kmeans_lists_hold_every_vector(spark):
+    e, _ = _q(spark)
+    cen, _ = V.kmeans_centroids(e, 7)
+    lists = V.ivf_assign(e, cen, 2)
+    assert lists.count() == 2 * e.count() and lists.select("vec_id").distinct().count() == e.count()
+
+
 def test_sharded_topk_equals_global(spark):
     rows = [(q, d, float((d * 7 + q) % 13)) for q in range(4) for d in range(300)]
     df = spark.createDataFrame(rows, "query_id long, doc_id long, score double")
@@ -72,8 +96,21 @@ def test_blas_nearest_centroids_equal_join_path_with_ties(spark):
     c = spark.createDataFrame(cents, "centroid_id long, embedding array<double>")
     for n in (1, 3):
         a = sorted((r.vec_id, r.centroid_id) for r in V.nearest_centroids(v, c, n).collect())
-        b = sorted((r.vec_id, r.centroid_id) for r in V._nearest_sql(v, c, n, "vec_id").collect())
-        assert a == b
+        exp = []
+        for i, x in vecs:
+            d = sorted((sum((a - b) ** 2 for a, b in zip(x, y)), c) for c, y in cents)
+            exp += [(i, c) for _, c in d[:n]]
+        assert a == sorted(exp)
+
+
+def test_blocks_don_t_change_the_nearest(spark, monkeypatch):
+    e, q = _q(spark)
+    cen = V.sample_centroids(e, 12)
+    one = {tuple(r) for r in V.nearest_centroids(e, cen, 3).collect()}, {tuple(r) for r in V.exact_knn(e, q, 5).collect()}
+    monkeypatch.setattr(V, "BLOCK", 5)
+    many = {tuple(r) for r in V.nearest_centroids(e, cen, 3).collect()}, {tuple(r) for r in V.exact_knn(e, q, 5).collect()}
+    assert [(v, c, r) for v, c, _, r in sorted(one[0])] == [(v, c, r) for v, c, _, r in sorted(many[0])]
+    assert [(a, b, c) for a, b, _, c in sorted(one[1])] == [(a, b, c) for a, b, _, c in sorted(many[1])]
 
 
 def test_blas_exact_knn_equals_join_path_with_ties(spark):
