@@ -183,8 +183,8 @@ def _tagged(docs: DataFrame, id_col: str, text_col: str, p: Params) -> DataFrame
     1. Signatures, in a written table; equal texts fold into a node.
     2. Rounds of stars: in each band bucket that spans several components, every node sees a single
        leader (the least of the bucket by a new order each round), and of the leaders it sees, the
-       likeliest by sketch among those not tried before is tested on full sets. That settles large
-       groups in a few rounds of at most one test per node.
+       one it shares most buckets with is tested on full sets, if its size and sketch allow it. That
+       settles large groups in a few rounds of at most one test per node.
     3. When rounds link hardly anything more, every pair left that shares a bucket but no component,
        with sizes and sketches that allow the similarity, is tested once, so no link that banding
        finds is missing.
@@ -213,10 +213,10 @@ def _tagged(docs: DataFrame, id_col: str, text_col: str, p: Params) -> DataFrame
         order = F.struct(F.xxhash64("node", F.lit(turn)).alias("rank"), F.col("node").alias("node"), F.col("comp").alias("comp"))
         leader = written(open_.groupBy("bucket").agg(F.min(order).alias("lead")), "leaders")
         tries = open_.join(leader, "bucket").where(F.col("comp") != F.col("lead.comp"))
-        tries = tries.select("node", F.col("lead.node").alias("lead")).distinct()
-        tries = _untested(tries.select("node", F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")), tested)
-        near = _alike(tries, traits, p)
-        best = near.groupBy("node").agg(F.min(F.struct("apart", "a", "b")).alias("x")).select("x.a", "x.b").distinct()
+        seen = tries.groupBy("node", F.col("lead.node").alias("lead")).agg(F.count(F.lit(1)).alias("shared"))
+        best = seen.groupBy("node").agg(F.max(F.struct("shared", "lead")).alias("x"))
+        best = best.select(F.least("node", "x.lead").alias("a"), F.greatest("node", "x.lead").alias("b")).distinct()
+        best = _alike(_untested(best, tested), traits, p)
         tested, comp, linked = _settle(best, tested, comp, texts, p, f"stars-{turn}")
         open_ = written(_mixed(buckets, comp), "mixed")
         left = open_.select("node").distinct().count()
@@ -262,11 +262,11 @@ def _apart(x: str, y: str):
 
 
 def _alike(pairs: DataFrame, traits: DataFrame, p: Params) -> DataFrame:
-    """The pairs (columns a, b) whose sizes and sketches allow the similarity, with apart."""
+    """The pairs (columns a, b) whose sizes and sketches allow the similarity."""
     a = traits.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
     b = traits.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-    both = pairs.join(a, "a").join(b, "b").where(_sized("na", "nb", p))
-    return both.withColumn("apart", _apart("sa", "sb")).where(F.col("apart") <= p.sketch_bits).drop("na", "nb", "sa", "sb")
+    both = pairs.join(a, "a").join(b, "b").where(_sized("na", "nb", p) & (_apart("sa", "sb") <= p.sketch_bits))
+    return both.select("a", "b")
 
 
 def _untested(pairs: DataFrame, tested: DataFrame) -> DataFrame:
