@@ -105,7 +105,8 @@ def matching_stats(matching: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     tf and doc_len stay in use and nothing is filtered, so that the exchange below is the one that
     the scores read."""
-    per = matching.groupBy("term").agg(F.count(F.when(F.col("tf") > 0, 1)).alias("df"), F.sum(F.col("doc_len").cast("double")).alias("len"))
+    held = (F.col("tf") > 0) & (F.col("doc_len") >= 0)
+    per = matching.groupBy("term").agg(F.count(F.when(held, 1)).alias("df"), F.sum(F.col("doc_len").cast("double")).alias("len"))
     itself = F.col("term") == ""
     n, total = F.sum(F.when(itself, F.col("df"))), F.sum(F.when(itself, F.col("len")))
     return per.select("term", "df"), per.agg(n.alias("n_docs"), (total / n).alias("avg_len"))
