@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.text import tok_whitespace
+from quarry.operators.index import let
 
 # ---- set operators on id frames ---------------------------------------------------------------
 
@@ -84,6 +85,24 @@ def phrase_match(tokens: DataFrame, phrases: DataFrame) -> DataFrame:
     return starts.where(F.col("n") == F.col("plen")).select("query_id", "doc_id").distinct()
 
 
+def phrase_search(docs: DataFrame, id_col: str, text_col: str, phrases: DataFrame, analyzer=tok_whitespace) -> DataFrame:
+    """(query_id, doc_id) for documents containing each whole phrase as consecutive tokens.
+
+    ``phrases``: (query_id, words ARRAY). Each phrase is looked up by its longest word (the first of
+    them), which is seldom a common one; where that stands in a document, the phrase is compared
+    with the tokens around it, within the row. So the work follows the occurrences of one word
+    per phrase, not of all its words. Empty phrases match nothing.
+    """
+    anchors = phrases.where(F.size("words") > 0).select("query_id", "words", F.array_max(F.transform("words", lambda w, i: F.struct(F.length(w), -i)))["col2"].alias("_i"))
+    anchors = anchors.select("query_id", "words", (-F.col("_i")).alias("off")).withColumn("term", F.get("words", F.col("off")))
+    tokens = docs.select(F.col(id_col).alias("doc_id"), F.posexplode(analyzer(F.col(text_col))).alias("pos", "term"))
+    hits = tokens.join(anchors.select("query_id", "off", "term"), "term").where(F.col("pos") >= F.col("off"))
+    starts = hits.groupBy("query_id", "doc_id").agg(F.collect_list(F.col("pos") - F.col("off")).alias("starts"))  # of one document
+    both = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_t")).join(starts, "doc_id").join(phrases.select("query_id", "words"), "query_id")
+    found = let(analyzer(F.col("_t")), lambda t: F.exists("starts", lambda s: F.slice(t, s + 1, F.size("words")) == F.col("words")))
+    return both.where(found).select("query_id", "doc_id").distinct()
+
+
 # ---- clause builder ---------------------------------------------------------------------------
 
 

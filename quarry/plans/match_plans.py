@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quarry.functions.text import tok_whitespace
 from quarry.operators import index as I
 from quarry.operators import match as M
 from quarry.plans import sql as Q
@@ -140,13 +141,9 @@ PHRASE_Q = f"""ph AS (SELECT item_id AS query_id, unnest(range(len(t))) AS off,
 )
 def phrase_match(spark, d):
     """Phrases = every whole benchmark item, plus "of the" (query -1)."""
-    from quarry.functions.text import tok_whitespace
-
-    b = read_table(spark, d, "benchmark").select("item_id", tok_whitespace("text").alias("t"))
-    ph = b.select(F.col("item_id").alias("query_id"), F.posexplode("t").alias("off", "term"), F.size("t").alias("plen"))
-    ph = ph.unionByName(M.phrase_table(spark, {-1: ["of", "the"]}))
-    toks = I.token_table(_docs(spark, d), "doc_id", "text")
-    return M.phrase_match(toks, ph)
+    b = read_table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), tok_whitespace("text").alias("words"))
+    own = spark.createDataFrame([(-1, ["of", "the"])], "query_id bigint, words array<string>")
+    return M.phrase_search(_docs(spark, d), "doc_id", "text", b.unionByName(own))
 
 
 # Clause trees for bool_query / rank_tf_positional, mirroring the reference's UI queries.
@@ -196,5 +193,5 @@ def bool_query(spark, d):
 def phrase_in_conjunction(spark, d):
     """A AND "of the", composed from the phrase operator and an id intersection."""
     docs = _docs(spark, d)
-    ph = M.phrase_match(I.token_table(docs, "doc_id", "text"), M.phrase_table(spark, {0: ["of", "the"]}))
+    ph = M.phrase_search(docs, "doc_id", "text", spark.createDataFrame([(0, ["of", "the"])], "query_id bigint, words array<string>"))
     return M.bool_and(ph, M.ids(I.build_postings(docs, "doc_id", "text"), A))
