@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property, lru_cache
@@ -19,15 +19,13 @@ from quarry.llm.common import numbered, ordinals
 #: run of white space without its last character, matters to texts with such a run only; the others
 #: are split without look-ahead, which is faster.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
-RUN = re.compile(r"\s\s")
+#: The white space characters (Unicode White_Space and Python's separators) besides
+#: space and line feed, and the runs of those two.
+OTHER_WHITE = "\t\v\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+RUNS = ("  ", "\n\n", " \n", "\n ")
 PIECE = "start long, length long, ids binary, doc_tokens long"
 
 
-def _cuts(n: int, cap: int) -> np.ndarray:
-    """Starts of the pieces of a document of n ids: full sequences, then the rest."""
-    return np.arange(0, n, cap)
-
-
 class Encoder:
     """Ids of a byte-level BPE vocabulary file.
 
@@ -59,7 +57,8 @@ class Encoder:
     def __call__(self, text: str) -> list[int]:
         if any(s in text for s in self.specials):
             return self.full.encode(text, add_special_tokens=False).ids
-        return (self.exact if RUN.search(text) else self.fast).encode_ordinary(text)
+        runs = any(r in text for r in RUNS) or any(c in text for c in OTHER_WHITE)  # far faster than a pattern
+        return (self.exact if runs else self.fast).encode_ordinary(text)
 
 
 @lru_cache(1)
@@ -82,12 +81,13 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, vocabulary: str, cap: in
         for texts in batches:
             at, starts, lengths, blobs, totals = [0], [], [], [], []
             for t in texts:
-                ids = np.array([*enc(t.as_py() or ""), end_id], "<u4")
-                for s in _cuts(len(ids), cap):
-                    part = ids[s : s + cap]
+                ids = enc(t.as_py() or "")
+                ids.append(end_id)
+                blob = array("I", ids).tobytes()
+                for s in range(0, len(ids), cap):
                     starts.append(s)
-                    lengths.append(len(part))
-                    blobs.append(part.tobytes())
+                    lengths.append(min(cap, len(ids) - s))
+                    blobs.append(blob[4 * s : 4 * (s + cap)])
                     totals.append(len(ids))
                 at.append(len(starts))
             rows = pa.StructArray.from_arrays(
