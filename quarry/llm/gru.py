@@ -151,7 +151,8 @@ def windows(model: Gru, docs: list[np.ndarray], width: int, steps: int, end: int
     symbols, owner, start, length = lanes(docs, width)
     n = model.shape.hidden
     state = np.zeros((len(length), n), np.float32)
-    before = np.full(len(length), end, np.int32)  # input symbol of the next step
+    before = np.full(len(length), end, np.int32)  # input symbol of the next step, and whose it is
+    whose = np.full(len(length), -1, np.int32)
     longest = int(length[0]) if len(length) else 0
     for t0 in range(0, longest, steps):
         states, inputs, caches, places = [], [], [], []
@@ -159,16 +160,18 @@ def windows(model: Gru, docs: list[np.ndarray], width: int, steps: int, end: int
         for t in range(t0, min(t0 + steps, longest)):
             live = int(np.searchsorted(-length, -t, side="left"))
             h = h[:live]
-            fresh = before[:live] == end
+            place = start[:live] + t
+            fresh = owner[place] != whose[:live]
+            inp = before[:live]
             if fresh.any():
                 h = np.where(fresh[:, None], np.float32(0), h)
-            inp = before[:live]
+                inp = np.where(fresh, np.int32(end), inp)
             nxt, *cache = model.step(h, model.p["x"][inp])
             inputs.append(inp)
             caches.append((h, fresh, *cache))
             states.append(nxt)
-            places.append(start[:live] + t)
-            before, h = symbols[places[-1]], nxt
+            places.append(place)
+            before, whose, h = symbols[place], owner[place], nxt
         state = h
         hs = np.concatenate(states)
         place = np.concatenate(places)
@@ -214,8 +217,14 @@ class Adam:
         theta += self.rate * (self.m / (1 - 0.9**self.t)) / (np.sqrt(self.v / (1 - 0.99**self.t)) + 1e-6)
 
 
+STRETCH = 2048
+
+
 def train(model: Gru, docs: list[np.ndarray], width: int, steps: int, end: int, adam: Adam) -> None:
-    """One pass of truncated backpropagation over the documents, an Adam step per window."""
+    """One pass of truncated backpropagation over the documents, an Adam step per window. Training (not
+    scoring) takes a long document as stretches of STRETCH symbols, each from an empty state, so that
+    no window waits for a few long lanes."""
+    docs = [d[i : i + STRETCH] for d in docs for i in range(0, len(d), STRETCH)]
     for _, out, g in windows(model, docs, width, steps, end, True):
         flat = np.concatenate([g[name].ravel() for name, _ in model.shape.parts()])
         flat /= width * steps
