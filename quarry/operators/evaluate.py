@@ -11,7 +11,6 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 from pyspark.sql import types as T
 
 from quarry.functions import scoring as S

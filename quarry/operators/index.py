@@ -15,10 +15,6 @@ from pyspark.sql import Window as W
 from quarry.functions.text import Analyzer, tok_whitespace
 
 
-def with_tokens(docs: DataFrame, text_col: str, analyzer: Analyzer = tok_whitespace, out: str = "tokens") -> DataFrame:
-    return docs.withColumn(out, analyzer(F.col(text_col)))
-
-
 def token_table(docs: DataFrame, id_col: str, text_col: str, analyzer: Analyzer = tok_whitespace) -> DataFrame:
     """(doc_id, pos, term), positions from 0. Null fields yield no tokens. No exchange."""
     return docs.select(F.col(id_col).alias("doc_id"), F.posexplode(analyzer(F.col(text_col))).alias("pos", "term"))

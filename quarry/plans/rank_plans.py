@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry.functions.text import tok_whitespace
 from quarry.operators import index as I
 from quarry.operators import rank as R
 from quarry.plans import sql as Q

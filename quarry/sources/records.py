@@ -10,11 +10,6 @@ from quarry.functions.hashing import term_bucket
 RECORD_ARRAY = "array<struct<doc_id:string,title:string>>"
 
 
-def ingest_json_array(df: DataFrame, col: str, schema: str = RECORD_ARRAY) -> DataFrame:
-    """One JSON array of records per row -> one row per record (from_json + inline)."""
-    return df.select(F.inline(F.from_json(F.col(col), schema)))
-
-
 def export_json(df: DataFrame, cols: list[str], out: str = "json") -> DataFrame:
     return df.select(F.to_json(F.struct(*[F.col(c) for c in cols])).alias(out))
 

@@ -2,8 +2,6 @@
 
 import random
 
-from pyspark.sql import functions as F
-
 from quarry.operators import ltr as LT
 
 

@@ -3,8 +3,6 @@
 import math
 import random
 
-from pyspark.sql import functions as F
-
 from quarry.operators import index as I
 from quarry.operators import rank as R
 from quarry.sources.tables import literal_queries
