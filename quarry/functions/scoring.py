@@ -56,13 +56,3 @@ def label_gain(label) -> Column:
 
 def is_relevant(label) -> Column:
     return (_c(label) != F.lit("I")).cast("int")
-
-
-def ordered_sum(order_col: str, value_col: str) -> Column:
-    """Aggregate: sum values in a fixed order (by ``order_col``) so equal inputs give bit-equal sums.
-
-    The collected list holds one entry per query term of a (query, document) pair, so it is
-    bounded by the query length, not by the data.
-    """
-    parts = F.array_sort(F.collect_list(F.struct(F.col(order_col).alias("o"), F.col(value_col).alias("v"))))
-    return F.aggregate(parts, F.lit(0.0), lambda acc, x: acc + x["v"])
