@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from llm_session import llm  # noqa: F401
 from quarry.llm import packing, sharding
 from quarry.llm.common import numbered, ordinals
+from quarry.session import scratch_path
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -45,6 +46,15 @@ def test_shard_weights_and_empty(llm):
     assert sharding.shard(docs(llm, []), "doc_id", "text").count() == 0
 
 
+def test_written_shards_hold_whole_rows(llm):
+    path = scratch_path(llm, "shards")
+    table = llm.range(300).selectExpr("id", "cast(id as string) as text")
+    sharding.write_shards(table, "id", path, [1.0, 2.0])
+    back = llm.read.parquet(path)
+    assert {(r.id, r.text) for r in back.collect()} == {(i, str(i)) for i in range(300)}
+    assert back.where(back.shard != sharding.rendezvous(F.col("id"), [1.0, 2.0])).count() == 0
+
+
 def test_ordinals_of_a_hot_group(llm):
     rows = numbered(llm.range(1000).select(F.when(F.col("id") % 3 > 0, 1).alias("g")).repartition(9), "t")
     got = ordinals(rows, "g", "r").collect()
