@@ -25,14 +25,17 @@ class Params:
     probability (1 - 0.8**5)**36 = 6e-7. Of two documents in one band, those whose sketches (two bits
     of each coordinate) differ in more than ``sketch_bits`` bits are not compared: at 0.8, 36 are
     expected and 70 are 5 deviations off (3e-7). ``progress``: rounds of stars go on while they link
-    at least this share of the nodes still open."""
+    at least this share of the nodes still open; then the rest is compared in blocks of at most
+    ``block`` nodes and about ``block_bytes`` bytes of text."""
 
     words: int = 4
     percent: int = 80
     bands: int = 36
     rows: int = 5
     sketch_bits: int = 70
-    progress: float = 0.01
+    progress: float = 0.1
+    block: int = 512
+    block_bytes: int = 16 << 20
 
 
 class Words(dict):
@@ -185,9 +188,11 @@ def _tagged(docs: DataFrame, id_col: str, text_col: str, p: Params) -> DataFrame
        leader (the least of the bucket by a new order each round), and of the leaders it sees, the
        one it shares most buckets with is tested on full sets, if its size and sketch allow it. That
        settles large groups in a few rounds of at most one test per node.
-    3. When rounds link hardly anything more, every pair left that shares a bucket but no component,
-       with sizes and sketches that allow the similarity, is tested once, so no link that banding
-       finds is missing.
+    3. When rounds link little more, the nodes of buckets that still span several components are
+       gathered into clusters (connected through those buckets) and compared in blocks: within a
+       task, every pair that shares a band but no component, with sizes and sketches that allow the
+       similarity, is tested, so no link that banding finds is missing, and only links come back.
+       A cluster of c nodes costs c / block copies of its texts and c**2 sketch comparisons.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), utf8(text_col).alias("t"))
     rows = rows.select("doc_id", F.unhex(F.md5("t")).alias("text_id"), _signatures(p)("t").alias("s")).select("doc_id", "text_id", "s.*")
@@ -223,13 +228,8 @@ def _tagged(docs: DataFrame, id_col: str, text_col: str, p: Params) -> DataFrame
         turn += 1
         if linked <= p.progress * left:
             break
-    one = open_.join(traits.select("node", "n", "sketch", "bands"), "node")
-    other = one.select("bucket", *[F.col(c).alias(f"{c}2") for c in ("node", "n", "sketch", "bands", "comp")])
-    first = F.array_position(F.zip_with("bands", "bands2", lambda x, y: x == y), True) == F.col("band") + 1
-    ok = (F.col("node") < F.col("node2")) & (F.col("comp") != F.col("comp2")) & _sized("n", "n2", p) & (_apart("sketch", "sketch2") <= p.sketch_bits)
-    pairs = one.join(other, "bucket").where(ok & first)  # a pair counts in the first band that it shares
-    pairs = pairs.select(F.col("node").alias("a"), F.col("node2").alias("b"))
-    tested, comp, _ = _settle(_untested(pairs, tested), tested, comp, texts, p, "rest")
+    links = written(_rest(open_, traits, texts, p), "rest")
+    comp = written(components(links.union(comp.select(F.col("node").alias("a"), F.col("comp").alias("b")))), "final")
 
     member = nodes.join(comp.select("node", "comp"), "node", "left").select(F.col("text_id").alias("_t"), F.coalesce("comp", "node").alias("comp"))
     out = rows.join(member, F.col("text_id") == F.col("_t"), "left")
@@ -244,6 +244,69 @@ def _texts(docs: DataFrame, id_col: str, text_col: str, reps: DataFrame, involve
     return written(found.select("node", "t").dropDuplicates(["node"]), "texts")
 
 
+def _rest(open_: DataFrame, traits: DataFrame, texts: DataFrame, p: Params) -> DataFrame:
+    """(a, b): links between components that share a bucket, found block by block."""
+    lead = written(open_.groupBy("bucket").agg(F.min("node").alias("lead")), "cluster-leads")
+    edges = open_.join(lead, "bucket").select(F.col("node").alias("a"), F.col("lead").alias("b"))
+    cluster = components(edges, "clusters").select("node", F.col("comp").alias("cluster"))
+    member = open_.select("node", "comp").distinct().join(cluster, "node").join(traits, "node").join(texts, "node")
+    size = cluster.join(texts.select("node", F.octet_length("t").alias("bytes")), "node").groupBy("cluster")
+    size = written(size.agg(F.count(F.lit(1)).alias("c"), F.sum("bytes").alias("bytes")), "cluster-sizes")
+    parts = F.greatest(F.ceil(F.col("c") / p.block), F.ceil(F.col("bytes") / p.block_bytes)).cast("int")
+    member = member.join(size.select("cluster", parts.alias("parts")), "cluster")
+    member = member.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    member = member.withColumn("other", other).drop("parts")
+    member = member.withColumn("lo", F.least("part", "other")).withColumn("hi", F.greatest("part", "other")).drop("other")
+    return member.groupBy("cluster", "lo", "hi").applyInArrow(_compare(p), "a long, b long")
+
+
+def _compare(p: Params):
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        node, comp, n, part = (table[c].to_numpy() for c in ("node", "comp", "n", "part"))
+        bands = table["bands"].chunk(0).flatten().to_numpy().reshape(len(node), -1)
+        sketches = table["sketch"].chunk(0).flatten().to_numpy().view(np.uint64).reshape(len(node), -1)
+        lo, hi = table["lo"][0].as_py(), table["hi"][0].as_py()
+        words, sets, texts = Words(), {}, table["t"]
+
+        def shingles_of(i: int) -> np.ndarray:
+            if i not in sets:
+                sets[i] = shingles(texts[i].as_py(), p.words, words)
+            return sets[i]
+
+        root = {int(c): int(c) for c in comp}
+
+        def find(x: int) -> int:
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        left, right = np.flatnonzero(part == lo), np.flatnonzero(part == hi)
+        tries = []
+        for i in left:
+            j = right[right > i] if lo == hi else right
+            ok = (comp[j] != comp[i]) & (100 * np.minimum(n[i], n[j]) >= p.percent * np.maximum(n[i], n[j]))
+            j = j[ok]
+            j = j[(bands[j] == bands[i]).any(axis=1)]
+            apart = np.bitwise_count(sketches[j] ^ sketches[i]).sum(axis=1)
+            tries += [(int(d), int(i), int(k)) for d, k in zip(apart, j, strict=True) if d <= p.sketch_bits]
+        out = []
+        for _, i, j in sorted(tries):  # the likeliest first: a link spares the other pairs of its components
+            a, b = find(int(comp[i])), find(int(comp[j]))
+            if a == b:
+                continue
+            x, y = shingles_of(i), shingles_of(j)
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            if 100 * both >= p.percent * (len(x) + len(y) - both):
+                root[a] = b
+                out.append((int(node[i]), int(node[j])))
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+
+    return run
+
+
 def _pair_table(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame([], "a long, b long, same boolean")
 
