@@ -29,7 +29,7 @@ class Params:
     counts. ``group``: most models that one task averages. ``buffer``: tokens a task runs at once."""
 
     head: int = 1024
-    tails: int = 64
+    tails: int = 32
     known: int = 65_536
     word_bytes: int = 64
     hidden: int = 16
@@ -73,6 +73,21 @@ def count_words(texts: DataFrame) -> DataFrame:
     return texts.select("t").mapInArrow(count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
+class Symbols(dict):
+    """Symbol of a word: the frequent words' are stored, the others' follow from their tail class."""
+
+    def __init__(self, head: int, p: Params):
+        self.head, self.p = head, p
+
+    def __missing__(self, word: bytes) -> int:
+        return self.head + zlib.crc32(word[-2:]) % self.p.tails
+
+
+class Counts(dict):
+    def __missing__(self, word: bytes) -> int:
+        return -1
+
+
 class Vocabulary:
     """What every task needs of the counts: totals, the frequent words and the tail classes."""
 
@@ -84,10 +99,15 @@ class Vocabulary:
         self.counts = dict(frequent)
         self.counts.setdefault(END, 0)
 
-    def encode(self, words: list[bytes]) -> np.ndarray:
-        get, tails, first = self.symbol.get, self.p.tails, self.head
-        crc = zlib.crc32
-        return np.fromiter((s if (s := get(w)) is not None else first + crc(w[-2:]) % tails for w in words), np.int32, len(words))
+    def lookups(self) -> tuple[Symbols, Counts]:
+        """Tables of the frequent words for the tasks, whose lookups mostly stay in C."""
+        symbols = Symbols(self.head, self.p)
+        symbols.update({w: self.symbol.get(w, self.head + tail_of(w, self.p)) for w in self.counts})
+        return symbols, Counts(self.counts)
+
+    def encode(self, words: list[bytes], symbols: Symbols | None = None) -> np.ndarray:
+        table = self.lookups()[0] if symbols is None else symbols
+        return np.fromiter(map(table.__getitem__, words), np.int32, len(words))
 
     def frequency(self) -> np.ndarray:
         return np.concatenate([[self.counts[w] for w in self.symbol], self.tail_n]).astype(np.float64)
@@ -161,7 +181,8 @@ def train(texts: DataFrame, vocab: Vocabulary, p: Params) -> np.ndarray:
     edge = short.select(h.alias("h")).orderBy("h").limit(p.warm_texts).agg(F.max("h")).first()[0]
     if edge is None:
         return model.theta
-    warm = [vocab.encode(tokens(bytes(r["t"]))) for r in short.where(h <= edge).orderBy(h).select("t").collect()]
+    table = vocab.lookups()[0]
+    warm = [vocab.encode(tokens(bytes(r["t"])), table) for r in short.where(h <= edge).orderBy(h).select("t").collect()]
     gru.train(model, warm, 64, p.steps, 0, gru.Adam(shape.size(), p.rate))
     shared = texts.sparkSession.sparkContext.broadcast((vocab, shape, model.theta))
     block = 4096
@@ -170,9 +191,9 @@ def train(texts: DataFrame, vocab: Vocabulary, p: Params) -> np.ndarray:
         from pyspark import TaskContext
 
         vocab, shape, theta = shared.value
-        own = gru.Gru(shape, theta.copy())
+        own, table = gru.Gru(shape, theta.copy()), vocab.lookups()[0]
         adam, n = gru.Adam(shape.size(), p.rate / 4), 0
-        for rows in _buffered(batches, p, lambda words: (vocab.encode(words),)):
+        for rows in _buffered(batches, p, lambda words: (vocab.encode(words, table),)):
             docs = [r[0] for r in rows]
             gru.train(own, docs, p.lanes, p.steps, 0, adam)
             n += sum(map(len, docs))
@@ -223,13 +244,13 @@ def score(docs: DataFrame, id_col: str, text_col: str, p: Params = Params()) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab, shape, theta = shared.value
         model = gru.Gru(shape, theta)
-        known = vocab.counts.get
+        table, known = vocab.lookups()
 
         def read(key, words):
             """Symbols, key, known tokens, base and tail terms of the words whose counts are here, and the
             other words with their numbers."""
-            symbols = vocab.encode(words)
-            c = np.fromiter((known(w, -1) for w in words), np.int64, len(words))
+            symbols = vocab.encode(words, table)
+            c = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
             hit = c >= 0
             tail = hit & (symbols >= vocab.head)
             rest = Counter(words[j] for j in np.flatnonzero(~hit))
