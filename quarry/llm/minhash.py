@@ -163,7 +163,7 @@ def near_duplicates(docs: DataFrame, id_col: str, text_col: str, p: Params = Par
     and keeps none.
     """
     tagged = _tagged(docs, id_col, text_col, p)
-    smallest = tagged.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
+    smallest = written(tagged.groupBy("comp").agg(F.min("doc_id").alias("component_id")), "smallest")
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
     return tagged.join(smallest, "comp").select("doc_id", F.col("n").alias("n_shingles"), "component_id", kept.alias("kept"))
 

@@ -199,7 +199,7 @@ def near_duplicates(vectors: DataFrame, id_col: str, vec_col: str, p: Params = P
     tagged = rows.join(known, F.col("same") == F.col("_s"), "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), F.coalesce("comp", "_row").alias("comp")
     )
-    smallest = tagged.groupBy("comp").agg(F.min("vec_id").alias("component_id"))
+    smallest = written(tagged.groupBy("comp").agg(F.min("vec_id").alias("component_id")), "smallest")
     out = tagged.join(smallest, "comp")
     return out.select("vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
