@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from quarry.llm.common import numbered, utf8, written
 from quarry.llm.graph import components
 
-VOCABULARY = 1 << 19  # words whose hashes a task remembers at a time
+VOCABULARY = 1 << 17  # words whose hashes a task remembers at a time
 
 
 @dataclass(frozen=True)

@@ -45,8 +45,14 @@ class Encoder:
         back = {chr(b): b for b in printable}
         back |= {chr(256 + i): b for i, b in enumerate(sorted(set(range(256)) - set(printable)))}
         ranks = {bytes(back[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in self.specials}
-        bpe = lambda pattern: tiktoken.Encoding("bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.fast, self.exact = bpe(WORDS + r"|\s+"), bpe(WORDS + r"|\s+(?!\S)|\s+")
+        self.ranks = ranks
+        self.fast = tiktoken.Encoding("fast", pat_str=WORDS + r"|\s+", mergeable_ranks=ranks, special_tokens={})
+
+    @cached_property
+    def exact(self):
+        import tiktoken
+
+        return tiktoken.Encoding("exact", pat_str=WORDS + r"|\s+(?!\S)|\s+", mergeable_ranks=self.ranks, special_tokens={})
 
     @cached_property
     def full(self):
