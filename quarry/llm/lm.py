@@ -29,7 +29,7 @@ class Params:
     counts. ``group``: most models that one task averages. ``buffer``: tokens a task runs at once."""
 
     head: int = 1024
-    tails: int = 32
+    tails: int = 64
     known: int = 65_536
     word_bytes: int = 64
     hidden: int = 16

@@ -76,6 +76,14 @@ def test_training_learns_context():
     assert gru.score(m, docs[:1], 1, 16, 0)[0] > before / 5
 
 
+def test_size_of_the_registered_network():
+    """96 classes of the output: 32 of head words and 64 of tail words."""
+    p = lm.Params()
+    shape = gru.Shape(p.head, p.tails, p.hidden)
+    assert (p.head, p.tails, shape.classes) == (1024, 64, 96)
+    assert len({lm.tail_of(bytes([a, b]), p) for a in range(97, 123) for b in range(97, 123)}) == 64
+
+
 def corpus():
     rng = random.Random(8)
     langs = [[f"{c}{i}" for i in range(300)] for c in "abc"]
