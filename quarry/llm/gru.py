@@ -217,14 +217,9 @@ class Adam:
         theta += self.rate * (self.m / (1 - 0.9**self.t)) / (np.sqrt(self.v / (1 - 0.99**self.t)) + 1e-6)
 
 
-STRETCH = 2048
-
-
 def train(model: Gru, docs: list[np.ndarray], width: int, steps: int, end: int, adam: Adam) -> None:
-    """One pass of truncated backpropagation over the documents, an Adam step per window. Training (not
-    scoring) takes a long document as stretches of STRETCH symbols, each from an empty state, so that
-    no window waits for a few long lanes."""
-    docs = [d[i : i + STRETCH] for d in docs for i in range(0, len(d), STRETCH)]
+    """One pass of truncated backpropagation over the whole documents, an Adam step per window; the state
+    is carried through a document of any length."""
     for _, out, g in windows(model, docs, width, steps, end, True):
         flat = np.concatenate([g[name].ravel() for name, _ in model.shape.parts()])
         flat /= width * steps

@@ -76,6 +76,30 @@ def test_training_learns_context():
     assert gru.score(m, docs[:1], 1, 16, 0)[0] > before / 5
 
 
+def test_training_carries_the_state_through_long_documents():
+    """Each window of a long document starts from the state and symbol that the one before ended with."""
+    rng = np.random.default_rng(5)
+    doc = np.append(rng.integers(1, 14, 2900), 0).astype(np.int32)
+    m, adam = model(), gru.Adam(SHAPE.size(), 0.01)
+    gru.train(m, [doc], 4, 16, 0, adam)
+    want, adam = model(), gru.Adam(SHAPE.size(), 0.01)
+    h, before = np.zeros((1, 5), np.float32), 0
+    for t in range(0, len(doc), 16):
+        g, caches, inputs, states = {k: np.zeros_like(v) for k, v in want.p.items()}, [], [], []
+        for s in doc[t : t + 16]:
+            nxt, *cache = want.step(h, want.p["x"][[before]])
+            caches.append((h, np.array([False]), *cache))
+            inputs.append(np.array([before], np.int32))
+            states.append(nxt)
+            h, before = nxt, s
+        _, dh = want.logp(np.concatenate(states), doc[t : t + 16], g)
+        gru._backward(want, g, caches, inputs, dh)
+        flat = np.concatenate([g[name].ravel() for name, _ in SHAPE.parts()]) / (4 * 16)
+        norm = float(np.sqrt(flat @ flat))
+        adam.ascend(want.theta, flat if norm <= 1 else flat / norm)
+    assert np.allclose(m.theta, want.theta, atol=1e-4)
+
+
 def test_size_of_the_registered_network():
     """96 classes of the output: 32 of head words and 64 of tail words."""
     p = lm.Params()
