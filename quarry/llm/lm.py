@@ -177,13 +177,14 @@ def train(texts: DataFrame, vocab: Vocabulary, p: Params) -> np.ndarray:
     shape = gru.Shape(vocab.head, p.tails, p.hidden)
     model = gru.Gru.fresh(shape, vocab.frequency())
     short = texts.where(F.octet_length("t") <= p.warm_bytes)
-    h = F.xxhash64("key", "t")
-    edge = short.select(h.alias("h")).orderBy("h").limit(p.warm_texts).agg(F.max("h")).first()[0]
-    if edge is None:
-        return model.theta
-    table = vocab.lookups()[0]
-    warm = [vocab.encode(tokens(bytes(r["t"])), table) for r in short.where(h <= edge).orderBy(h).select("t").collect()]
-    gru.train(model, warm, 64, p.steps, 0, gru.Adam(shape.size(), p.rate))
+    # the hash below which warm_texts rows lie; over row numbers, so that equal rows don't tie
+    h = F.xxhash64("_row")
+    short = short.withColumn("_row", F.monotonically_increasing_id()).select(h.alias("h"), "t")
+    edge = short.select("h").orderBy("h").limit(p.warm_texts).agg(F.max("h")).first()[0]
+    if edge is not None:  # else all tasks start from the fresh network
+        table = vocab.lookups()[0]
+        warm = [vocab.encode(tokens(bytes(r["t"])), table) for r in short.where(F.col("h") <= edge).orderBy("h").collect()]
+        gru.train(model, warm, 64, p.steps, 0, gru.Adam(shape.size(), p.rate))
     shared = texts.sparkSession.sparkContext.broadcast((vocab, shape, model.theta))
     block = 4096
 
@@ -220,6 +221,8 @@ def train(texts: DataFrame, vocab: Vocabulary, p: Params) -> np.ndarray:
     for key in (["many", "block"], ["block"]):
         made = made.groupBy(*key).applyInArrow(add, out)
     blocks = made.orderBy("block").collect()  # one row per 4096 parameters
+    if not blocks:
+        return model.theta  # no training texts
     return np.concatenate([np.array(r["sums"]) / r["n"] for r in blocks]).astype(np.float32)
 
 

@@ -148,6 +148,21 @@ def test_nothing_to_score_or_learn(llm):
     assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (True, 3, 0, 0) and abs(r.base_score) < 1e-9
 
 
+def test_warm_up_is_bounded_and_not_needed(llm, monkeypatch):
+    """Many equal rows give no more than warm_texts of them; long texts alone train all the same."""
+    sizes, train = [], gru.train
+    monkeypatch.setattr(gru, "train", lambda m, docs, *a: (sizes.append(len(docs)), train(m, docs, *a)))
+    rows = [("same words here",)] * 900 + [(f"w{i % 7} v{i % 5}",) for i in range(20)]
+    texts = llm.createDataFrame(rows, "t string").selectExpr("cast(null as string) as key", "cast(t as binary) as t").repartition(3)
+    p = lm.Params(head=16, tails=4, known=20, lanes=8, warm_texts=50)
+    vocab = lm.vocabulary(lm.count_words(texts), p)
+    lm.train(texts, vocab, p)
+    assert 0 < sizes[0] <= 50
+    none = lm.Params(head=16, tails=4, known=20, lanes=8, warm_bytes=1)
+    fresh = gru.Gru.fresh(gru.Shape(vocab.head, 4, none.hidden), vocab.frequency()).theta
+    assert np.abs(lm.train(texts, vocab, none) - fresh).max() > 1e-4
+
+
 def test_tail_shares_sum_to_one(llm):
     table = llm.createDataFrame(corpus(), "doc_id long, text string")
     p = lm.Params(head=64, tails=8, known=100)
