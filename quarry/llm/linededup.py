@@ -17,7 +17,9 @@ from quarry.llm.common import written
 class Params:
     """rare: a line in at most so many documents pairs each of them with every earlier one; a line
     in more documents pairs each with the line's earliest holder only, so that the number of pairs
-    grows with the number of lines while every line still meets an earlier copy of itself.
+    grows with the number of lines while every line still meets an earlier copy of itself. Whatever
+    the lines' counts, each run of lines (see ``runs``) pairs its documents with the run's earliest
+    holder, so that every line of a common block meets an earlier copy of a run around it.
     min_words: an aligned block of consecutive lines is deleted if it has so many words."""
 
     rare: int = 8
@@ -105,6 +107,27 @@ def _increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
+def runs(seq: list[dict], min_words: int) -> list[bytes]:
+    """Hashes of the shortest runs of consecutive lines with ``min_words`` words, from each line onwards
+    and from each line backwards. Every line of a block of so many words is in such a run within the
+    block: where the lines up to it have too few words, the run from the block's start reaches past it."""
+    import xxhash
+
+    out, i, total = set(), 0, 0
+    at, h = 0, [bytes(x["h"]) for x in seq]  # the stretch of consecutive lines begins at ``at``
+    for j, x in enumerate(seq):
+        if j and x["pos"] != seq[j - 1]["pos"] + 1:
+            at, i, total = j, j, 0
+        total += x["words"]
+        while total >= min_words:  # the lines from i to j - 1 had too few words
+            out.add((i, j + 1))
+            total -= seq[i]["words"]
+            i += 1
+        if i > at:
+            out.add((i - 1, j + 1))
+    return sorted({xxhash.xxh3_128_digest(b"".join(h[a:b])) for a, b in out})
+
+
 def blocks_to_delete(later: list[dict], earlier: list[dict], min_words: int) -> list[int]:
     """Line numbers of ``later`` in aligned blocks of consecutive lines with at least ``min_words``."""
     pairs = patience([bytes(x["h"]) for x in later], [bytes(x["h"]) for x in earlier])
@@ -146,8 +169,17 @@ def deletions(docs: DataFrame, id_col: str, text_col: str, p: Params = Params())
     rare = held.where(F.col("df") <= p.rare).select("h", "doc")
     both = rare.join(rare.select("h", F.col("doc").alias("other")), "h").where(F.col("doc") > F.col("other"))
     star = held.where((F.col("df") > p.rare) & (F.col("doc") > F.col("first"))).select("doc", F.col("first").alias("other"))
-    pairs = both.select("doc", "other").union(star).distinct()
     sequence = shared.groupBy(doc.alias("doc")).agg(F.sort_array(F.collect_list(F.struct("pos", "line", "h", "words"))).alias("seq"))
+
+    @F.pandas_udf("array<binary>")
+    def keys(seq: pd.Series) -> pd.Series:
+        return pd.Series([runs(list(x), p.min_words) for x in seq], dtype=object)
+
+    blocks = written(sequence.select("doc", F.explode(keys("seq")).alias("run")), "line-runs")
+    first = blocks.groupBy("run").agg(F.count(F.lit(1)).alias("df"), F.min("doc").alias("other")).where("df > 1")
+    first = written(first.select("run", "other"), "run-holders")
+    block = blocks.join(first, "run").where(F.col("doc") > F.col("other")).select("doc", "other")
+    pairs = both.select("doc", "other").union(star).union(block).distinct()
     aligned = pairs.join(sequence, "doc").join(sequence.select(F.col("doc").alias("other"), F.col("seq").alias("earlier")), "other")
 
     @F.pandas_udf("array<int>")

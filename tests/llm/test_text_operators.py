@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -159,6 +160,40 @@ def test_line_dedup_equals_brute_force(llm):
     assert ld.dedup_lines(docs(llm, []), "doc_id", "text").count() == 0
 
 
+def test_every_block_of_an_earlier_document_goes(llm):
+    """Lines that are each common alone: as if compared with every earlier document."""
+    rng = random.Random(4)
+    stock = [f"stock {n} " + " ".join(["word"] * rng.randrange(2, 9)) for n in range(12)]
+    rows = [(n, f"{line}\nown {n}") for n, line in enumerate(stock)]  # the first holders have one line each
+    for i in range(60):
+        own = [f"own {i} {j}" for j in range(rng.randrange(1, 4))]
+        at, size = rng.randrange(11), rng.randrange(1, 6)
+        own[1:1] = stock[at : at + size]
+        rows.append((100 + i, "\n".join(own)))
+    p = ld.Params()
+    got = {r.doc_id: list(r.removed_lines) for r in ld.dedup_lines(docs(llm, rows).repartition(3), "doc_id", "text", p).collect()}
+    seqs = {i: [{"line": n, "pos": x, "h": h, "words": w} for x, (n, h, w) in enumerate(ld.split_lines(t))] for i, t in rows}
+    want = {b: sorted({n for a in seqs if a < b for n in ld.blocks_to_delete(seqs[b], seqs[a], p.min_words)}) for b in seqs}
+    assert sum(map(len, want.values())) > 50 and got == want
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 2), st.integers(1, 9)), max_size=14))
+def test_shortest_runs_cover_every_block(steps):
+    seq, pos = [], 0
+    for n, (step, words) in enumerate(steps):
+        pos += step
+        seq.append({"pos": pos, "h": bytes([n]) * 16, "words": words})
+    got = set(ld.runs(seq, 12))
+    for a in range(len(seq)):
+        for b in range(a + 1, len(seq) + 1):
+            block = seq[a:b]
+            if block[-1]["pos"] - block[0]["pos"] == b - a - 1 and sum(x["words"] for x in block) >= 12:
+                inside = [(i, j) for i in range(a, b) for j in range(i + 1, b + 1) if sum(x["words"] for x in seq[i:j]) >= 12]
+                found = [(i, j) for i, j in inside if xxhash.xxh3_128_digest(b"".join(x["h"] for x in seq[i:j])) in got]
+                assert {k for i, j in found for k in range(i, j)} == set(range(a, b))
+
+
 def test_toxicity_learns_and_scores_whole_texts(llm):
     rng = random.Random(2)
     word = lambda: "".join(rng.choice(["ba", "du", "ki", "lo", "me", "na"]) for _ in range(rng.randrange(1, 4)))
