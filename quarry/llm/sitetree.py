@@ -187,19 +187,12 @@ def _hosts(url: pd.Series) -> pd.Series:
     return pd.Series([host(u) for u in url], dtype=object)
 
 
-def article(html: str | None) -> tuple[list[tuple[str, bool, str]], list[tuple[str, str]]]:
-    """``parse``, and where a page has article or main elements only the blocks inside them."""
-    blocks, nodes = parse(html or "")
-    inside = [b for b in blocks if b[1]]
-    return inside or blocks, nodes
-
-
 def _outline(html: pd.Series, url: pd.Series) -> pd.DataFrame:
     """What the style tree needs of each page: host, digest of the text, distinct (path, hash of the
     text) items, distinct paths with their ancestors, and the nodes' child sequences."""
     out = []
     for h, u in zip(html, url, strict=True):
-        blocks, nodes = article(h)
+        blocks, nodes = parse(h or "")
         hashes = [xxhash.xxh3_64_intdigest(t.encode("utf-8", "replace")) - (1 << 63) for _, _, t in blocks]
         digest = xxhash.xxh3_64_intdigest(np.array(hashes, np.int64).tobytes()) - (1 << 63)
         items = sorted({(p, x) for (p, _, _), x in zip(blocks, hashes, strict=True)})
@@ -261,7 +254,7 @@ def extract(pages: DataFrame, id_col: str, url_col: str, html_col: str, p: Param
     def text_of(html: pd.Series, low: pd.Series) -> pd.Series:
         out = []
         for h, cut in zip(html, low, strict=True):
-            blocks, _ = article(h)
+            blocks, _ = parse(h or "")
             if cut is not None and len(cut):
                 gone = set(cut)
                 blocks = [b for b in blocks if not any(">".join(b[0].split(">")[:i]) in gone for i in range(1, b[0].count(">") + 2))]

@@ -72,6 +72,17 @@ def test_site_tree_removes_what_a_host_repeats(llm):
     assert tree.extract(pages(llm, []), "page_id", "url", "html").count() == 0
 
 
+def test_site_tree_judges_what_is_outside_articles(llm):
+    """A story beside teaser articles stays; unmarked boilerplate beside an article goes by the tree alone."""
+    tease = lambda i: f"<article class=card><p>Teaser {i}</p></article><article class=card><p>Teaser {i + 1}</p></article>"
+    rows = [(i, f"http://t.org/{i}", f"<body><div class=story><p>Story {i} begins.</p><p>And {i * 7} ends.</p></div>{tease(i)}</body>") for i in range(12)]
+    box = "<div class=box>Follow us on everything</div>"
+    rows += [(100 + i, f"http://u.org/{i}", f"<body>{box}<article><p>Story {i}.</p><p>More {i * 7}.</p></article><div class=note>Note {i}</div></body>") for i in range(12)]
+    by = {r.page_id: r.text for r in tree.extract(pages(llm, rows).repartition(3), "page_id", "url", "html").collect()}
+    assert by[3] == "Story 3 begins. And 21 ends. Teaser 3 Teaser 4"
+    assert by[103] == "Story 3. More 21. Note 3"
+
+
 def test_archives_round_trip(llm):
     rows = [(i, f"http://x.org/{i}?q=é ü", f"<p>page {i % 40}</p>" * (i % 9)) for i in range(200)]
     rows += [(500, None, None), (501, "u\r\nX-Bad: 1", "x"), (None, "n", "only"), (None, "n", "only"), (None, "n", "<p>page 1</p>"), rows[3]]
