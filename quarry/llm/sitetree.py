@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import written
 
-# HTML's element classes and the names by which pages mark what is not the article.
+# HTML's element classes and the names by which pages mark what is not the article. A name
+# in a class or id marks its element if all its words are such names (cookie-notice, not has-sidebar).
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 DROPPED = frozenset("head script style noscript template iframe object svg canvas nav aside footer form button select menu dialog".split())
@@ -27,6 +28,7 @@ CLOSES_P = BLOCK - {"html", "body", "li", "dt", "dd", "caption", "thead", "tbody
 CLOSES_SELF = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}}
 LANDMARK = frozenset({"article", "main"})
+UNMARKED = LANDMARK | {"html", "body"}  # their names say what the page has, not what they are
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog menu menubar".split())
 NOISE_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion nav navbar navigation menu breadcrumb breadcrumbs "
@@ -66,8 +68,8 @@ def _noise(tag: str, attrs: str, inside: bool) -> tuple[bool, str]:
         if name == "role" and value in NOISE_ROLES:
             return True, tag
         if name in ("class", "id"):
-            names = set(WORD.findall(value))
-            if tag not in ("html", "body") and names & (NOISE_NAMES - INSIDE_OK if inside else NOISE_NAMES):
+            marks = NOISE_NAMES - INSIDE_OK if inside else NOISE_NAMES
+            if tag not in UNMARKED and any((w := WORD.findall(t)) and marks.issuperset(w) for t in value.split()):
                 return True, tag
             if name == "class":
                 label = f"{tag}.{'.'.join(sorted(set(value.split())))}"

@@ -44,6 +44,25 @@ def test_parse(html, want):
     assert text(html) == want
 
 
+@pytest.mark.parametrize(
+    "tag, attrs, want",
+    [
+        ("article", "class='post comments-open'", "x"),
+        ("article", "class='post category-social'", "x"),
+        ("article", "class='post comments'", "x"),
+        ("main", "class='has-sidebar'", "x"),
+        ("div", "class='content with-sidebar'", "x"),
+        ("section", "id='related-work'", "x"),
+        ("div", "class='post tag-legal'", "x"),
+        ("div", "class='box sidebar'", ""),
+        ("div", "id=cookie-notice", ""),
+        ("section", "class=related", ""),
+    ],
+)
+def test_names_mark_whole_tokens(tag, attrs, want):
+    assert text(f"<body><{tag} {attrs}><p>x</p></{tag}></body>") == want
+
+
 PAGES = "page_id long, url string, html string, host string, text string, low int, digest int"
 
 
