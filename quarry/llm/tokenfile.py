@@ -10,6 +10,9 @@ stripes and skip stripes and row groups by their statistics and Bloom filters.
 
 from __future__ import annotations
 
+import json
+import re
+from array import array
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
@@ -19,8 +22,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 END_ID = 1
-CACHE = 1 << 17  # words that a worker's encoder remembers
-LONGEST = 64  # bytes of a word that is remembered
+CACHE = 1 << 18  # pieces of words that a worker's encoder remembers in each of two generations
+LONGEST = 64  # bytes of a piece that is remembered
+PART = 4 << 20  # characters of text encoded at a time
 SCHEMA = "doc_id long, part int, start long, n_tokens long, ids array<int>"
 #: What the files are written with. A stripe is what one task reads at least; row groups of 1,000
 #: documents each have statistics and a Bloom filter of their document ids.
@@ -34,45 +38,136 @@ OPTIONS = {
 }
 
 
+class Memory:
+    """What was found for the last keys: two generations, so that frequent keys survive a full one."""
+
+    def __init__(self, size: int):
+        self.size, self.young, self.old = size, {}, {}
+
+    def find(self, keys: list) -> list:
+        young, old = self.young.get, self.old.get
+        return [young(k) or old(k) for k in keys]
+
+    def keep(self, found: dict) -> None:
+        if len(self.young) + len(found) > self.size:
+            self.old, self.young = self.young, {}
+        self.young.update(found)
+
+
+WHITE, LETTER, DIGIT, OTHER, WHOLE = range(5)
+
+
+def _bytes(*spans: tuple[int, int]) -> list[int]:
+    return [b for lo, hi in spans for b in range(lo, hi + 1)]
+
+
 class Encoder:
-    """Ids of a tokenizers file, as little-endian unsigned 32-bit integers.
+    """Ids of a tokenizers file.
 
-    The file's vocabulary splits at white space and drops it, so a text's ids are those of its words
-    (ASCII white space between them) in a row: each word is encoded once by the tokenizers library and
-    remembered. A test compares this with the library on whole texts. A file whose pre-tokenizer keeps
-    white space, or that has special tokens with white space, is refused by ``splits``.
+    The file's normalizer and pre-tokenizer split at white space and drop it, lower every character, and cut
+    words into pieces: runs of letters, single digits, runs of other characters, and a few endings after an
+    apostrophe. Texts are cut here at ASCII white space and, in words of printable ASCII and the accented
+    letters of Latin-1, which the normalizer only lowers, into those pieces; the library's model gets each
+    distinct piece that is not remembered once. Words with an apostrophe are cut by the file's own pattern,
+    words with any other character, or with what may be a special token, go through the library whole.
+    Tests compare this with the library on whole texts. Files of another build are refused by ``usable``.
     """
 
+    # The file's normalizers, and its pattern of pieces.
+    NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+    PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+    SPLIT = re.compile(PIECES.replace(r"\p{L}", "a-zß-öø-ÿ").replace(r"\p{N}", "0-9").replace(r"\s", ""))
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        with open(path, encoding="utf-8") as f:
+            if not self.usable(json.load(f)):
+                raise ValueError(f"{path} does not drop white space between words, or splits words another way")
         self.tokenizer = Tokenizer.from_file(path)
-        if not self.splits():
-            raise ValueError(f"{path} does not drop white space between words")
-        self.known: dict[bytes, bytes] = {}
-
-    def splits(self) -> bool:
-        words, spaced = ("a", "b", "ab", "1", "."), " \t\n\x0b\x0c\r"
-        return all(self.ids(f"{a}{s}{b}") == self.ids(a) + self.ids(b) for s in spaced for a in words for b in words)
-
-    def ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def blobs(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids, without the end id."""
-        words = [t.encode().split() for t in texts]
-        known = self.known
-        if len(known) > CACHE:
-            known.clear()
-        new = list({w for held in words for w in held if w not in known})
-        fresh = {}
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            found = self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)
-            fresh.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, found, strict=True))
-        out = [b"".join([known[w] if w in known else fresh[w] for w in held]) for held in words]
-        known.update((w, b) for w, b in fresh.items() if len(w) <= LONGEST)
-        return out
+        self.tokenize = self.tokenizer.model.tokenize
+        printable = _bytes((33, 126), (161, 172), (174, 255))  # bytes that stand for themselves
+        rest = sorted(set(range(256)) - set(printable))
+        self.letters = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
+        self.memory = Memory(CACHE)
+        self.kinds = np.full(256, OTHER, np.uint8)
+        self.kinds[_bytes((9, 13), (32, 32))] = WHITE
+        self.kinds[_bytes((48, 57))] = DIGIT
+        self.kinds[_bytes((65, 90), (97, 122), (0x80, 0xBF), (0xC3, 0xC3))] = LETTER
+        self.lower = np.arange(256, dtype=np.uint8)
+        self.lower[65:91] += 32
+        self.odd = np.zeros(256, bool)  # bytes whose words are not cut here
+        self.odd[[*_bytes((0, 8), (14, 31)), ord("'"), 127, *_bytes((0xC0, 0xC2), (0xC4, 0xFF))]] = True
+
+    @classmethod
+    def usable(cls, spec: dict) -> bool:
+        normalizers = (spec.get("normalizer") or {}).get("normalizers", [])
+        steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        return (
+            [n["type"] for n in normalizers] == cls.NORMALIZERS
+            and [s["type"] for s in steps] == ["Split", "ByteLevel"]
+            and steps[0]["pattern"] == {"Regex": cls.PIECES}
+            and steps[0]["invert"]
+            and all(t["content"].startswith("<|") for t in spec["added_tokens"])
+        )
+
+    def ids(self, piece: bytes) -> bytes:
+        """Ids of a piece, or of a word that was not cut."""
+        if piece.isascii() and b"'" not in piece and b"<|" not in piece and piece.isalnum():
+            return self.piece(piece.decode())
+        text = piece.decode()
+        if "<|" in text or not self.PLAIN.fullmatch(text):
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        return b"".join(map(self.piece, self.SPLIT.findall(text.lower())))
+
+    def piece(self, piece: str) -> bytes:
+        mapped = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.tokenize(mapped)]).tobytes()
+
+    def pieces(self, text: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+        """(pieces, where each starts) of UTF-8 text that ends in white space."""
+        kind, low = self.kinds[text], self.lower[text]
+        accent = np.flatnonzero(text[:-1] == 0xC3) + 1
+        second = text[accent]
+        low[accent] = np.where((second <= 0x9E) & (second != 0x97), second + 0x20, second)
+        sign = accent[(second == 0x97) | (second == 0xB7)]
+        marker = np.flatnonzero((text[:-1] == ord("<")) & (text[1:] == ord("|")))
+        odd = np.concatenate([np.flatnonzero(self.odd[text]), sign, marker])
+        if len(odd):
+            word = np.cumsum(kind == WHITE, dtype=np.int32)
+            whole = np.zeros(int(word[-1]) + 1, bool)
+            whole[word[odd]] = True
+            at = whole[word] & (kind != WHITE)
+            kind[at], low[at] = WHOLE, text[at]
+        edge = np.empty(len(kind), bool)  # whether a byte does not go on what stands before it
+        edge[:1] = True
+        edge[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)
+        inside = kind != WHITE
+        starts = np.flatnonzero(edge & inside)
+        data = low[inside]
+        offsets = np.append((np.cumsum(inside) - inside)[starts], len(data)).astype(np.int32)
+        return pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)]), starts
+
+    def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, each with ``end_id`` after it, and how many each text has)."""
+        raw = [t.encode() for t in texts]
+        borders = np.cumsum([len(r) + 1 for r in raw], dtype=np.int64)
+        pieces, starts = self.pieces(np.frombuffer(b"".join([r + b"\n" for r in raw]), np.uint8))
+        coded = pieces.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        blobs = [b or self.ids(p) for p, b in zip(distinct, self.memory.find(distinct), strict=True)]
+        self.memory.keep({p: b for p, b in zip(distinct, blobs, strict=True) if len(p) <= LONGEST})
+        blobs.append(array("I", [end_id]).tobytes())
+        each = np.array([len(b) // 4 for b in blobs], np.int64)
+        first = np.cumsum(each) - each
+        upto = np.searchsorted(starts, borders)  # pieces up to the end of each text
+        codes = np.insert(coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), upto, len(blobs) - 1)
+        sizes = each[codes]
+        ends = np.cumsum(sizes)
+        places = np.repeat(first[codes] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+        last = upto + np.arange(len(texts))
+        return np.frombuffer(b"".join(blobs), "<u4")[places], np.diff(ends[last], prepend=0)
 
 
 @lru_cache(1)
@@ -98,24 +193,23 @@ def write(docs: DataFrame, id_col: str, text_col: str, path: str, vocabulary: st
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        enc, end = encoder(vocabulary), np.array([end_id], "<u4").tobytes()
+        enc = encoder(vocabulary)
         part, start = TaskContext.get().partitionId(), 0
         for batch in batches:
-            blobs = [b + end for b in enc.blobs(batch["text"].to_pylist())]
-            sizes = np.array([len(b) // 4 for b in blobs], np.int64)
-            at = np.concatenate([[0], np.cumsum(sizes)])
-            ids = np.frombuffer(b"".join(blobs), "<i4")
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch["doc_id"],
-                    pa.array(np.full(len(sizes), part, np.int32)),
-                    pa.array(start + at[:-1]),
-                    pa.array(sizes),
-                    pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids)),
-                ],
-                ["doc_id", "part", "start", "n_tokens", "ids"],
-            )
-            start += int(at[-1])
+            at, size = 0, 0
+            texts = batch["text"].to_pylist()
+            for i, text in enumerate(texts):
+                size += len(text)
+                if size < PART and i < len(texts) - 1:
+                    continue
+                ids, sizes = enc.encode(texts[at : i + 1], end_id)
+                ends = np.concatenate([[0], np.cumsum(sizes)])
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids.view("<i4")))
+                parts = pa.array(np.full(len(sizes), part, np.int32))
+                columns = [batch["doc_id"][at : i + 1], parts, pa.array(start + ends[:-1]), pa.array(sizes), lists]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "part", "start", "n_tokens", "ids"])
+                start += int(ends[-1])
+                at, size = i + 1, 0
 
     writer = placed.mapInArrow(encode, SCHEMA).write.format("orc")
     for k, v in OPTIONS.items():

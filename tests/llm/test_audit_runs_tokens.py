@@ -10,11 +10,13 @@ from itertools import permutations
 
 import numpy as np
 import pyarrow.orc as orc
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from conftest import SF01
 from llm_session import SF001, llm  # noqa: F401
 from quarry.llm import audit, periodic, queries, tokenfile
 from quarry.llm.common import read
@@ -238,15 +240,34 @@ def plain(texts):
 @settings(max_examples=300, deadline=None)
 @given(st.text(max_size=40))
 def test_encoder_equals_the_library(text):
-    blob = tokenfile.encoder(VOCABULARY).blobs([text])[0]
-    assert np.frombuffer(blob, "<u4").tolist() == plain([text])[0]
+    ids, sizes = tokenfile.encoder(VOCABULARY).encode([text], 1)
+    assert ids.tolist() == [*plain([text])[0], 1] and sizes.tolist() == [len(ids)]
 
 
 def test_encoder_on_odd_texts():
     odd = [chr(c) for c in [*range(33), 0x85, 0xA0, 0x300, 0x308, 0x1680, 0x2003, 0x2028, 0x3000, 0xFEFF, 0x10FFFF]]
     texts = [f"Ab{c}{d}'s 12" for c in odd for d in odd] + ["ΑΣ ΟΔΟΣ.", "é ́e", "<|endoftext|> a<|startoftext|>b", "x" * 3000, "İstanbul ǅ ﬁ"]
-    blobs = tokenfile.encoder(VOCABULARY).blobs(texts)
-    assert [np.frombuffer(b, "<u4").tolist() for b in blobs] == plain(texts)
+    ids, sizes = tokenfile.encoder(VOCABULARY).encode(texts, 1)
+    want = [[*p, 1] for p in plain(texts)]
+    assert ids.tolist() == [i for p in want for i in p] and sizes.tolist() == [len(p) for p in want]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from("abtsdlvemrXYZ019''.,-<|>#ÀÉßéüÿ× ÷²ª\n"), max_size=40))
+def test_plain_words_equal_the_library(text):
+    assert tokenfile.encoder(VOCABULARY).encode([text, "", text], 7)[0].tolist() == [*plain([text])[0], 7, 7, *plain([text])[0], 7]
+
+
+def test_every_text_of_the_table_and_a_full_memory():
+    texts = [r or "" for r in pq.read_table(f"{SF01}/documents.parquet", columns=["text"])["text"].to_pylist()]
+    enc = tokenfile.Encoder(VOCABULARY)
+    enc.memory = tokenfile.Memory(500)
+    want = plain(texts)
+    for at in range(0, len(texts), 10):
+        ids, _ = enc.encode(texts[at : at + 10], 1)
+        assert ids.tolist() == [i for p in want[at : at + 10] for i in [*p, 1]]
+    assert enc.memory.old
+    assert enc.encode([], 1)[0].tolist() == []
 
 
 def test_encoder_refuses_files_that_keep_white_space():
