@@ -70,8 +70,23 @@ def ordinals(rows: DataFrame, group: str, out: str) -> DataFrame:
     )
 
 
-def ready(spark: SparkSession) -> None:
+def ready(spark: SparkSession, batch: str = "16m") -> None:
     """What the queries expect of a session: a checkpoint folder, and Arrow batches of at most
-    16 MB, so that a task's Python side holds little whatever the texts' lengths."""
+    ``batch``, so that a task's Python side holds little whatever the texts' lengths."""
     ensure_checkpoint_dir(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", batch)
+
+
+def trim() -> None:
+    """Give what this worker has freed back to the system: workers outlive their tasks, and the memory of
+    finished stages would count against the next one's."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    free = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if free:
+        free(0)

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import numbered, utf8, written
+from quarry.llm.common import drop_written, numbered, trim, utf8, written
 from quarry.llm.graph import components
 
 VOCABULARY = 1 << 17  # words whose hashes a task remembers at a time
@@ -124,6 +124,8 @@ def _signatures(p: Params):
                 ["n", "bands", "sketch"],
             )
             yield rows
+        words.clear()
+        trim()
 
     return F.arrow_udf(_typed(run), "struct<n: long, bands: array<long>, sketch: array<long>>")
 
@@ -147,6 +149,8 @@ def _jaccard(p: Params):
                 both = len(np.intersect1d(seen, t, assume_unique=True))
                 out.append(100 * both >= p.percent * (len(seen) + len(t) - both))
             yield pd.Series(out, dtype=bool)
+        words.clear()
+        trim()
 
     run.__annotations__ = {"batches": Iterator[tuple[pd.Series, pd.Series]], "return": Iterator[pd.Series]}
     return F.pandas_udf(run, "boolean")
@@ -188,6 +192,8 @@ def _tagged(docs: DataFrame, id_col: str, text_col: str, p: Params) -> DataFrame
        leader (the least of the bucket by a new order each round), and of the leaders it sees, the
        one it shares most buckets with is tested on full sets, if its size and sketch allow it. That
        settles large groups in a few rounds of at most one test per node.
+       Between rounds the components that links join are merged by two steps of labels, not to the end;
+       all links are followed to the end once, when the rounds are over.
     3. When rounds link little more, the nodes of buckets that still span several components are
        gathered into clusters (connected through those buckets) and compared in blocks: within a
        task, every pair that shares a band but no component, with sizes and sketches that allow the
@@ -211,24 +217,30 @@ def _tagged(docs: DataFrame, id_col: str, text_col: str, p: Params) -> DataFrame
     texts = _texts(docs, id_col, text_col, reps, involved)
     traits = written(reps.join(involved.withColumnRenamed("node", "_row"), "_row", "left_semi").select(F.col("_row").alias("node"), "n", "sketch", "bands"), "traits")
 
-    tested = written(_pair_table(docs), "tested")  # pairs (a < b) tested so far, with their verdict
-    comp = None
+    tested = None  # pairs (a < b) tested so far, with their verdict
     turn = 0
     while True:
         order = F.struct(F.xxhash64("node", F.lit(turn)).alias("rank"), F.col("node").alias("node"), F.col("comp").alias("comp"))
         leader = written(open_.groupBy("bucket").agg(F.min(order).alias("lead")), "leaders")
         tries = open_.join(leader, "bucket").where(F.col("comp") != F.col("lead.comp"))
-        seen = tries.groupBy("node", F.col("lead.node").alias("lead")).agg(F.count(F.lit(1)).alias("shared"))
-        best = seen.groupBy("node").agg(F.max(F.struct("shared", "lead")).alias("x"))
-        best = best.select(F.least("node", "x.lead").alias("a"), F.greatest("node", "x.lead").alias("b")).distinct()
-        best = _alike(_untested(best, tested), traits, p)
-        tested, comp, linked = _settle(best, tested, comp, texts, p, f"stars-{turn}")
-        open_ = written(_mixed(buckets, comp), "mixed")
+        seen = tries.groupBy("node", "comp", F.col("lead.node").alias("lead"), F.col("lead.comp").alias("over")).agg(F.count(F.lit(1)).alias("shared"))
+        best = seen.groupBy("node", "comp").agg(F.max(F.struct("shared", "lead", "over")).alias("x"))
+        first = F.col("node") < F.col("x.lead")
+        ends = [F.col("node"), F.col("comp")], [F.col("x.lead"), F.col("x.over")]
+        named = zip(("a", "ca"), ("b", "cb"), *ends, strict=True)
+        best = best.select(*[c for p_, q_, x, y in named for c in (F.when(first, x).otherwise(y).alias(p_), F.when(first, y).otherwise(x).alias(q_))])
+        best = best.distinct() if tested is None else _untested(best.distinct(), tested)
+        new = _tested(_alike(best, traits, p), texts, p, f"stars-{turn}")
+        linked = new.where("same").count()
+        tested = new if tested is None else tested.union(new)
+        open_ = _mixed(_relabelled(open_, new.where("same")))
         left = open_.select("node").distinct().count()
         turn += 1
         if linked <= p.progress * left:
             break
-    links = written(_rest(open_, traits, texts, p), "rest")
+    comp = written(components(tested.where("same").select("a", "b")), "stars")
+    whole = open_.drop("comp").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    links = written(_rest(_mixed(whole), traits, texts, p), "rest")
     comp = written(components(links.union(comp.select(F.col("node").alias("a"), F.col("comp").alias("b")))), "final")
 
     member = nodes.join(comp.select("node", "comp"), "node", "left").select(F.col("text_id").alias("_t"), F.coalesce("comp", "node").alias("comp"))
@@ -307,10 +319,6 @@ def _compare(p: Params):
     return run
 
 
-def _pair_table(df: DataFrame) -> DataFrame:
-    return df.sparkSession.createDataFrame([], "a long, b long, same boolean")
-
-
 def _sized(n: str, m: str, p: Params):
     """Whether two set sizes allow the similarity."""
     return 100 * F.least(n, m) >= p.percent * F.greatest(n, m)
@@ -325,30 +333,41 @@ def _apart(x: str, y: str):
 
 
 def _alike(pairs: DataFrame, traits: DataFrame, p: Params) -> DataFrame:
-    """The pairs (columns a, b) whose sizes and sketches allow the similarity."""
+    """The pairs (columns a, b and others) whose sizes and sketches allow the similarity."""
     a = traits.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
     b = traits.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
     both = pairs.join(a, "a").join(b, "b").where(_sized("na", "nb", p) & (_apart("sa", "sb") <= p.sketch_bits))
-    return both.select("a", "b")
+    return both.select(*pairs.columns)
 
 
 def _untested(pairs: DataFrame, tested: DataFrame) -> DataFrame:
     return pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
 
 
-def _mixed(buckets: DataFrame, comp: DataFrame) -> DataFrame:
-    """Rows of buckets that still span several components, with comp."""
-    known = buckets.join(comp, "node", "left").select("bucket", "band", "node", F.coalesce("comp", "node").alias("comp"))
-    several = known.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("bucket")
-    several = written(several, "several")
-    return known.join(several, "bucket")
+def _relabelled(open_: DataFrame, links: DataFrame) -> DataFrame:
+    """``open_`` with the components that the links (ca, cb) join partly merged: each takes the smallest of
+    those that it is linked to, and then what that one took. Rows of one component after this are connected;
+    what is still apart meets again in the next round, and all links are followed to the end once, after it."""
+    ends = links.select(F.col("ca").alias("c"), F.col("cb").alias("o")).union(links.select(F.col("cb").alias("c"), F.col("ca").alias("o")))
+    hook = written(ends.groupBy("c").agg(F.least(F.min("o"), F.col("c")).alias("m")), "hook")
+    after = hook.select(F.col("c").alias("m"), F.col("m").alias("then"))
+    jump = written(hook.join(after, "m", "left").select("c", F.coalesce("then", "m").alias("to")), "jump")
+    moved = open_.join(jump, open_["comp"] == jump["c"], "left")
+    return moved.select("bucket", "band", "node", F.coalesce("to", "comp").alias("comp"))
+
+
+def _mixed(rows: DataFrame) -> DataFrame:
+    """Rows of buckets that span several components, written."""
+    rows = written(rows, "labelled")
+    several = rows.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("bucket")
+    out = written(rows.join(written(several, "several"), "bucket"), "mixed")
+    drop_written(rows)
+    return out
 
 
-def _settle(pairs: DataFrame, tested: DataFrame, comp: DataFrame | None, texts: DataFrame, p: Params, name: str):
-    """Test the pairs on full sets; returns all tested pairs, the new components and the number of links."""
-    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("t").alias("ta")), "a").join(texts.select(F.col("node").alias("b"), F.col("t").alias("tb")), "b")
-    new = written(both.select("a", "b", _jaccard(p)("ta", "tb").alias("same")), name)
-    links = new.where("same").select("a", "b")
-    linked = links.count()
-    old = links.limit(0) if comp is None else comp.select(F.col("node").alias("a"), F.col("comp").alias("b"))
-    return tested.union(new), written(components(links.union(old)), f"{name}-components"), linked
+def _tested(pairs: DataFrame, texts: DataFrame, p: Params, name: str) -> DataFrame:
+    """The pairs with the verdict ``same`` of their full sets, written."""
+    a = texts.select(F.col("node").alias("a"), F.col("t").alias("ta"))
+    b = texts.select(F.col("node").alias("b"), F.col("t").alias("tb"))
+    both = pairs.join(a, "a").join(b, "b")
+    return written(both.select(*pairs.columns, _jaccard(p)("ta", "tb").alias("same")), name)
