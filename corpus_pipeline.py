@@ -34,7 +34,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five-word shingles, similarity 0.8)."""
-    ready(spark)
+    ready(spark, "4m")  # pairs of texts share a batch
     return minhash.deduplicate(docs.select("doc_id", *COLUMNS), "doc_id", "text", minhash.Params(words=5))
 
 
