@@ -16,3 +16,23 @@ def materialize(df: DataFrame, eager: bool = True) -> DataFrame:
 
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet in the shared checkpoint folder and read back."""
+    from quarry.session import scratch_path
+
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_path = path  # type: ignore[attr-defined]
+    return out
+
+
+def discard(df: DataFrame | None) -> None:
+    """Delete a table made by ``stored`` that nothing reads any more."""
+    path = getattr(df, "stored_path", None)
+    if path:
+        spark = df.sparkSession
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quarry.operators import lambdamart as LM
 from quarry.operators import ltr as LT
 from quarry.operators.util import materialize
 from quarry.plans import sql as Q
@@ -125,38 +126,90 @@ def ltr_rank_logistic(spark, d):
     return LT.ndcg_of_scores(LT.logistic_scores(LT.fit_logistic(train), test), j)
 
 
-ROUNDS = 20  # trees of the registered queries, a parameter of the fit (its default is 100)
+ROUNDS = 100  # trees of the registered rankers: the default of the fit
 
 
-def _unvalidated(train):
-    """The training queries without the validation ones, which only monitor."""
-    return train.where(F.col("query_id") % 5 != 1)
+def _parts(train):
+    """The training queries and, apart, the validation ones, which only monitor."""
+    valid = F.col("query_id") % 5 == 1
+    return train.where(~valid), train.where(valid)
 
 
 @register("ltr_rank_trees")
 def ltr_rank_trees(spark, d):
-    """Listwise boosted trees: mean nDCG@10 on the test pairs."""
+    """LambdaMART: mean nDCG@10 on the test pairs."""
     j, train, test = _scaled(spark, d)
-    return LT.ndcg_of_scores(LT.listwise_scores(*LT.fit_listwise_trees(train, rounds=ROUNDS), test), j)
+    return LT.ndcg_of_scores(LM.score(LM.fit(train, LT.FEATURES, rounds=ROUNDS), test), j)
+
+
+_MODELS: dict[tuple[str, str], LM.Model] = {}
+
+
+def _monitored(spark, d):
+    """(judged pairs, test, training and validation pairs, the model of a monitored training). Queries of a
+    session that start from this model share one training."""
+    j, train, test = _scaled(spark, d)
+    part, valid = _parts(train)
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _MODELS:
+        _MODELS[key] = LM.fit(part, LT.FEATURES, rounds=ROUNDS, rate=0.03, valid=valid)
+    return j, test, part, valid, _MODELS[key]
+
+
+def _history(spark, model):
+    """The model's history as rows; metrics are null for a part without judged gains."""
+    rounded = [(r, *(None if x is None else round(x, 6) for x in means)) for r, *means in model.history]
+    return spark.createDataFrame(rounded, "round int, train_ndcg double, valid_ndcg double")
+
+
+@register("ltr_train_monitored")
+def ltr_train_monitored(spark, d):
+    """LambdaMART with its nDCG@10 on the training and the validation queries after every round."""
+    return _history(spark, _monitored(spark, d)[-1])
+
+
+@register(
+    "ltr_monitor_start",
+    f"""WITH {Q.JUDG}, g AS (SELECT query_id, doc_id, query_id % 5 = 1 AS v,
+            CASE label WHEN 'E' THEN 4 WHEN 'S' THEN 2 WHEN 'C' THEN 1 ELSE 0 END AS gain FROM judg WHERE split = 'train'),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY doc_id) AS a,
+                     row_number() OVER (PARTITION BY query_id ORDER BY gain DESC) AS b FROM g),
+        nd AS (SELECT query_id, v, sum(CASE WHEN a <= 10 THEN gain / log2(a + 1) ELSE 0 END) / sum(CASE WHEN b <= 10 THEN gain / log2(b + 1) ELSE 0 END) AS x
+               FROM r GROUP BY query_id, v HAVING sum(gain) > 0)
+        SELECT 0 AS round, round(avg(CASE WHEN NOT v THEN x END), 6) AS train_ndcg, round(avg(CASE WHEN v THEN x END), 6) AS valid_ndcg FROM nd""",
+)
+def ltr_monitor_start(spark, d):
+    """Round 0 of the monitored training: no tree, all scores equal."""
+    _, train, _ = _scaled(spark, d)
+    part, valid = _parts(train)
+    return _history(spark, LM.fit(part, LT.FEATURES, rounds=0, valid=valid))
+
+
+@register("ltr_best_round")
+def ltr_best_round(spark, d):
+    """The round with the best validation nDCG of a monitored training, and the test nDCG@10 of that many
+    trees and of all."""
+    j, test, _, _, model = _monitored(spark, d)
+    out = None
+    for rounds in (model.best_round, ROUNDS):
+        row = LT.ndcg_of_scores(LM.score(model.upto(rounds), test), j).select(F.lit(rounds).alias("trees"), "mean_ndcg", "n_queries")
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 @register("ltr_top_features")
 def ltr_top_features(spark, d):
-    """The 10 most important features of listwise trees trained beside a validation split."""
-    _, train, _ = _scaled(spark, d)
-    trees, _ = LT.fit_listwise_trees(_unvalidated(train), rounds=ROUNDS, rate=0.03)
-    top = LT.top_features(trees, LT.FEATURES, 10)
-    return spark.createDataFrame([(i + 1, f, v) for i, (f, v) in enumerate(top)], "rank int, feature string, importance double")
+    """The 10 most important features of LambdaMART trees trained beside a validation split."""
+    model = _monitored(spark, d)[-1]
+    return spark.createDataFrame([(i + 1, f, v) for i, (f, v) in enumerate(model.importance(10))], "rank int, feature string, importance double")
 
 
 @register("ltr_retrain_reduced")
 def ltr_retrain_reduced(spark, d):
     """Retrain on the 10 most important features only; mean nDCG@10 on test."""
-    j, train, test = _scaled(spark, d)
-    part = _unvalidated(train)
-    trees, _ = LT.fit_listwise_trees(part, rounds=ROUNDS, rate=0.03)
-    cols = [f for f, _ in LT.top_features(trees, LT.FEATURES, 10)]
-    return LT.ndcg_of_scores(LT.listwise_scores(*LT.fit_listwise_trees(part, cols, rounds=ROUNDS, rate=0.03), test, cols), j)
+    j, test, part, valid, model = _monitored(spark, d)
+    reduced = LM.fit(part, [f for f, _ in model.importance(10)], rounds=ROUNDS, rate=0.03, valid=valid)
+    return LT.ndcg_of_scores(LM.score(reduced, test), j)
 
 
 @register("ltr_model_rerank")
@@ -180,5 +233,6 @@ def ltr_biencoder_rerank(spark, d):
 def ltr_rank_listwise(spark, d):
     """Listwise boosted trees with deep steps: mean nDCG@10 on the validation pairs, which no tree saw."""
     j, train, _ = _scaled(spark, d)
-    fitted = LT.fit_listwise_trees(_unvalidated(train), rounds=8, rate=0.5, depth=4)
-    return LT.ndcg_of_scores(LT.listwise_scores(*fitted, train.where(F.col("query_id") % 5 == 1)), j)
+    part, valid = _parts(train)
+    fitted = LT.fit_listwise_trees(part, rounds=8, rate=0.5, depth=4)
+    return LT.ndcg_of_scores(LT.listwise_scores(*fitted, valid), j)
