@@ -3,9 +3,11 @@ load of the documents."""
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from quarry.operators import lifecycle as L
+from quarry.operators.segments import Store
 from quarry.plans import sql as Q
 from quarry.plans.registry import register
 from quarry.session import scratch_path
@@ -66,15 +68,40 @@ def delete_deferred(spark, d):
     return up.join(dl, "doc_id").where(F.col("deleted_at") > F.col("last_upsert")).select("doc_id", "last_upsert", "deleted_at")
 
 
+def _store(spark, d):
+    """The events' commits as stored segments, one per commit."""
+    store = Store(spark, scratch_path(spark, "corpus"))
+    store.append(events_log(spark, d))
+    return store
+
+
 @register("segment_build", f"WITH {SEG_SQL} SELECT commit_id, term, doc_id, tf FROM seg")
 def segment_build(spark, d):
-    return L.segment_postings(events_log(spark, d))
+    """The postings of every commit, written as its segment and read back through the manifest."""
+    store = _store(spark, d)
+    rows = store.table("postings", store.segments())
+    return rows.select(F.col("segment").cast("bigint").alias("commit_id"), "term", "doc_id", "tf")
 
 
 @register("live_postings", f"WITH {SEG_SQL} SELECT term, doc_id, tf FROM lp")
 def live_postings(spark, d):
-    log = events_log(spark, d)
-    return L.live_postings(L.segment_postings(log), L.live_view(log))
+    return _store(spark, d).live_postings().drop("segment")
+
+
+@register(
+    "segment_manifest",
+    f"""WITH {SEG_SQL},
+        d AS (SELECT commit_id, count(*) AS n_docs FROM batch GROUP BY commit_id),
+        p AS (SELECT commit_id, count(*) AS n_postings FROM seg GROUP BY commit_id),
+        lv AS (SELECT commit_id, count(*) AS n_live FROM live GROUP BY commit_id)
+        SELECT c.commit_id::VARCHAR AS segment, c.commit_id AS last_commit, coalesce(n_docs, 0) AS n_docs,
+               coalesce(n_postings, 0) AS n_postings, coalesce(n_live, 0) AS n_live
+        FROM (SELECT DISTINCT commit_id FROM log) c LEFT JOIN d USING (commit_id) LEFT JOIN p USING (commit_id) LEFT JOIN lv USING (commit_id)""",
+)
+def segment_manifest(spark, d):
+    """The newest manifest: each segment's versions and postings, and how many of its documents are live."""
+    store = _store(spark, d)
+    return store.manifest().join(store.live_counts().drop("last_commit"), "segment")
 
 
 @register(
@@ -90,22 +117,35 @@ def live_postings(spark, d):
         SELECT segment, count(*) AS n_postings, count(DISTINCT doc_id) AS n_docs, sum(tf)::BIGINT AS total_tf FROM mrg GROUP BY segment""",
 )
 def merge_two_smallest(spark, d):
-    """The segments after a maintenance step: rows, documents and occurrences."""
-    log = events_log(spark, d)
-    merged = L.merge_two_smallest(L.segment_postings(log), L.live_keys(log), L.segment_live_counts(log))
-    docs = merged.groupBy("segment", "doc_id").agg(F.count(F.lit(1)).alias("n"), F.sum("tf").alias("tf"))
+    """The stored segments after a maintenance step: rows, documents and occurrences."""
+    store = _store(spark, d)
+    store.merge_two_smallest()
+    docs = store.table("postings", store.segments()).groupBy("segment", "doc_id").agg(F.count(F.lit(1)).alias("n"), F.sum("tf").alias("tf"))
     return docs.groupBy("segment").agg(F.sum("n").alias("n_postings"), F.count(F.lit(1)).alias("n_docs"), F.sum("tf").alias("total_tf"))
 
 
+@register(
+    "merge_to_limit",
+    f"WITH {SEG_SQL} SELECT l.commit_id, s.term, s.doc_id, s.tf FROM seg s JOIN live l ON l.doc_id = s.doc_id AND l.commit_id = s.commit_id",
+)
+def merge_to_limit(spark, d):
+    """The live postings after maintenance has merged segments until no more than the limit are left, and
+    files that no manifest names are gone; each with the commit that wrote it."""
+    store = _store(spark, d)
+    while store.merge_two_smallest() is not None:
+        pass
+    store.vacuum()
+    live = store.live().select("doc_id", "commit_id")
+    return store.live_postings().join(live, "doc_id").select("commit_id", "term", "doc_id", "tf")
+
+
 @register("compact_all", f"WITH {SEG_SQL} SELECT term, doc_id, tf FROM lp")
 def compact_all(spark, d):
-    """Rewrite the live postings as one snapshot (new folder, bucketed by term) and read it back."""
-    from quarry.sources import records as REC
-
-    log = events_log(spark, d)
-    path = scratch_path(spark, "compacted")
-    REC.save_index(L.live_term_counts(log), path, buckets=16)
-    return REC.load_index(spark, path).select("term", "doc_id", "tf")
+    """Rewrite all stored segments as one, delete the old ones, and read it back."""
+    store = _store(spark, d)
+    store.compact()
+    store.vacuum()
+    return store.table("postings", store.segments()).select("term", "doc_id", "tf")
 
 
 @register(
@@ -151,26 +191,49 @@ def bulk_query_workload(spark, d):
     return L.bulk_query(_docload_live_postings(spark, d), 100, 10)
 
 
-FILES = 4
-STREAM_SQL = LIVE_SQL.replace(
-    "date_diff('day', DATE '1970-01-01', ts::DATE)::BIGINT AS commit_id",
-    f"(date_diff('day', (SELECT min(ts)::DATE FROM events), ts::DATE) * {FILES} // "
-    "(SELECT date_diff('day', min(ts)::DATE, max(ts)::DATE) + 1 FROM events))::BIGINT AS commit_id",
-)
+def _feed(spark, d):
+    """The events as a feed that arrives in two halves (by day), and the first and last day."""
+    ev = read_table(spark, d, "events")
+    lo, hi = ev.agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
+    half = F.datediff(F.to_date("ts"), F.lit(lo)) * 2 > (hi - lo).days
+    return [ev.where(~half), ev.where(half)]
 
 
-@register("stream_upserts", f"WITH {STREAM_SQL} SELECT doc_id, commit_id, title FROM live")
-def stream_upserts(spark, d):
-    """Structured Streaming: the events arrive as files, each micro-batch is one commit (its batch id)
-    appended to the log table by foreachBatch (idempotent per batch id); the live view of the log."""
+def _streamed(spark, d, to_log=events_to_log, max_bytes=256 << 20):
+    """The log table after the feed ran twice from one checkpoint. A run that fails is started again."""
     from quarry.streaming.upserts import read_log, stream_log_to_table
 
-    ev = read_table(spark, d, "events")
-    lo, hi = ev.agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
-    days = (hi - lo).days + 1
-    inbox = scratch_path(spark, "events-inbox")
-    part = F.floor(F.datediff(F.to_date("ts"), F.lit(lo)) * FILES / days)
-    for i in range(FILES):  # files arrive one after another
-        ev.where(part == i).coalesce(1).write.mode("append").parquet(inbox)
-    path, _ = stream_log_to_table(spark, inbox, "*.parquet", SCHEMAS["events"], events_to_log)
-    return L.live_view(read_log(spark, path, LOG_SCHEMA))
+    inbox, table, ckpt = (scratch_path(spark, n) for n in ("events-inbox", "corpus-log", "corpus-log-ckpt"))
+    for part in _feed(spark, d):  # files arrive, then the stream runs over them
+        part.write.mode("append").parquet(inbox)
+        for attempt in range(2):
+            try:
+                stream_log_to_table(spark, inbox, "*.parquet", SCHEMAS["events"], to_log, table, ckpt, max_bytes)
+                break
+            except StreamingQueryException:
+                if attempt:
+                    raise
+    return read_log(spark, table, LOG_SCHEMA)
+
+
+@register("stream_upserts", f"WITH {LIVE_SQL} SELECT doc_id, commit_id, title FROM live")
+def stream_upserts(spark, d):
+    """Structured Streaming: the events arrive as files, and micro-batches append them to the log table by
+    foreachBatch (idempotent per batch id), in two runs from one checkpoint; the live view of the log."""
+    return L.live_view(_streamed(spark, d))
+
+
+@register("stream_resumed", f"WITH {LOG_SQL} SELECT commit_id, doc_id, op, title, seq FROM log")
+def stream_resumed(spark, d):
+    """The log that the stream leaves when the first run dies midway: its batch writes a part of its rows and
+    fails, the stream is started again from its checkpoint, runs the batch again, and goes on."""
+    died = []
+
+    def dies_once(batch):
+        rows = events_to_log(batch)
+        if died:
+            return rows
+        died.append(True)
+        return rows.withColumn("seq", F.when(F.pmod("seq", F.lit(2)) == 0, F.raise_error(F.lit("a lost writer")).cast("long")).otherwise(F.col("seq")))
+
+    return _streamed(spark, d, dies_once)

@@ -2,7 +2,7 @@
 
 Each micro-batch is written under ``batch=<batchId>`` with overwrite, so a batch replayed
 after a failure replaces its own output instead of duplicating it (idempotent sink). The
-checkpoint lives under the shared ``spark.checkpoint.dir``.
+checkpoint lives under the shared ``spark.checkpoint.dir``, and a later run resumes from it.
 """
 
 from __future__ import annotations
@@ -19,22 +19,29 @@ def stream_log_to_table(
     file_glob: str,
     schema,
     to_log,
-    max_files_per_trigger: int = 1,
+    table: str | None = None,
+    checkpoint: str | None = None,
+    max_bytes: int = 256 << 20,
 ) -> tuple[str, int]:
-    """Run the stream to completion (availableNow) and return (table path, batches seen)."""
-    out = scratch_path(spark, "corpus-log")
-    ckpt = scratch_path(spark, "corpus-log-ckpt")
+    """Run the stream over what has arrived (availableNow); return (table path, batches run).
+
+    ``to_log`` turns a micro-batch into log rows, which say themselves which commit they belong to, so the
+    log does not depend on how files fall into batches. Batches hold about ``max_bytes`` of files. With a
+    ``table`` and ``checkpoint`` of an earlier run the stream goes on where that one ended; a batch that
+    failed midway is run again under its number and replaces what it left.
+    """
+    out = table or scratch_path(spark, "corpus-log")
+    ckpt = checkpoint or scratch_path(spark, "corpus-log-ckpt")
     seen = []
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         seen.append(batch_id)
-        log = to_log(batch).withColumn("commit_id", F.lit(batch_id).cast("bigint"))  # a batch is a commit
-        log.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        to_log(batch).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     stream = (
         spark.readStream.schema(schema)
         .option("pathGlobFilter", file_glob)
-        .option("maxFilesPerTrigger", max_files_per_trigger)
+        .option("maxBytesPerTrigger", max_bytes)
         .parquet(source_dir)
     )
     q = stream.writeStream.foreachBatch(handle).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
