@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.functions import distributions as D
 from quarry.functions import scoring as S
 from quarry.functions.text import tok_whitespace
 from quarry.operators import rank as R
@@ -157,13 +158,6 @@ def _binom_p(k: pd.Series, n: pd.Series) -> pd.Series:
     return pd.Series([binom_two_sided_p_half(int(a), int(b)) for a, b in zip(k, n)], dtype="float64")
 
 
-@F.pandas_udf(T.DoubleType())
-def _t_p(t: pd.Series, dof: pd.Series) -> pd.Series:
-    from quarry.functions.stats import t_two_sided_p
-
-    return pd.Series([t_two_sided_p(None if pd.isna(a) else float(a), None if pd.isna(b) else float(b)) for a, b in zip(t, dof)], dtype="float64")
-
-
 def binomial_sign_test(pairs: DataFrame) -> DataFrame:
     """Two-sided exact binomial test (p = 0.5) on the wins of b among non-tied queries."""
     c = sign_counts(pairs)
@@ -190,7 +184,7 @@ def paired_t_by_pair(metric: DataFrame, value: str = "ndcg") -> DataFrame:
 
 
 def with_t_p_value(t: DataFrame) -> DataFrame:
-    return t.withColumn("p_value", _t_p(F.col("t"), (F.col("n") - 1).cast("double")))
+    return t.withColumn("p_value", D.t_two_sided(F.col("t"), F.col("n") - 1))
 
 
 def paired_t_test(pairs: DataFrame) -> DataFrame:
@@ -209,6 +203,19 @@ def ks_normal(values: DataFrame, col: str) -> DataFrame:
     return KolmogorovSmirnovTest.test(values.select(F.col(col).cast("double").alias(col)), col, "norm", 0.0, 1.0)
 
 
+def ks_normal_by(values: DataFrame, group: str, col: str, id_col: str) -> DataFrame:
+    """(group, n, statistic, p_value) of the same test for every group at once, p by the limiting
+    distribution. The empirical distribution comes from one skew-safe rank; of equal values the last rank
+    counts from above and the first from below, which the greatest difference takes by itself."""
+    x = values.select(group, F.col(id_col), F.col(col).cast("double").alias("x")).where("x IS NOT NULL")
+    n = x.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
+    ranked = R.rank_within(x.withColumn("_down", -F.col("x")), group, "_down", id_col).join(n, group)
+    cdf = ranked.select(group, "n", "rank", D.normal_cdf(F.col("x")).alias("c"))
+    gap = F.greatest(F.col("rank") / F.col("n") - F.col("c"), F.col("c") - (F.col("rank") - 1) / F.col("n"))
+    out = cdf.groupBy(group).agg(F.max("n").alias("n"), F.max(gap).alias("statistic"))
+    return out.withColumn("p_value", D.kolmogorov_p(F.col("statistic"), F.col("n")))
+
+
 def cohen_kappa(labels: DataFrame, a: str = "label_a", b: str = "label_b", group: str = "query_id") -> DataFrame:
     """Per group (p_o - p_e) / (1 - p_e) from a confusion aggregate; null when p_e = 1."""
     n = labels.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(a) == F.col(b)).alias("agree"))

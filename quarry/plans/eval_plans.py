@@ -128,10 +128,37 @@ def test_paired_t(spark, d):
     return t.select("n", F.round("mean_diff", 6).alias("mean_diff"), F.round("t", 6).alias("t"))
 
 
-@register("test_paired_t_p")
+def _t_p_sql(stats: str) -> str:
+    """``stats`` (a table expression with t and n) with p_value: the incomplete beta function by its continued
+    fraction, a recursive table of at most 400 turns per test, started where it converges."""
+    a = "CASE WHEN low THEN a ELSE b END"
+    b = "CASE WHEN low THEN b ELSE a END"
+    y = "CASE WHEN low THEN x ELSE 1 - x END"
+    return f"""st AS (SELECT row_number() OVER () AS test, * FROM {stats}),
+bx AS (SELECT *, (n - 1) / 2.0 AS a, 0.5::DOUBLE AS b, (n - 1) / (n - 1 + t * t) AS x FROM st WHERE n > 1 AND isfinite(t) AND t <> 0),
+lo AS (SELECT *, x < (a + 1) / (a + b + 2) AS low FROM bx),
+ab AS (SELECT test, {a} AS a, {b} AS b, {y} AS x, low FROM lo),
+cf AS (SELECT test, 0 AS m, 1.0::DOUBLE AS c, 1 / (1 - (a + b) * x / (a + 1)) AS d, 1 / (1 - (a + b) * x / (a + 1)) AS h, a, b, x, low FROM ab
+  UNION ALL
+  SELECT test, m, c + 0, d, h * c * d, a, b, x, low FROM (
+    SELECT test, m, 1 + o / c AS c, 1 / (1 + o * d) AS d, h, a, b, x, low FROM (
+      SELECT test, m, c, d, h * c * d AS h, a, b, x, low, -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 1 + 2 * m)) AS o FROM (
+        SELECT test, m, 1 + e / c AS c, 1 / (1 + e * d) AS d, h, a, b, x, low FROM (
+          SELECT test, m + 1 AS m, c, d, h, a, b, x, low, (m + 1) * (b - m - 1) * x / ((a - 1 + 2 * (m + 1)) * (a + 2 * (m + 1))) AS e FROM cf WHERE m < 400))))),
+ib AS (SELECT test, CASE WHEN low THEN f ELSE 1 - f END AS p FROM (
+  SELECT test, low, exp(lgamma(a + b) - lgamma(a) - lgamma(b) + a * ln(x) + b * ln(1 - x)) * h / a AS f FROM cf WHERE m = 400)),
+pv AS (SELECT st.*, CASE WHEN t = 0 THEN 1.0 ELSE p END AS p_value FROM st LEFT JOIN ib USING (test))"""
+
+
+@register(
+    "test_paired_t_p",
+    f"""WITH RECURSIVE {RANKINGS_SQL},
+        tt AS (SELECT count(*) AS n, avg(a - b) AS mean_diff, avg(a - b) / (stddev_samp(a - b) / sqrt(count(*))) AS t FROM pr),
+        {_t_p_sql('tt')} SELECT n, round(mean_diff, 6) AS mean_diff, round(t, 6) AS t, round(p_value, 6) AS p_value FROM pv""",
+)
 def test_paired_t_p(spark, d):
-    """t statistic with its two-sided p-value (Student t CDF on the one aggregated row)."""
-    return E.paired_t_test(_pairs(spark, d))
+    """t statistic with its two-sided p-value (Student's distribution as a column expression)."""
+    return E.paired_t_test(_pairs(spark, d)).select("n", *[F.round(c, 6).alias(c) for c in ("mean_diff", "t", "p_value")])
 
 
 _T = "avg(a.ndcg - b.ndcg) / (stddev_samp(a.ndcg - b.ndcg) / sqrt(count(*)))"
@@ -149,11 +176,38 @@ def test_bonferroni(spark, d):
     return t.select("system_a", "system_b", "n", F.round("mean_diff", 6).alias("mean_diff"), F.round("t", 6).alias("t"))
 
 
-@register("test_bonferroni_p")
+@register(
+    "test_bonferroni_p",
+    f"""WITH RECURSIVE {RANKINGS_SQL},
+        tt AS (SELECT a.system AS system_a, b.system AS system_b, count(*) AS n, avg(a.ndcg - b.ndcg) AS mean_diff, {_T} AS t
+               FROM nd a JOIN nd b ON a.query_id = b.query_id AND a.system > b.system GROUP BY a.system, b.system),
+        {_t_p_sql('tt')} SELECT system_a, system_b, n, round(mean_diff, 6) AS mean_diff, round(t, 6) AS t, round(p_value, 6) AS p_value,
+          round(p_value * 3, 6) AS p_bonferroni FROM pv""",
+)
 def test_bonferroni_p(spark, d):
     """The same tests with p-values and their Bonferroni correction m(m-1)/2 * p."""
     t = E.with_t_p_value(E.paired_t_by_pair(_ndcg(spark, d)))
-    return t.withColumn("p_bonferroni", E.bonferroni(F.col("p_value"), 3))
+    t = t.withColumn("p_bonferroni", E.bonferroni(F.col("p_value"), 3))
+    return t.select("system_a", "system_b", "n", *[F.round(c, 6).alias(c) for c in ("mean_diff", "t", "p_value", "p_bonferroni")])
+
+
+@register(
+    "test_ks_systems",
+    f"""WITH RECURSIVE {RANKINGS_SQL},
+        kr AS (SELECT system, ndcg AS x, row_number() OVER (PARTITION BY system ORDER BY ndcg, query_id) AS r, count(*) OVER (PARTITION BY system) AS n FROM nd),
+        se AS (SELECT system, r, n, x, 0 AS i, x AS t, x AS s FROM kr
+               UNION ALL SELECT system, r, n, x, i + 1, t * x * x / (2 * (i + 1) + 1), s + t * x * x / (2 * (i + 1) + 1) FROM se WHERE i < 60),
+        ks AS (SELECT system, n, max(greatest(r / n - c, c - (r - 1) / n)) AS statistic FROM (
+          SELECT system, r, n, 0.5 + exp(-x * x / 2) / sqrt(2 * pi()) * s AS c FROM se WHERE i = 60) GROUP BY system, n),
+        z AS (SELECT *, (sqrt(n) + 0.12 + 0.11 / sqrt(n)) * statistic AS v FROM ks)
+        SELECT system, n, round(statistic, 6) AS statistic,
+          round(CASE WHEN v < 0.2 THEN 1.0 ELSE least(1.0, greatest(0.0, 2 * list_sum(list_transform(range(1, 101),
+            lambda i: (CASE WHEN i % 2 = 1 THEN 1.0 ELSE -1.0 END) * exp(-2.0 * i * i * v * v))))) END, 6) AS p_value FROM z""",
+)
+def test_ks_systems(spark, d):
+    """KS test of the per-query nDCG of all systems against N(0, 1) in one plan, p by the limiting distribution."""
+    out = E.ks_normal_by(_ndcg(spark, d), "system", "ndcg", "query_id")
+    return out.select("system", "n", F.round("statistic", 6).alias("statistic"), F.round("p_value", 6).alias("p_value"))
 
 
 @register("test_ks_normal")
