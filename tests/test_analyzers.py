@@ -55,11 +55,3 @@ def test_katakana_stem_intent(spark):
 
 def test_as_is(spark):
     assert _apply(spark, ["Amazon Basics"], A.tok_as_is) == [["Amazon Basics"]]
-
-
-def test_first_tokens_equals_slice(spark):
-    vals = ["  a b\tc d  e f ", "one", "", "   ", "x y", None, " ".join(f"w{i}" for i in range(40)), "a　b\x1cc d"]
-    for n in (1, 5, 12):
-        got = _apply(spark, vals, lambda c: A.first_tokens(c, n))
-        exp = [None if v is None else v.split()[:n] for v in vals]
-        assert got == exp, n
