@@ -171,11 +171,11 @@ def dense_ids(df: DataFrame, order_col: str, out: str = "idx") -> DataFrame:
 
 
 def stem_vocabulary(postings: DataFrame) -> DataFrame:
-    """(term, stem) for the distinct vocabulary: the per-row stemmer runs once per distinct
-    term (Arrow batches in a pandas UDF), never once per token."""
-    from quarry.functions.porter_udf import porter_stem
+    """(term, stem) for the distinct vocabulary: the stemmer's expressions run once per distinct term, never
+    once per token."""
+    from quarry.functions.porter_sql import stems
 
-    return postings.select("term").distinct().select("term", porter_stem("term").alias("stem"))
+    return stems(postings.select("term").distinct())
 
 
 def stem_postings(postings: DataFrame) -> DataFrame:

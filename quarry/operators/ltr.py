@@ -191,13 +191,23 @@ def encode(df: DataFrame, text_col: str, out: str, dim: int = 64) -> DataFrame:
     return unit.withColumn(out, vector_to_array("_unit")).drop("_tokens", "_hashed", "_unit")
 
 
-def biencoder_scores(pairs: DataFrame) -> DataFrame:
-    """Cosine of query and title vectors; each DISTINCT query is encoded once and joined back by its
-    text, the title is encoded in its row. A null or empty side has cosine 0."""
+def biencoder_scores(pairs: DataFrame, encoder=None) -> DataFrame:
+    """Cosine of query and title vectors. Each DISTINCT query, and each document once, is encoded: by
+    ``encoder`` (a list of texts to a matrix of rows of length 1) through the batch hook, or else by hashing. A
+    null or empty side has cosine 0."""
     from quarry.functions import vectors as VF
-
-    qv = encode(pairs.select("query").distinct(), "query", "qv")
-    j = encode(pairs, "title", "tv").join(qv.withColumnRenamed("query", "_q"), F.col("query").eqNullSafe(F.col("_q")))
+    from quarry.operators import vector as V
+
+    queries = pairs.select("query").distinct()
+    if encoder is None:
+        qv = encode(queries, "query", "qv")
+        j = encode(pairs, "title", "tv").join(qv.withColumnRenamed("query", "_q"), F.col("query").eqNullSafe(F.col("_q")))
+        return j.withColumn("score", VF.dot("tv", "qv")).drop("tv", "qv", "_q")
+    # the hook keys its vectors: queries by their text, titles by their document
+    qv = V.embed(queries.withColumn("_t", F.col("query")), "query", "_t", encoder).select(F.col("query").alias("_q"), F.col("embedding").alias("qv"))
+    titles = pairs.groupBy("doc_id").agg(F.max("title").alias("title"))
+    tv = V.embed(titles, "doc_id", "title", encoder).withColumnRenamed("embedding", "tv")
+    j = pairs.join(tv, "doc_id").join(qv, F.col("query").eqNullSafe(F.col("_q")))
     return j.withColumn("score", VF.dot("tv", "qv")).drop("tv", "qv", "_q")
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.operators import lambdamart as LM
+from quarry.operators import lsa as LSA
 from quarry.operators import ltr as LT
 from quarry.operators.util import materialize
 from quarry.plans import sql as Q
@@ -223,10 +224,11 @@ def ltr_model_rerank(spark, d):
 
 @register("ltr_biencoder_rerank")
 def ltr_biencoder_rerank(spark, d):
-    """Bi-encoder cosine between each distinct query (encoded once) and the titles: mean nDCG@10."""
+    """Bi-encoder cosine between each distinct query (encoded once) and the titles, by an encoder fitted on
+    the training titles: mean nDCG@10."""
     j = _pairs(spark, d)
-    test = j.where(F.col("split") == "test")
-    return LT.ndcg_of_scores(LT.biencoder_scores(test), j)
+    encoder = LSA.Encoder(spark, LSA.fit(j.where("split = 'train'").select("title"), "title"))
+    return LT.ndcg_of_scores(LT.biencoder_scores(j.where("split = 'test'"), encoder), j)
 
 
 @register("ltr_rank_listwise")

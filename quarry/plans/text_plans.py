@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import text as A
 from quarry.functions.hashing import md5_mod
+from quarry.functions.porter_sql import stems_sql
 from quarry.functions.scoring import is_relevant, label_gain
 from quarry.operators import index as I
 from quarry.plans import sql as Q
@@ -366,14 +367,22 @@ def doc_length_avg(spark, d):
     return I.corpus_stats(_texts(spark, d), "doc_id", "text").select("n_docs", F.round("avg_len", 6).alias("avg_len"))
 
 
-@register("flt_porter_stem")
+_LOW = f"list_transform({WS}, lambda x: lower(x))"
+_STEMS_SQL = f"""tk AS (SELECT doc_id, unnest({_LOW}) AS term FROM documents WHERE text IS NOT NULL),
+voc AS (SELECT DISTINCT term FROM tk), st AS ({stems_sql('voc')})"""
+
+
+@register(
+    "flt_porter_stem",
+    f"WITH {_STEMS_SQL} SELECT stem AS term, doc_id, count(*) AS tf FROM tk JOIN st USING (term) GROUP BY stem, doc_id",
+)
 def flt_porter_stem(spark, d):
     """Postings of the whole corpus re-keyed by Porter stem (vocabulary job)."""
     postings = I.build_tf_postings(_texts(spark, d), "doc_id", "text", A.flt_lowercase_after(A.tok_whitespace))
     return I.stem_postings(postings.select("term", "doc_id", "tf"))
 
 
-@register("stem_vocabulary")
+@register("stem_vocabulary", f"WITH {_STEMS_SQL} SELECT term, stem FROM st")
 def stem_vocabulary(spark, d):
     """(term, stem) for every distinct lowercased token."""
     postings = I.build_postings(_texts(spark, d), "doc_id", "text", A.flt_lowercase_after(A.tok_whitespace))

@@ -9,13 +9,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.operators import annindex as AX
-from quarry.operators import ltr as LT
+from quarry.operators import lsa as LSA
 from quarry.operators import vector as V
 from quarry.functions import vectors as VF
 from quarry.operators import rank as R
+from quarry.plans import sql as Q
 from quarry.plans.registry import register
 from quarry.session import scratch_path
-from quarry.sources.tables import read_table
+from quarry.sources.tables import read_table, spread
 
 K = 10
 
@@ -213,11 +214,36 @@ def vec_lsh_query(spark, d):
     return V.lsh_knn(_emb(spark, d), _queries(spark, d), K, bucket_length=0.5, tables=10)
 
 
+def text_encoder(spark, texts, dim=64):
+    """Latent semantic analysis of the column ``text``, as a batch encoder."""
+    return LSA.Encoder(spark, LSA.fit(texts, "text", dim))
+
+
 @register("vec_embed_batch", "SELECT item_id, 64::BIGINT AS dim, CASE WHEN trim(text) = '' THEN 0.0 ELSE 1.0 END AS norm FROM benchmark")
 def vec_embed_batch(spark, d):
-    """Benchmark texts as hashed token features of length 1."""
-    b = LT.encode(read_table(spark, d, "benchmark"), "text", "embedding")
-    return b.select("item_id", F.size("embedding").cast("bigint").alias("dim"), F.round(VF.norm("embedding"), 6).alias("norm"))
+    """Benchmark texts as vectors of length 1 from an encoder fitted on them, by the batch hook."""
+    b = read_table(spark, d, "benchmark")
+    out = V.embed(b, "item_id", "text", text_encoder(spark, b))
+    return out.select("item_id", F.size("embedding").cast("bigint").alias("dim"), F.round(VF.norm("embedding"), 6).alias("norm"))
+
+
+@register("lsa_singular_values")
+def lsa_singular_values(spark, d):
+    """The 64 largest singular values of the documents' tf-idf rows."""
+    model = LSA.fit(spread(read_table(spark, d, "documents").select("text")), "text")
+    return spark.createDataFrame([(i + 1, float(v)) for i, v in enumerate(model.singular)], "rank int, singular_value double")
+
+
+@register(
+    "lsa_vocabulary",
+    f"""WITH t AS (SELECT DISTINCT doc_id, unnest(list_transform({Q.ws("coalesce(text, '')")}, lambda x: lower(x))) AS term FROM documents),
+        v AS (SELECT term, count(*) AS df FROM t GROUP BY term ORDER BY df DESC, term LIMIT {LSA.FEATURES})
+        SELECT term, round(ln((SELECT count(*) FROM documents) / df) + 1, 6) AS idf FROM v""",
+)
+def lsa_vocabulary(spark, d):
+    """The terms of the encoder over the documents and their weights."""
+    terms, idf = LSA.vocabulary(spread(read_table(spark, d, "documents").select("text")), "text")
+    return spark.createDataFrame([(t, round(float(idf[i]), 6)) for t, i in terms.items()], "term string, idf double")
 
 
 @register(

@@ -37,3 +37,18 @@ def test_stem_postings_sum_tf(spark):
     p = I.stem_postings(I.build_tf_postings(docs, "doc_id", "text").select("term", "doc_id", "tf"))
     got = sorted((r.term, r.doc_id, r.tf) for r in p.collect())
     assert got == [("connect", 1, 3), ("connect", 2, 1)]
+
+
+def test_expressions_equal_the_rules(spark):
+    """The SQL stemmer against the published rules, on every term of the corpus and on odd words."""
+    from conftest import SF01
+    from quarry.functions.porter_sql import stems
+    from quarry.sources.tables import read_table
+
+    words = {w.lower() for r in read_table(spark, SF01, "documents").select("text").collect() for w in (r.text or "").split()}
+    for s in ("ational", "tional", "izer", "fulness", "icate", "ative", "ement", "ion", "sion", "tion", "ed", "ing", "eed", "ies", "sses", "e", "ll", "y", "s"):
+        words |= {p + s for p in ("", "y", "ya", "yy", "by", "tr", "trou", "hop", "hopp", "fil", "fall", "oat", "syzyg", "ayy", "sayy", "byy", "byyy", "é", "1a", "x-y", "a%_", "conflat", "siz")}
+    df = spark.createDataFrame([(w,) for w in words] + [(None,)], "term string")
+    got = {r.term: r.stem for r in stems(df).collect()}
+    assert [(w, got[w], stem(w)) for w in words if got[w] != stem(w)] == []
+    assert got[None] is None and len(got) == len(words) + 1
