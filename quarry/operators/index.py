@@ -57,6 +57,11 @@ def vocabulary_counts(docs: DataFrame, text_col: str, analyzer: Analyzer = tok_w
     )
 
 
+def _only(tokens: Column, only: list[str] | None) -> Column:
+    """The tokens that are among a few literal terms (all without ``only``)."""
+    return tokens if only is None else F.filter(tokens, lambda x: x.isin(only))
+
+
 def build_postings(docs: DataFrame, id_col: str, text_col: str, analyzer: Analyzer = tok_whitespace) -> DataFrame:
     """(term, doc_id), one row per distinct term of a document. No exchange."""
     return docs.where(F.col(text_col).isNotNull()).select(
@@ -69,10 +74,13 @@ def build_keyword_index(docs: DataFrame, id_col: str, field: str) -> DataFrame:
     return docs.where(F.col(field).isNotNull()).select(F.col(field).alias("term"), F.col(id_col).alias("doc_id"))
 
 
-def build_tf_postings(docs: DataFrame, id_col: str, text_col: str, analyzer: Analyzer = tok_whitespace) -> DataFrame:
+def build_tf_postings(
+    docs: DataFrame, id_col: str, text_col: str, analyzer: Analyzer = tok_whitespace, only: list[str] | None = None
+) -> DataFrame:
     """(term, doc_id, tf, doc_len); ``doc_len`` rides on every posting so ranking needs no join.
-    A row holds a whole document, so its terms are counted within the row: no exchange."""
-    counted = let(analyzer(F.col(text_col)), lambda t: F.transform(term_counts(t), lambda c: F.struct(c["term"].alias("term"), c["tf"].alias("tf"), F.size(t).alias("doc_len"))))
+    A row holds a whole document, so its terms are counted within the row: no exchange. With ``only``,
+    postings of those terms, taken from the row before it is unfolded."""
+    counted = let(analyzer(F.col(text_col)), lambda t: F.transform(term_counts(_only(t, only)), lambda c: F.struct(c["term"].alias("term"), c["tf"].alias("tf"), F.size(t).alias("doc_len"))))
     rows = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.explode(counted).alias("c"))
     return rows.select("c.term", "doc_id", "c.tf", "c.doc_len")
 
@@ -108,8 +116,11 @@ def matching_stats(matching: DataFrame) -> tuple[DataFrame, DataFrame]:
     return per.select("term", "df"), per.agg(n.alias("n_docs"), (total / n).alias("avg_len"))
 
 
-def build_positional(docs: DataFrame, id_col: str, text_col: str, analyzer: Analyzer = tok_whitespace) -> DataFrame:
-    """(term, doc_id, positions ARRAY<INT> ascending), made within each document's row."""
+def build_positional(
+    docs: DataFrame, id_col: str, text_col: str, analyzer: Analyzer = tok_whitespace, only: list[str] | None = None
+) -> DataFrame:
+    """(term, doc_id, positions ARRAY<INT> ascending), made within each document's row; with ``only``, of
+    those terms."""
 
     def runs(s):
         def of(at):
@@ -119,7 +130,8 @@ def build_positional(docs: DataFrame, id_col: str, text_col: str, analyzer: Anal
 
         return let(run_starts(s, lambda x: x["term"]), of)
 
-    pairs = F.array_sort(F.transform(analyzer(F.col(text_col)), lambda t, i: F.struct(t.alias("term"), i.alias("pos"))))
+    pairs = F.transform(analyzer(F.col(text_col)), lambda t, i: F.struct(t.alias("term"), i.alias("pos")))
+    pairs = F.array_sort(pairs if only is None else F.filter(pairs, lambda p: p["term"].isin(only)))
     rows = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.explode(let(pairs, runs)).alias("p"))
     return rows.select("p.term", "doc_id", "p.positions")
 

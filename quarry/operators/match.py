@@ -42,6 +42,21 @@ def documents_with_any(docs: DataFrame, id_col: str, text_col: str, terms: list[
     return docs.where(held).select(F.col(id_col).alias("doc_id"))
 
 
+def term_flags(docs: DataFrame, id_col: str, text_col: str, terms: list[str], analyzer=tok_whitespace) -> DataFrame:
+    """(doc_id, t0, t1, ...): whether a document holds each of a few literal terms, for documents that hold
+    any. One scan; the terms are looked for in the row, and only flags move, to meet under their id."""
+    has = let(analyzer(F.col(text_col)), lambda t: F.array(*[F.array_contains(t, x) for x in terms]))
+    rows = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc_id"), has.alias("has"))
+    rows = rows.where(F.exists("has", lambda x: x))
+    return rows.groupBy("doc_id").agg(*[F.bool_or(F.get("has", i)).alias(f"t{i}") for i in range(len(terms))])
+
+
+def side_by_side(postings: DataFrame, terms: list[str], value: str) -> DataFrame:
+    """(doc_id, v0, v1, ...): ``value`` of each of a few terms (null without the term) from postings of theirs,
+    in one aggregate by document."""
+    return postings.groupBy("doc_id").agg(*[F.max(F.when(F.col("term") == t, F.col(value))).alias(f"v{i}") for i, t in enumerate(terms)])
+
+
 def or_with_tf(a: DataFrame, b: DataFrame) -> DataFrame:
     """Union keeping each side's tf, 0 where absent: (doc_id, tf_a, tf_b)."""
     return (

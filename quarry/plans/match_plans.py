@@ -22,8 +22,8 @@ def _docs(spark, d):
     return spread(read_table(spark, d, "documents").select("doc_id", "text"))
 
 
-def _post(spark, d):
-    return I.build_postings(_docs(spark, d), "doc_id", "text")
+def _flags(spark, d, *terms):
+    return M.term_flags(_docs(spark, d), "doc_id", "text", list(terms))
 
 
 def _ids_sql(t):
@@ -41,20 +41,17 @@ def join_pairs(spark, d):
 
 @register("bool_and", f"WITH {POSTINGS_SQL} {_ids_sql(A)} INTERSECT {_ids_sql(B)}")
 def bool_and(spark, d):
-    p = _post(spark, d)
-    return M.bool_and(M.ids(p, A), M.ids(p, B))
+    return _flags(spark, d, A, B).where("t0 AND t1").select("doc_id")
 
 
 @register("bool_or", f"WITH {POSTINGS_SQL} {_ids_sql(A)} UNION {_ids_sql(C)}")
 def bool_or(spark, d):
-    p = _post(spark, d)
-    return M.bool_or(M.ids(p, A), M.ids(p, C))
+    return _flags(spark, d, A, C).where("t0 OR t1").select("doc_id")
 
 
 @register("bool_and_not", f"WITH {POSTINGS_SQL} {_ids_sql(A)} EXCEPT {_ids_sql(B)}")
 def bool_and_not(spark, d):
-    p = _post(spark, d)
-    return M.bool_and_not(M.ids(p, A), M.ids(p, B))
+    return _flags(spark, d, A, B).where("t0 AND NOT t1").select("doc_id")
 
 
 @register(
@@ -63,8 +60,7 @@ def bool_and_not(spark, d):
 )
 def bool_nested(spark, d):
     """(A OR C) AND NOT (A AND B)."""
-    p = _post(spark, d)
-    return M.bool_and_not(M.bool_or(M.ids(p, A), M.ids(p, C)), M.bool_and(M.ids(p, A), M.ids(p, B)))
+    return _flags(spark, d, A, B, C).where("(t0 OR t2) AND NOT (t0 AND t1)").select("doc_id")
 
 
 @register(
@@ -92,16 +88,23 @@ TF_SQL = f"""tfp AS (SELECT term, doc_id, count(*) AS tf FROM (SELECT doc_id, un
         ON a.doc_id = b.doc_id""",
 )
 def or_with_tf(spark, d):
-    p = I.build_tf_postings(_docs(spark, d), "doc_id", "text")
-    return M.or_with_tf(I.term_lookup(p, "the"), I.term_lookup(p, "of"))
+    terms = ["the", "of"]
+    both = M.side_by_side(I.build_tf_postings(_docs(spark, d), "doc_id", "text", only=terms), terms, "tf")
+    return both.select("doc_id", F.coalesce("v0", F.lit(0)).alias("tf_a"), F.coalesce("v1", F.lit(0)).alias("tf_b"))
 
 
 POS_SQL = f"""pp AS (SELECT term, doc_id, list(pos ORDER BY pos) AS positions FROM ({TOKENS_SQL[len('tok AS '):]})
               WHERE term IN ('of', 'the', 'was') GROUP BY term, doc_id)"""
 
 
-def _positional(spark, d):
-    return I.build_positional(_docs(spark, d), "doc_id", "text")
+def _positional(spark, d, terms):
+    return I.build_positional(_docs(spark, d), "doc_id", "text", only=sorted(terms))
+
+
+def _positions(spark, d, *terms):
+    """(doc_id, positions) of the terms side by side; null where a document lacks one."""
+    both = M.side_by_side(_positional(spark, d, terms), list(terms), "positions")
+    return both.select("doc_id", F.array("v0", "v1").alias("positions"))
 
 
 @register(
@@ -110,8 +113,7 @@ def _positional(spark, d):
         FROM (SELECT * FROM pp WHERE term = 'of') a JOIN (SELECT * FROM pp WHERE term = 'the') b USING (doc_id)""",
 )
 def and_with_positions(spark, d):
-    p = _positional(spark, d)
-    out = M.and_with_positions(I.term_lookup(p, "of"), I.term_lookup(p, "the"))
+    out = _positions(spark, d, "of", "the").where(~F.exists("positions", F.isnull))
     return out.select("doc_id", F.to_json("positions").alias("positions"))
 
 
@@ -122,9 +124,7 @@ def and_with_positions(spark, d):
         ON a.doc_id = b.doc_id""",
 )
 def or_with_positions(spark, d):
-    p = _positional(spark, d)
-    out = M.or_with_positions(I.term_lookup(p, "of"), I.term_lookup(p, "was"))
-    return out.select("doc_id", F.to_json("positions").alias("positions"))
+    return _positions(spark, d, "of", "was").select("doc_id", F.to_json("positions").alias("positions"))
 
 
 PHRASE_Q = f"""ph AS (SELECT item_id AS query_id, unnest(range(len(t))) AS off, unnest(t) AS term, len(t) AS plen
@@ -179,9 +179,14 @@ cl AS (
   UNION ALL SELECT 8, doc_id, tt FROM g WHERE tt > 0)"""
 
 
+def clause_hits(spark, d, clauses=CLAUSES):
+    """Hits of the clause trees, over positions of their leaf terms only."""
+    return M.bool_query(_positional(spark, d, set().union(*map(M.leaf_terms, clauses.values()))), clauses)
+
+
 @register("bool_query", f"WITH {CLAUSE_SQL} SELECT query_id, doc_id, tf FROM cl")
 def bool_query(spark, d):
-    return M.bool_query(_positional(spark, d), CLAUSES)
+    return clause_hits(spark, d)
 
 
 @register(
@@ -191,7 +196,5 @@ def bool_query(spark, d):
         WHERE a.term = 'of' AND b.term = 'the' AND a.doc_id IN {_ids_sql(A)}""",
 )
 def phrase_in_conjunction(spark, d):
-    """A AND "of the", composed from the phrase operator and an id intersection."""
-    docs = _docs(spark, d)
-    ph = M.phrase_search(docs, "doc_id", "text", spark.createDataFrame([(0, ["of", "the"])], "query_id bigint, words array<string>"))
-    return M.bool_and(ph, M.ids(I.build_postings(docs, "doc_id", "text"), A))
+    """A AND "of the": one tree over one scan."""
+    return clause_hits(spark, d, {0: M.And(M.Word(A), M.phrase("of", "the"))}).select("doc_id")

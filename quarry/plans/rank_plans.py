@@ -40,12 +40,23 @@ register("rank_tfidf", _bench_sql(f"p.tf * {Q.idf('st.n_docs', 'dfs.df')}"))(_be
 register("topk_batch", _bench_sql("p.tf::DOUBLE"))(_bench("tf"))
 
 
+@register(
+    "topk_own_k",
+    _bench_sql(f"{Q.bm25_w('p.tf', '1.2', '0.75', 'p.doc_len', 'st.avg_len')} * {Q.idf('st.n_docs', 'dfs.df')}").replace("rank <= 10", "rank <= 1 + query_id % 10"),
+)
+def topk_own_k(spark, d):
+    """BM25 with a number of results of each query's own: 1 to 10, by its id."""
+    scored = R.score_queries(_docs(spark, d), "doc_id", "text", benchmark_queries(spark, d), "bm25")
+    own = scored.withColumn("k", 1 + F.col("query_id") % 10)
+    return R.topk_batch(own, "query_id", 10, k_col="k").select("query_id", "rank", "doc_id", R.round_score())
+
+
 # ---- single fixed queries (the reference's exercises) -----------------------------------------
 
 from quarry.functions import scoring as S  # noqa: E402
 from quarry.operators import match as M  # noqa: E402
 from quarry.operators.util import one_row  # noqa: E402
-from quarry.plans.match_plans import CLAUSE_SQL, CLAUSES, _positional  # noqa: E402
+from quarry.plans.match_plans import CLAUSE_SQL, clause_hits  # noqa: E402
 from quarry.sources.tables import judgments, literal_queries  # noqa: E402
 
 OF_THE = f"""{Q.DOC_TF}, {Q.DOC_STATS},
@@ -115,7 +126,7 @@ def first_k_in_id_order(spark, d):
 )
 def rank_tf_positional(spark, d):
     """Clause queries sorted by summed occurrences of matched leaves: top 10 + total count."""
-    hits = M.bool_query(_positional(spark, d), CLAUSES)
+    hits = clause_hits(spark, d)
     counts = hits.groupBy("query_id").agg(F.count(F.lit(1)).alias("product_count"))
     top = R.topk_batch(hits, "query_id", 10, score="tf")
     return top.join(counts, "query_id").select("query_id", "rank", "doc_id", "tf", "product_count")
