@@ -51,3 +51,13 @@ def test_exact_knn_emits_no_pair_rows(spark):
 def test_sampled_vocabulary_is_a_filter_not_a_join(spark):
     p = _plan(spark, "bulk_query_workload")
     assert "md5" in p and "BroadcastNestedLoopJoin" not in p
+
+
+def test_boolean_plans_scan_once_and_move_no_text(spark):
+    import __spark_entry__ as E
+    from conftest import SF001
+
+    for name in ("bool_and", "bool_or", "bool_and_not", "bool_nested", "or_with_tf", "and_with_positions", "bool_query"):
+        plan = E.queries()[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+        scans = [x for x in plan.splitlines() if "FileScan parquet" in x]
+        assert len(scans) == 1, name
