@@ -107,30 +107,55 @@ def _increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-def runs(seq: list[dict], min_words: int) -> list[bytes]:
-    """Hashes of the shortest runs of consecutive lines with ``min_words`` words, from each line onwards
-    and from each line backwards. Every line of a block of so many words is in such a run within the
-    block: where the lines up to it have too few words, the run from the block's start reaches past it."""
+def run_spans(seq: list[dict], min_words: int) -> list[tuple[bytes, int, int]]:
+    """The shortest runs of consecutive lines with ``min_words`` words, from each line onwards and from each
+    line backwards: hash, start and end in ``seq``. Every line of a block of so many words is in such a run
+    within the block: where the lines up to it have too few words, the run from the block's start reaches
+    past it."""
     import xxhash
 
-    out, i, total = set(), 0, 0
+    spans, i, total = set(), 0, 0
     at, h = 0, [bytes(x["h"]) for x in seq]  # the stretch of consecutive lines begins at ``at``
     for j, x in enumerate(seq):
         if j and x["pos"] != seq[j - 1]["pos"] + 1:
             at, i, total = j, j, 0
         total += x["words"]
         while total >= min_words:  # the lines from i to j - 1 had too few words
-            out.add((i, j + 1))
+            spans.add((i, j + 1))
             total -= seq[i]["words"]
             i += 1
         if i > at:
-            out.add((i - 1, j + 1))
-    return sorted({xxhash.xxh3_128_digest(b"".join(h[a:b])) for a, b in out})
+            spans.add((i - 1, j + 1))
+    return [(xxhash.xxh3_128_digest(b"".join(h[a:b])), a, b) for a, b in sorted(spans)]
+
+
+def runs(seq: list[dict], min_words: int) -> list[bytes]:
+    """Hashes of the runs of ``run_spans``."""
+    return sorted({h for h, _, _ in run_spans(seq, min_words)})
 
 
 def blocks_to_delete(later: list[dict], earlier: list[dict], min_words: int) -> list[int]:
-    """Line numbers of ``later`` in aligned blocks of consecutive lines with at least ``min_words``."""
-    pairs = patience([bytes(x["h"]) for x in later], [bytes(x["h"]) for x in earlier])
+    """Line numbers of ``later`` in aligned blocks of consecutive lines with at least ``min_words``.
+
+    The patience diff keeps one order. So each run that both documents hold, and that the diff left a line
+    of, is aligned once more as an anchor of its own, with the equal lines around it: blocks that stand in
+    another order in ``earlier`` go too."""
+    a, b = [bytes(x["h"]) for x in later], [bytes(x["h"]) for x in earlier]
+    out = set(_blocks(patience(a, b), later, earlier, min_words))
+    held = {h: j for h, j, _ in run_spans(earlier, min_words)}
+    for h, i, end in run_spans(later, min_words):
+        if h in held and any(later[x]["line"] not in out for x in range(i, end)):
+            j = held[h]
+            stop = j + end - i
+            while i and j and a[i - 1] == b[j - 1]:
+                i, j = i - 1, j - 1
+            while end < len(a) and stop < len(b) and a[end] == b[stop]:
+                end, stop = end + 1, stop + 1
+            out |= set(_blocks([(i + x, j + x) for x in range(end - i)], later, earlier, min_words))
+    return sorted(out)
+
+
+def _blocks(pairs: list[tuple[int, int]], later: list[dict], earlier: list[dict], min_words: int) -> list[int]:
     out, run, words, prev = [], [], 0, None
     for i, j in [*pairs, (None, None)]:
         here = None if i is None else (later[i]["pos"], earlier[j]["pos"])

@@ -103,29 +103,28 @@ def lines(n, seed):
     return [" ".join(rng.choice("alpha beta gamma delta epsilon zeta eta".split()) + str(rng.randrange(99)) for _ in range(12)) for _ in range(n)]
 
 
+def common_blocks(later, earlier, min_words):
+    """Lines of ``later`` in any stretch of consecutive lines, of enough words, that ``earlier`` holds too."""
+    out = set()
+    a, b = ld.split_lines(later), ld.split_lines(earlier)
+    for i in range(len(a)):
+        for j in range(len(b)):
+            if a[i][1] != b[j][1] or (i and j and a[i - 1][1] == b[j - 1][1]):
+                continue
+            n = 0
+            while i + n < len(a) and j + n < len(b) and a[i + n][1] == b[j + n][1]:
+                n += 1
+            if sum(x[2] for x in a[i : i + n]) >= min_words:
+                out |= {x[0] for x in a[i : i + n]}
+    return out
+
+
 def brute(rows, p):
-    """The operator's definition, document by document."""
-    tab = {}
-    for n, (i, t) in enumerate(rows):
-        if i is not None:
-            tab.setdefault((i, t), []).append(n)
-    keys = sorted(k for k in tab if k[1])
-    seqs = {k: [{"line": a, "pos": x, "h": h, "words": w} for x, (a, h, w) in enumerate(ld.split_lines(k[1]))] for k in keys}
-    holders: dict = {}
-    for k in keys:
-        for h in {x["h"] for x in seqs[k]}:
-            holders.setdefault(h, []).append(k)
-    pairs = set()
-    for held in holders.values():
-        if 2 <= len(held) <= p.rare:
-            pairs |= {(b, a) for x, a in enumerate(held) for b in held[x + 1 :]}
-        elif len(held) > p.rare:
-            pairs |= {(b, held[0]) for b in held[1:]}
-    shared = {k: [x for x in s if len(holders[x["h"]]) > 1] for k, s in seqs.items()}
-    gone: dict = {}
-    for b, a in pairs:
-        gone.setdefault(b, set()).update(ld.blocks_to_delete(shared[b], shared[a], p.min_words))
-    return [sorted(gone.get((i, t), ())) if i is not None else [] for i, t in rows]
+    """Every document against every earlier one."""
+    keys = sorted({(i, t) for i, t in rows if i is not None and t})
+    keys = [k for k in keys if len(k[1]) < 100_000]
+    gone = {b: set().union(*[common_blocks(b[1], a[1], p.min_words) for a in keys[:n]]) for n, b in enumerate(keys)}
+    return [sorted(gone.get((i, t), ())) for i, t in rows]
 
 
 def test_line_dedup_equals_brute_force(llm):
@@ -156,7 +155,9 @@ def test_line_dedup_equals_brute_force(llm):
     assert got == sorted(want)
     texts = {r[0]: r[1] for r in got}
     assert passage[2] in texts[10] and not any(passage[2] in t for i, t in texts.items() if i > 10)
-    assert all(common in t for i, t in texts.items() if i not in (-1, 501, 502, 503, 504) and i != 30)
+    # too short to go by itself; it goes where it stands beside a passage as in an earlier document
+    alone = [i for i, t, cut in got if i % 10 == 0 and i < 240 and not cut]
+    assert len(alone) >= 8 and all(common in texts[i] for i in alone)
     assert ld.dedup_lines(docs(llm, []), "doc_id", "text").count() == 0
 
 
@@ -167,16 +168,24 @@ def test_every_block_of_an_earlier_document_goes(llm):
     rows = [(n, f"{line}\nown {n}") for n, line in enumerate(stock)]  # the first holders have one line each
     for i in range(60):
         own = [f"own {i} {j}" for j in range(rng.randrange(1, 4))]
-        at, size = rng.randrange(11), rng.randrange(1, 6)
-        own[1:1] = stock[at : at + size]
+        for _ in range(rng.randrange(1, 3)):  # also two blocks, in any order or twice
+            at, size = rng.randrange(11), rng.randrange(1, 6)
+            own[1:1] = stock[at : at + size]
         rows.append((100 + i, "\n".join(own)))
     p = ld.Params()
     got = {r.doc_id: list(r.removed_lines) for r in ld.dedup_lines(docs(llm, rows).repartition(3), "doc_id", "text", p).collect()}
-    seqs = {i: [{"line": n, "pos": x, "h": h, "words": w} for x, (n, h, w) in enumerate(ld.split_lines(t))] for i, t in rows}
-    want = {b: sorted({n for a in seqs if a < b for n in ld.blocks_to_delete(seqs[b], seqs[a], p.min_words)}) for b in seqs}
+    want = dict(zip([i for i, _ in rows], brute(rows, p), strict=True))
     assert sum(map(len, want.values())) > 50 and got == want
 
 
+def test_blocks_in_another_order_go(llm):
+    """Documents 1 to 13 hold the two blocks of document 0 the other way round."""
+    x, y = ([f"{c}{n} " + "word " * 5 for n in range(4)] for c in "xy")
+    rows = [(0, "\n".join([*y, "own 0", *x]))] + [(i, "\n".join([*x, f"own {i}", *y])) for i in range(1, 14)]
+    got = {r.doc_id: list(r.removed_lines) for r in ld.dedup_lines(docs(llm, rows), "doc_id", "text").collect()}
+    assert got == {0: [], **{i: [0, 1, 2, 3, 5, 6, 7, 8] for i in range(1, 14)}}
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.tuples(st.integers(1, 2), st.integers(1, 9)), max_size=14))
 def test_shortest_runs_cover_every_block(steps):
