@@ -60,8 +60,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     reachable. Self loops, repeated and reversed edges and an empty table are fine; null ends are
     dropped.
 
-    Edges are first contracted to stars within each task, which leaves little to do where a task holds
-    most of a component. Each round then links every node's larger neighbours to its smallest neighbour,
+    Edges are contracted to stars within each task, before and after the exchange that drops repeated ones,
+    which leaves little to do where a task holds most of a component. Each round then links every node's larger neighbours to its smallest neighbour,
     then every node's smaller neighbours likewise, until only stars are left; it needs O(log^2) rounds
     whatever the diameter. Minima are partial aggregates, and the hub's edges meet one row in the joins;
     the minima are written first, so that a join reads plain shuffles, of which AQE splits the hub's.
@@ -69,7 +69,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """
     a, b = F.col("a"), F.col("b")
     some = edges.where(a.isNotNull() & b.isNotNull() & (a != b))
-    cur = written(contracted(some).distinct(), name)
+    cur = written(contracted(contracted(some).distinct()), name)
     while not _stars(cur):
         both = cur.select("a", "b").union(cur.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = written(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), name)
@@ -80,7 +80,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         low2 = written(large.groupBy("a").agg(F.min("b").alias("m")), name)
         small = large.join(low2, "a").where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = small.union(low2.select("a", F.col("m").alias("b")))
-        nxt = written(contracted(small).distinct(), name)
+        nxt = written(contracted(contracted(small).distinct()), name)
         for done in (cur, low, large, low2):
             drop_written(done)
         cur = nxt
