@@ -8,6 +8,8 @@ feature values.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -180,6 +182,69 @@ def penalty(outputs: Column | str) -> Column:
     return F.coalesce(F.get(hit, 0)["score"], least, F.lit(1.0))
 
 
+OUTPUTS = "array<struct<token: string, score: double>>"
+SCORER_BATCH = 16
+COSINE_DIGITS = 5  # cosines of one pair may differ beyond these between the JVM and numpy
+_LOADED: dict[str, object] = {}  # the scorer that a worker has loaded
+
+
+def score_pairs(pairs: DataFrame, scorer, batch: int = SCORER_BATCH, out: str = "outputs") -> DataFrame:
+    """Pairs plus ``out``, the (token, score) outputs of a scorer of one's own for their query and title.
+
+    ``scorer.key`` names it, ``scorer.load()`` gives a function of a list of queries and one of titles that
+    returns a list of (token, score) lists. A worker loads it once, whatever tasks it runs, and calls it on
+    batches of ``batch`` pairs. Nulls arrive as empty strings."""
+    import pyarrow as pa
+
+    kind = pa.list_(pa.struct([("token", pa.string()), ("score", pa.float64())]))
+
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        from quarry.operators import ltr as own
+
+        model = own._LOADED.get(scorer.key)
+        if model is None:
+            own._LOADED.clear()
+            model = own._LOADED[scorer.key] = scorer.load()
+        for queries, titles in batches:
+            q, t = ([x or "" for x in a.to_pylist()] for a in (queries, titles))
+            found = [o for at in range(0, len(q), batch) for o in model(q[at : at + batch], t[at : at + batch])]
+            yield pa.array([[{"token": k, "score": float(v)} for k, v in o] for o in found], kind)
+
+    run.__annotations__ = {"batches": Iterator[tuple[pa.Array, pa.Array]], "return": Iterator[pa.Array]}
+    # as a projection of its own: the texts are plain columns when the scorer is planned
+    return pairs.withColumn(out, F.arrow_udf(run, OUTPUTS)(F.col("query"), F.col("title")))
+
+
+class PairScorer:
+    """Likeliest labels of a (query, title) pair: the labels' shares among training pairs of like cosine."""
+
+    def __init__(self, key: str, encoder, cuts: list[float], shares: list[list[float]], n: int = 3):
+        self.key, self.encoder, self.cuts, self.shares, self.n = key, encoder, cuts, shares, n
+
+    def load(self):
+        import numpy as np
+
+        best = [sorted(zip(LABELS, p, strict=True), key=lambda x: (-x[1], x[0]))[: self.n] for p in self.shares]
+
+        def outputs(queries: list[str], titles: list[str]) -> list[list[tuple[str, float]]]:
+            cosine = np.round((self.encoder(queries) * self.encoder(titles)).sum(axis=1), COSINE_DIGITS)
+            return [best[i] for i in np.searchsorted(self.cuts, cosine)]
+
+        return outputs
+
+
+def fit_pair_scorer(train: DataFrame, encoder, bins: int = 10) -> PairScorer:
+    """Label shares (one pseudo-count each) in ``bins`` quantile bins of the pairs' cosine: one aggregate."""
+    scored = biencoder_scores(train, encoder).select("label", F.round("score", COSINE_DIGITS).alias("score"))
+    cuts = sorted(set(scored.approxQuantile("score", [i / bins for i in range(1, bins)], 0.001)))
+    place = F.aggregate(F.array(*[F.lit(c) for c in cuts]), F.lit(0), lambda n, c: n + (c < F.col("score")).cast("int")) if cuts else F.lit(0)
+    counts = [[1.0] * len(LABELS) for _ in range(len(cuts) + 1)]
+    for r in scored.groupBy(place.alias("bin"), "label").agg(F.count(F.lit(1)).alias("n")).collect():
+        counts[r["bin"]][LABELS.index(r["label"])] += r["n"]
+    shares = [[c / sum(row) for c in row] for row in counts]
+    return PairScorer(f"pairs-{hash((tuple(cuts), tuple(map(tuple, shares))))}", encoder, cuts, shares)
+
+
 def encode(df: DataFrame, text_col: str, out: str, dim: int = 64) -> DataFrame:
     """``out``: the text's lower-cased tokens hashed into ``dim`` features, length 1 (MLlib, JVM-side)."""
     from pyspark.ml.feature import HashingTF, Normalizer

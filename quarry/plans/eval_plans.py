@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.operators import evaluate as E
+from quarry.operators.util import materialize
 from quarry.plans import sql as Q
 from quarry.plans.rank_plans import PAIR_TF_SQL, PAIR_TFIDF_SQL
 from quarry.plans.registry import register
@@ -90,9 +91,10 @@ def eval_ndcg(spark, d):
         GROUP BY system, mean_ndcg""",
 )
 def eval_compare_systems(spark, d):
-    r = _rankings(spark, d)
+    judged = materialize(judgments(spark, d))  # pairs made once
+    r = materialize(E.system_rankings(judged, _docs(spark, d), K))
     dcg = E.dcg_at_k(r, K).groupBy("system").agg(F.avg("dcg").alias("mean_dcg"))
-    nd = _ndcg(spark, d).groupBy("system").agg(F.avg("ndcg").alias("mean_ndcg"))
+    nd = E.ndcg_at_k(r, judged.select("query_id", "doc_id", "label"), K).groupBy("system").agg(F.avg("ndcg").alias("mean_ndcg"))
     return dcg.join(nd, "system").select("system", F.round("mean_dcg", 6).alias("mean_dcg"), F.round("mean_ndcg", 6).alias("mean_ndcg"))
 
 

@@ -222,6 +222,17 @@ def ltr_model_rerank(spark, d):
     return LT.ndcg_of_scores(scored, j, ascending=True)
 
 
+@register("ltr_scorer_rerank")
+def ltr_scorer_rerank(spark, d):
+    """Re-rank test pairs by the penalty of a batch scorer's outputs, fitted on the training pairs: mean
+    nDCG@10."""
+    j = _pairs(spark, d)
+    train = j.where("split = 'train'")
+    encoder = LSA.Encoder(spark, LSA.fit(train.select("title"), "title"))
+    scored = LT.score_pairs(j.where("split = 'test'"), LT.fit_pair_scorer(train, encoder))
+    return LT.ndcg_of_scores(scored.withColumn("score", LT.penalty("outputs")), j, ascending=True)
+
+
 @register("ltr_biencoder_rerank")
 def ltr_biencoder_rerank(spark, d):
     """Bi-encoder cosine between each distinct query (encoded once) and the titles, by an encoder fitted on

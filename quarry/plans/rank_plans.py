@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.operators import index as I
+from quarry.operators import prune as PR
 from quarry.operators import rank as R
 from quarry.plans import sql as Q
 from quarry.plans.registry import register
@@ -40,6 +41,15 @@ register("rank_tfidf", _bench_sql(f"p.tf * {Q.idf('st.n_docs', 'dfs.df')}"))(_be
 register("topk_batch", _bench_sql("p.tf::DOUBLE"))(_bench("tf"))
 
 
+@register(
+    "rank_bm25_pruned",
+    _bench_sql(f"{Q.bm25_w('p.tf', '1.2', '0.75', 'p.doc_len', 'st.avg_len')} * {Q.idf('st.n_docs', 'dfs.df')}"),
+)
+def rank_bm25_pruned(spark, d):
+    """rank_bm25 by thresholds: documents that cannot reach a query's best 10 are never scored."""
+    return PR.search(_docs(spark, d), "doc_id", "text", benchmark_queries(spark, d)).select("query_id", "rank", "doc_id", R.round_score())
+
+
 @register(
     "topk_own_k",
     _bench_sql(f"{Q.bm25_w('p.tf', '1.2', '0.75', 'p.doc_len', 'st.avg_len')} * {Q.idf('st.n_docs', 'dfs.df')}").replace("rank <= 10", "rank <= 1 + query_id % 10"),

@@ -85,6 +85,18 @@ def export_json(spark, d):
     return REC.export_json(read_table(spark, d, "part"), ["p_partkey", "p_name", "p_brand"])
 
 
+@register(
+    "json_files",
+    "SELECT doc_id, md5(coalesce(text, '')) AS digest, lang, source, n_chars FROM documents",
+)
+def json_files(spark, d):
+    """The documents written as JSON lines and read back."""
+    docs, path = spread(read_table(spark, d, "documents")), scratch_path(spark, "json")
+    REC.write_json(docs, path)
+    back = REC.read_json(spark, path, docs.schema)
+    return back.select("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("digest"), "lang", "source", "n_chars")
+
+
 @register("save_load_index", f"WITH {Q.DOC_TF} SELECT term, doc_id, tf FROM tfp")
 def save_load_index(spark, d):
     path = scratch_path(spark, "index")

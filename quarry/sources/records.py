@@ -14,6 +14,17 @@ def export_json(df: DataFrame, cols: list[str], out: str = "json") -> DataFrame:
     return df.select(F.to_json(F.struct(*[F.col(c) for c in cols])).alias(out))
 
 
+def write_json(df: DataFrame, path: str) -> None:
+    """Rows as JSON lines, as many files as the rows have tasks; null fields are written as null."""
+    df.write.option("ignoreNullFields", "false").json(path)
+
+
+def read_json(spark, path: str, schema) -> DataFrame:
+    """JSON lines with a stated schema, so that nothing is read to infer one; a line that is no record of it
+    fails the read."""
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+
+
 def save_index(postings: DataFrame, path: str, buckets: int = 64) -> None:
     """Write postings as Parquet partitioned by a term bucket, so a term lookup reads one folder. The
     rebalance lets AQE size the tasks: a hot term's bucket is several files, small buckets share one task."""

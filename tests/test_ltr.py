@@ -80,3 +80,56 @@ def test_biencoder_scores_and_encoder(spark):
     df = spark.createDataFrame(rows, "query_id long, doc_id long, query string, title string")
     got = {r.doc_id: r.score for r in LT.biencoder_scores(df).collect()}
     assert len(got) == 5 and abs(got[1] - 1) < 1e-9 and got[2] < 0.99 and got[3] == got[4] == got[5] == 0
+
+
+def test_batch_scorer_outputs_and_loads(spark, tmp_path):
+    """The hook's outputs per pair, its batches, and one load per worker."""
+    import os
+
+    path = str(tmp_path / "loads")
+
+    class Scorer:
+        key = "a double"
+
+        def load(self):
+            with open(path, "a") as f:
+                f.write(f"{os.getpid()}\n")
+
+            def outputs(queries, titles):
+                assert 0 < len(queries) == len(titles) <= 8
+                return [[("E", len(q) / 10), ("I", len(t) / 100)] if q else [("S", 0.5)] for q, t in zip(queries, titles)]
+
+            return outputs
+
+    rows = [(i, i, "q" * (i % 4) if i % 7 else None, "t" * (i % 5) if i % 3 else None) for i in range(300)]
+    df = spark.createDataFrame(rows, "query_id long, doc_id long, query string, title string").repartition(12)
+    for _ in range(2):
+        got = {r.doc_id: r for r in LT.score_pairs(df, Scorer(), batch=8).withColumn("p", LT.penalty("outputs")).collect()}
+    for q, d, query, title in rows:
+        want = [("E", len(query) / 10), ("I", len(title or "") / 100)] if query else [("S", 0.5)]
+        assert [tuple(o) for o in got[d].outputs] == want
+        assert abs(got[d].p - (want[1][1] if query else 0.5)) < 1e-12
+    loads = open(path).read().split()
+    assert len(loads) == len(set(loads)) <= 12
+
+
+def test_pair_scorer_shares(spark):
+    rows = [(i, i, "red bolt", "red bolt" if i % 2 else "blue nut", "E" if i % 2 else "I") for i in range(40)]
+    df = spark.createDataFrame(rows, "query_id long, doc_id long, query string, title string, label string")
+    from quarry.operators import lsa as LSA
+
+    scorer = LT.fit_pair_scorer(df, LSA.Encoder(spark, LSA.fit(df, "title", dim=2)))
+    got = {r.title: r for r in LT.score_pairs(df, scorer).withColumn("p", LT.penalty("outputs")).dropDuplicates(["title"]).collect()}
+    assert got["red bolt"].outputs[0].token == "E" and got["blue nut"].outputs[0].token == "I"
+    assert got["red bolt"].p < 0.1 < 0.8 < got["blue nut"].p
+
+
+def test_json_files_round_trip(spark):
+    from quarry.session import scratch_path
+    from quarry.sources import records as REC
+
+    rows = [(1, 'a "b" \n c'), (2, None), (None, ""), (3, "né\t ")]
+    df = spark.createDataFrame(rows, "i long, t string")
+    path = scratch_path(spark, "json")
+    REC.write_json(df.repartition(3), path)
+    assert sorted(map(str, REC.read_json(spark, path, df.schema).collect())) == sorted(map(str, df.collect()))
