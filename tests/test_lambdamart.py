@@ -162,3 +162,28 @@ def test_a_pair_never_leaves_its_row(spark):
     out = LM.lambdas(df, 10)
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "Generate" not in plan and out.count() == 600
+
+
+def test_a_round_is_few_jobs_without_an_exchange(spark):
+    """A hundred rounds have to be cheap: the best k, what the rest gives them, a histogram per level, no shuffle."""
+    df, depth = _frame(spark, _rows()), 3
+    sc = spark.sparkContext
+
+    def jobs(rounds):
+        sc.setJobGroup(f"rounds-{rounds}", "counted")
+        LM.fit(df, ["f", "g", "h"], rounds=rounds, depth=depth, k=K, bins=8, valid=df)
+        ids = sc.statusTracker().getJobIdsForGroup(f"rounds-{rounds}")
+        return len(ids), sum(len(sc.statusTracker().getJobInfo(i).stageIds) for i in ids)
+
+    try:
+        (few, few_stages), (more, more_stages) = jobs(1), jobs(4)
+    finally:
+        sc._jsc.clearJobGroup()
+    assert more - few <= 3 * (depth + 2) and more_stages - few_stages <= 3 * (depth + 2)
+
+
+def test_scores_written_anew_leave_the_trees_alone(spark, monkeypatch):
+    a = LM.fit(_frame(spark, _rows(seed=6)), ["f", "g"], rounds=4, depth=2)
+    monkeypatch.setattr(LM, "KEPT", 2)
+    b = LM.fit(_frame(spark, _rows(seed=6)), ["f", "g"], rounds=4, depth=2)
+    assert a.trees == b.trees
