@@ -56,7 +56,7 @@ def rank_bm25_pruned(spark, d):
 )
 def topk_own_k(spark, d):
     """BM25 with a number of results of each query's own: 1 to 10, by its id."""
-    scored = R.score_queries(_docs(spark, d), "doc_id", "text", benchmark_queries(spark, d), "bm25")
+    scored = R.best_scored(_docs(spark, d), "doc_id", "text", benchmark_queries(spark, d), 10, "bm25")
     own = scored.withColumn("k", 1 + F.col("query_id") % 10)
     return R.topk_batch(own, "query_id", 10, k_col="k").select("query_id", "rank", "doc_id", R.round_score())
 

@@ -30,8 +30,8 @@ def sharded_topk(spark, d):
     """BM25 with global statistics, top 10 per (shard, query) then per query: equals rank_bm25."""
     # a document's shard is found once and travels in its key, not once per query that it matches
     docs = SH.assign_shard(_docs(spark, d), "doc_id", N_SHARDS).select(F.struct("shard", "doc_id").alias("key"), "text")
-    scored = R.score_queries(docs, "key", "text", benchmark_queries(spark, d), "bm25")
-    top = SH.sharded_topk(scored.select("query_id", "doc_id.shard", "doc_id.doc_id", "score"), 10)
+    scored = R.best_scored(docs, "key", "text", benchmark_queries(spark, d), 10, "bm25", part="shard")
+    top = SH.sharded_topk(scored, 10)
     return top.select("query_id", "rank", "doc_id", R.round_score())
 
 

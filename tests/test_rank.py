@@ -3,6 +3,8 @@
 import math
 import random
 
+import numpy as np
+
 from quarry.operators import index as I
 from quarry.operators import rank as R
 from quarry.sources.tables import literal_queries
@@ -107,3 +109,60 @@ def test_term_counts_and_positions_in_the_row(spark):
     assert got == {(i, w): (t.count(w), len(t)) for i, t in rows for w in t}
     pos = {(r.doc_id, r.term): list(r.positions) for r in I.build_positional(docs, "doc_id", "text").collect()}
     assert pos == {(i, w): [n for n, x in enumerate(t) if x == w] for i, t in rows for w in t}
+
+
+def test_search_makes_no_row_per_query_and_document(spark):
+    """Equal to every score ranked; what leaves the tasks is k rows per query and task."""
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(12)] + ["the"] * 6
+    rows = [(rng.choice([i, i, i, 7]), " ".join(rng.choices(words, k=rng.randint(0, 9)))) for i in range(700)] + [(None, "the w1 w2"), (5000, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    queries = literal_queries(spark, {q: rng.choices(words, k=rng.randint(1, 5)) for q in range(30)} | {99: ["absent"]})
+    for model in ("bm25", "tfidf", "tf"):
+        scored = R.score_queries(docs, "doc_id", "text", queries, model)
+        want = R.topk_batch(scored, "query_id", 10).select("query_id", "rank", "doc_id", "score")
+        assert sorted(map(str, R.search(docs, "doc_id", "text", queries, 10, model).collect())) == sorted(map(str, want.collect()))
+    best = R.best_scored(docs, "doc_id", "text", queries, 10)
+    tasks = best.rdd.getNumPartitions()
+    assert best.count() <= 10 * 31 * tasks < scored.count()
+    plan = best._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "Aggregate [query_id" not in plan
+
+
+def test_search_in_blocks_of_queries_and_of_documents(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"a{i % 3} b{i % 5} c") for i in range(90)], "doc_id long, text string")
+    queries = literal_queries(spark, {q: [f"a{q % 3}", f"b{q % 4}", "c", "c"] for q in range(9)})
+    want = sorted(map(str, R.search(docs, "doc_id", "text", queries, 5).collect()))
+    monkeypatch.setattr(R, "CELLS", 12)
+    monkeypatch.setattr(R, "DOCS", 7)
+    monkeypatch.setattr(R, "EXACT", 1)
+    assert len(list(R._query_blocks(queries))) > 2
+    assert sorted(map(str, R.search(docs, "doc_id", "text", queries, 5).collect())) == want
+
+
+def test_products_of_great_numbers_are_whole():
+    u = np.array([[3.0 * 2**50, 1.0], [-(2.0**50), 7.0]])
+    times = np.array([[3.0, 0.0], [1.0, 5.0]])
+    want = [[sum(int(a) * int(b) for a, b in zip(r, c, strict=True)) for c in times.T] for r in u]
+    assert R._products(u, times).tolist() == want
+
+
+def test_all_models_move_the_same_columns(spark):
+    """The exchange that the statistics read serves the scores, also where the model needs no length."""
+    docs = spark.createDataFrame(DOCS, "doc_id bigint, text string").repartition(2)
+    for model in ("bm25", "tfidf", "tf"):
+        best = R.best_scored(docs, "doc_id", "text", literal_queries(spark, {1: ["hdmi"]}), 3, model)
+        plan = best._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        below = [plan[i + 1] for i, line in enumerate(plan) if "RepartitionByExpression [doc_id" in line]
+        assert len(below) >= 2 and all("doc_len" in x and "tf" in x for x in below)
+
+
+def test_parts_have_their_own_best(spark):
+    docs = spark.createDataFrame([(i, i % 2, f"a b{i % 4}") for i in range(40)], "doc_id long, shard int, text string")
+    queries = literal_queries(spark, {1: ["a", "b1"], 2: ["b2"]})
+    keyed = docs.selectExpr("struct(shard, doc_id) AS key", "text")
+    got = R.topk_batch(R.best_scored(keyed, "key", "text", queries, 3, part="shard"), ["shard", "query_id"], 3)
+    scored = R.score_queries(docs, "doc_id", "text", queries).join(docs.select("doc_id", "shard"), "doc_id")
+    want = R.topk_batch(scored, ["shard", "query_id"], 3)
+    cols = "shard", "query_id", "rank", "doc_id", "score"
+    assert sorted(map(str, got.select(*cols).collect())) == sorted(map(str, want.select(*cols).collect()))
