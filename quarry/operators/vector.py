@@ -224,29 +224,50 @@ def recall(exact: DataFrame, approx: DataFrame, keys: list[str], id_col: str = "
 # ---- LSH (Euclidean) -------------------------------------------------------------------------
 
 
+def _features(vecs: DataFrame) -> DataFrame:
+    from pyspark.ml.functions import array_to_vector
+
+    return vecs.withColumn("features", array_to_vector(F.col("embedding").cast("array<double>")))
+
+
 def lsh_model(vecs: DataFrame, bucket_length: float = 1.0, tables: int = 10, seed: int = 0):
     from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector
 
-    feats = vecs.withColumn("features", array_to_vector(F.col("embedding").cast("array<double>")))
+    feats = _features(vecs)
     lsh = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes", bucketLength=bucket_length, numHashTables=tables, seed=seed)
     return lsh.fit(feats), feats
 
 
 def lsh_knn(vecs: DataFrame, queries: DataFrame, k: int, bucket_length: float = 1.0, tables: int = 10, id_col: str = "vec_id"):
-    """Approximate k nearest by Euclidean distance: a similarity join on shared buckets without a
-    distance limit, then top-k. Queries that share buckets with fewer than k vectors are searched
-    exactly, so every query has k rows (or as many as there are vectors)."""
-    from pyspark.ml.functions import array_to_vector
+    """Approximate k nearest by Euclidean distance among the vectors that share a bucket of any hash table.
+    The queries' buckets meet the vectors in blocks: tasks keep each query's best k, so that neither buckets nor
+    pairs move, only the vectors, once, to drop rows that occur twice. Queries that share buckets with fewer
+    than k vectors are searched exactly, so every query has k rows (or as many as there are vectors)."""
+    from pyspark.ml.functions import vector_to_array
 
     from quarry.operators.util import materialize
 
-    model, feats = lsh_model(vecs, bucket_length, tables)
-    qf = queries.withColumn("features", array_to_vector(F.col("embedding").cast("array<double>")))
-    pairs = model.approxSimilarityJoin(feats, qf, float("inf"), distCol="dist").select(
-        F.col(f"datasetA.{id_col}").alias(id_col), F.col("datasetB.query_id").alias("query_id"), "dist"
-    )
-    top = R.topk_batch(pairs.withColumn("neg", -F.col("dist")), "query_id", k, score="neg", id_col=id_col, ties="asc")
+    model, _ = lsh_model(vecs, bucket_length, tables)
+
+    def hashed(df, id_col, number):
+        """The buckets follow the components in one array."""
+        buckets = [vector_to_array(F.col("hashes")[i])[0] for i in range(tables)]
+        both = F.concat(F.col("embedding").cast("array<double>"), F.array(*buckets))
+        return model.transform(_features(df)).select(number.alias(id_col), both.alias("embedding"))
+
+    def near(x, q):
+        out = np.full((len(x), len(q)), -np.inf)
+        shared = (x[:, None, -tables:] == q[None, :, -tables:]).any(axis=2)
+        row, of = np.nonzero(shared)
+        out[row, of] = -np.sqrt(((x[row, :-tables] - q[of, :-tables]) ** 2).sum(axis=1))
+        return out
+
+    # ties go to the smaller id, an unknown one first: numbers in the opposite order
+    none = F.lit(-(1 << 63)).cast("long")
+    docs = hashed(vecs.distinct(), id_col, F.bitwise_not(F.coalesce(F.col(id_col).cast("long"), none)))
+    top = _best_per_query(docs, hashed(queries, "query_id", F.col("query_id")), k, id_col, near)
+    top = top.where(F.col("score") > float("-inf")).withColumn("dist", -F.col("score"))
+    top = top.withColumn(id_col, F.nullif(F.bitwise_not(F.col(id_col)), none))
     top = materialize(top.select("query_id", "rank", id_col, "dist"))
     full = top.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= k)
     rest = exact_l2(vecs, queries.join(full, "query_id", "left_anti"), k, id_col)

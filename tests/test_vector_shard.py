@@ -127,3 +127,22 @@ def test_blas_exact_knn_equals_join_path_with_ties(spark):
     a = sorted((r.query_id, r.rank, r.vec_id) for r in V.exact_knn(v, q, 10).collect())
     b = sorted((r.query_id, r.rank, r.vec_id) for r in topk_batch(V.dot_scores(v, q), "query_id", 10, id_col="vec_id").collect())
     assert a == b
+
+
+def test_lsh_equals_the_similarity_join_and_moves_no_bucket(spark):
+    import random
+
+    rng = random.Random(2)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(4)]) for i in range(300)]
+    rows += rows[:40] + [(900 + i, rows[i][1]) for i in range(20)]  # the same rows again, and equal vectors
+    vecs = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4)
+    queries = spark.createDataFrame([(i, rows[7 * i][1]) for i in range(6)], "query_id long, embedding array<double>")
+    got = V.lsh_knn(vecs, queries, 5, bucket_length=0.5, tables=4)
+    model, feats = V.lsh_model(vecs, 0.5, 4)
+    pairs = model.approxSimilarityJoin(feats, V._features(queries), float("inf"), distCol="dist")
+    near: dict = {}
+    for r in pairs.collect():
+        near.setdefault(r.datasetB.query_id, []).append((round(r.dist, 9), r.datasetA.vec_id))
+    want = {(q, i + 1, v, d) for q, x in near.items() for i, (d, v) in enumerate(sorted(x)[:5]) if len(x) >= 5}
+    assert want and want <= {(r.query_id, r.rank, r.vec_id, round(r.dist, 9)) for r in got.collect()}
+    assert got.count() == 30
