@@ -128,3 +128,20 @@ def test_paired_t_of_all_pairs_has_the_sign_of_the_later_system(spark):
     assert abs(r.t - (1 / 3) / (sd / math.sqrt(3))) < 1e-9
     p = E.with_t_p_value(spark.createDataFrame([(3, 0.1, 2.0)], "n long, mean_diff double, t double")).first().p_value
     assert abs(p - 0.183503) < 1e-6  # t = 2 with 2 degrees of freedom: 1 - 2 / sqrt(6)
+
+
+def test_ks_normal_ranks_once(spark, monkeypatch):
+    """MLlib's test runs several jobs for each system; what they read is made once."""
+    from quarry.plans import eval_plans
+
+    made = spark.sparkContext.accumulator(0)
+    rows = spark.createDataFrame([(s, q, (q % 7) / 7.0) for s in ("baseline", "tf") for q in range(30)], "system string, query_id long, ndcg double")
+
+    def counted(batches):
+        for pdf in batches:
+            made.add(len(pdf))
+            yield pdf
+
+    monkeypatch.setattr(eval_plans, "_ndcg", lambda spark, d: rows.mapInPandas(counted, rows.schema))
+    out = eval_plans.test_ks_normal(spark, "").collect()
+    assert {r.system for r in out} == {"baseline", "tf"} and made.value == 60
