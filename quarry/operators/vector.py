@@ -259,7 +259,8 @@ def lsh_knn(vecs: DataFrame, queries: DataFrame, k: int, bucket_length: float =
         out = np.full((len(x), len(q)), -np.inf)
         shared = (x[:, None, -tables:] == q[None, :, -tables:]).any(axis=2)
         row, of = np.nonzero(shared)
-        out[row, of] = -np.sqrt(((x[row, :-tables] - q[of, :-tables]) ** 2).sum(axis=1))
+        # added in order, as MLlib adds
+        out[row, of] = -np.sqrt(np.cumsum((x[row, :-tables] - q[of, :-tables]) ** 2, axis=1)[:, -1])
         return out
 
     # ties go to the smaller id, an unknown one first: numbers in the opposite order
