@@ -130,12 +130,18 @@ def merge_two_smallest(segments: DataFrame, live: DataFrame, counts: DataFrame,
 
 
 def in_hash_sample(term_col: str = "term", m: int = 100):
-    return md5_mod(term_col, m) == 0
+    """int(md5(term), 16) % m == 0. A number divisible by 4 ends in the hex digit 0, 4, 8 or c: if m is, the
+    digit leaves a quarter of the terms for the division of 128 bits."""
+    hit = md5_mod(term_col, m) == 0
+    last = F.substring(F.md5(F.col(term_col).cast("string")), 32, 1)
+    return last.isin("0", "4", "8", "c") & hit if m % 4 == 0 else hit
 
 
 def hash_sample_terms(postings: DataFrame, m: int = 100) -> DataFrame:
-    """Vocabulary terms with int(md5(term), 16) % m == 0, from live postings only."""
-    return postings.where(in_hash_sample("term", m)).select("term").distinct()
+    """Vocabulary terms with int(md5(term), 16) % m == 0, from live postings only. A term is hashed once, not
+    with each of its postings: the condition reads the count, so it is not moved below the aggregate."""
+    vocabulary = postings.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    return vocabulary.where(F.when(F.col("n") > 0, in_hash_sample("term", m))).select("term")
 
 
 def bulk_query(postings: DataFrame, m: int = 100, k: int = 10) -> DataFrame:
