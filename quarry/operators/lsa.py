@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ class Model:
 
 def tokens(text: str | None) -> list[str]:
     """Lower-cased words; must be what ``vocabulary`` counts."""
-    return [t.lower() for t in (text or "").split()]
+    return (text or "").lower().split()
 
 
 def vocabulary(texts: DataFrame, text_col: str, features: int = FEATURES) -> tuple[dict[str, int], np.ndarray]:
@@ -49,23 +50,22 @@ def vocabulary(texts: DataFrame, text_col: str, features: int = FEATURES) -> tup
 
 
 def matrix(texts: list[str | None], terms: dict[str, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(columns, dense rows over those columns) of a few texts."""
-    counts: list[dict[int, int]] = []
-    for t in texts:
-        held: dict[int, int] = {}
-        for w in tokens(t):
-            i = terms.get(w)
-            if i is not None:
-                held[i] = held.get(i, 0) + 1
-        counts.append(held)
-    columns = np.array(sorted({i for held in counts for i in held}), np.int64)
-    place = {int(c): j for j, c in enumerate(columns)}
+    """(columns, dense rows over those columns) of a few texts. Terms are counted in arrays, by sorting
+    (row, term) numbers."""
+    words = [tokens(t) for t in texts]
+    row = np.repeat(np.arange(len(texts)), np.fromiter(map(len, words), np.int64, len(words)))
+    term = np.fromiter(map(terms.get, chain.from_iterable(words), repeat(-1)), np.int64, len(row))
+    known, width = term >= 0, max(len(terms), 1)
+    cell, tf = np.unique(row[known] * width + term[known], return_counts=True)
+    row, term = np.divmod(cell, width)
+    value = (1.0 + np.log(tf)) * idf[term]
+    norms = np.sqrt(np.bincount(row, value * value, minlength=len(texts)))
+    held = np.zeros(width, bool)
+    held[term] = True
+    columns = np.flatnonzero(held)
     rows = np.zeros((len(texts), len(columns)))
-    for r, held in enumerate(counts):
-        for i, tf in held.items():
-            rows[r, place[i]] = (1.0 + np.log(tf)) * idf[i]
-    norms = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
-    return columns, rows / np.where(norms > 0, norms, 1.0)
+    rows[row, (np.cumsum(held) - 1)[term]] = value / np.where(norms > 0, norms, 1.0)[row]
+    return columns, rows
 
 
 def _product(texts: DataFrame, text_col: str, terms: dict[str, int], idf: np.ndarray, block: np.ndarray) -> np.ndarray:

@@ -13,6 +13,7 @@ from quarry.operators import ltr as LT
 from quarry.operators.util import materialize
 from quarry.plans import sql as Q
 from quarry.plans.registry import register
+from quarry.sources.tables import judgments as all_judgments
 from quarry.sources.tables import judgments_once as judgments
 
 PAIR_KEYS = "query_id, doc_id"
@@ -237,7 +238,7 @@ def ltr_scorer_rerank(spark, d):
 def ltr_biencoder_rerank(spark, d):
     """Bi-encoder cosine between each distinct query (encoded once) and the titles, by an encoder fitted on
     the training titles: mean nDCG@10."""
-    j = _pairs(spark, d)
+    j = materialize(all_judgments(spark, d).drop("description"))  # which nothing reads here
     encoder = LSA.Encoder(spark, LSA.fit(j.where("split = 'train'").select("title"), "title"))
     return LT.ndcg_of_scores(LT.biencoder_scores(j.where("split = 'test'"), encoder), j)
 
