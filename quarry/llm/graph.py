@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import drop_written, written
 
-CHUNK = 1 << 18  # edges that a task contracts at a time
+CHUNK = 1 << 18  # edges that a task contracts at a time; a graph of no more is finished as one chunk
 
 
 def contracted(edges: DataFrame) -> DataFrame:
@@ -48,6 +48,11 @@ def contracted(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).mapInArrow(run, "a long, b long")
 
 
+def _few(edges: DataFrame) -> bool:
+    """Whether one chunk holds all of the edges."""
+    return edges.count() <= CHUNK
+
+
 def _stars(edges: DataFrame) -> bool:
     """Whether every node of the edges (a > b) is either a centre or has one edge, to a centre."""
     ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("out")).union(edges.select("b", F.lit(0)))
@@ -65,12 +70,16 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     then every node's smaller neighbours likewise, until only stars are left; it needs O(log^2) rounds
     whatever the diameter. Minima are partial aggregates, and the hub's edges meet one row in the joins;
     the minima are written first, so that a join reads plain shuffles, of which AQE splits the hub's.
-    Every round is a written table.
+    Every round is a written table. As soon as at most CHUNK edges are left, before the first round or after
+    any, one chunk holds them all, and its stars are the components.
     """
     a, b = F.col("a"), F.col("b")
     some = edges.where(a.isNotNull() & b.isNotNull() & (a != b))
-    cur = written(contracted(contracted(some).distinct()), name)
-    while not _stars(cur):
+    cur = written(contracted(some), name)
+    if not _few(cur):
+        first, cur = cur, written(contracted(cur.distinct()), name)
+        drop_written(first)
+    while not (few := _few(cur)) and not _stars(cur):
         both = cur.select("a", "b").union(cur.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = written(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), name)
         large = both.where(F.col("b") > F.col("a")).join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -84,5 +93,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         for done in (cur, low, large, low2):
             drop_written(done)
         cur = nxt
+    if few:
+        last, cur = cur, written(contracted(cur.coalesce(1)), name)
+        drop_written(last)
     roots = cur.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("comp"))
     return cur.select(F.col("a").alias("node"), F.col("b").alias("comp")).union(roots)

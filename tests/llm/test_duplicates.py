@@ -9,8 +9,10 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from llm_session import llm  # noqa: F401
+from quarry.llm import graph
 from quarry.llm import minhash as mh
 from quarry.llm import multiindex as mi
+from quarry.llm.common import written
 from quarry.llm.graph import components
 
 
@@ -182,3 +184,18 @@ def test_multi_sequence_order():
     got = mi.traverse(a, b, 0.4)
     sums = (a[:, None] + b[None, :]).ravel()
     assert got == [int(c) for c in np.argsort(sums, kind="stable") if sums[c] <= sums.min() + 0.4]
+
+
+def test_a_small_graph_is_one_chunk(llm, monkeypatch):
+    """op9: a chain over many tasks takes two written tables, not rounds of five; the rounds of a graph of
+    more than CHUNK edges end in the same components."""
+    names = []
+    monkeypatch.setattr(graph, "written", lambda df, name: names.append(name) or written(df, name))
+    n = 300
+    edges = llm.createDataFrame([((i * 7) % n, (i * 7 + 7) % n) for i in range(n - 1)], "a long, b long").repartition(16)
+    want = [(i, 0) for i in range(n)]
+    assert sorted(map(tuple, graph.components(edges).collect())) == want
+    assert len(names) == 2
+    for chunk in (1, 50):
+        monkeypatch.setattr(graph, "CHUNK", chunk)
+        assert sorted(map(tuple, graph.components(edges).collect())) == want
