@@ -49,7 +49,7 @@ class Gru:
 
     def __init__(self, shape: Shape, theta: np.ndarray):
         self.shape, self.theta = shape, theta
-        self.p, at = {}, 0
+        self.p, self.rooms, at = {}, {}, 0
         for name, s in shape.parts():
             n = int(np.prod(s))
             self.p[name] = theta[at : at + n].reshape(s)
@@ -71,13 +71,31 @@ class Gru:
         return m
 
     def step(self, h: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, ...]:
-        """The next state and what the backward step needs. x: the input's rows of the table."""
+        """The next state and what the backward step needs. x: the input's rows of the table. All come and
+        go in column order, in which the gates' parts lie in one piece."""
         n = self.shape.hidden
-        g = h @ self.p["u"]
-        zr = np.float32(0.5) * np.tanh(np.float32(0.5) * (x[:, : 2 * n] + g[:, : 2 * n])) + np.float32(0.5)
+        x = np.asfortranarray(x)
+        g = (self.p["u"].T @ h.T).T
+        zr = x[:, : 2 * n] + g[:, : 2 * n]
+        zr *= np.float32(0.5)
+        np.tanh(zr, out=zr)
+        zr *= np.float32(0.5)
+        zr += np.float32(0.5)
         z, r = zr[:, :n], zr[:, n:]
-        c = np.tanh(x[:, 2 * n :] + r * g[:, 2 * n :])
-        return c + z * (h - c), z, r, c, g[:, 2 * n :]
+        c = r * g[:, 2 * n :]
+        c += x[:, 2 * n :]
+        np.tanh(c, out=c)
+        nxt = h - c
+        nxt *= z
+        nxt += c
+        return nxt, z, r, c, g[:, 2 * n :]
+
+    def room(self, name: str, rows: int, n: int, dtype: np.dtype) -> np.ndarray:
+        """An array kept from window to window: fresh ones of this size cost more than what is done in them."""
+        held = self.rooms.get(name)
+        if held is None or held.size < rows * n or held.dtype != dtype:
+            held = self.rooms[name] = np.empty(rows * n, dtype)
+        return held[: rows * n].reshape(rows, n)
 
     def logp(self, h: np.ndarray, target: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log probability of each target symbol's class times its word within the class; with
@@ -86,7 +104,8 @@ class Gru:
         k = s.class_of(target)
         row = np.arange(len(target))
         # classes x tokens: the sums run along the rows
-        e = p["wc"].T @ h.T + p["bc"][:, None]
+        e = np.matmul(p["wc"].T, h.T, out=self.room("classes", s.classes, len(row), h.dtype))
+        e += p["bc"][:, None]
         e -= e.max(axis=0)
         out = e[k, row]
         np.exp(e, out=e)
@@ -99,28 +118,36 @@ class Gru:
             grads["wc"] += (e @ h).T
             grads["bc"] += e.sum(axis=1)
             dh = e.T @ p["wc"].T
+        # the words of the head by class, side by side: only the products are made class by class
         order = np.argsort(k.astype(np.uint16), kind="stable")
         ends = np.searchsorted(k[order], np.arange(s.head_classes + 1))
-        for c in range(s.head_classes):
-            at = order[ends[c] : ends[c + 1]]
-            if not len(at):
-                continue
-            words = slice(c * s.per_class, (c + 1) * s.per_class)
-            w = target[at] - c * s.per_class
-            r = row[: len(at)]
-            hc = h[at]
-            e = p["wo"][words] @ hc.T + p["bo"][words][:, None]
-            e -= e.max(axis=0)
-            own = e[w, r]
-            np.exp(e, out=e)
-            total = e.sum(axis=0)
-            out[at] += own - np.log(total)
-            if grads is not None:
-                e /= -total
-                e[w, r] += 1
-                grads["wo"][words] += e @ hc
-                grads["bo"][words] += e.sum(axis=1)
-                dh[at] += e.T @ p["wo"][words]
+        order = order[: ends[-1]]
+        if not len(order):
+            return out, dh
+        r, w, hs = row[: len(order)], target[order] % s.per_class, h.take(order, axis=0)
+        e = self.room("words", s.per_class, len(order), h.dtype)
+        classes = [
+            (slice(c * s.per_class, (c + 1) * s.per_class), slice(ends[c], ends[c + 1]))
+            for c in range(s.head_classes)
+            if ends[c] < ends[c + 1]
+        ]
+        for words, at in classes:
+            np.matmul(p["wo"][words], hs[at].T, out=e[:, at])
+            e[:, at] += p["bo"][words][:, None]
+        e -= e.max(axis=0)
+        own = e[w, r]
+        np.exp(e, out=e)
+        total = e.sum(axis=0)
+        out[order] += own - np.log(total)
+        if grads is not None:
+            e /= -total
+            e[w, r] += 1
+            d = np.empty_like(hs)
+            for words, at in classes:
+                grads["wo"][words] += e[:, at] @ hs[at]
+                grads["bo"][words] += e[:, at].sum(axis=1)
+                np.matmul(e[:, at].T, p["wo"][words], out=d[at])
+            dh[order] += d
         return out, dh
 
 
@@ -150,7 +177,7 @@ def windows(model: Gru, docs: list[np.ndarray], width: int, steps: int, end: int
     probabilities, gradients) with truncated backpropagation within the window."""
     symbols, owner, start, length = lanes(docs, width)
     n = model.shape.hidden
-    state = np.zeros((len(length), n), np.float32)
+    state = np.zeros((len(length), n), np.float32, order="F")
     before = np.full(len(length), end, np.int32)  # input symbol of the next step, and whose it is
     whose = np.full(len(length), -1, np.int32)
     longest = int(length[0]) if len(length) else 0
@@ -164,16 +191,17 @@ def windows(model: Gru, docs: list[np.ndarray], width: int, steps: int, end: int
             fresh = owner[place] != whose[:live]
             inp = before[:live]
             if fresh.any():
-                h = np.where(fresh[:, None], np.float32(0), h)
+                h = h.copy(order="F")
+                h[fresh] = 0
                 inp = np.where(fresh, np.int32(end), inp)
-            nxt, *cache = model.step(h, model.p["x"][inp])
+            nxt, *cache = model.step(h, model.p["x"].take(inp, axis=0))
             inputs.append(inp)
             caches.append((h, fresh, *cache))
             states.append(nxt)
             places.append(place)
             before, whose, h = symbols[place], owner[place], nxt
         state = h
-        hs = np.concatenate(states)
+        hs = np.ascontiguousarray(np.concatenate(states))
         place = np.concatenate(places)
         target, docs_here = symbols[place], owner[place]
         g = {k: np.zeros_like(v) for k, v in model.p.items()} if grads else None
@@ -190,20 +218,31 @@ def _backward(model: Gru, g: dict, caches: list, inputs: list, dh: np.ndarray) -
     dx_all = np.empty((ends[-1], 3 * n), np.float32)
     for i in range(len(caches) - 1, -1, -1):
         h, fresh, z, r, c, gn = caches[i]
-        d = dh[ends[i] : ends[i + 1]].copy()
+        d = dh[ends[i] : ends[i + 1]].copy(order="F")  # column order, as in step
         d[: len(carry)] += carry
-        dc = d * (1 - z) * (1 - c * c)
-        dz = d * (h - c) * z * (1 - z)
-        dr = dc * gn * r * (1 - r)
-        dg = np.concatenate([dz, dr, dc * r], axis=1)
-        dx_all[ends[i] : ends[i + 1]] = np.concatenate([dz, dr, dc], axis=1)
-        g["u"] += h.T @ dg
-        back = d * z + dg @ u.T
-        carry = np.where(fresh[:, None], np.float32(0), back)
+        dx = np.empty((len(d), 3 * n), d.dtype, order="F")
+        dz, dr, dc = dx[:, :n], dx[:, n : 2 * n], dx[:, 2 * n :]
+        less = 1 - z
+        np.multiply(d, less, out=dc)
+        dc *= 1 - c * c
+        np.multiply(d, h - c, out=dz)
+        dz *= z
+        dz *= less
+        np.multiply(dc, gn, out=dr)
+        dr *= r
+        dr *= 1 - r
+        dx_all[ends[i] : ends[i + 1]] = dx
+        dc *= r
+        g["u"] += np.ascontiguousarray(h).T @ np.ascontiguousarray(dx)
+        d *= z
+        d += (u @ dx.T).T
+        if fresh.any():
+            d[fresh] = 0
+        carry = d
     ids = np.concatenate(inputs)
     order = np.argsort(ids.astype(np.uint16 if model.shape.head + model.shape.tails < 65536 else np.int32), kind="stable")
     u_ids, first = np.unique(ids[order], return_index=True)
-    g["x"][u_ids] += np.add.reduceat(dx_all[order], first, axis=0)
+    g["x"][u_ids] += np.add.reduceat(dx_all.take(order, axis=0), first, axis=0)
 
 
 class Adam:

@@ -4,12 +4,13 @@ log probability of whole documents."""
 from __future__ import annotations
 
 import zlib
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,8 +44,13 @@ class Params:
     smoothing: float = 0.1
 
 
-def tokens(text: bytes) -> list[bytes]:
-    return [*text.lower().split(), END]
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The lower-cased words of all texts (binary), and where each text's begin and end among them."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.binary()).view(pa.string())))
+    words, ends = lists.values.view(pa.binary()), lists.offsets.to_numpy()
+    full = pc.not_equal(pc.binary_length(words), 0)  # white space at a text's ends leaves empty pieces
+    kept = np.concatenate([[0], np.cumsum(full.to_numpy(zero_copy_only=False))])
+    return words.filter(full), kept[ends]
 
 
 def tail_of(word: bytes, p: Params) -> int:
@@ -52,42 +58,20 @@ def tail_of(word: bytes, p: Params) -> int:
 
 
 def count_words(texts: DataFrame) -> DataFrame:
-    """(word, c) over a binary column t: a dictionary per task, emptied before it grows large."""
+    """(word, c) over a binary column t, counted in each batch first."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-
-        def rows() -> Iterator[pa.RecordBatch]:
-            words, c = list(seen), list(seen.values())
-            seen.clear()
-            for i in range(0, len(words), 100_000):
-                yield pa.record_batch([pa.array(words[i : i + 100_000], pa.binary()), pa.array(c[i : i + 100_000], pa.int64())], ["word", "c"])
-
         for batch in batches:
-            for t in batch.column(0):
-                seen.update(tokens(t.as_py()))
-                if len(seen) > 400_000:
-                    yield from rows()
-        yield from rows()
+            if not batch.num_rows:
+                continue
+            words, c = split_words(batch.column(0))[0].value_counts().flatten()
+            for i in range(0, len(words), 100_000):
+                yield pa.record_batch([words[i : i + 100_000], c[i : i + 100_000]], ["word", "c"])
+            yield pa.record_batch([pa.array([END]), pa.array([batch.num_rows], pa.int64())], ["word", "c"])
 
     return texts.select("t").mapInArrow(count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-class Symbols(dict):
-    """Symbol of a word: the frequent words' are stored, the others' follow from their tail class."""
-
-    def __init__(self, head: int, p: Params):
-        self.head, self.p = head, p
-
-    def __missing__(self, word: bytes) -> int:
-        return self.head + zlib.crc32(word[-2:]) % self.p.tails
-
-
-class Counts(dict):
-    def __missing__(self, word: bytes) -> int:
-        return -1
-
-
 class Vocabulary:
     """What every task needs of the counts: totals, the frequent words and the tail classes."""
 
@@ -99,16 +83,6 @@ class Vocabulary:
         self.counts = dict(frequent)
         self.counts.setdefault(END, 0)
 
-    def lookups(self) -> tuple[Symbols, Counts]:
-        """Tables of the frequent words for the tasks, whose lookups mostly stay in C."""
-        symbols = Symbols(self.head, self.p)
-        symbols.update({w: self.symbol.get(w, self.head + tail_of(w, self.p)) for w in self.counts})
-        return symbols, Counts(self.counts)
-
-    def encode(self, words: list[bytes], symbols: Symbols | None = None) -> np.ndarray:
-        table = self.lookups()[0] if symbols is None else symbols
-        return np.fromiter(map(table.__getitem__, words), np.int32, len(words))
-
     def frequency(self) -> np.ndarray:
         return np.concatenate([[self.counts[w] for w in self.symbol], self.tail_n]).astype(np.float64)
 
@@ -151,20 +125,78 @@ def vocabulary(counts: DataFrame, p: Params) -> Vocabulary:
     return out
 
 
-def _buffered(batches: Iterator[pa.RecordBatch], p: Params, read) -> Iterator[list]:
-    """Lists of what ``read`` makes of a row's columns and tokens, its first item being the symbols; each
-    list has about ``buffer`` symbols (or one longer text). Long texts run beside many others then."""
+class Lookup:
+    """Symbols and counts of words, for whole batches of texts: the frequent words are found by a hash table
+    made of them, the tail class of the others follows from their last bytes."""
+
+    def __init__(self, vocab: Vocabulary):
+        p = vocab.p
+        words = list(vocab.counts)
+        self.vocab, self.words = vocab, pa.array(words, pa.binary())
+        self.symbols = np.array([vocab.symbol.get(w, vocab.head + tail_of(w, p)) for w in words], np.int32)
+        self.c = np.array(list(vocab.counts.values()), np.int64)
+        ends = [bytes([a]) for a in range(256)] + [bytes([a, b]) for a in range(256) for b in range(256)]
+        self.tails = np.array([vocab.head + tail_of(w, p) for w in ends], np.int32)
+
+    def places(self, words: pa.Array) -> np.ndarray:
+        """Number of each word among the frequent ones, else -1."""
+        return pc.index_in(words, value_set=self.words).fill_null(-1).to_numpy()
+
+    def encode(self, words: pa.Array, places: np.ndarray) -> np.ndarray:
+        out = self.symbols[places]
+        rare = np.flatnonzero(places < 0)
+        if len(rare):
+            _, offsets, data = words.buffers()
+            at = np.frombuffer(offsets, np.int32)[words.offset :]
+            data = np.frombuffer(data, np.uint8)
+            end = at[rare + 1]
+            last = data[end - 1].astype(np.int64)
+            two = end - at[rare] > 1
+            out[rare] = self.tails[np.where(two, 256 + 256 * data[end - 2].astype(np.int64) + last, last)]
+        return out
+
+    def documents(self, texts: pa.Array) -> tuple[pa.ListArray, np.ndarray, np.ndarray, pa.Array]:
+        """Symbols of each text's tokens; the places of all texts' tokens; their words, and where each text's
+        begin and end among them."""
+        words, ends = split_words(texts)
+        places = self.places(words)
+        stops = ends[1:] + np.arange(len(texts))
+        inner = np.ones(len(words) + len(texts), bool)
+        inner[stops] = False
+        symbols, at = np.zeros(len(inner), np.int32), np.full(len(inner), self.places(pa.array([END]))[0], np.int32)
+        symbols[inner], at[inner] = self.encode(words, places), places
+        offsets = np.concatenate([[0], stops + 1]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(symbols)), at, ends, words
+
+
+def _buffered(batches: Iterator[pa.RecordBatch], p: Params, read: Callable[[pa.RecordBatch], pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables of what ``read`` makes of the batches, its first column being the rows' symbols; each table
+    has about ``buffer`` symbols (or one longer text). Long texts run beside many others then."""
     held, n = [], 0
     for batch in batches:
-        cols = batch.columns
-        for i in range(batch.num_rows):
-            held.append(read(*[c[i].as_py() for c in cols[:-1]], tokens(cols[-1][i].as_py())))
-            n += len(held[-1][0])
+        if not batch.num_rows:
+            continue
+        rows = read(batch)
+        ends = rows.column(0).offsets.to_numpy()
+        at = 0
+        while at < len(rows):
+            to = min(int(np.searchsorted(ends[1:], ends[at] + p.buffer - n)) + 1, len(rows))
+            held.append(rows.slice(at, to - at))
+            n += int(ends[to] - ends[at])
+            at = to
             if n >= p.buffer:
-                yield held
+                yield pa.Table.from_batches(held)
                 held, n = [], 0
     if held:
-        yield held
+        yield pa.Table.from_batches(held)
+
+
+def _arrays(column: pa.ChunkedArray) -> list[np.ndarray]:
+    out = []
+    for lists in column.chunks:
+        values = lists.values.to_numpy()
+        out += [values[a:b] for a, b in pairwise(lists.offsets.to_numpy().tolist())]
+    return out
 
 
 def train(texts: DataFrame, vocab: Vocabulary, p: Params) -> np.ndarray:
@@ -182,8 +214,8 @@ def train(texts: DataFrame, vocab: Vocabulary, p: Params) -> np.ndarray:
     short = short.withColumn("_row", F.monotonically_increasing_id()).select(h.alias("h"), "t")
     edge = short.select("h").orderBy("h").limit(p.warm_texts).agg(F.max("h")).first()[0]
     if edge is not None:  # else all tasks start from the fresh network
-        table = vocab.lookups()[0]
-        warm = [vocab.encode(tokens(bytes(r["t"])), table) for r in short.where(F.col("h") <= edge).orderBy("h").collect()]
+        texts_here = pa.array([bytes(r["t"]) for r in short.where(F.col("h") <= edge).orderBy("h").collect()], pa.binary())
+        warm = _arrays(pa.chunked_array([Lookup(vocab).documents(texts_here)[0]]))
         gru.train(model, warm, 64, p.steps, 0, gru.Adam(shape.size(), p.rate))
     shared = texts.sparkSession.sparkContext.broadcast((vocab, shape, model.theta))
     block = 4096
@@ -192,10 +224,10 @@ def train(texts: DataFrame, vocab: Vocabulary, p: Params) -> np.ndarray:
         from pyspark import TaskContext
 
         vocab, shape, theta = shared.value
-        own, table = gru.Gru(shape, theta.copy()), vocab.lookups()[0]
+        own, lookup = gru.Gru(shape, theta.copy()), Lookup(vocab)
         adam, n = gru.Adam(shape.size(), p.rate / 4), 0
-        for rows in _buffered(batches, p, lambda words: (vocab.encode(words, table),)):
-            docs = [r[0] for r in rows]
+        for rows in _buffered(batches, p, lambda batch: pa.record_batch([lookup.documents(batch.column(0))[0]], ["symbols"])):
+            docs = _arrays(rows["symbols"])
             gru.train(own, docs, p.lanes, p.steps, 0, adam)
             n += sum(map(len, docs))
         if n:
@@ -247,35 +279,46 @@ def score(docs: DataFrame, id_col: str, text_col: str, p: Params = Params()) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab, shape, theta = shared.value
         model = gru.Gru(shape, theta)
-        table, known = vocab.lookups()
+        lookup = Lookup(vocab)
+        base_of, within_of = vocab.base(lookup.c), np.zeros(len(lookup.c))
+        tail = lookup.symbols >= vocab.head
+        within_of[tail] = vocab.within_tail(lookup.c[tail], lookup.symbols[tail] - vocab.head)
 
-        def read(key, words):
+        def read(batch: pa.RecordBatch) -> pa.RecordBatch:
             """Symbols, key, known tokens, base and tail terms of the words whose counts are here, and the
             other words with their numbers."""
-            symbols = vocab.encode(words, table)
-            c = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-            hit = c >= 0
-            tail = hit & (symbols >= vocab.head)
-            rest = Counter(words[j] for j in np.flatnonzero(~hit))
-            within = float(vocab.within_tail(c[tail], symbols[tail] - vocab.head).sum())
-            return symbols, key, int((c > 0).sum()), float(vocab.base(c[hit]).sum()), within, list(rest), list(rest.values())
-
-        for held in _buffered(batches, p, read):
-            symbols, keys, n_known, base, within, rare, times = zip(*held, strict=True)
-            logp = gru.score(model, list(symbols), p.lanes, p.steps, 0) / np.log(10) + np.array(within)
-            yield pa.record_batch(
+            symbols, at, ends, words = lookup.documents(batch.column(1))
+            starts, here = symbols.offsets.to_numpy(), at >= 0
+            n_known = np.add.reduceat(here & (lookup.c[at] > 0), starts[:-1], dtype=np.int64)
+            base = np.add.reduceat(np.where(here, base_of[at], 0.0), starts[:-1])
+            within = np.add.reduceat(np.where(here, within_of[at], 0.0), starts[:-1])
+            inner = np.ones(len(at), bool)
+            inner[starts[1:] - 1] = False
+            rare = np.flatnonzero(~here[inner])
+            coded = words.take(pa.array(rare)).dictionary_encode()
+            owner = np.searchsorted(ends, rare, side="right") - 1
+            width = max(len(coded.dictionary), 1)
+            pairs, times = np.unique(owner * width + coded.indices.to_numpy(), return_counts=True)
+            offsets = pa.array(np.searchsorted(pairs, np.arange(len(starts)) * width).astype(np.int32))
+            return pa.record_batch(
                 [
-                    pa.array(keys, pa.string()),
-                    pa.array([len(x) for x in symbols], pa.int64()),
+                    symbols,
+                    batch.column(0),
                     pa.array(n_known, pa.int64()),
-                    pa.array(base, pa.float64()),
-                    pa.array(logp, pa.float64()),
-                    pa.array(rare, pa.list_(pa.binary())),
-                    pa.array(times, pa.list_(pa.int32())),
+                    pa.array(base),
+                    pa.array(within),
+                    pa.ListArray.from_arrays(offsets, coded.dictionary.take(pa.array(pairs % width))),
+                    pa.ListArray.from_arrays(offsets, pa.array(times.astype(np.int32))),
                 ],
-                ["key", "n_tokens", "n_known", "base", "logp", "rare", "times"],
+                ["symbols", "key", "n_known", "base", "within", "rare", "times"],
             )
 
+        for held in _buffered(batches, p, read):
+            docs = _arrays(held["symbols"])
+            logp = gru.score(model, docs, p.lanes, p.steps, 0) / np.log(10) + held["within"].to_numpy()
+            held = held.append_column("n_tokens", pa.array([len(x) for x in docs], pa.int64())).append_column("logp", pa.array(logp))
+            yield from held.select(["key", "n_tokens", "n_known", "base", "logp", "rare", "times"]).to_batches()
+
     schema = "key string, n_tokens long, n_known long, base double, logp double, rare array<binary>, times array<int>"
     scored = numbered(rows.select("key", "t").mapInArrow(run, schema), "scored")
     a = p.smoothing
