@@ -49,6 +49,8 @@ def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.binary()).view(pa.string())))
     words, ends = lists.values.view(pa.binary()), lists.offsets.to_numpy()
     full = pc.not_equal(pc.binary_length(words), 0)  # white space at a text's ends leaves empty pieces
+    if pc.min(full).as_py() is not False:
+        return words, ends
     kept = np.concatenate([[0], np.cumsum(full.to_numpy(zero_copy_only=False))])
     return words.filter(full), kept[ends]
 
@@ -171,12 +173,10 @@ class Lookup:
 
 def _buffered(batches: Iterator[pa.RecordBatch], p: Params, read: Callable[[pa.RecordBatch], pa.RecordBatch]) -> Iterator[pa.Table]:
     """Tables of what ``read`` makes of the batches, its first column being the rows' symbols; each table
-    has about ``buffer`` symbols (or one longer text). Long texts run beside many others then."""
-    held, n = [], 0
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        rows = read(batch)
+    has about ``buffer`` symbols (or one longer text). Long texts run beside many others then. Batches are
+    read by pieces of ``piece`` rows, so that little is held of what only reading needs."""
+    held, n, piece = [], 0, 1024
+    for rows in (read(batch.slice(i, piece)) for batch in batches for i in range(0, batch.num_rows, piece)):
         ends = rows.column(0).offsets.to_numpy()
         at = 0
         while at < len(rows):
@@ -303,7 +303,7 @@ def score(docs: DataFrame, id_col: str, text_col: str, p: Params = Params()) ->
             return pa.record_batch(
                 [
                     symbols,
-                    batch.column(0),
+                    pa.array(batch.column(0).to_pylist(), pa.string()),  # the column would hold the batch's texts
                     pa.array(n_known, pa.int64()),
                     pa.array(base),
                     pa.array(within),
