@@ -54,13 +54,15 @@ def pair_tfidf(j: DataFrame, docs: DataFrame) -> DataFrame:
     return out.withColumn("tfidf", F.coalesce(R.in_units(F.col("s")), F.lit(0.0))).drop("s")
 
 
+SYSTEMS = ("baseline", "tf", "tfidf")
+
+
 def system_scores(j: DataFrame, docs: DataFrame) -> DataFrame:
-    """(system, query_id, doc_id, label, score) of three systems over the judged pairs: baseline (all
+    """(system, query_id, doc_id, label, score) of the three ``SYSTEMS`` over the judged pairs: baseline (all
     0, so in id order), tf and tfidf. One row per pair is scored, then unfolded."""
     scored = pair_tfidf(pair_tf(j), docs)
-    systems = F.array(
-        *[F.struct(F.lit(n).alias("system"), c.cast("double").alias("score")) for n, c in (("baseline", F.lit(0.0)), ("tf", F.col("tf")), ("tfidf", F.col("tfidf")))]
-    )
+    scores = (F.lit(0.0), F.col("tf"), F.col("tfidf"))
+    systems = F.array(*[F.struct(F.lit(n).alias("system"), c.cast("double").alias("score")) for n, c in zip(SYSTEMS, scores)])
     return scored.select("query_id", "doc_id", "label", F.explode(systems).alias("s")).select("s.system", "query_id", "doc_id", "label", "s.score")
 
 

@@ -145,3 +145,63 @@ def test_ks_normal_ranks_once(spark, monkeypatch):
     monkeypatch.setattr(eval_plans, "_ndcg", lambda spark, d: rows.mapInPandas(counted, rows.schema))
     out = eval_plans.test_ks_normal(spark, "").collect()
     assert {r.system for r in out} == {"baseline", "tf"} and made.value == 60
+
+
+def test_ks_normal_tests_every_system(spark, tmp_path):
+    """Each system that is scored has its row: the statistic of its own nDCG, by a brute force from the tables."""
+    from quarry.plans import eval_plans
+
+    queries = {q: f"red shoe w{q}" for q in range(1, 8)}
+    titles = ["red red hat", "w{q} lamp", "shoe", "red shoe w{q}", "green hat"]  # tf and tfidf order them apart
+    docs, labels = [], []
+    for q in queries:
+        for n, title in enumerate(titles):
+            doc = 100 * q + n
+            docs.append((doc, title.format(q=q), "us", f"source{q}", len(title)))
+            labels.append((doc, (n + q) % 2, (n * q) % 3 % 2))
+    # titles of no judged pair, so that red and shoe are common and w1 to w7 rare
+    docs += [(9000 + n, "red shoe of another", "us", "none", 19) for n in range(60)]
+    tables = {
+        "documents": (docs, "doc_id long, text string, lang string, source string, n_chars long"),
+        "labels": (labels, "doc_id long, quality int, toxic int"),
+        "benchmark": (list(queries.items()), "item_id long, text string"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+
+    df = {}
+    for _, text, *_ in docs:
+        for w in set(text.split()):
+            df[w] = df.get(w, 0) + 1
+    idf = lambda w: math.log((len(docs) - df[w] + 0.5) / (df[w] + 0.5))
+    score = {
+        "baseline": lambda words, held: 0,
+        "tf": lambda words, held: sum(w in held for w in words),
+        "tfidf": lambda words, held: sum(words.count(w) * idf(w) for w in held if w in words),
+    }
+    label = {doc: {(1, 0): 4, (1, 1): 2, (0, 0): 1, (0, 1): 0}[quality, toxic] for doc, quality, toxic in labels}
+    dcg = lambda gains: sum(g / math.log2(r + 1) for r, g in enumerate(gains, 1))
+    cdf = lambda v: 0.5 * math.erfc(-v / math.sqrt(2))
+    exp = {}
+    for s, fn in score.items():
+        x = []
+        for q, held in queries.items():
+            pairs = [(doc, fn(text.split(), set(held.split()))) for doc, text, _, source, _ in docs if source == f"source{q}"]
+            ranked = [label[doc] for doc, _ in sorted(pairs, key=lambda p: (-p[1], p[0]))]
+            x.append(dcg(ranked) / dcg(sorted(ranked, reverse=True)))
+        exp[s] = max(max((i + 1) / len(x) - cdf(v), cdf(v) - i / len(x)) for i, v in enumerate(sorted(x)))
+    assert len(set(exp.values())) == 3
+
+    got = eval_plans.test_ks_normal(spark, str(tmp_path)).collect()
+    assert [r.system for r in got] == ["baseline", "tf", "tfidf"]
+    for r in got:
+        assert abs(r.statistic - exp[r.system]) < 1e-9 and 0 < r.pValue < 0.05
+
+
+def test_ks_normal_without_judged_pairs(spark, monkeypatch):
+    """No nDCG at all: a row for every system, as MLlib gives it for no values."""
+    from quarry.plans import eval_plans
+
+    none = spark.createDataFrame([], "system string, query_id long, ndcg double")
+    monkeypatch.setattr(eval_plans, "_ndcg", lambda spark, d: none)
+    assert [(r.system, r.pValue) for r in eval_plans.test_ks_normal(spark, "").collect()] == [(s, 1.0) for s in ("baseline", "tf", "tfidf")]
